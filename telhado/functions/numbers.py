@@ -23,7 +23,7 @@ def parse_number(text: Column, grouping: str = ",", decimal: str = ".") -> Colum
 
 def repair_thousands(price: Column, below: float = 10000.0, factor: float = 1000.0) -> Column:
     """Prices quoted in thousands, brought to full units."""
-    return F.when(price < below, price * factor).otherwise(price)
+    return price * F.when(price < below, factor).otherwise(1.0)
 
 
 def zero_to_null(value: Column) -> Column:

@@ -11,9 +11,12 @@ from .distinct import distinct_except
 MAX_PRICE = 100_000_000.0
 
 
-def with_numbers(ads: DataFrame) -> DataFrame:
-    """Parse the five numeric columns, repair prices, blank out zero counts."""
-    parsed = ads.withColumns({c: parse_number(col(c)) for c in NUMERIC_COLUMNS})
+def parsed_numbers(ads: DataFrame) -> DataFrame:
+    return ads.withColumns({c: parse_number(col(c)) for c in NUMERIC_COLUMNS})
+
+
+def repaired_numbers(parsed: DataFrame) -> DataFrame:
+    """Prices in full units, zero counts blanked out."""
     return parsed.withColumns(
         {
             PRICE: repair_thousands(col(PRICE)),
@@ -22,9 +25,17 @@ def with_numbers(ads: DataFrame) -> DataFrame:
     )
 
 
+def with_numbers(ads: DataFrame) -> DataFrame:
+    return repaired_numbers(parsed_numbers(ads))
+
+
 def valid_price(ads: DataFrame) -> DataFrame:
-    price = col(PRICE)
-    return ads.filter(price.isNotNull() & (price != 0) & (price < MAX_PRICE))
+    """Price given, not zero, below the ceiling.
+
+    Written so that the price occurs once: the filter moves down to the scan, and
+    the number is parsed once there.
+    """
+    return ads.filter(F.nullif(col(PRICE), F.lit(0.0)) < MAX_PRICE)
 
 
 def with_coordinates(ads: DataFrame) -> DataFrame:
@@ -40,9 +51,13 @@ def valid_urls(ads: DataFrame) -> DataFrame:
 
 
 def clean_ads(ads: DataFrame, need_coordinates: bool = False) -> DataFrame:
-    """Cleaned ads. Validity tests read only columns that duplicates share, so they
-    run before the de-duplication and the result is the same."""
-    typed = valid_price(with_numbers(ads))
+    """Cleaned ads.
+
+    Validity tests read only columns that duplicates share, so they run before the
+    de-duplication. The price test runs before the repair: the repair turns no valid price
+    into an invalid one, nor the reverse, since what it multiplies stays far below the ceiling.
+    """
+    typed = valid_price(parsed_numbers(ads))
     if need_coordinates:
         typed = with_coordinates(typed)
-    return distinct_except(typed, "url")
+    return distinct_except(repaired_numbers(typed), "url")

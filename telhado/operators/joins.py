@@ -11,7 +11,7 @@ SALT = "__salt"
 
 def planned_bytes(df: DataFrame) -> int:
     """Planner's upper estimate of the size of `df`."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_limit(df: DataFrame) -> int:

@@ -28,22 +28,35 @@ def price_bands(spark: SparkSession) -> DataFrame:
     return out.select(F.col("low").cast("bigint"), F.col("high").cast("bigint"))
 
 
-def band_of(price: Column) -> Column:
-    """Band (low, high) that holds `price`, by arithmetic; NULL where no band does."""
-    low = F.when(price >= LAST_BAND[0], F.lit(LAST_BAND[0]).cast("bigint"))
-    high = F.when(price >= LAST_BAND[0], F.lit(LAST_BAND[1]).cast("bigint"))
-    for start, stop, step in BAND_PHASES:
-        inside = (price >= start) & (price < stop)
+def _band_low(price: Column) -> Column:
+    low = F.lit(LAST_BAND[0]).cast("bigint")
+    for start, stop, step in reversed(BAND_PHASES):
         floor = (F.floor((price - start) / F.lit(step)) * step + start).cast("bigint")
-        low = F.when(inside, floor).otherwise(low)
-        high = F.when(inside, floor + step - 1).otherwise(high)
-    return F.when(price <= high, F.struct(low.alias("low"), high.alias("high")))
+        low = F.when(price < stop, floor).otherwise(low)
+    return low
 
 
-def count_by_band(ads: DataFrame, price: Column) -> DataFrame:
-    """Ads per band that holds any: (low, high, n_ads)."""
-    banded = ads.select(band_of(price).alias("band")).filter(F.col("band").isNotNull())
-    return banded.groupBy("band.low", "band.high").agg(F.count(F.lit(1)).alias("n_ads"))
+def _band_high(low: Column) -> Column:
+    high = F.lit(LAST_BAND[1]).cast("bigint")
+    for _, stop, step in reversed(BAND_PHASES):
+        high = F.when(low < stop, low + step - 1).otherwise(high)
+    return high
+
+
+def count_by_band(ads: DataFrame, price: str) -> DataFrame:
+    """Ads per band that holds any: (low, high, n_ads).
+
+    Bands are regular, so arithmetic finds them and nothing is joined. A fractional price
+    between two bands is in neither, so the ends are tested while counting.
+    """
+    low = _band_low(F.col(price))
+    inside = (F.col(price) >= F.col("low")) & (F.col(price) <= _band_high(F.col("low")))
+    counted = (
+        ads.select(price, low.alias("low"))
+        .groupBy("low")
+        .agg(F.count_if(inside & (F.col("low") >= BAND_PHASES[0][0])).alias("n_ads"))
+    )
+    return counted.filter(F.col("n_ads") > 0).select("low", _band_high(F.col("low")).alias("high"), "n_ads")
 
 
 def with_request_url(bands: DataFrame, base: str, page: Column | None = None) -> DataFrame:

@@ -19,9 +19,7 @@ CEP_POINTS = T.StructType(
     ]
 )
 # Fields of a geocoder answer that are read.
-GEOCODER_ANSWER = T.StructType.fromDDL(
-    "status string, results array<struct<geometry: struct<location: struct<lat: double, lng: double>>>>"
-)
+GEOCODER_ANSWER = "status string, results array<struct<geometry: struct<location: struct<lat: double, lng: double>>>>"
 
 
 class BoundaryMissing(Exception):

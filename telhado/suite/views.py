@@ -128,6 +128,17 @@ SELECT ad_id, url,
 FROM {ads} WHERE url IS NOT NULL AND url <> ''
 """
 
+# Fetches of ad pages, several per ad: errors, robot checks, empty pages, the page itself.
+VIEWS["ad_fetches"] = """
+SELECT p.url, l.l_linenumber AS try_no, l.l_partkey AS tie_1, l.l_suppkey AS tie_2,
+  CASE WHEN l.l_partkey % 4 = 0 THEN 503 ELSE 200 END AS status,
+  CASE WHEN l.l_partkey % 4 = 0 THEN NULL
+       WHEN l.l_suppkey % 5 = 1 THEN '<p>ARE YOU A HUMAN?</p>'
+       WHEN l.l_suppkey % 11 = 3 THEN '<p>removed</p>'
+       ELSE p.html END AS html
+FROM {lineitem} l JOIN {ad_pages} p ON p.ad_id = l.l_orderkey
+"""
+
 # Answers to first-page requests: the text that tells how many ads were found.
 VIEWS["result_texts"] = """
 SELECT request_id, status,
@@ -170,6 +181,7 @@ NEEDS = {
     "cep_points": ["customer"],
     "fetch_log": ["events"],
     "ad_pages": ["ads"],
+    "ad_fetches": ["lineitem", "ad_pages"],
     "result_texts": ["orders"],
     "geocoder_log": ["ads"],
     "boundary": [],
