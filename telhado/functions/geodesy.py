@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Spherical Mercator radius; GRS80 ellipsoid; UTM scale and offsets.
 SPHERE_RADIUS = 6378137.0
@@ -80,15 +80,27 @@ def utm_xy(lon: Column, lat: Column, zone: int = 24, south: bool = True) -> Colu
     )
 
 
-def utm_lonlat(easting: Column, northing: Column, zone: int = 24, south: bool = True) -> Column:
-    """Struct (longitude, latitude) in degrees: the inverse of `utm_xy`."""
+def _utm_series_angles(easting: Column, northing: Column, south: bool) -> Column:
     scale = UTM_SCALE * RECTIFYING_RADIUS
-    xi = (northing - (FALSE_NORTHING_SOUTH if south else 0.0)) / scale
-    eta = (easting - FALSE_EASTING) / scale
+    return F.struct(
+        ((northing - (FALSE_NORTHING_SOUTH if south else 0.0)) / scale).alias("xi"),
+        ((easting - FALSE_EASTING) / scale).alias("eta"),
+    )
+
+
+def _utm_sphere_angles(p: Column) -> Column:
+    """Struct (chi, lon): conformal latitude, and longitude from the central meridian, in radians."""
+    xi, eta = p["xi"], p["eta"]
     xi0 = xi - _sum([F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) * b for j, b in enumerate(BETA, 1)])
     eta0 = eta - _sum([F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) * b for j, b in enumerate(BETA, 1)])
-    chi = F.asin(F.sin(xi0) / F.cosh(eta0))
+    return F.struct(
+        F.asin(F.sin(xi0) / F.cosh(eta0)).alias("chi"), F.atan2(F.sinh(eta0), F.cos(xi0)).alias("lon")
+    )
+
+
+def _geographic(p: Column, zone: int) -> Column:
     # Conformal to geographic latitude, series of order four in e^2.
+    chi = p["chi"]
     e2, e4, e6, e8 = E2, E2**2, E2**3, E2**4
     lat = chi + _sum(
         [
@@ -98,12 +110,16 @@ def utm_lonlat(easting: Column, northing: Column, zone: int = 24, south: bool =
             F.sin(chi * 8) * (4279 * e8 / 161280),
         ]
     )
-    lon = F.atan2(F.sinh(eta0), F.cos(xi0))
     return F.struct(
-        (F.degrees(lon) + central_meridian(zone)).alias("longitude"), F.degrees(lat).alias("latitude")
+        (F.degrees(p["lon"]) + central_meridian(zone)).alias("longitude"), F.degrees(lat).alias("latitude")
     )
 
 
+def utm_lonlat(easting: Column, northing: Column, zone: int = 24, south: bool = True) -> Column:
+    """Struct (longitude, latitude) in degrees: the inverse of `utm_xy`."""
+    return _geographic(_utm_sphere_angles(_utm_series_angles(easting, northing, south)), zone)
+
+
 def utm_point_scale(lon: Column, lat: Column, zone: int = 24) -> Column:
     """Length on the UTM plane of one metre on the ellipsoid, at a point."""
     ep2 = E2 / (1 - E2)
@@ -135,17 +151,24 @@ def coordinate_text(lon: Column, lat: Column, digits: int = 6) -> Column:
     return F.format_string(f"%.{digits}f %.{digits}f", lon, lat)
 
 
-def buffer_wkt(lon: Column, lat: Column, radius: Column, zone: int = 24, quarter: int = 30) -> Column:
-    """Circle of `radius` UTM metres as a closed WKT ring of 4 x `quarter` points in degrees."""
-    centre = utm_xy(lon, lat, zone)
-    steps = 4 * quarter
-
-    def corner(i: Column) -> Column:
-        turn = F.pmod(i, F.lit(steps)) * (-2 * math.pi / steps)
-        spot = utm_lonlat(
-            centre["easting"] + radius * F.cos(turn), centre["northing"] + radius * F.sin(turn), zone
-        )
-        return coordinate_text(spot["longitude"], spot["latitude"])
+def with_buffer_wkt(
+    points: DataFrame, radius: str = "dist_buffer", zone: int = 24, south: bool = True, quarter: int = 30
+) -> DataFrame:
+    """Add `buffer_wkt`: a circle of `radius` UTM metres as a closed ring of 4 x `quarter` points in degrees.
 
-    ring = F.transform(F.sequence(F.lit(0), F.lit(steps)), corner)
-    return F.concat(F.lit("POLYGON (("), F.array_join(ring, ", "), F.lit("))"))
+    Each step of the way back to degrees is its own pass over the ring, so nothing is computed twice.
+    """
+    turns = [-2 * math.pi * i / (4 * quarter) for i in [*range(4 * quarter), 0]]
+    circle = F.array(*[F.struct(F.lit(math.cos(t)).alias("c"), F.lit(math.sin(t)).alias("s")) for t in turns])
+    centred = points.withColumn("__centre", utm_xy(F.col("longitude"), F.col("latitude"), zone, south))
+    ring = F.transform(
+        circle,
+        lambda t: _utm_series_angles(
+            F.col("__centre.easting") + F.col(radius) * t["c"], F.col("__centre.northing") + F.col(radius) * t["s"], south
+        ),
+    )
+    ring = F.transform(F.transform(ring, _utm_sphere_angles), lambda p: _geographic(p, zone))
+    text = F.transform(ring, lambda p: coordinate_text(p["longitude"], p["latitude"]))
+    return centred.withColumn(
+        "buffer_wkt", F.concat(F.lit("POLYGON (("), F.array_join(text, ", "), F.lit("))"))
+    ).drop("__centre")

@@ -450,8 +450,9 @@ def priced(d: Data) -> DataFrame:
 @query("price_bands", f"WITH {BANDS} SELECT * FROM banded", ("ads",))
 def _(d: Data):
     """All bands, with the ads in each."""
-    counted = collection.count_by_band(priced(d), "preco")
-    return collection.price_bands(d.spark).join(counted, ["low", "high"], "left").fillna(0, ["n_ads"])
+    empty = collection.price_bands(d.spark).withColumn("n_ads", F.lit(0).cast("bigint"))
+    both = empty.unionByName(collection.count_by_band(priced(d), "preco"))
+    return both.groupBy("low", "high").agg(F.sum("n_ads").alias("n_ads"))
 
 
 @query("ads_per_band", f"WITH {BANDS} SELECT * FROM banded WHERE n_ads > 0", ("ads",))

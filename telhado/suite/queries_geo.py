@@ -183,10 +183,8 @@ def _(d: Data):
 
 @query("buffer_wkt")
 def _(d: Data):
-    radius = tx.buffer_radius(F.col("cep"))
-    return placed(d).select(
-        "ad_id", geodesy.buffer_wkt(F.col("longitude"), F.col("latitude"), radius).alias("buffer_wkt")
-    )
+    ads = placed(d).withColumn("dist_buffer", tx.buffer_radius(F.col("cep")))
+    return geodesy.with_buffer_wkt(ads).select("ad_id", "buffer_wkt")
 
 
 # Hexagons
