@@ -13,7 +13,12 @@ from pyspark.sql import Column, functions as F
 
 SIZE = 5000.0
 ROOT3 = math.sqrt(3.0)
-NEIGHBOURS = [(0, 0), (1, 0), (-1, 0), (0, 1), (0, -1), (1, -1), (-1, 1)]
+
+
+def neighbours(rings: int = 1) -> list[tuple[int, int]]:
+    """Axial offsets of a cell and the rings of cells around it: 7 for one ring."""
+    span = range(-rings, rings + 1)
+    return [(q, r) for q in span for r in span if abs(q + r) <= rings]
 
 
 def side(size: float) -> float:
@@ -52,33 +57,42 @@ def corners(size: float = SIZE) -> list[tuple[float, float]]:
 def segment_distance2(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
     """Squared distance from a point to a segment."""
     wx, wy = bx - ax, by - ay
-    length2 = wx * wx + wy * wy
-    t = F.when(
-        length2 > 0,
-        F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * wx + (py - ay) * wy) / length2)),
-    ).otherwise(0.0)
-    gx, gy = px - ax - t * wx, py - ay - t * wy
-    return gx * gx + gy * gy
+    dx, dy = px - ax, py - ay
+    along, length2 = dx * wx + dy * wy, wx * wx + wy * wy
+    across = dx * wy - dy * wx
+    return (
+        F.when(along <= 0, dx * dx + dy * dy)
+        .when(along >= length2, (px - bx) * (px - bx) + (py - by) * (py - by))
+        .otherwise(across * across / length2)
+    )
 
 
-def in_hexagon(dx: Column, dy: Column, size: float = SIZE) -> Column:
-    """Is the point at offset (dx, dy) from the centre in the closed hexagon?"""
+def inside_hexagon(dx: Column, dy: Column, margin: Column, size: float = SIZE) -> Column:
+    """Is the point further than `margin` from every side, on the inner side?"""
     u, v = F.abs(dx), F.abs(dy)
-    return (u <= size / 2) & (u / 2 + v * (ROOT3 / 2) <= size / 2)
+    return (u + margin < size / 2) & (u / 2 + v * (ROOT3 / 2) + margin < size / 2)
 
 
-def touches_hexagon(dx: Column, dy: Column, reach_x: Column, reach_y: Column, size: float = SIZE) -> Column:
-    """Does an upright ellipse around the offset (dx, dy) meet the hexagon?
+def touches_hexagon(u: Column, v: Column, reach: Column, corner: Column, size: float = SIZE) -> Column:
+    """Does a circle of radius `reach` around (u, v) meet the hexagon?
 
-    Stretching y by reach_x / reach_y makes the ellipse a circle. By symmetry the nearest
-    point of the hexagon lies on the two sides of the offset's own quadrant.
+    (u, v) is the offset from the hexagon's centre, made positive and with y stretched so that
+    the ellipse to be tested became a circle; `corner` is the y of the upright side's end, half a
+    side stretched alike. By symmetry only two sides can be nearest: the upright one at x = h,
+    and the slanted one from (h, corner) to the top (0, 2 corner).
     """
-    h, e = size / 2, side(size)
-    stretch = reach_x / reach_y
-    u, v = F.abs(dx), F.abs(dy) * stretch
-    flat = segment_distance2(u, v, F.lit(h), F.lit(0.0), F.lit(h), stretch * (e / 2))
-    slant = segment_distance2(u, v, F.lit(h), stretch * (e / 2), F.lit(0.0), stretch * e)
-    return in_hexagon(dx, dy, size) | (F.least(flat, slant) <= reach_x * reach_x)
+    h = size / 2
+    line = corner * u + v * h - corner * (2 * h)
+    slant2 = corner * corner + h * h
+    along = (F.lit(h) - u) * h + (v - corner) * corner
+    above = F.greatest(v - corner, F.lit(0.0))
+    reach2 = reach * reach
+    return (
+        ((u <= h) & (line <= 0))
+        | ((u - h) * (u - h) + above * above <= reach2)
+        | ((along >= 0) & (along <= slant2) & (line * line <= reach2 * slant2))
+        | (u * u + (v - corner * 2) * (v - corner * 2) <= reach2)
+    )
 
 
 def clip_to_hexagon(ax: Column, ay: Column, bx: Column, by: Column, size: float = SIZE) -> Column:

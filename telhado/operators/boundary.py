@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import geodesy
+from ..session import materialise
 from .joins import lookup_join
 
 
@@ -41,7 +42,7 @@ def edge_slabs(edges: DataFrame, height: float) -> DataFrame:
     spread = edges.filter(F.col("y1") != F.col("y2")).select(
         F.explode(F.sequence(lowest, highest)).alias("slab"), F.struct("x1", "y1", "x2", "y2").alias("edge")
     )
-    return spread.groupBy("slab").agg(F.collect_list("edge").alias("edges"))
+    return spread.groupBy("slab").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
 
 
 def flag_inside(
@@ -72,8 +73,11 @@ SLAB_METRES = 5000.0
 def points_in_boundary(
     points: DataFrame, vertices: DataFrame, spread_by: list[str], height: float = SLAB_DEGREES
 ) -> DataFrame:
-    """Add `inside` to points with `longitude` and `latitude`, against rings in degrees."""
-    slabs = edge_slabs(boundary_edges(vertices), height)
+    """Add `inside` to points with `longitude` and `latitude`, against rings in degrees.
+
+    The slabs are written first: a boundary is small, and only its true size shows that.
+    """
+    slabs = materialise(edge_slabs(boundary_edges(vertices), height), "boundary-slabs")
     return flag_inside(points, slabs, "longitude", "latitude", height, spread_by)
 
 

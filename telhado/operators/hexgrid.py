@@ -164,7 +164,7 @@ def hex_cells(vertices: DataFrame, size: float = SIZE) -> DataFrame:
     )
     whole = flag_inside(whole, slabs, "cx", "cy", SLAB_METRES, ["q", "r"]).filter("inside")
 
-    border = pieces.groupBy("q", "r").agg(F.collect_list(F.struct("ax", "ay", "bx", "by")).alias("pieces"))
+    border = pieces.groupBy("q", "r").agg(F.sort_array(F.collect_list(F.struct("ax", "ay", "bx", "by"))).alias("pieces"))
     drawn = pieces.select("q", "r", "ax", "ay", "bx", "by", F.lit(True).alias("drawn")).filter(
         (F.col("ax") != F.col("bx")) | (F.col("ay") != F.col("by"))
     )
@@ -188,7 +188,7 @@ def hex_cells(vertices: DataFrame, size: float = SIZE) -> DataFrame:
         .otherwise(F.struct("ax", "ay", "bx", "by"))
         .alias("piece"),
     )
-    clipped = outline.groupBy("q", "r").agg(F.collect_list("piece").alias("outline"))
+    clipped = outline.groupBy("q", "r").agg(F.sort_array(F.collect_list("piece")).alias("outline"))
     return whole.select(
         "q", "r", F.lit(False).alias("is_border"), F.array().cast(f"array<{PIECE}>").alias("outline")
     ).unionByName(clipped.select("q", "r", F.lit(True).alias("is_border"), "outline"))

@@ -5,21 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import geodesy, hexes
-from ..functions.hexes import NEIGHBOURS, SIZE, centre_x, centre_y
+from ..functions.hexes import SIZE, centre_x, centre_y
 from .joins import lookup_join
 
 
-def neighbourhoods(grid: DataFrame) -> DataFrame:
-    """Per cell of the plane: the grid cells among itself and its six neighbours (q, r, near).
+def neighbourhoods(grid: DataFrame, rings: int = 1) -> DataFrame:
+    """Per cell of the plane: the grid cells among itself and the rings around it (q, r, near).
 
-    Cells just outside the grid are listed too, since circles reach in from there.
+    Cells just outside the grid are listed too, since circles reach in from there. `home` is the
+    number of the cell itself, NULL off the grid; `home_whole` tells that no boundary cuts it.
     """
-    offsets = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in NEIGHBOURS])
+    offsets = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in hexes.neighbours(rings)])
     spread = grid.select("hex_id", "q", "r", "outline", F.explode(offsets).alias("o"))
+    itself = (F.col("o.a") == 0) & (F.col("o.b") == 0)
     return spread.groupBy((F.col("q") - F.col("o.a")).alias("q"), (F.col("r") - F.col("o.b")).alias("r")).agg(
-        F.collect_list(
-            F.struct("hex_id", F.col("q").alias("cq"), F.col("r").alias("cr"), "outline")
-        ).alias("near")
+        F.sort_array(
+            F.collect_list(F.struct("hex_id", F.col("q").alias("cq"), F.col("r").alias("cr"), "outline"))
+        ).alias("near"),
+        F.max(F.when(itself, F.col("hex_id"))).alias("home"),
+        F.max(itself & (F.size("outline") == 0)).alias("home_whole"),
     )
 
 
@@ -43,39 +47,64 @@ def _in_outline(outline: Column, x: Column, y: Column) -> Column:
     return F.size(crossing) % 2 == 1
 
 
-def _near_outline(outline: Column, x: Column, y: Column, reach_x: Column, reach_y: Column) -> Column:
-    stretch = reach_x / reach_y
+def _near_outline(outline: Column, x: Column, y: Column, reach: Column, stretch: Column) -> Column:
+    """Does a piece come within `reach` of the point, y stretched?"""
     return F.exists(
         outline,
         lambda p: hexes.segment_distance2(
             F.lit(0.0), F.lit(0.0),
             p["ax"] - x, (p["ay"] - y) * stretch, p["bx"] - x, (p["by"] - y) * stretch,
         )
-        <= reach_x * reach_x,
+        <= reach * reach,
     )
 
 
 def hex_join(
-    ads: DataFrame, grid: DataFrame, spread_by: list[str], radius: str = "dist_buffer", size: float = SIZE, zone: int = 24
+    ads: DataFrame,
+    grid: DataFrame,
+    spread_by: list[str],
+    radius: str = "dist_buffer",
+    size: float = SIZE,
+    zone: int = 24,
+    rings: int = 1,
 ) -> DataFrame:
     """One row per ad and touched hexagon, with `hex_id`; an ad that touches none keeps one row, NULL there.
 
     An ad looks up the list of grid cells around its own cell and tests its circle against
-    each: one join, no re-join and no pairs to discard. The circle must reach no further than
-    the ring of neighbours, so its radius on the Mercator plane must stay under half a `size`.
+    each: one join, no re-join and no pairs to discard. One ring of neighbours is enough while
+    a circle's radius on the Mercator plane is under a hexagon's side (2,886 m at the default
+    size, so for 1,000 m up to 69 degrees of latitude); ask for more `rings` beyond that.
     """
     placed = with_cell(ads, size).withColumn(
         "reach", geodesy.mercator_reach(F.col(radius), F.col("longitude"), F.col("latitude"), zone)
     )
-    joined = lookup_join(placed, neighbourhoods(grid), ["q", "r"], spread_by)
-    x, y = F.col("mx"), F.col("my")
-    rx, ry = F.col("reach.x"), F.col("reach.y")
+    # Most circles lie inside their own cell; those need no look at the neighbours.
+    own_x = F.col("mx") - centre_x(F.col("q"), F.col("r"), size)
+    own_y = F.col("my") - centre_y(F.col("r"), size)
+    placed = placed.withColumns(
+        {
+            "deep": hexes.inside_hexagon(own_x, own_y, F.greatest("reach.x", "reach.y"), size),
+            "rx": F.col("reach.x"),
+            "stretch": F.col("reach.x") / F.col("reach.y"),
+        }
+    ).withColumn("corner", F.col("stretch") * (hexes.side(size) / 2)).drop("reach")
+    joined = lookup_join(placed, neighbourhoods(grid, rings), ["q", "r"], spread_by)
+    x, y, rx, stretch, corner = (F.col(c) for c in ("mx", "my", "rx", "stretch", "corner"))
+
+    def folded(c: Column) -> Column:
+        return F.struct(
+            c["hex_id"].alias("hex_id"),
+            c["outline"].alias("outline"),
+            F.abs(x - centre_x(c["cq"], c["cr"], size)).alias("u"),
+            (F.abs(y - centre_y(c["cr"], size)) * stretch).alias("v"),
+        )
 
     def touched(c: Column) -> Column:
-        dx, dy = x - centre_x(c["cq"], c["cr"], size), y - centre_y(c["cr"], size)
-        near = hexes.touches_hexagon(dx, dy, rx, ry, size)
+        in_box = (c["u"] <= rx + size / 2) & (c["v"] <= rx + corner * 2)
+        near = in_box & hexes.touches_hexagon(c["u"], c["v"], rx, corner, size)
         whole = F.size(c["outline"]) == 0
-        return near & (whole | _near_outline(c["outline"], x, y, rx, ry) | _in_outline(c["outline"], x, y))
+        return near & (whole | _near_outline(c["outline"], x, y, rx, stretch) | _in_outline(c["outline"], x, y))
 
-    hits = F.transform(F.filter("near", touched), lambda c: c["hex_id"])
+    looked = F.transform(F.filter(F.transform("near", folded), touched), lambda c: c["hex_id"])
+    hits = F.when(F.col("deep") & (F.col("home_whole") | F.col("home").isNull()), F.array("home")).otherwise(looked)
     return joined.select(*[F.col(f"`{c}`") for c in ads.columns], F.explode_outer(hits).alias("hex_id"))

@@ -65,21 +65,20 @@ def _(d: Data):
 
 @query(
     "boundary_latest_year",
-    "SELECT b.ring, b.n_vertices, count(a.ad_id) AS n_ads_in_box FROM (SELECT ring, count(*) AS n_vertices, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 "
-    "FROM boundary WHERE year = (SELECT max(year) FROM boundary WHERE year BETWEEN 2000 AND 2026) GROUP BY ring) b "
-    "LEFT JOIN ads a ON a.longitude BETWEEN b.x0 AND b.x1 AND a.latitude BETWEEN b.y0 AND b.y1 GROUP BY b.ring, b.n_vertices",
+    "SELECT year, ring, seq, coalesce(n, 0) AS n_ads_near FROM (SELECT year, ring, seq, floor(CAST(x AS DOUBLE) * 10) AS bx, floor(CAST(y AS DOUBLE) * 10) AS b_y "
+    "FROM boundary WHERE year = (SELECT max(year) FROM boundary WHERE year BETWEEN 2000 AND 2026)) v "
+    "LEFT JOIN (SELECT floor(longitude * 10) AS bx, floor(latitude * 10) AS b_y, count(*) AS n FROM ads GROUP BY 1, 2) a ON a.bx = v.bx AND a.b_y = v.b_y",
     ("boundary", "ads"),
 )
 def _(d: Data):
-    """Ads in the bounding box of each ring of the newest edition."""
-    rings = landed.latest_boundary(d["boundary"], 2026).groupBy("ring").agg(
-        F.count(F.lit(1)).alias("n_vertices"),
-        *[f(F.col(c).cast("double")).alias(f"{c}{i}") for c in "xy" for i, f in ((0, F.min), (1, F.max))],
-    )
-    spots = placed(d).groupBy("longitude", "latitude").agg(F.count(F.lit(1)).alias("n"))
-    inside = F.col("longitude").between(F.col("x0"), F.col("x1")) & F.col("latitude").between(F.col("y0"), F.col("y1"))
-    counted = spots.join(F.broadcast(rings), inside).groupBy("ring").agg(F.sum("n").alias("n_ads_in_box"))
-    return rings.select("ring", "n_vertices").join(counted, "ring", "left").fillna(0, ["n_ads_in_box"])
+    """Vertices of the newest edition, with the ads in the same tenth-of-a-degree box."""
+
+    def box(x, y):
+        return [F.floor(F.col(x).cast("double") * 10).alias("bx"), F.floor(F.col(y).cast("double") * 10).alias("by")]
+
+    newest = landed.latest_boundary(d["boundary"], 2026).select("year", "ring", "seq", *box("x", "y"))
+    counted = placed(d).groupBy(*box("longitude", "latitude")).agg(F.count(F.lit(1)).alias("n_ads_near"))
+    return newest.join(counted, ["bx", "by"], "left").fillna(0, ["n_ads_near"]).drop("bx", "by")
 
 
 @query(
