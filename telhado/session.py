@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,16 +25,18 @@ def local_session(cores: int | str = "*", name: str = "telhado", **conf: str) ->
     return session
 
 
+@cache
+def _test_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="telhado-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the session names in spark.checkpoint.dir.
 
-    Only a session that names none (a local test run) gets a temporary folder.
+    Only an application that names none (a local test run) gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="telhado-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    return (root or _test_dir(spark.sparkContext.applicationId)).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -304,23 +304,33 @@ def _(d: Data):
     )
 
 
+CURRENT = """
+curr AS (SELECT * FROM ads_curr WHERE url IS NOT NULL QUALIFY row_number() OVER (PARTITION BY url ORDER BY ad_id) = 1)
+"""
+
+
+def current(d: Data) -> DataFrame:
+    """Newest ads, one row per URL; the joins on URL that follow need no further shuffle of it."""
+    return distinct.first_per_key(d["ads_curr"].filter(F.col("url").isNotNull()), "url", ["ad_id"])
+
+
 @query(
     "new_urls",
-    "SELECT c.ad_id, c.url FROM ads_curr c WHERE c.url IS NOT NULL AND c.url <> '' "
+    f"WITH {CURRENT} SELECT c.ad_id, c.url FROM curr c WHERE c.url <> '' "
     "AND NOT EXISTS (SELECT 1 FROM ads_prev p WHERE p.url = c.url)",
     ("ads_prev", "ads_curr"),
 )
 def _(d: Data):
-    return merge.new_rows(clean.valid_urls(d["ads_curr"]), d["ads_prev"]).select("ad_id", "url")
+    return merge.new_rows(clean.valid_urls(current(d)), d["ads_prev"]).select("ad_id", "url")
 
 
 @query(
     "reprocess_rows",
-    "SELECT ad_id, url, titulos FROM ads_curr WHERE url IN (SELECT url FROM ads_prev WHERE url <> '' AND (latitude IS NULL OR longitude IS NULL))",
+    f"WITH {CURRENT} SELECT ad_id, url, titulos FROM curr WHERE url IN (SELECT url FROM ads_prev WHERE url <> '' AND (latitude IS NULL OR longitude IS NULL))",
     ("ads_prev", "ads_curr"),
 )
 def _(d: Data):
-    return merge.rows_with_keys(d["ads_curr"], merge.urls_without_coordinates(d["ads_prev"])).select("ad_id", "url", "titulos")
+    return merge.rows_with_keys(current(d), merge.urls_without_coordinates(d["ads_prev"])).select("ad_id", "url", "titulos")
 
 
 def _precedence(first: str, second: str) -> str:
@@ -357,12 +367,13 @@ ANY_FIELD = f"coalesce({', '.join(RECORD_FIELDS)}) IS NOT NULL"
     "backfill_merge",
     f"WITH d AS (SELECT * FROM ads_details WHERE {ANY_FIELD}) SELECT a.ad_id, a.url, "
     + _filled("a", "d.url IS NOT NULL", "d", SQL_FIELDS)
-    + " FROM (SELECT *, preco_txt AS preco FROM ads_prev) a LEFT JOIN d ON d.url = a.url AND a.preco IS NULL",
+    + " FROM (SELECT *, preco_txt AS preco FROM ads_prev QUALIFY row_number() OVER (PARTITION BY url ORDER BY ad_id) = 1) a LEFT JOIN d ON d.url = a.url AND a.preco IS NULL",
     ("ads_prev", "ads_details"),
 )
 def _(d: Data):
     records = extract.rename_record(d["ads_details"])
     ads = d.bronze("ads_prev", "ad_id").drop("latitude", "longitude", "titulos")
+    ads = distinct.first_per_key(ads, "url", ["ad_id"])
     return shown(merge.backfill(ads, records, col(PRICE).isNull()))
 
 
@@ -375,17 +386,17 @@ def _(d: Data):
 
 @query(
     "attach_coords",
-    "SELECT c.ad_id, c.url, p.latitude, p.longitude FROM ads_curr c LEFT JOIN (SELECT url, latitude, longitude FROM ads_prev "
+    f"WITH {CURRENT} SELECT c.ad_id, c.url, p.latitude, p.longitude FROM curr c LEFT JOIN (SELECT url, latitude, longitude FROM ads_prev "
     "WHERE url IS NOT NULL AND url <> '' QUALIFY row_number() OVER (PARTITION BY url ORDER BY ad_id) = 1) p ON p.url = c.url",
     ("ads_prev", "ads_curr"),
 )
 def _(d: Data):
     coords = merge.previous_coordinates(d["ads_prev"], ["ad_id"])
-    return merge.attach_coordinates(d["ads_curr"], coords).select("ad_id", "url", "latitude", "longitude")
+    return merge.attach_coordinates(current(d), coords).select("ad_id", "url", "latitude", "longitude")
 
 
-PENDING = """
-SELECT c.ad_id, c.url FROM ads_curr c WHERE c.url IS NOT NULL AND (
+PENDING = f"""
+WITH {CURRENT} SELECT c.ad_id, c.url FROM curr c WHERE (
   NOT EXISTS (SELECT 1 FROM ads_prev p WHERE p.url = c.url AND p.url <> '')
   OR c.url IN (SELECT url FROM ads_prev WHERE url <> '' AND (latitude IS NULL OR longitude IS NULL)))
 """
@@ -393,18 +404,16 @@ SELECT c.ad_id, c.url FROM ads_curr c WHERE c.url IS NOT NULL AND (
 
 @query("pending_geocode", PENDING, ("ads_prev", "ads_curr"))
 def _(d: Data):
-    current = d["ads_curr"].filter(F.col("url").isNotNull())
-    flagged = merge.with_pending_flag(current, merge.previous_coordinates(d["ads_prev"], ["ad_id"]))
+    flagged = merge.with_pending_flag(current(d), merge.previous_coordinates(d["ads_prev"], ["ad_id"]))
     return flagged.filter("pending").select("ad_id", "url")
 
 
-@query("first_run_pending", "SELECT ad_id, url FROM ads_curr WHERE url IS NOT NULL", ("ads_curr",))
+@query("first_run_pending", f"WITH {CURRENT} SELECT ad_id, url FROM curr", ("ads_curr",))
 def _(d: Data):
     """No earlier snapshot: every ad is pending."""
     root = snapshots.snapshot_root(fresh_path(d.spark, "empty"), "bronze", "hexagonal")
     previous = snapshots.read_latest_or_empty(d.spark, root, ADS_WITH_COORDS)
-    current = d["ads_curr"].filter(F.col("url").isNotNull())
-    flagged = merge.with_pending_flag(current, merge.previous_coordinates(previous, []))
+    flagged = merge.with_pending_flag(current(d), merge.previous_coordinates(previous, []))
     return flagged.filter("pending").select("ad_id", "url")
 
 
