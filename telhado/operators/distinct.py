@@ -34,8 +34,11 @@ def first_per_key(df: DataFrame, key: str, order: list[str | Column]) -> DataFra
 
 
 def distinct_except(df: DataFrame, key: str = "url") -> DataFrame:
-    """One row per combination of all columns but `key`, keeping the least `key`."""
+    """One row per combination of all columns but `key`, keeping the least `key`.
+
+    Copies collapse in the map tasks, so a row repeated very often does not travel. The hash in
+    front of the grouping columns makes their sort compare one number instead of long texts.
+    """
     rest = [c for c in df.columns if c != key]
-    return df.groupBy(*[col(c) for c in rest]).agg(F.min(col(key)).alias(key)).select(
-        *[col(c) for c in df.columns]
-    )
+    grouped = df.groupBy(F.xxhash64(*[col(c) for c in rest]).alias("__hash"), *[col(c) for c in rest])
+    return grouped.agg(F.min(col(key)).alias(key)).select(*[col(c) for c in df.columns])

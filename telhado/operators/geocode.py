@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.text import standard_cep
 from ..session import materialise
 from .boundary import points_in_boundary
-from .joins import lookup_join, union_all
+from .joins import lookup_join
 
 # A group up to this many values is small enough for one task's exact median.
 SMALL_GROUP = 1_000_000
@@ -25,32 +25,30 @@ def exact_medians(df: DataFrame, key: str, columns: list[str], small_group: int
     Spark's `median` holds all distinct values of a group in one task. It serves as long as
     every group is small, which one count shows; larger groups go through `_median_by_narrowing`.
     """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.filter(F.col("n") > small_group).select(key)
+    keyed = df.select(F.struct(F.col(key)).alias("__k"), *columns)
+    sizes = keyed.groupBy("__k").agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.filter(F.col("n") > small_group).select("__k", F.lit(True).alias("large"))
     if large.isEmpty():
         return df.groupBy(key).agg(*[F.median(c).alias(c) for c in columns])
     large = materialise(large, "large-groups")
-    marked = large.withColumn("__large", F.lit(True)).withColumnRenamed(key, "__key")
-    tagged = df.join(marked, df[key].eqNullSafe(F.col("__key")), "left").drop("__key")
-    small = tagged.filter(F.col("__large").isNull()).groupBy(key).agg(*[F.median(c).alias(c) for c in columns])
-    rest = tagged.filter("__large").drop("__large")
-    medians = large.withColumn("__k", F.struct(F.col(key)))
+    out = sizes.select("__k")
     for c in columns:
-        found = _median_by_narrowing(rest.select(F.struct(F.col(key)).alias("__k"), F.col(c).alias("v")), small_group)
-        medians = medians.join(found.withColumnRenamed("median", c), "__k", "left")
-    return union_all([small, medians.drop("__k")]).select(key, *columns)
+        # Equal values collapse first; after that the values themselves spread a large group.
+        counts = keyed.filter(F.col(c).isNotNull()).groupBy("__k", F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        tagged = materialise(lookup_join(counts, large, ["__k"], ["v"]), "value-counts")
+        small = tagged.filter(F.col("large").isNull()).groupBy("__k").agg(F.percentile("v", 0.5, F.col("n")).alias(c))
+        narrowed = _median_by_narrowing(tagged.filter("large").drop("large"), small_group)
+        out = out.join(small.unionByName(narrowed.withColumnRenamed("median", c)), "__k", "left")
+    return out.select(F.col(f"__k.{key}").alias(key), *columns)
 
 
-def _median_by_narrowing(values: DataFrame, small_group: int) -> DataFrame:
-    """(__k, median) of (__k, v), by counting values into ever narrower ranges.
+def _median_by_narrowing(counts: DataFrame, small_group: int) -> DataFrame:
+    """(__k, median) of value counts (__k, v, n), by counting into ever narrower ranges.
 
     Each round splits the range that holds a wanted rank into equal buckets, counts them
     with map-side combining, and keeps the bucket the rank falls in. A group's running sum
     covers at most BUCKETS + 1 rows. The rounds end when each kept range holds few distinct values.
     """
-    counts = materialise(
-        values.filter(F.col("v").isNotNull()).groupBy("__k", "v").agg(F.count(F.lit(1)).alias("n")), "value-counts"
-    )
     totals = counts.groupBy("__k").agg(F.sum("n").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     # The two middle ranks, counted from 1; equal for an odd total.
     wanted = totals.select(
@@ -61,8 +59,12 @@ def _median_by_narrowing(values: DataFrame, small_group: int) -> DataFrame:
         F.lit(0).cast("bigint").alias("before"),
     ).distinct()
     while True:
-        wanted = materialise(wanted, "median-ranges")
-        inside = counts.join(wanted, "__k").filter(F.col("v").between(F.col("lo"), F.col("hi")))
+        ranges = materialise(
+            wanted.groupBy("__k").agg(F.collect_set(F.struct("rank", "lo", "hi", "before")).alias("ranges")),
+            "median-ranges",
+        )
+        inside = lookup_join(counts, ranges, ["__k"], ["v"]).select("__k", "v", "n", F.explode("ranges").alias("range"))
+        inside = inside.select("__k", "v", "n", "range.*").filter(F.col("v").between(F.col("lo"), F.col("hi")))
         widest = inside.groupBy("__k", "rank").agg(F.count(F.lit(1)).alias("d")).agg(F.max("d")).head()[0]
         if widest is None or widest <= small_group:
             break

@@ -97,6 +97,11 @@ def test_distinct_except_url(spark, ads):
     assert sorted(r["url"] for r in distinct.distinct_except(table, "url").collect()) == ["a", "c"]
 
 
+def test_distinct_except_url_signed_zero(spark):
+    table = spark.createDataFrame([("a", 0.0, None), ("b", -0.0, None), ("c", None, None)], "url string, v double, w string")
+    assert sorted(r["url"] for r in distinct.distinct_except(table, "url").collect()) == ["a", "c"]
+
+
 def test_filter_before_dedupe_changes_nothing(ads):
     table = ads([(str(i), f"T{i % 4}", p, "0") for i, p in enumerate(["0", "350", "99.999", "250000000", "x", None, "100000000", "-5"] * 2)])
     late = clean.valid_price(distinct.distinct_except(clean.with_numbers(table), "url"))
@@ -147,6 +152,7 @@ def test_exact_medians(spark, small_group):
     rows = [("hot", float(i * i % 997), float(i)) for i in range(1000)]
     rows += [("even", 1.0, 2.0), ("even", 2.0, None), ("even", 8.0, 4.0), ("even", 4.0, 4.5)]
     rows += [("one", 5.0, None), ("same", 3.0, 3.0), ("same", 3.0, 3.0), ("same", 3.0, 3.0), (None, 1.0, 1.0)]
+    rows += [(None, float(i % 5), float(i)) for i in range(20)] + [("void", None, None)] * 12
     rows += [("near", 20.0 + i * 1e-9, -1e9 * (i % 7)) for i in range(50)]
     table = spark.createDataFrame(rows, "cep string, latitude double, longitude double")
     got = {r["cep"]: (r["latitude"], r["longitude"]) for r in geocode.cep_medians(table, small_group).collect()}
@@ -155,7 +161,7 @@ def test_exact_medians(spark, small_group):
             present = [r[axis] for r in rows if r[0] == key and r[axis] is not None]
             want = statistics.median(present) if present else None
             assert got[key][axis - 1] == (None if want is None else pytest.approx(want, rel=1e-15)), (key, axis)
-    assert len(got) == 6
+    assert len(got) == 7
 
 
 def test_geocoder_answers(spark):
