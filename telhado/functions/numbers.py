@@ -8,13 +8,16 @@ from pyspark.sql import Column, functions as F
 
 
 def parse_number(text: Column, grouping: str = ",", decimal: str = ".") -> Column:
-    """First number in `text`, as double; NULL when there is none.
+    """Number at the first digit, minus sign or decimal mark of `text`, as double.
 
-    The grouping mark is dropped. With the default marks, "R$ 350.000" reads as 350
-    and "1.250.000" as 1.25; `repair_thousands` undoes the first of these.
+    Text before and after is dropped, and so are grouping marks. NULL when no number starts
+    there: "70 m2" reads as 70, but "Av. 5" as NULL, since its first mark is the full stop.
+    With the default marks, "R$ 350.000" reads as 350 and "1.250.000" as 1.25;
+    `repair_thousands` undoes the first of these.
     """
     g, d = re.escape(grouping), re.escape(decimal)
-    pattern = f"(-?(?:[0-9][0-9{g}]*(?:{d}[0-9{g}]*)?|{d}[0-9][0-9{g}]*))"
+    digits = f"[0-9][0-9{g}]*"
+    pattern = f"^[^0-9{d}-]*(-?{g}*(?:{digits}(?:{d}[0-9{g}]*)?|{d}{g}*{digits})(?:[eE][+-]?[0-9]+)?)"
     number = F.replace(F.regexp_extract(text, pattern, 1), F.lit(grouping), F.lit(""))
     if decimal != ".":
         number = F.replace(number, F.lit(decimal), F.lit("."))
@@ -32,7 +35,7 @@ def zero_to_null(value: Column) -> Column:
 
 def plain_number(value: Column) -> Column:
     """Double as text without a trailing ".0"."""
-    whole = value.cast("bigint")
+    whole = value.try_cast("bigint")
     return F.when(value == whole, whole.cast("string")).otherwise(value.cast("string"))
 
 

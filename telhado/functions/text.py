@@ -13,6 +13,9 @@ BLOCK_PATTERN = "(?i)are you a human"
 CARD_PATTERN = r"(?s)<section\b[^>]*\badcard\b[^>]*>(.*?)</section>"
 LINK_PATTERN = r"""(?s)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
 TITLE_PATTERN = r"(?s)<h2\b[^>]*>(.*?)</h2>"
+RESULT_PATTERN = (
+    r"(?s)<p\b(?=[^>]*\btypo-body-small\b)(?=[^>]*\bfont-regular\b)(?=[^>]*\btext-neutral-110\b)[^>]*>(.*?)</p>"
+)
 # Named entities; the ampersand comes last.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
@@ -30,6 +33,11 @@ def plain_text(markup: Column) -> Column:
     return F.regexp_replace(decode_entities(F.regexp_replace(markup, "<[^>]*>", "")), r"^\s+|\s+$", "")
 
 
+def result_text(html: Column, pattern: str = RESULT_PATTERN) -> Column:
+    """Text of the first element that tells how many ads a search found; NULL when absent."""
+    return F.when(html.rlike(pattern), plain_text(F.regexp_extract(html, pattern, 1)))
+
+
 def first_match(text: Column, pattern: str) -> Column:
     """Group 1 of the first match, NULL when there is none."""
     return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))

@@ -5,6 +5,8 @@ Boundary parts are one even-odd multi-polygon, so parts and holes need no dissol
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import geodesy
@@ -35,18 +37,34 @@ def boundary_edges(vertices: DataFrame, project: bool = False) -> DataFrame:
     )
 
 
-def edge_slabs(edges: DataFrame, height: float) -> DataFrame:
+@dataclass(frozen=True)
+class Slabs:
     """Edges grouped by horizontal slab: (slab, edges). An edge lies in every slab it spans."""
-    lowest = F.floor(F.least("y1", "y2") / height).cast("int")
-    highest = F.floor(F.greatest("y1", "y2") / height).cast("int")
+
+    table: DataFrame
+    height: float
+
+
+def edge_slabs(edges: DataFrame) -> Slabs:
+    """Slabs of one height, as many as half the edges (64 to 65,536), so each holds a few edges.
+
+    The table is written: a boundary is small, and only its true size shows that to the planner.
+    """
+    extent = edges.agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.least("y1", "y2")).alias("low"), F.max(F.greatest("y1", "y2")).alias("high")
+    ).head()
+    height = ((extent["high"] or 0.0) - (extent["low"] or 0.0)) / min(65536, max(64, extent["n"] // 2)) or 1.0
+    lowest = F.floor(F.least("y1", "y2") / height).cast("bigint")
+    highest = F.floor(F.greatest("y1", "y2") / height).cast("bigint")
     spread = edges.filter(F.col("y1") != F.col("y2")).select(
         F.explode(F.sequence(lowest, highest)).alias("slab"), F.struct("x1", "y1", "x2", "y2").alias("edge")
     )
-    return spread.groupBy("slab").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    grouped = spread.groupBy("slab").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    return Slabs(materialise(grouped, "boundary-slabs"), height)
 
 
 def flag_inside(
-    points: DataFrame, slabs: DataFrame, x: str, y: str, height: float, spread_by: list[str], name: str = "inside"
+    points: DataFrame, slabs: Slabs, x: str, y: str, spread_by: list[str], name: str = "inside"
 ) -> DataFrame:
     """Add `name`: does the point lie inside the boundary? NULL for a point without coordinates.
 
@@ -54,31 +72,22 @@ def flag_inside(
     by an equi-join on the slab number and a point is tested against a handful of them.
     """
     px, py = F.col(x), F.col(y)
-    placed = points.withColumn("slab", F.floor(py / height).cast("int"))
-    joined = lookup_join(placed, slabs, ["slab"], spread_by)
+    placed = points.withColumn("slab", F.floor(py / slabs.height).cast("bigint"))
+    joined = lookup_join(placed, slabs.table, ["slab"], spread_by)
 
     def crosses(e):
         spans = (e["y1"] > py) != (e["y2"] > py)
         return spans & (px < (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
 
     crossings = F.coalesce(F.size(F.filter("edges", crosses)), F.lit(0))
-    inside = F.when(px.isNotNull() & py.isNotNull(), F.when(F.col("edges").isNull(), False).otherwise(crossings % 2 == 1))
-    return joined.withColumn(name, inside).drop("slab", "edges")
+    odd = F.when(F.col("edges").isNull(), False).otherwise(crossings % 2 == 1)
+    return joined.withColumn(name, F.when(px.isNotNull() & py.isNotNull(), odd)).drop("slab", "edges")
 
 
-SLAB_DEGREES = 0.05
-SLAB_METRES = 5000.0
-
-
-def points_in_boundary(
-    points: DataFrame, vertices: DataFrame, spread_by: list[str], height: float = SLAB_DEGREES
-) -> DataFrame:
-    """Add `inside` to points with `longitude` and `latitude`, against rings in degrees.
-
-    The slabs are written first: a boundary is small, and only its true size shows that.
-    """
-    slabs = materialise(edge_slabs(boundary_edges(vertices), height), "boundary-slabs")
-    return flag_inside(points, slabs, "longitude", "latitude", height, spread_by)
+def points_in_boundary(points: DataFrame, vertices: DataFrame, spread_by: list[str]) -> DataFrame:
+    """Add `inside` to points with `longitude` and `latitude`, against rings in degrees."""
+    slabs = edge_slabs(boundary_edges(vertices))
+    return flag_inside(points, slabs, "longitude", "latitude", spread_by)
 
 
 def points_outside_boundary(points: DataFrame, vertices: DataFrame, spread_by: list[str]) -> DataFrame:

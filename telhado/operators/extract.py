@@ -32,6 +32,11 @@ def listing_cards(
     )
 
 
+def listing(pages: DataFrame, **patterns: str) -> DataFrame:
+    """Cards of every listing page that was fetched; pages that failed drop out."""
+    return listing_cards(pages.filter(F.col("status") == 200), **patterns).drop("status")
+
+
 def usable_pages(attempts: DataFrame) -> DataFrame:
     return attempts.filter(tx.usable_page(F.col("status"), F.col("html")))
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import geodesy, hexes
 from ..functions.hexes import ROOT3, SIZE, centre_x, centre_y, side
 from ..session import materialise
-from .boundary import SLAB_METRES, boundary_edges, edge_slabs, flag_inside
+from .boundary import boundary_edges, edge_slabs, flag_inside
 from .joins import union_all
 
 PIECE = "struct<ax: double, ay: double, bx: double, by: double>"
@@ -155,14 +155,14 @@ def hex_cells(vertices: DataFrame, size: float = SIZE) -> DataFrame:
     and parts of the cell's sides that run inside the boundary.
     """
     edges = materialise(boundary_edges(vertices, project=True), "hex-edges")
-    slabs = materialise(edge_slabs(edges, SLAB_METRES), "hex-slabs")
+    slabs = edge_slabs(edges)
     pieces = materialise(boundary_pieces(edges, size), "hex-pieces")
 
     whole = cells_in_box(edges, size).join(pieces.select("q", "r").distinct(), ["q", "r"], "left_anti")
     whole = whole.withColumns(
         {"cx": centre_x(F.col("q"), F.col("r"), size), "cy": centre_y(F.col("r"), size)}
     )
-    whole = flag_inside(whole, slabs, "cx", "cy", SLAB_METRES, ["q", "r"]).filter("inside")
+    whole = flag_inside(whole, slabs, "cx", "cy", ["q", "r"]).filter("inside")
 
     border = pieces.groupBy("q", "r").agg(F.sort_array(F.collect_list(F.struct("ax", "ay", "bx", "by"))).alias("pieces"))
     drawn = pieces.select("q", "r", "ax", "ay", "bx", "by", F.lit(True).alias("drawn")).filter(
@@ -178,7 +178,7 @@ def hex_cells(vertices: DataFrame, size: float = SIZE) -> DataFrame:
             "my": (F.col("ay") + F.col("by")) / 2 + dx / length * probe,
         }
     )
-    parts = flag_inside(parts, slabs, "mx", "my", SLAB_METRES, ["q", "r", "ax", "ay"])
+    parts = flag_inside(parts, slabs, "mx", "my", ["q", "r", "ax", "ay"])
     # A side part outside the boundary is no outline; an edge with its inside on the right is turned.
     turned = F.col("drawn") & ~F.col("inside")
     outline = parts.filter(F.col("drawn") | F.col("inside")).select(

@@ -28,9 +28,14 @@ def neighbourhoods(grid: DataFrame, rings: int = 1) -> DataFrame:
 
 
 def with_cell(points: DataFrame, size: float = SIZE) -> DataFrame:
-    """Add Mercator `mx`, `my` and the cell `q`, `r` of `longitude`, `latitude`."""
+    """Add Mercator `mx`, `my` and the cell `q`, `r` of `longitude`, `latitude`.
+
+    All four are NULL for coordinates that name no place on the map.
+    """
+    lon, lat = F.col("longitude"), F.col("latitude")
+    on_map = lon.between(-180.0, 180.0) & lat.between(-85.0, 85.0)
     placed = points.withColumns(
-        {"mx": geodesy.mercator_x(F.col("longitude")), "my": geodesy.mercator_y(F.col("latitude"))}
+        {"mx": F.when(on_map, geodesy.mercator_x(lon)), "my": F.when(on_map, geodesy.mercator_y(lat))}
     )
     return placed.withColumn("cell", hexes.cell_of(F.col("mx"), F.col("my"), size)).withColumns(
         {"q": F.col("cell.q"), "r": F.col("cell.r")}
@@ -75,9 +80,8 @@ def hex_join(
     a circle's radius on the Mercator plane is under a hexagon's side (2,886 m at the default
     size, so for 1,000 m up to 69 degrees of latitude); ask for more `rings` beyond that.
     """
-    placed = with_cell(ads, size).withColumn(
-        "reach", geodesy.mercator_reach(F.col(radius), F.col("longitude"), F.col("latitude"), zone)
-    )
+    reach = geodesy.mercator_reach(F.col(radius), F.col("longitude"), F.col("latitude"), zone)
+    placed = with_cell(ads, size).withColumn("reach", F.when(F.col("mx").isNotNull(), reach))
     # Most circles lie inside their own cell; those need no look at the neighbours.
     own_x = F.col("mx") - centre_x(F.col("q"), F.col("r"), size)
     own_y = F.col("my") - centre_y(F.col("r"), size)
@@ -85,7 +89,7 @@ def hex_join(
         {
             "deep": hexes.inside_hexagon(own_x, own_y, F.greatest("reach.x", "reach.y"), size),
             "rx": F.col("reach.x"),
-            "stretch": F.col("reach.x") / F.col("reach.y"),
+            "stretch": F.try_divide("reach.x", "reach.y"),
         }
     ).withColumn("corner", F.col("stretch") * (hexes.side(size) / 2)).drop("reach")
     joined = lookup_join(placed, neighbourhoods(grid, rings), ["q", "r"], spread_by)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import buffer_radius, standard_cep
-from ..operators import clean, extract, geocode, hexgrid, indicators as ind, merge
+from ..operators import boundary, clean, extract, geocode, hexgrid, indicators as ind, merge
 from ..operators.distinct import first_per_key
 from ..operators.hexjoin import hex_join
 from ..operators.joins import lookup_join
@@ -35,13 +35,20 @@ def changes(bronze: DataFrame) -> DataFrame:
 
 
 def bronze_hexagonal(
-    raw: DataFrame, previous: DataFrame, medians: DataFrame, order: list[str | Column] = (), key: str = "url"
+    raw: DataFrame,
+    previous: DataFrame,
+    medians: DataFrame,
+    order: list[str | Column] = (),
+    answers: DataFrame | None = None,
+    vertices: DataFrame | None = None,
 ) -> DataFrame:
     """The newest ads with coordinates: carried over, or looked up where new or still missing.
 
-    A looked-up answer replaces the earlier coordinates even where it is NULL.
+    A looked-up answer replaces the earlier coordinates even where it is NULL. With the `answers`
+    of a geocoder (one point per URL) and a boundary, pending ads take that point where it lies
+    inside, and otherwise their postal code's, or the point again where the code has none.
     """
-    current = first_per_key(raw.filter(col(key).isNotNull()), key, list(order))
+    current = first_per_key(raw.filter(F.col("url").isNotNull()), "url", list(order))
     earlier = merge.previous_coordinates(previous, list(order))
     flagged = merge.with_pending_flag(current, earlier).withColumn(
         "__cep", F.when(F.col("pending"), standard_cep(F.col("cep")))
@@ -49,13 +56,18 @@ def bronze_hexagonal(
     table = medians.filter(F.col("cep").isNotNull()).select(
         F.col("cep").alias("__cep"), F.col("latitude").alias("__lat"), F.col("longitude").alias("__lon")
     )
-    found = lookup_join(flagged, table, ["__cep"], [key])
-    return found.withColumns(
-        {
-            "latitude": F.when(F.col("pending"), F.col("__lat")).otherwise(F.col("latitude")),
-            "longitude": F.when(F.col("pending"), F.col("__lon")).otherwise(F.col("longitude")),
+    found = lookup_join(flagged, table, ["__cep"], ["url"])
+    fresh = {"latitude": F.col("__lat"), "longitude": F.col("__lon")}
+    if answers is not None:
+        points = boundary.points_in_boundary(answers.select("url", "latitude", "longitude"), vertices, ["url"])
+        points = points.withColumnsRenamed({"latitude": "__plat", "longitude": "__plon"})
+        found = found.join(points, "url", "left")
+        fresh = {
+            c: F.when(F.col("inside"), F.col(p)).otherwise(F.coalesce(m, F.col(p)))
+            for (c, m), p in zip(fresh.items(), ("__plat", "__plon"))
         }
-    ).drop("__cep", "__lat", "__lon", "pending")
+    chosen = {c: F.when(F.col("pending"), v).otherwise(F.col(c)) for c, v in fresh.items()}
+    return found.withColumns(chosen).drop("__cep", "__lat", "__lon", "__plat", "__plon", "inside", "pending")
 
 
 def silver_municipal(ads: DataFrame) -> DataFrame:

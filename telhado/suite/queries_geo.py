@@ -327,6 +327,37 @@ def _(d: Data):
     return degrees(out)
 
 
+BRONZE_HEX_ANSWERS = f"""
+WITH {MEDIANS}, {edges('eb', 2020, False)},
+raw AS (SELECT url, titulos, cep FROM ads_curr WHERE url IS NOT NULL QUALIFY row_number() OVER (PARTITION BY url ORDER BY titulos, cep) = 1),
+old AS (SELECT url, bool_or(latitude IS NULL OR longitude IS NULL) AS lacking, first(latitude ORDER BY latitude NULLS FIRST) AS latitude,
+          first(longitude ORDER BY latitude NULLS FIRST) AS longitude FROM ads_prev WHERE url IS NOT NULL AND url <> '' GROUP BY url),
+pts AS (SELECT url, CAST(body ->> '$.results[0].geometry.location.lat' AS DOUBLE) AS lat, CAST(body ->> '$.results[0].geometry.location.lng' AS DOUBLE) AS lon
+        FROM geocoder_log WHERE body ->> '$.status' = 'OK' AND json_array_length(body, '$.results') > 0),
+flagged AS (SELECT *, {odd_crossings('eb', 'pts.lon', 'pts.lat')} AS inside FROM pts),
+joined AS (SELECT r.url, r.titulos, r.cep, o.url IS NULL OR o.lacking AS pending, o.latitude AS olat, o.longitude AS olon,
+             m.latitude AS mlat, m.longitude AS mlon, f.lat, f.lon, f.inside
+           FROM raw r LEFT JOIN old o ON o.url = r.url LEFT JOIN medians m ON m.cep = {cep('r.cep')} LEFT JOIN flagged f ON f.url = r.url)
+SELECT url, titulos, cep,
+  round(CASE WHEN NOT pending THEN olat WHEN inside THEN lat ELSE coalesce(mlat, lat) END, 6) AS latitude,
+  round(CASE WHEN NOT pending THEN olon WHEN inside THEN lon ELSE coalesce(mlon, lon) END, 6) AS longitude
+FROM joined
+"""
+
+
+@query("bronze_hex_answers", BRONZE_HEX_ANSWERS, ("ads_prev", "ads_curr", "cep_points", "geocoder_log", "boundary"))
+def _(d: Data):
+    """A geocoder's answers first, postal codes where the answer lies outside the boundary."""
+    out = jobs.bronze_hexagonal(
+        d["ads_curr"].select("url", "titulos", "cep"),
+        d["ads_prev"],
+        geocode.cep_medians(d["cep_points"]),
+        answers=landed.geocoder_points(d["geocoder_log"]),
+        vertices=d.boundary_2020,
+    )
+    return degrees(out)
+
+
 SILVER_HEX = f"""
 WITH {silver(coords=True)}, {grid()},
 src AS (SELECT row_number() OVER () AS id, *, CASE WHEN cep LIKE '%000' THEN 1000.0::DOUBLE ELSE 100.0::DOUBLE END AS dist_buffer FROM silver),

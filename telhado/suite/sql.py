@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-NUMBER = r"(-?(?:[0-9][0-9,]*(?:\.[0-9,]*)?|\.[0-9][0-9,]*))"
+NUMBER = r"^[^0-9.-]*(-?,*(?:[0-9][0-9,]*(?:\.[0-9,]*)?|\.,*[0-9][0-9,]*)(?:[eE][+-]?[0-9]+)?)"
 
 
 def number(c: str) -> str:

@@ -24,6 +24,11 @@ def values(spark, data, ddl, *exprs):
         ("5 ou mais", 5.0),
         ("-3", -3.0),
         (".5", 0.5),
+        ("2e3 m", 2000.0),
+        ("3em", 3.0),
+        ("Av. 5", None),
+        ("a-b 5", None),
+        ("-", None),
         ("sob consulta", None),
         ("", None),
         (None, None),
@@ -45,8 +50,8 @@ def test_repair_and_zero(spark):
 
 
 def test_room_label(spark):
-    got = values(spark, [(1.0,), (3.0,), (2.5,), (None,)], "n double", num.room_label(F.col("n")))
-    assert got == [("1_quarto",), ("3_quartos",), ("2.5_quartos",), (None,)]
+    got = values(spark, [(1.0,), (3.0,), (2.5,), (1e20,), (None,)], "n double", num.room_label(F.col("n")))
+    assert got == [("1_quarto",), ("3_quartos",), ("2.5_quartos",), ("1.0E20_quartos",), (None,)]
 
 
 def test_page_count(spark):

@@ -6,8 +6,9 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from telhado.functions.text import result_text
 from telhado.operators import clean, distinct, extract, geocode, indicators as ind, joins, merge
-from telhado.plans import jobs
+from telhado.plans import collection, jobs
 from telhado.schemas import ADS, ADS_WITH_COORDS, PRICE, RECORD_COLUMNS, ensure_columns
 from telhado.sources import landed, snapshots
 
@@ -34,6 +35,21 @@ def test_cards_keep_order_and_gaps(spark):
     ]
 
 
+def test_search_results_to_listing(spark):
+    first = '<p class="text-neutral-110 typo-body-small x font-regular"> 1 - 50 de <b>1.051</b> resultados</p>'
+    rows = [(0, 200, first), (50000, 200, '<p class="typo-body-small">9</p>'), (100000, 503, first)]
+    answers = spark.createDataFrame(rows, "low int, status int, html string").withColumn("result_text", result_text(F.col("html")))
+    asked = collection.page_requests(collection.with_page_count(answers))
+    assert [r["page"] for r in asked.orderBy("page").collect()] == list(range(1, 23))
+    card = '<section class="adcard"><a href="/%s">x</a><h2>T</h2></section>'
+    pages = spark.createDataFrame(
+        [(0, 1, 200, card % "a" + card % "b"), (0, 2, 503, card % "c"), (50000, 1, 200, card % "a")],
+        "low int, page int, status int, html string",
+    )
+    got = extract.listing(pages).orderBy("low", "page", "pos").collect()
+    assert [(r["low"], r["page"], r["pos"], r["url"]) for r in got] == [(0, 1, 0, "/a"), (0, 1, 1, "/b"), (50000, 1, 0, "/a")]
+
+
 def test_truncated_json_gives_no_fields(spark):
     pages = [
         (1, '"adDetail": {"price":1,"more":{"a":1}}'),
