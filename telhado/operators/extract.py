@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as tx
 from ..schemas import ADDRESS_FIELDS, DETAIL_FIELDS, RECORD_COLUMNS, RECORD_FIELDS, col
-from .distinct import first_per_key
 
 
 def listing_cards(
@@ -67,12 +66,15 @@ def number_attempts(attempts: DataFrame, key: str, order: list[str], at_most: in
     return attempts.withColumn("attempt", F.row_number().over(order_by)).filter(F.col("attempt") <= at_most)
 
 
-def first_good_records(attempts: DataFrame, key: str, order: list[str], at_most: int = 3) -> DataFrame:
-    """Record of the first usable page among the first `at_most` attempts of each key.
+def first_good_records(
+    attempts: DataFrame, key: str, order: list[str], at_most: int = 3, rounds: int = 1
+) -> DataFrame:
+    """Record of the first usable page of each key, among `at_most` attempts of each round.
 
-    Every attempted key is kept: `attempt` and all fields are NULL where no page was usable,
-    and a usable page wins even if it holds no field. Pages are parsed before the rows move,
-    so only the ten fields are shuffled.
+    A round is the next `at_most` attempts of a key, numbered from 1 in `round`. Every attempted
+    round is kept: `attempt` and all fields are NULL where no page was usable, and a usable page
+    wins even if it holds no field. Pages are parsed before the rows move, so only the ten
+    fields are shuffled, once.
     """
     usable = tx.usable_page(F.col("status"), F.col("html"))
     parsed = with_record(
@@ -80,16 +82,16 @@ def first_good_records(attempts: DataFrame, key: str, order: list[str], at_most:
             col(key), *[col(o) for o in order if o != key], usable.alias("usable"), F.when(usable, F.col("html")).alias("html")
         )
     )
-    numbered = number_attempts(parsed, key, order, at_most)
-    best = first_per_key(
-        numbered.select(col(key), "usable", "attempt", *[col(c) for c in RECORD_COLUMNS]),
-        key,
-        [F.when(F.col("usable"), 0).otherwise(1), "attempt"],
-    )
+    numbered = number_attempts(parsed, key, order, at_most * rounds)
+    numbered = numbered.withColumn("round", F.ceil(F.col("attempt") / at_most).cast("int"))
+    rank = F.struct(F.when(F.col("usable"), 0).otherwise(1).alias("unusable"), F.col("attempt"))
+    entry = F.struct(rank.alias("rank"), "usable", "attempt", *[col(c) for c in RECORD_COLUMNS])
+    best = numbered.groupBy(col(key), F.col("round")).agg(F.min(entry).alias("best"))
+    good = F.col("best.usable")
     return best.select(
         col(key),
-        F.when(F.col("usable"), F.col("attempt")).alias("attempt"),
-        *[F.when(F.col("usable"), col(c)).alias(c) for c in RECORD_COLUMNS],
+        "round",
+        *[F.when(good, F.col("best").getField(c)).alias(c) for c in ["attempt", *RECORD_COLUMNS]],
     )
 
 

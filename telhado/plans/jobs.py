@@ -19,15 +19,17 @@ def bronze_municipal(
 ) -> DataFrame:
     """Previous ads, plus new ones of the listing, with missing records filled in.
 
-    `records` holds one record per URL. A new ad takes its record, and so does an ad still without
-    a price. Adds `is_new` and `price_before`: the price before old ads were filled in again.
+    `records` holds the records of up to two rounds of attempts per URL. A new ad takes its first
+    record, and so does an old ad still without a price; a new ad that has no price even then
+    takes its second. Adds `is_new` and `price_before`: the price before unpriced ads were
+    tried again.
     """
-    listed = ensure_columns(listing, ADS)
-    merged = merge.merge_listing(previous, listed, order)
-    merged = merged.withColumn("price_before", col(PRICE))
-    filled = merge.backfill(merged, records, col(PRICE).isNull())
-    before = F.when(F.col("is_new"), col(PRICE)).otherwise(F.col("price_before"))
-    return filled.withColumn("price_before", before)
+    price = col(PRICE)
+    merged = merge.merge_listing(previous, ensure_columns(listing, ADS), order).withColumn("price_before", price)
+    first, second = (records.filter(F.col("round") == n) for n in (1, 2))
+    filled = merge.backfill(merged, first, price.isNull())
+    filled = filled.withColumn("price_before", F.when(F.col("is_new"), price).otherwise(F.col("price_before")))
+    return merge.backfill(filled, second, F.col("is_new") & price.isNull())
 
 
 def changes(bronze: DataFrame) -> DataFrame:
@@ -96,7 +98,7 @@ def run_bronze_municipal(
     """Write the day's ads; returns None and writes nothing when nothing is new or repaired."""
     root = snapshots.snapshot_root(base, "bronze", "municipal")
     previous = snapshots.read_latest_or_empty(spark, root, ADS)
-    records = extract.first_good_records(attempts, "url", attempt_order)
+    records = extract.first_good_records(attempts, "url", attempt_order, rounds=2)
     ready = materialise(
         bronze_municipal(ensure_columns(previous, ADS), listing, records, order), "bronze-municipal"
     )

@@ -576,16 +576,16 @@ def _(d: Data):
     return extract.parse_failures(d["fetch_log"])
 
 
-def _first_good(source: str, key: str, order: str) -> str:
-    """CTEs up to `records`: record of the first usable page of three attempts, per key."""
+def _first_good(source: str, key: str, order: str, rounds: int = 1) -> str:
+    """CTEs up to `records`: record of the first usable page of each round of three attempts, per key."""
     plain = ", ".join(SQL_FIELDS.values())
     return f"""
 numbered AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS attempt FROM {source}),
-tried AS (SELECT {key}, attempt, ({USABLE}) AS good, html FROM numbered WHERE attempt <= 3),
-best AS (SELECT {key}, CAST(min(attempt) FILTER (WHERE good) AS INTEGER) AS attempt FROM tried GROUP BY {key}),
-page AS (SELECT b.{key}, b.attempt, t.html FROM best b LEFT JOIN tried t ON t.{key} = b.{key} AND t.attempt = b.attempt),
-{_json('page', f'{key}, attempt')},
-records AS (SELECT {key}, attempt, {plain} FROM fields)
+tried AS (SELECT {key}, attempt, CAST((attempt + 2) // 3 AS INTEGER) AS round, ({USABLE}) AS good, html FROM numbered WHERE attempt <= {3 * rounds}),
+best AS (SELECT {key}, round, CAST(min(attempt) FILTER (WHERE good) AS INTEGER) AS attempt FROM tried GROUP BY {key}, round),
+page AS (SELECT b.{key}, b.round, b.attempt, t.html FROM best b LEFT JOIN tried t ON t.{key} = b.{key} AND t.attempt = b.attempt),
+{_json('page', f'{key}, round, attempt')},
+records AS (SELECT {key}, round, attempt, {plain} FROM fields)
 """
 
 
@@ -601,31 +601,39 @@ def _(d: Data):
 
 @query(
     "first_good_record",
-    f"WITH {_first_good('ad_fetches', 'url', 'try_no, tie_1, tie_2')} SELECT * FROM records",
+    f"WITH {_first_good('ad_fetches', 'url', 'try_no, tie_1, tie_2', 2)} SELECT * FROM records",
     ("ad_fetches",),
 )
 def _(d: Data):
-    return shown(extract.first_good_records(d["ad_fetches"], "url", ["try_no", "tie_1", "tie_2"]))
+    """Two rounds of three attempts."""
+    return shown(extract.first_good_records(d["ad_fetches"], "url", ["try_no", "tie_1", "tie_2"], rounds=2))
 
 
 # Bronze, municipal track
 
+def _filled_from(rec: str, base: str, when: str) -> str:
+    hit = f"{rec}.url IS NOT NULL AND {when}"
+    return ", ".join(f"CASE WHEN {hit} THEN {rec}.{c} ELSE {base}.{c} END AS {c}" for c in SQL_FIELDS.values())
+
+
 BRONZE_MUNIC = f"""
-WITH {_first_good('ad_fetches', 'url', 'try_no, tie_1, tie_2')},
+WITH {_first_good('ad_fetches', 'url', 'try_no, tie_1, tie_2', 2)},
 old AS (SELECT {RAW_COLUMNS} FROM ads_prev QUALIFY row_number() OVER (PARTITION BY url ORDER BY titulos) = 1),
 fresh AS (SELECT url, min(titulos) AS titulos FROM ads_curr c WHERE url IS NOT NULL AND url <> ''
           AND NOT EXISTS (SELECT 1 FROM ads_prev p WHERE p.url = c.url) GROUP BY url),
 both_ AS (SELECT *, FALSE AS is_new FROM old
   UNION ALL SELECT url, titulos, {', '.join('NULL' for _ in RECORD_COLUMNS)}, TRUE FROM fresh),
 rec AS (SELECT * FROM records WHERE coalesce({', '.join(SQL_FIELDS.values())}) IS NOT NULL),
-done AS (SELECT a.url, a.titulos, a.is_new, a.preco AS was,
-  {', '.join(f'CASE WHEN r.url IS NOT NULL THEN r.{c} ELSE a.{c} END AS {c}' for c in SQL_FIELDS.values())}
-  FROM both_ a LEFT JOIN rec r ON r.url = a.url AND a.preco IS NULL)
+once AS (SELECT a.url, a.titulos, a.is_new, a.preco AS was, {_filled_from('r', 'a', 'a.preco IS NULL')}
+  FROM both_ a LEFT JOIN rec r ON r.url = a.url AND r.round = 1),
+done AS (SELECT a.url, a.titulos, a.is_new, CASE WHEN a.is_new THEN a.preco ELSE a.was END AS was,
+    {_filled_from('r', 'a', 'a.is_new AND a.preco IS NULL')}
+  FROM once a LEFT JOIN rec r ON r.url = a.url AND r.round = 2)
 """
 
 
 def bronze_munic(d: Data) -> DataFrame:
-    records = extract.first_good_records(d["ad_fetches"], "url", ["try_no", "tie_1", "tie_2"])
+    records = extract.first_good_records(d["ad_fetches"], "url", ["try_no", "tie_1", "tie_2"], rounds=2)
     return jobs.bronze_municipal(
         municipal(d, "ads_prev"), d["ads_curr"].select("url", "titulos"), records, ["titulos"]
     )
@@ -643,7 +651,7 @@ def _(d: Data):
 @query(
     "change_summary",
     f"{BRONZE_MUNIC} SELECT *, n_new > 0 OR n_unpriced_after < n_unpriced_before AS changed FROM (SELECT count(*) AS n_rows, "
-    "count(*) FILTER (WHERE is_new) AS n_new, count(*) FILTER (WHERE (CASE WHEN is_new THEN preco ELSE was END) IS NULL) AS n_unpriced_before, "
+    "count(*) FILTER (WHERE is_new) AS n_new, count(*) FILTER (WHERE was IS NULL) AS n_unpriced_before, "
     "count(*) FILTER (WHERE preco IS NULL) AS n_unpriced_after FROM done)",
     ("ads_prev", "ads_curr", "ad_fetches"),
 )

@@ -76,6 +76,21 @@ def test_first_good_attempt(spark):
     log = spark.createDataFrame(rows, "url string, n int, status int, html string")
     got = {r["url"]: (r["attempt"], r[PRICE]) for r in extract.first_good_records(log, "url", ["n"]).collect()}
     assert got == {"a": (3, "3"), "b": (1, None), "c": (None, None)}
+    both = extract.first_good_records(log, "url", ["n"], rounds=2).collect()
+    assert {(r["url"], r["round"]): (r["attempt"], r[PRICE]) for r in both} == {
+        ("a", 1): (3, "3"), ("a", 2): (4, "4"), ("b", 1): (1, None), ("c", 1): (None, None), ("c", 2): (4, "4"),
+    }
+
+
+def test_new_ads_are_tried_twice_old_ones_once(spark, ads):
+    good = '"adDetail":{"price":"%s"}'
+    log = [(u, n, 503, None) for u in ("new", "old") for n in (1, 2, 3)] + [(u, 4, 200, good % 4) for u in ("new", "old")]
+    attempts = spark.createDataFrame(log, "url string, n int, status int, html string")
+    records = extract.first_good_records(attempts, "url", ["n"], rounds=2)
+    listing = spark.createDataFrame([("new", "N"), ("old", "O")], "url string, titulos string")
+    out = jobs.bronze_municipal(ads([("old", "O", None, None)]), listing, records, ["titulos"])
+    assert {r["url"]: r[PRICE] for r in out.collect()} == {"new": "4", "old": None}
+    assert tuple(jobs.changes(out).head()) == (2, 1, 2, 1, True)
 
 
 def test_attempts_are_cut_before_the_shuffle(spark):
