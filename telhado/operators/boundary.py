@@ -30,7 +30,7 @@ def boundary_edges(vertices: DataFrame, project: bool = False) -> DataFrame:
         "ring", F.col("seq").alias("next"), F.col("x").alias("x2"), F.col("y").alias("y2")
     )
     return (
-        points.join(sizes, "ring")
+        lookup_join(points, sizes, ["ring"], ["seq"])
         .withColumn("next", F.pmod(F.col("seq") + 1, F.col("n")))
         .join(following, ["ring", "next"])
         .select("ring", "seq", F.col("x").alias("x1"), F.col("y").alias("y1"), "x2", "y2")

@@ -7,6 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 SALT = "__salt"
+SALT_BYTES = 64 * 1024 * 1024
+MAX_SALTS = 512
+# Compressed files and exploded arrays hold several times the bytes the planner sees.
+SIZE_MARGIN = 8
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -26,30 +30,39 @@ def left_join_nullsafe(left: DataFrame, right: DataFrame, key: str) -> DataFrame
     return left.join(renamed, left[key].eqNullSafe(renamed[hidden]), "left").drop(hidden)
 
 
+def salt_count(right: DataFrame) -> int:
+    """Ways to split each key: as many as shuffle partitions, while copying `right` that often stays cheap.
+
+    The copies may add SALT_BYTES to each shuffle partition, and there are never more than MAX_SALTS.
+    """
+    partitions = int(right.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    affordable = partitions * SALT_BYTES // max(planned_bytes(right), 1)
+    return max(2, min(partitions, affordable, MAX_SALTS))
+
+
 def salted_left_join(
-    left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str | Column], salts: int = 16
+    left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str | Column], salts: int | None = None
 ) -> DataFrame:
     """Left join to a `right` unique on `keys`, with every key of `left` split `salts` ways.
 
     The salt is a hash of `spread_by`, so a retried task sends each row to the same place.
     """
+    salts = salts or salt_count(right)
     cols = [F.col(f"`{c}`") if isinstance(c, str) else c for c in spread_by]
     salted = left.withColumn(SALT, F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int"))
     copies = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*keys, SALT], "left").drop(SALT)
 
 
-def lookup_join(
-    left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str | Column], salts: int = 16
-) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str | Column]) -> DataFrame:
     """Left join of many rows to a reference table unique on `keys`.
 
-    Broadcasts `right` when the planner's size for it is under the session limit;
-    otherwise joins by shuffle with the keys of `left` salted.
+    Broadcasts `right` only when the planner's size for it, times SIZE_MARGIN, is under the
+    session's broadcast limit; otherwise joins by shuffle with the keys of `left` salted.
     """
-    if planned_bytes(right) <= broadcast_limit(right):
+    if planned_bytes(right) * SIZE_MARGIN <= broadcast_limit(right):
         return left.join(F.broadcast(right), keys, "left")
-    return salted_left_join(left, right, keys, spread_by, salts)
+    return salted_left_join(left, right, keys, spread_by)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

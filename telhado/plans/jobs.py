@@ -61,7 +61,8 @@ def bronze_hexagonal(
     found = lookup_join(flagged, table, ["__cep"], ["url"])
     fresh = {"latitude": F.col("__lat"), "longitude": F.col("__lon")}
     if answers is not None:
-        points = boundary.points_in_boundary(answers.select("url", "latitude", "longitude"), vertices, ["url"])
+        answered = first_per_key(answers.select("url", "latitude", "longitude"), "url", [])
+        points = boundary.points_in_boundary(answered, vertices, ["url"])
         points = points.withColumnsRenamed({"latitude": "__plat", "longitude": "__plon"})
         found = found.join(points, "url", "left")
         fresh = {

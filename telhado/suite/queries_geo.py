@@ -208,8 +208,10 @@ def built_grid(d: Data) -> DataFrame:
 
 
 def with_ad_count(d: Data, cells: DataFrame) -> DataFrame:
-    per_cell = hexjoin.with_cell(placed(d)).groupBy("q", "r").agg(F.count(F.lit(1)).alias("n_ads"))
-    return cells.join(per_cell, ["q", "r"], "left").fillna(0, ["n_ads"])
+    # Joined on one struct: a struct is never NULL, so no test of it moves down into the cell arithmetic.
+    cell = F.struct("q", "r").alias("cell")
+    per_cell = hexjoin.with_cell(placed(d)).groupBy(cell).agg(F.count(F.lit(1)).alias("n_ads"))
+    return cells.withColumn("cell", cell).join(per_cell, "cell", "left").fillna(0, ["n_ads"]).drop("cell")
 
 
 @query(

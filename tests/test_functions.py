@@ -1,6 +1,7 @@
 """Column functions on hand-written values."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -184,3 +185,43 @@ def test_cell_centre_maps_to_itself(spark):
 def test_circle_next_to_a_side(spark, u, v, touches):
     hit = hexes.touches_hexagon(F.col("u"), F.col("v"), F.lit(100.0), F.lit(hexes.side(5000.0) / 2))
     assert values(spark, [(float(u), float(v))], "u double, v double", hit) == [(touches,)]
+
+
+def read_number(text):
+    """Character by character: start at the first digit, minus or full stop; skip commas."""
+    start = next((i for i, c in enumerate(text) if c in "-.0123456789"), None)
+    if start is None:
+        return None
+    rest, kept, seen, point = text[start:], "", False, False
+    if rest[0] == "-":
+        kept, rest = "-", rest[1:]
+    elif rest[0] == ".":
+        kept, rest, point = "0.", rest[1:], True
+    for i, c in enumerate(rest):
+        if c == ",":
+            continue
+        if c == "." and not point:
+            point, kept = True, kept + "."
+        elif c.isdigit():
+            seen, kept = True, kept + c
+        else:
+            power = ""
+            if c in "eE" and seen:
+                tail = rest[i + 1 :]
+                sign = tail[:1] if tail[:1] in ("+", "-") else ""
+                digits = ""
+                for x in tail[len(sign) :]:
+                    if not x.isdigit():
+                        break
+                    digits += x
+                power = f"e{sign}{digits}" if digits else ""
+            return float(kept + power) if seen else None
+    return float(kept) if seen else None
+
+
+def test_parse_number_on_random_text(spark):
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choice("-.,0123456789e R$x") for _ in range(rnd.randint(0, 9))) for _ in range(6000)]
+    got = values(spark, [(t,) for t in texts], "t string", "t", num.parse_number(F.col("t")))
+    wrong = [(t, v, read_number(t)) for t, v in got if v != read_number(t)]
+    assert not wrong, wrong[:10]
