@@ -88,13 +88,19 @@ def _utm_series_angles(easting: Column, northing: Column, south: bool) -> Column
     )
 
 
-def _utm_sphere_angles(p: Column) -> Column:
-    """Struct (chi, lon): conformal latitude, and longitude from the central meridian, in radians."""
+def _utm_undistorted(p: Column) -> Column:
+    """Struct (xi, eta) with the ellipsoidal series taken off."""
     xi, eta = p["xi"], p["eta"]
-    xi0 = xi - _sum([F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) * b for j, b in enumerate(BETA, 1)])
-    eta0 = eta - _sum([F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) * b for j, b in enumerate(BETA, 1)])
     return F.struct(
-        F.asin(F.sin(xi0) / F.cosh(eta0)).alias("chi"), F.atan2(F.sinh(eta0), F.cos(xi0)).alias("lon")
+        (xi - _sum([F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) * b for j, b in enumerate(BETA, 1)])).alias("xi"),
+        (eta - _sum([F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) * b for j, b in enumerate(BETA, 1)])).alias("eta"),
+    )
+
+
+def _sphere_angles(p: Column) -> Column:
+    """Struct (chi, lon): conformal latitude, and longitude from the central meridian, in radians."""
+    return F.struct(
+        F.asin(F.sin(p["xi"]) / F.cosh(p["eta"])).alias("chi"), F.atan2(F.sinh(p["eta"]), F.cos(p["xi"])).alias("lon")
     )
 
 
@@ -117,7 +123,7 @@ def _geographic(p: Column, zone: int) -> Column:
 
 def utm_lonlat(easting: Column, northing: Column, zone: int = 24, south: bool = True) -> Column:
     """Struct (longitude, latitude) in degrees: the inverse of `utm_xy`."""
-    return _geographic(_utm_sphere_angles(_utm_series_angles(easting, northing, south)), zone)
+    return _geographic(_sphere_angles(_utm_undistorted(_utm_series_angles(easting, northing, south))), zone)
 
 
 def utm_point_scale(lon: Column, lat: Column, zone: int = 24) -> Column:
@@ -148,7 +154,10 @@ def mercator_reach(radius: Column, lon: Column, lat: Column, zone: int = 24) ->
 
 
 def coordinate_text(lon: Column, lat: Column, digits: int = 6) -> Column:
-    return F.format_string(f"%.{digits}f %.{digits}f", lon, lat)
+    """"lon lat" with at most `digits` decimals; arithmetic, since a format call per corner costs more than the corner."""
+    unit = 10.0**digits
+    lon, lat = (F.floor(v * unit + 0.5) / unit for v in (lon, lat))
+    return F.concat_ws(" ", lon.cast("string"), lat.cast("string"))
 
 
 def with_buffer_wkt(
@@ -167,7 +176,8 @@ def with_buffer_wkt(
             F.col("__centre.easting") + F.col(radius) * t["c"], F.col("__centre.northing") + F.col(radius) * t["s"], south
         ),
     )
-    ring = F.transform(F.transform(ring, _utm_sphere_angles), lambda p: _geographic(p, zone))
+    ring = F.transform(F.transform(ring, _utm_undistorted), _sphere_angles)
+    ring = F.transform(ring, lambda p: _geographic(p, zone))
     text = F.transform(ring, lambda p: coordinate_text(p["longitude"], p["latitude"]))
     return centred.withColumn(
         "buffer_wkt", F.concat(F.lit("POLYGON (("), F.array_join(text, ", "), F.lit("))"))

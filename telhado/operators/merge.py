@@ -68,6 +68,14 @@ def change_counts(merged: DataFrame, before: str, after: str, is_new: str = "is_
     return counted.withColumn("changed", changed)
 
 
+def change_marks(before: str, after: str, is_new: str = "is_new") -> list[Column]:
+    """Counts to observe while a merge is written: new rows, and rows that got their price."""
+    return [
+        F.count_if(F.col(is_new)).alias("n_new"),
+        F.count_if(col(before).isNull() & col(after).isNotNull()).alias("n_repaired"),
+    ]
+
+
 def unpriced(ads: DataFrame) -> DataFrame:
     return ads.filter(col(PRICE).isNull())
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.text import buffer_radius, standard_cep
 from ..operators import boundary, clean, extract, geocode, hexgrid, indicators as ind, merge
@@ -10,7 +10,7 @@ from ..operators.distinct import first_per_key
 from ..operators.hexjoin import hex_join
 from ..operators.joins import lookup_join
 from ..schemas import ADS, ADS_WITH_COORDS, PRICE, col, ensure_columns
-from ..session import materialise
+from ..session import materialise, scratch
 from ..sources import snapshots
 
 
@@ -96,24 +96,35 @@ def run_bronze_municipal(
     spark: SparkSession, base: str, stamp: str, listing: DataFrame, attempts: DataFrame, order: list[str],
     attempt_order: list[str],
 ) -> str | None:
-    """Write the day's ads; returns None and writes nothing when nothing is new or repaired."""
+    """Write the day's ads; keeps nothing and returns None when nothing is new or repaired.
+
+    New and repaired rows are counted while the rows are written, so the merge runs once.
+    """
     root = snapshots.snapshot_root(base, "bronze", "municipal")
     previous = snapshots.read_latest_or_empty(spark, root, ADS)
     records = extract.first_good_records(attempts, "url", attempt_order, rounds=2)
-    ready = materialise(
-        bronze_municipal(ensure_columns(previous, ADS), listing, records, order), "bronze-municipal"
+    ready = bronze_municipal(ensure_columns(previous, ADS), listing, records, order)
+    seen = Observation("changes")
+    watched = ready.observe(seen, *merge.change_marks("price_before", PRICE))
+    return snapshots.write_snapshot(
+        watched.select(*[col(c) for c in ADS.fieldNames()]),
+        root,
+        stamp,
+        keep=lambda: seen.get["n_new"] > 0 or seen.get["n_repaired"] > 0,
     )
-    if not changes(ready).head()["changed"]:
-        return None
-    return snapshots.write_snapshot(ready.select(*[col(c) for c in ADS.fieldNames()]), root, stamp)
 
 
-def run_bronze_hexagonal(spark: SparkSession, base: str, stamp: str, cep_points: DataFrame) -> str:
+def run_bronze_hexagonal(
+    spark: SparkSession, base: str, stamp: str, cep_points: DataFrame,
+    answers: DataFrame | None = None, vertices: DataFrame | None = None,
+) -> str:
     raw = snapshots.read_latest(spark, snapshots.snapshot_root(base, "bronze", "municipal"))
     root = snapshots.snapshot_root(base, "bronze", "hexagonal")
     previous = snapshots.read_latest_or_empty(spark, root, ADS_WITH_COORDS)
-    out = bronze_hexagonal(raw, previous, geocode.cep_medians(cep_points))
-    return snapshots.write_snapshot(out.select(*[col(c) for c in ADS_WITH_COORDS.fieldNames()]), root, stamp)
+    with scratch(spark):
+        medians = geocode.cep_medians(cep_points)
+        out = bronze_hexagonal(raw, previous, medians, answers=answers, vertices=vertices)
+        return snapshots.write_snapshot(out.select(*[col(c) for c in ADS_WITH_COORDS.fieldNames()]), root, stamp)
 
 
 def run_silver_municipal(spark: SparkSession, base: str, stamp: str) -> str:
@@ -126,14 +137,16 @@ def run_silver_municipal(spark: SparkSession, base: str, stamp: str) -> str:
 def run_silver_hexagonal(spark: SparkSession, base: str, stamp: str, vertices: DataFrame) -> str:
     """`vertices` is one edition of the boundary, in degrees."""
     ads = snapshots.read_latest(spark, snapshots.snapshot_root(base, "bronze", "hexagonal"))
-    grid = materialise(hexgrid.hex_grid(vertices), "hex-grid")
-    wkt = materialise(hexgrid.hex_wkt(grid), "hex-wkt")
-    return snapshots.write_snapshot(
-        silver_hexagonal(ads, grid, wkt), snapshots.snapshot_root(base, "silver", "hexagonal"), stamp
-    )
+    with scratch(spark):
+        grid = materialise(hexgrid.hex_grid(vertices), "hex-grid")
+        wkt = materialise(hexgrid.hex_wkt(grid), "hex-wkt")
+        return snapshots.write_snapshot(
+            silver_hexagonal(ads, grid, wkt), snapshots.snapshot_root(base, "silver", "hexagonal"), stamp
+        )
 
 
 def run_gold(spark: SparkSession, base: str, stamp: str, track: str) -> str:
     silver = snapshots.read_latest(spark, snapshots.snapshot_root(base, "silver", track))
     key = {"municipal": "municipio", "hexagonal": "hex_id"}[track]
-    return snapshots.write_snapshot(gold(silver, key), snapshots.snapshot_root(base, "gold", track), stamp)
+    with scratch(spark):
+        return snapshots.write_snapshot(gold(silver, key), snapshots.snapshot_root(base, "gold", track), stamp)

@@ -1,18 +1,21 @@
 """Dated full-table snapshots: `<root>/snapshot_date=YYYYMMDD/run=NNN/*.parquet`.
 
 A rerun on one day writes the next run of that day and supersedes the earlier one,
-so a job may read the day's snapshot and replace it. Only runs that Spark marked
-complete are ever read, so a write cut short leaves the previous snapshot in force.
+so a job may read the day's snapshot and replace it. Only runs marked complete are ever
+read, so a write cut short leaves the previous snapshot in force.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from ..session import remove
 
 LAYERS = ("bronze", "silver", "gold")
 TRACKS = ("municipal", "hexagonal")
+MARKER = "_SUCCESS"
 
 
 class SnapshotMissing(Exception):
@@ -48,7 +51,7 @@ def latest_path(spark: SparkSession, root: str) -> str | None:
     for stamp in snapshot_stamps(spark, root):
         for run in _runs(spark, root, stamp):
             path = f"{root}/snapshot_date={stamp}/run={run:03d}"
-            if "_SUCCESS" in _children(spark, path):
+            if MARKER in _children(spark, path):
                 return path
     return None
 
@@ -77,13 +80,25 @@ def read_latest_or_empty(spark: SparkSession, root: str, schema: T.StructType) -
     return spark.createDataFrame([], schema)
 
 
-def write_snapshot(df: DataFrame, root: str, stamp: str) -> str:
-    """Write `df` whole as the newest run of day `stamp`; returns the folder."""
+def write_snapshot(
+    df: DataFrame, root: str, stamp: str, keep: Callable[[], bool] | None = None
+) -> str | None:
+    """Write `df` whole as the newest run of day `stamp`; returns the folder.
+
+    `keep` is asked once the rows are written, and so may look at what was observed while
+    writing. When it says no, the run is removed unmarked and the result is None.
+    """
     if not re.fullmatch(r"\d{8}", stamp):
         raise ValueError(f"not a day stamp: {stamp}")
-    runs = _runs(df.sparkSession, root, stamp)
+    spark = df.sparkSession
+    runs = _runs(spark, root, stamp)
     path = f"{root}/snapshot_date={stamp}/run={(runs[0] + 1 if runs else 1):03d}"
-    df.write.parquet(path)
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    if keep is not None and not keep():
+        remove(spark, path)
+        return None
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MARKER}")
+    marker.getFileSystem(spark._jsc.hadoopConfiguration()).create(marker).close()
     return path
 
 

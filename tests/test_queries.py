@@ -32,6 +32,20 @@ def test_query(spark, db, name):
     assert rows(frame.columns, got) == rows(columns, result.fetchall())
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["first_per_url", "dedupe_except_url", "merge_prev_wins", "merge_new_wins", "backfill_merge", "bronze_munic", "indicators_munic"],
+)
+def test_one_partition_or_many(spark, name):
+    """The shuffle's width changes no result."""
+    frames = []
+    for n in ("1", "8"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        frame = entry.queries()[name](spark, SMALL)
+        frames.append(rows(frame.columns, frame.collect()))
+    assert frames[0] == frames[1]
+
+
 def test_oracles_belong_to_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 

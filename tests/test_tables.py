@@ -10,6 +10,7 @@ from telhado.functions.text import result_text
 from telhado.operators import clean, distinct, extract, geocode, indicators as ind, joins, merge
 from telhado.plans import collection, jobs
 from telhado.schemas import ADS, ADS_WITH_COORDS, PRICE, RECORD_COLUMNS, ensure_columns
+from telhado.session import shared_dir
 from telhado.sources import landed, snapshots
 
 
@@ -249,6 +250,11 @@ def test_snapshots(spark, tmp_path):
     assert snapshots.read_latest(spark, root).count() == 4
     # Columns missing: as good as none.
     assert snapshots.read_latest_or_empty(spark, root, ADS_WITH_COORDS).isEmpty()
+    # A run that is not wanted leaves nothing behind.
+    assert snapshots.write_snapshot(spark.range(7), root, "20240112", keep=lambda: False) is None
+    assert not os.path.exists(os.path.join(root, "snapshot_date=20240112", "run=001"))
+    assert snapshots.write_snapshot(spark.range(7), root, "20240112", keep=lambda: True).endswith("run=001")
+    assert snapshots.read_latest(spark, root).count() == 7
     with pytest.raises(ValueError):
         snapshots.write_snapshot(spark.range(1), root, "2024-01-11")
     with pytest.raises(ValueError):
@@ -301,7 +307,9 @@ def test_whole_run(spark, tmp_path):
     square = [(0, -41.0, -21.0), (1, -40.0, -21.0), (2, -40.0, -20.0), (3, -41.0, -20.0)]
     vertices = spark.createDataFrame([(0, *v) for v in square], "ring int, seq int, x double, y double")
     jobs.run_silver_municipal(spark, base, "20240104")
+    shared = os.listdir(shared_dir(spark))
     jobs.run_silver_hexagonal(spark, base, "20240104", vertices)
+    assert os.listdir(shared_dir(spark)) == shared
     jobs.run_gold(spark, base, "20240104", "municipal")
     jobs.run_gold(spark, base, "20240104", "hexagonal")
     gold = snapshots.read_latest(spark, snapshots.snapshot_root(base, "gold", "municipal"))
