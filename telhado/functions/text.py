@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, functions as F, types as T
 
 from ..schemas import ADDRESS_FIELDS, DETAIL_FIELDS
@@ -16,21 +18,49 @@ TITLE_PATTERN = r"(?s)<h2\b[^>]*>(.*?)</h2>"
 RESULT_PATTERN = (
     r"(?s)<p\b(?=[^>]*\btypo-body-small\b)(?=[^>]*\bfont-regular\b)(?=[^>]*\btext-neutral-110\b)[^>]*>(.*?)</p>"
 )
-# Named entities; the ampersand comes last.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+# Named entities: the Latin-1 ones and common punctuation, from Python's table; the ampersand comes last.
+PUNCTUATION = {"ndash", "mdash", "lsquo", "rsquo", "ldquo", "rdquo", "bull", "hellip", "euro", "trade"}
+ENTITIES = {
+    "&apos;": "'",
+    **{f"&{n};": chr(c) for n, c in name2codepoint.items() if (c < 256 or n in PUNCTUATION) and n != "amp"},
+    "&amp;": "&",
+}
+SPACE = r"[\s\u00a0]"
 
 CORRUPT = "_corrupt"
 
 
+def _decode_numbered(text: Column) -> Column:
+    """Character references by number, decimal or hexadecimal; others stay as they are."""
+
+    def char(part: Column, code: Column, head: str) -> Column:
+        letter = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+        return F.concat(letter, F.regexp_replace(part, head, ""))
+
+    decimal, hexadecimal = r"^([0-9]{1,6});", r"^[xX]([0-9a-fA-F]{1,5});"
+
+    def resolve(part: Column) -> Column:
+        return (
+            F.when(part.rlike(decimal), char(part, F.hex(F.regexp_extract(part, decimal, 1).cast("int")), decimal))
+            .when(part.rlike(hexadecimal), char(part, F.regexp_extract(part, hexadecimal, 1), hexadecimal))
+            .otherwise(F.concat(F.lit("&#"), part))
+        )
+
+    parts = F.split(text, "&#")
+    return F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts) - 1), resolve), ""))
+
+
 def decode_entities(text: Column) -> Column:
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Character references replaced; text without any passes through untouched."""
+    table = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(c).alias("char")) for n, c in ENTITIES.items()])
+    numbered = F.when(text.contains("&#"), _decode_numbered(text)).otherwise(text)
+    named = F.aggregate(table, numbered, lambda t, e: F.replace(t, e["name"], e["char"]))
+    return F.when(text.contains("&"), named).otherwise(text)
 
 
 def plain_text(markup: Column) -> Column:
-    """Text of a markup fragment: tags removed, entities decoded, ends trimmed."""
-    return F.regexp_replace(decode_entities(F.regexp_replace(markup, "<[^>]*>", "")), r"^\s+|\s+$", "")
+    """Text of a markup fragment: tags removed, character references decoded, ends trimmed."""
+    return F.regexp_replace(decode_entities(F.regexp_replace(markup, "<[^>]*>", "")), f"^{SPACE}+|{SPACE}+$", "")
 
 
 def result_text(html: Column, pattern: str = RESULT_PATTERN) -> Column:

@@ -150,3 +150,18 @@ def run_gold(spark: SparkSession, base: str, stamp: str, track: str) -> str:
     key = {"municipal": "municipio", "hexagonal": "hex_id"}[track]
     with scratch(spark):
         return snapshots.write_snapshot(gold(silver, key), snapshots.snapshot_root(base, "gold", track), stamp)
+
+
+def run_day(
+    spark: SparkSession, base: str, stamp: str, listing: DataFrame, attempts: DataFrame, cep_points: DataFrame,
+    vertices: DataFrame, order: list[str], attempt_order: list[str],
+) -> dict[str, str | None]:
+    """All six jobs in order; returns the folder each wrote. A failing job stops the day."""
+    done: dict[str, str | None] = {}
+    done["bronze/municipal"] = run_bronze_municipal(spark, base, stamp, listing, attempts, order, attempt_order)
+    done["bronze/hexagonal"] = run_bronze_hexagonal(spark, base, stamp, cep_points)
+    done["silver/municipal"] = run_silver_municipal(spark, base, stamp)
+    done["silver/hexagonal"] = run_silver_hexagonal(spark, base, stamp, vertices)
+    for track in snapshots.TRACKS:
+        done[f"gold/{track}"] = run_gold(spark, base, stamp, track)
+    return done

@@ -258,9 +258,13 @@ CARD_LINK = r'(?s)<a\b[^>]*?\bhref="([^"]*)"'
 CARD_TITLE = r"(?s)<a\b[^>]*>(.*?)</a>"
 
 
+# The references to be expected in the given cards.
+SQL_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": "\u00a0", "&amp;": "&"}
+
+
 def _decoded(c: str) -> str:
-    for entity, char in tx.ENTITIES:
-        c = f"replace({c}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+    for entity, char in SQL_ENTITIES.items():
+        c = f"replace({c}, '{entity}', '{char}')"
     return c
 
 
@@ -270,7 +274,8 @@ each_card AS (SELECT page_id, unnest(range(1, len(c) + 1)) AS i, c FROM found),
 cards AS (SELECT page_id, CAST(i - 1 AS INTEGER) AS pos,
   CASE WHEN regexp_matches(c[i], '{CARD_LINK}') THEN {_decoded(f"regexp_extract(c[i], '{CARD_LINK}', 1)")} END AS url,
   CASE WHEN regexp_matches(c[i], '{CARD_TITLE}')
-       THEN trim({_decoded(f"regexp_replace(regexp_extract(c[i], '{CARD_TITLE}', 1), '<[^>]*>', '', 'g')")}) END AS titulos
+       THEN regexp_replace({_decoded(f"regexp_replace(regexp_extract(c[i], '{CARD_TITLE}', 1), '<[^>]*>', '', 'g')")},
+         '^[\\s\u00a0]+|[\\s\u00a0]+$', '', 'g') END AS titulos
   FROM each_card)
 """
 

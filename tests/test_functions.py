@@ -97,6 +97,20 @@ def test_usable_page(spark):
     assert got == [(True,), (False,), (False,), (False,), (False,)]
 
 
+def test_plain_text(spark):
+    cases = {
+        "  a <b>b</b>\n": "a b",
+        "&nbsp;Jo&atilde;o &amp; Cia&nbsp;": "João & Cia",
+        "&amp;lt; &lt;x&gt; &quot;&apos;": "&lt; <x> \"'",
+        "D&#39;&#225;gua &#xE7; &#128512; &#bad; &#1;": "D'água ç 😀 &#bad; \x01",
+        "R&D; &euro; 5 &ndash; &amp;#39;": "R&D; € 5 – &#39;",
+        "": "",
+        "plain": "plain",
+    }
+    got = values(spark, [(t,) for t in [*cases, None]], "t string", "t", tx.plain_text(F.col("t")))
+    assert dict(got) == {**cases, None: None}
+
+
 def test_urls(spark):
     row = spark.range(1).select(
         tx.search_url("https://a.example/s", F.lit(10_000_000), F.lit(10_000_000_000), F.lit(3)),

@@ -324,6 +324,24 @@ def test_whole_run(spark, tmp_path):
     assert hexes.count() == silver.select("hex_id").distinct().count()
 
 
+def test_run_day(spark, tmp_path):
+    """A first day from nothing, then a day on which nothing changed."""
+    listing = spark.createDataFrame([("a", "A", 1)], "url string, titulos string, pos int")
+    attempts = spark.createDataFrame([("a", 1, 200, page("R$ 90.000", "Serra", "29100000"))], "url string, n int, status int, html string")
+    points = spark.createDataFrame([("29100-000", -20.5, -40.5)], "cep string, latitude double, longitude double")
+    square = [(0, -41.0, -21.0), (1, -40.0, -21.0), (2, -40.0, -20.0), (3, -41.0, -20.0)]
+    vertices = spark.createDataFrame([(0, *v) for v in square], "ring int, seq int, x double, y double")
+    days = [
+        jobs.run_day(spark, str(tmp_path), day, listing, attempts, points, vertices, ["pos"], ["n"])
+        for day in ("20240101", "20240102")
+    ]
+    assert all(days[0].values()) and len(days[0]) == 6
+    assert days[1].pop("bronze/municipal") is None and all(days[1].values())
+    for track in snapshots.TRACKS:
+        first, second = (as_set(spark.read.parquet(d[f"gold/{track}"])) for d in days)
+        assert first == second and first
+
+
 def test_bronze_twice_adds_nothing(spark):
     listing = spark.createDataFrame([("a", "A"), ("b", "B")], "url string, titulos string")
     log = spark.createDataFrame([("a", 1, 200, page("5", "X", "29000000"))], "url string, n int, status int, html string")
