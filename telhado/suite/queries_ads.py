@@ -11,7 +11,7 @@ from ..schemas import ADS, ADS_WITH_COORDS, PRICE, RECORD_COLUMNS, RECORD_FIELDS
 from ..session import fresh_path
 from ..sources import snapshots
 from .registry import query
-from .sql import ROOMS, TEXT_COLUMNS, cep, gold, label, number, silver
+from .sql import ROOMS, TEXT_COLUMNS, cents, cep, gold, label, number, silver
 from .views import Data
 
 SEARCH = "https://ads.example/search"
@@ -23,8 +23,13 @@ def shown(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed(PRICE, "preco")
 
 
+def in_cents(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Half up at two decimals by plain arithmetic, the same in both engines even at ties."""
+    return df.withColumns({c: F.floor(col(c) * 100 + 0.5) / 100 for c in columns})
+
+
 def rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(col(c), 2) for c in ["preco_med", *[r for r in ROOMS if r in df.columns]]})
+    return in_cents(df, ["preco_med", *[r for r in ROOMS if r in df.columns]])
 
 
 def municipal(d: Data, view: str = "ads") -> DataFrame:
@@ -169,7 +174,7 @@ def _(d: Data):
 
 @query(
     "price_stats",
-    f"WITH {silver()} SELECT municipio, max(preco) AS preco_max, min(preco) AS preco_min, round(avg(preco), 2) AS preco_med FROM silver GROUP BY municipio",
+    f"WITH {silver()} SELECT municipio, max(preco) AS preco_max, min(preco) AS preco_min, {cents('avg(preco)')} AS preco_med FROM silver GROUP BY municipio",
     ("ads",),
 )
 def _(d: Data):
@@ -187,24 +192,24 @@ def _(d: Data):
 
 @query(
     "rooms_long",
-    f"WITH {silver()} SELECT {label('n_quartos')} AS n_quartos, municipio, round(avg(preco), 2) AS media_quarto "
+    f"WITH {silver()} SELECT {label('n_quartos')} AS n_quartos, municipio, {cents('avg(preco)')} AS media_quarto "
     "FROM silver WHERE n_quartos IS NOT NULL GROUP BY 1, 2",
     ("ads",),
 )
 def _(d: Data):
     long = ind.rooms_long(jobs.silver_municipal(municipal(d)), "municipio")
-    return long.withColumn("media_quarto", F.round("media_quarto", 2))
+    return in_cents(long, ["media_quarto"])
 
 
 @query(
     "rooms_pivot",
     f"WITH {silver()}, m AS (SELECT {label('n_quartos')} AS q, municipio, avg(preco) AS m FROM silver WHERE n_quartos IS NOT NULL GROUP BY 1, 2) "
-    "SELECT municipio, " + ", ".join(f"""round(max(CASE WHEN q = '{r}' THEN m END), 2) AS "{r}" """ for r in ROOMS) + " FROM m GROUP BY municipio",
+    "SELECT municipio, " + ", ".join(f"""max(CASE WHEN q = '{r}' THEN {cents('m')} END) AS "{r}" """ for r in ROOMS) + " FROM m GROUP BY municipio",
     ("ads",),
 )
 def _(d: Data):
     wide = ind.rooms_pivot(jobs.silver_municipal(municipal(d)), "municipio", ROOMS)
-    return wide.withColumns({r: F.round(col(r), 2) for r in ROOMS})
+    return in_cents(wide, ROOMS)
 
 
 GOLD_MUNIC = f"WITH {silver()}, {gold('municipio', 'silver')}"

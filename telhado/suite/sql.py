@@ -49,12 +49,17 @@ silver AS (SELECT * FROM one_each WHERE preco IS NOT NULL AND preco <> 0 AND pre
 ROOMS = ["1_quarto", "2_quartos", "3_quartos", "4_quartos", "5_quartos"]
 
 
+def cents(x: str) -> str:
+    """Half up at two decimals by plain arithmetic, the same in both engines even at ties."""
+    return f"floor(({x}) * 100 + 0.5) / 100"
+
+
 def gold(key: str, source: str) -> str:
     """Indicators put together from three aggregates, NULL keys matching NULL."""
-    rooms = ", ".join(f"""round(max(CASE WHEN q = '{r}' THEN m END), 2) AS "{r}" """ for r in ROOMS)
+    rooms = ", ".join(f"""max(CASE WHEN q = '{r}' THEN {cents('m')} END) AS "{r}" """ for r in ROOMS)
     picks = ", ".join(f'r."{r}"' for r in ROOMS)
     return f"""
-stats AS (SELECT {key} AS k, max(preco) AS preco_max, min(preco) AS preco_min, round(avg(preco), 2) AS preco_med
+stats AS (SELECT {key} AS k, max(preco) AS preco_max, min(preco) AS preco_min, {cents('avg(preco)')} AS preco_med
           FROM {source} GROUP BY {key}),
 area AS (SELECT {key} AS k, round_even(sum(preco) / sum(area_m2), 1) AS preco_medio_area
          FROM {source} WHERE preco IS NOT NULL AND area_m2 > 10 GROUP BY {key}),
