@@ -12,7 +12,14 @@ MAX_PRICE = 100_000_000.0
 
 
 def parsed_numbers(ads: DataFrame) -> DataFrame:
-    return ads.withColumns({c: parse_number(col(c)) for c in NUMERIC_COLUMNS})
+    """Parse the five numeric columns, once per row.
+
+    They come out of a one-row generator. Out of a projection, a filter on the price would move
+    below it and take a copy of the parsing along for each mention of the price.
+    """
+    numbers = F.struct(*[parse_number(col(c)).alias(c) for c in NUMERIC_COLUMNS])
+    rest = [col(c) for c in ads.columns if c not in NUMERIC_COLUMNS]
+    return ads.select(*rest, F.inline(F.array(numbers))).select(*[col(c) for c in ads.columns])
 
 
 def repaired_numbers(parsed: DataFrame) -> DataFrame:
@@ -30,12 +37,8 @@ def with_numbers(ads: DataFrame) -> DataFrame:
 
 
 def valid_price(ads: DataFrame) -> DataFrame:
-    """Price given, not zero, below the ceiling.
-
-    Written so that the price occurs once: the filter moves down to the scan, and
-    the number is parsed once there.
-    """
-    return ads.filter(F.nullif(col(PRICE), F.lit(0.0)) < MAX_PRICE)
+    """Price given, not zero, below the ceiling."""
+    return ads.filter((col(PRICE) != 0) & (col(PRICE) < MAX_PRICE))
 
 
 def with_coordinates(ads: DataFrame) -> DataFrame:

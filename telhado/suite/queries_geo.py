@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import geodesy, text as tx
+from ..functions import geodesy, rings, text as tx
 from ..operators import boundary, clean, geocode, hexgrid, hexjoin
 from ..operators.joins import lookup_join
 from ..plans import jobs
@@ -247,8 +247,8 @@ def _(d: Data):
     """Border cells: area of the clipped rings, and the ads located in the cell."""
     cells = built_grid(d)
     border = cells.filter("is_border")
-    rings = border.select("hex_id", "outline").mapInPandas(
-        hexgrid.outline_rings, "hex_id int, polygons array<array<array<struct<x: double, y: double>>>>"
+    drawn = border.select("hex_id", "outline").mapInPandas(
+        rings.outline_rings, rings.POLYGONS
     )
     ring = F.flatten("polygons")
 
@@ -260,7 +260,7 @@ def _(d: Data):
         )
         return F.aggregate(pairs, F.lit(0.0), lambda t, v: t + v) / 2
 
-    joined = with_ad_count(d, border).join(rings, "hex_id")
+    joined = with_ad_count(d, border).join(drawn, "hex_id")
     area = F.aggregate(F.transform(ring, shoelace), F.lit(0.0), lambda t, v: t + v)
     return joined.select("hex_id", F.round(area / 1e6, 4).alias("area_km2"), "n_ads")
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from telhado.functions import geodesy
+from telhado.functions import geodesy, rings
 from telhado.operators import boundary, hexgrid, hexjoin
 from telhado.session import materialise
 
@@ -112,11 +112,11 @@ def test_cells_add_up_to_the_shape(spark, grid):
 
 def test_clipped_rings_have_the_same_area(spark, grid):
     border = grid.filter("is_border")
-    rings = border.select("hex_id", "outline").mapInPandas(
-        hexgrid.outline_rings, "hex_id int, polygons array<array<array<struct<x: double, y: double>>>>"
+    drawn = border.select("hex_id", "outline").mapInPandas(
+        rings.outline_rings, rings.POLYGONS
     )
     areas = {r["hex_id"]: r["area"] for r in border.withColumn("area", hexgrid.cell_area()).collect()}
-    found = rings.collect()
+    found = drawn.collect()
     assert len(found) == len(areas)
     for r in found:
         total = 0.0

@@ -1,5 +1,9 @@
 """Every registered query against its SQL counterpart, on the smallest tables."""
 
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -46,6 +50,19 @@ def test_one_partition_or_many(spark, name):
     assert frames[0] == frames[1]
 
 
+def test_runs_from_any_folder(tmp_path):
+    """Python workers need neither the repository's folder nor an installed package."""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        f"import sys; sys.path.insert(0, {here!r})\n"
+        "import __spark_entry__ as entry\n"
+        "from telhado.session import local_session\n"
+        f"print('rows', entry.queries()['hex_clip'](local_session(2), {SMALL!r}).count())\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "rows 259" in done.stdout, done.stderr[-2000:]
+
+
 def test_oracles_belong_to_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
