@@ -239,11 +239,9 @@ def _(d: Data):
 )
 def _(d: Data):
     ads = municipal(d)
-    read = ads.agg(
-        F.count(F.lit(1)).alias("n_read"), F.count_if(col(PRICE).isNull()).alias("n_unpriced"), F.lit(1).alias("one")
-    )
-    valid = jobs.silver_municipal(ads).agg(F.count(F.lit(1)).alias("n_valid"), F.lit(1).alias("one"))
-    return read.join(valid, "one").drop("one")
+    read = ads.agg(F.count(F.lit(1)).alias("n_read"), F.count_if(col(PRICE).isNull()).alias("n_unpriced"))
+    valid = jobs.silver_municipal(ads).agg(F.count(F.lit(1)).alias("n_valid"))
+    return joins.union_all([read, valid]).agg(*[F.max(c).alias(c) for c in ("n_read", "n_unpriced", "n_valid")])
 
 
 # Distinct rows and merges

@@ -192,3 +192,16 @@ def test_more_rings_change_nothing(spark, grid):
 def test_grid_without_broadcast(spark, grid, shuffled_joins):
     again = hexgrid.hex_grid(vertices(spark)).select("hex_id", "q", "r", "is_border")
     assert sorted(map(str, again.collect())) == sorted(map(str, grid.select(*again.columns).collect()))
+
+
+def test_smaller_cells(spark):
+    """Another cell size: areas add up, and a second ring of neighbours finds nothing more."""
+    small = materialise(hexgrid.hex_grid(vertices(spark), 2000.0), "grid-2000")
+    total = sum(r["area"] for r in small.withColumn("area", hexgrid.cell_area(2000.0)).collect())
+    signed = [abs(area(r)) for r in FLAT]
+    assert total == pytest.approx(signed[0] - signed[1] + signed[2], rel=1e-9)
+    found = [
+        sorted(map(str, hexjoin.hex_join(spots(spark), small, ["ad_id"], size=2000.0, rings=n).select("ad_id", "hex_id").collect()))
+        for n in (1, 2)
+    ]
+    assert found[0] == found[1] and len(found[0]) > 700
