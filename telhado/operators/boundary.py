@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import geodesy
 from ..session import materialise
-from .joins import lookup_join
+from .joins import lookup_join, refuse_columns
 
 
 def boundary_edges(vertices: DataFrame, project: bool = False) -> DataFrame:
@@ -71,6 +71,7 @@ def flag_inside(
     Even-odd ray cast. Only edges of the point's own slab can cross its ray, so the edges come
     by an equi-join on the slab number and a point is tested against a handful of them.
     """
+    refuse_columns(points, {"slab", "edges", name})
     px, py = F.col(x), F.col(y)
     placed = points.withColumn("slab", F.floor(py / slabs.height).cast("bigint"))
     joined = lookup_join(placed, slabs.table, ["slab"], spread_by)

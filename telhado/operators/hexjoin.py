@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import geodesy, hexes
 from ..functions.hexes import SIZE, centre_x, centre_y
-from .joins import lookup_join
+from .joins import lookup_join, refuse_columns
+
+WORK_COLUMNS = {"mx", "my", "cell", "q", "r", "reach", "deep", "rx", "stretch", "corner", "near", "home", "home_whole"}
 
 
 def neighbourhoods(grid: DataFrame, rings: int = 1) -> DataFrame:
@@ -80,6 +82,7 @@ def hex_join(
     a circle's radius on the Mercator plane is under a hexagon's side (2,886 m at the default
     size, so for 1,000 m up to 69 degrees of latitude); ask for more `rings` beyond that.
     """
+    refuse_columns(ads, WORK_COLUMNS)
     reach = geodesy.mercator_reach(F.col(radius), F.col("longitude"), F.col("latitude"), zone)
     placed = with_cell(ads, size).withColumn("reach", F.when(F.col("mx").isNotNull(), reach))
     # Most circles lie inside their own cell; those need no look at the neighbours.

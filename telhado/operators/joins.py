@@ -65,6 +65,13 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by: l
     return salted_left_join(left, right, keys, spread_by)
 
 
+def refuse_columns(df: DataFrame, names: set[str]) -> None:
+    """Stop if `df` already has a column that the caller is about to add for its own use."""
+    taken = names & set(df.columns)
+    if taken:
+        raise ValueError(f"columns with names in use: {sorted(taken)}")
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """Union by name; a column absent from one frame is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -205,3 +205,10 @@ def test_smaller_cells(spark):
         for n in (1, 2)
     ]
     assert found[0] == found[1] and len(found[0]) > 700
+
+
+def test_taken_column_names_are_refused(spark, grid):
+    with pytest.raises(ValueError, match="corner"):
+        hexjoin.hex_join(spots(spark).withColumn("corner", F.lit(1)), grid, ["ad_id"])
+    with pytest.raises(ValueError, match="inside"):
+        boundary.points_in_boundary(spots(spark).withColumn("inside", F.lit(1)), vertices(spark), ["ad_id"])
