@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, pieces, quality, simhash, toxicity
+from . import bitslice, decontaminate, pieces, quality, simhash, tokencounts, tokenfiles, toxicity, warc, wrappers
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,12 +25,68 @@ def model_bytes(name: str) -> bytes:
         return file.read()
 
 
+def definition(name: str) -> str:
+    return model_bytes(name).decode()
+
+
+@query
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return wrappers.extract(read(spark, sf_dir, "pages"))
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through WARC archives: its payload's size and digest, and what it revisits."""
+    manifest = warc.write(read(spark, sf_dir, "pages"))
+    return warc.page_rows(warc.captures(warc.records(manifest)))
+
+
+# What the archives give back, said from the pages alone.
+ORACLES["op2_warc"] = """
+WITH own AS (
+  SELECT page_id, coalesce(html, '') AS payload, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS bytes
+  FROM pages
+), ranked AS (
+  SELECT page_id, bytes, sha1(payload) AS digest, max(page_id) OVER (PARTITION BY payload) AS original FROM own
+)
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+  CASE WHEN bytes >= 1000 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN bytes >= 1000 AND page_id <> original THEN original END AS refers_to
+FROM ranked
+"""
+
+
 @query
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count, digest of the ids, and round trip of every document."""
     return pieces.round_trip(read(spark, sf_dir, "documents"), model_bytes("piece_bpe_32k.model"))
 
 
+@query
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best others of every hundredth vector, exactly."""
+    return bitslice.top_k(read(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op4_topk"] = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON c.vec_id <> q.vec_id
+  WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 10
+"""
+
+
 @query
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a run of a benchmark item, one row per document and item."""
@@ -43,12 +99,24 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document through token files: where it begins, how long it is, and its ids' digest."""
+    return tokenfiles.read(tokenfiles.write(read(spark, sf_dir, "documents"), definition("byte_bpe_50k.json")))
+
+
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return tokencounts.count(read(spark, sf_dir, "documents"), definition("word_bpe_49k.json"))
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
