@@ -12,15 +12,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import arrow_map, texts
+from .common import Apart, arrow_map, split_words
 
-CHUNK_CHARS = 32_768
+CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 512
 LIMIT = 2048
+MEMO = 1_500_000
+MEMO_CHARS = 64
 _BREAKS = " \n\t\r"
 
 # Tokens of a stretch of text: (id, start, end), places counted in characters.
@@ -87,22 +90,44 @@ def count(docs: DataFrame, definition: str, limit: int = LIMIT, chunk: int = CHU
         store = held.value
         if "tokenizer" not in store:
             store["tokenizer"] = Tokenizer.from_str(store["definition"])
+            store["apart"] = Apart(store["tokenizer"])
         tokenizer = store["tokenizer"]
 
         def encode(text: str) -> list[tuple[int, int, int]]:
             found = tokenizer.encode(text, add_special_tokens=False)
             return [(i, *span) for i, span in zip(found.ids, found.offsets)]
 
+        memo = store.setdefault("memo", {})
+
+        def word_sizes(words: list[str]) -> np.ndarray:
+            sizes = list(map(memo.get, words))
+            new = [i for i, n in enumerate(sizes) if n is None]
+            if len(memo) + len(new) > MEMO:
+                memo.clear()
+            for i, ids in zip(new, store["apart"].encode([words[i] for i in new], np.uint32)):
+                sizes[i] = len(ids) // 4
+                if len(words[i]) <= MEMO_CHARS:
+                    memo[words[i]] = sizes[i]
+            return np.array(sizes, np.int64)
+
         for batch in columns:
-            own = texts(batch["text"])
-            short = [t for t in own if len(t) <= chunk]
-            counts = iter([len(e.ids) for e in tokenizer.encode_batch_fast(short, add_special_tokens=False)])
-            tokens = [next(counts) if len(t) <= chunk else spliced_count(t, encode, chunk) for t in own]
+            if not len(batch["text"]):
+                continue
+            text = pc.fill_null(batch["text"], "")
+            huge = pc.greater(pc.utf8_length(text), chunk)
+            short = pc.if_else(huge, "", text)
+            for mark in "\n\t\r":
+                short = pc.replace_substring(short, mark, " ")
+            # The same places part a short text: its words are counted, each different one once.
+            codes, offsets, words = split_words(short)
+            tokens = np.add.reduceat(word_sizes(words)[codes], offsets[:-1])
+            for i in np.flatnonzero(huge.to_numpy(zero_copy_only=False)):
+                tokens[i] = spliced_count(text[int(i)].as_py(), encode, chunk)
             yield {
                 "doc_id": batch["doc_id"],
                 "n_bytes": pc.fill_null(pc.binary_length(batch["text"]), 0).cast(pa.int64()),
                 "n_tokens": pa.array(tokens, pa.int64()),
-                "over_limit": pa.array([n > limit for n in tokens], pa.bool_()),
+                "over_limit": pa.array(tokens > limit, pa.bool_()),
             }
 
     return arrow_map(
