@@ -9,6 +9,7 @@ has; their prefix sums are the partitions' bases.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -21,15 +22,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from telhado.session import fresh_path, materialise
 
-from .common import arrow_map, texts
+from .common import Apart, arrow_map, split_words
 from .files import mapped, write_stream
 
 END_ID = 0
-MEMO = 500_000
+MEMO = 1_500_000
+MEMO_CHARS = 64
 NO_ID = -(1 << 63)
 # A space behind another character than white space begins a new piece, whatever stands before it.
 _CUT = re.compile(r"(?<=\S)(?= )")
-_GAP = re.compile(r"\s ")
 ROWS_OUT = 4000
 
 
@@ -38,46 +39,63 @@ class ByteEncoder:
 
     No piece of the pre-tokenizer reaches over a space that follows another character, so the ids of
     a text are those of its stretches between such spaces. The library encodes each different
-    stretch once; a bounded memo keeps them in two generations.
+    stretch of a batch once; a bounded memo keeps stretches for later batches.
     """
 
     def __init__(self, definition: str) -> None:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.apart = Apart(self.tokenizer)
         self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         self.end = np.array([END_ID], self.dtype).tobytes()
 
     def _encode(self, stretches: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
-
-    def encode(self, text: str) -> bytes:
-        """Ids of the text and the end id, packed."""
-        if not text:
-            return self.end
-        spaced = not _GAP.search(text)
-        parts = text.split(" ") if spaced else _CUT.split(text)
-        first = self._encode(parts[:1])[0] if parts[0] else b""
-        get = self.memo.get
-        rest = parts[1:] if spaced else [p[1:] for p in parts[1:]]
-        raw = [get(p) for p in rest]
-        if None in raw:
-            missing = list({p for p, r in zip(rest, raw) if r is None})
-            known = {p: r for p in missing if (r := self.older.get(p)) is not None}
-            new = [p for p in missing if p not in known]
-            if new:
-                known.update(zip(new, self._encode([" " + p for p in new])))
-            raw = [known[p] if r is None else r for p, r in zip(rest, raw)]
-            if len(self.memo) + len(known) > MEMO:
-                self.older, self.memo = self.memo, {}
-            self.memo.update((p, r) for p, r in known.items() if len(p) < 64)
-        return b"".join([first, *raw, self.end])
+        return self.apart.encode(stretches, self.dtype)
+
+    def _behind_space(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each word with a space before it."""
+        raw = list(map(self.memo.get, words))
+        new = [i for i, r in enumerate(raw) if r is None]
+        if new:
+            if len(self.memo) + len(new) > MEMO:
+                self.memo.clear()
+            for i, r in zip(new, self._encode([" " + words[i] for i in new])):
+                raw[i] = r
+                if len(words[i]) <= MEMO_CHARS:
+                    self.memo[words[i]] = r
+        return raw
+
+    def encode(self, array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, each with the end id; how many each has)."""
+        codes, offsets, words = split_words(array)
+        heads, lasts = offsets[:-1], offsets[1:] - 1
+        # A space behind white space does not part pieces: such a text is cut elsewhere.
+        odd = np.array([not w or w[-1].isspace() for w in words], np.bool_)[codes]
+        odd[lasts] = False
+        first = np.array([not words[c] for c in codes[heads]], np.bool_)
+        odd[heads[first]] = False
+        crossed = np.add.reduceat(odd.astype(np.int64), heads) > 0 if len(heads) else np.empty(0, np.bool_)
+        own: list[bytes] = self._encode([words[c] for c in codes[heads]])
+        for d in np.flatnonzero(crossed):
+            own[d] = b"".join(self._encode(_CUT.split(array[int(d)].as_py())))
+        packed = [*self._behind_space(words), *own, self.end]
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        flat = np.frombuffer(b"".join(packed), self.dtype)
+        # Each text as numbers of packed stretches: its own first word, the other words, the end.
+        codes[heads] = len(words) + np.arange(len(own))
+        size_of = np.repeat(crossed, np.diff(offsets))
+        size_of[heads] = False
+        lengths = np.where(size_of, 0, sizes[codes])
+        codes = np.insert(codes, offsets[1:], len(packed) - 1)
+        lengths = np.insert(lengths, offsets[1:], 1)
+        ends = np.cumsum(lengths)
+        place = np.repeat(starts[codes] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        bounds = offsets[1:] + np.arange(1, len(offsets))
+        return flat[place], np.diff(np.concatenate(([0], ends[bounds - 1])))
 
 
 def _held_encoder(held) -> ByteEncoder:
@@ -107,15 +125,14 @@ def write(docs: DataFrame, definition: str, folder: str | None = None) -> DataFr
         width, position, count = encoder.dtype.itemsize, 0, 0
         with write_stream(f"{name}.bin") as ids, write_stream(f"{name}.idx") as index, write_stream(f"{name}.ids") as own:
             for batch in columns:
-                starts = []
-                for text in texts(batch["text"]):
-                    raw = encoder.encode(text)
-                    ids.write(raw)
-                    starts.append(position)
-                    position += len(raw) // width
-                index.write(np.array(starts, "<u8").tobytes())
-                own.write(np.array([NO_ID if d is None else d for d in batch["doc_id"].to_pylist()], "<i8").tobytes())
-                count += len(starts)
+                if not len(batch["text"]):
+                    continue
+                found, sizes = encoder.encode(batch["text"])
+                ids.write(found.tobytes())
+                index.write((position + np.cumsum(sizes) - sizes).astype("<u8").tobytes())
+                own.write(batch["doc_id"].fill_null(NO_ID).to_numpy().astype("<i8").tobytes())
+                position += len(found)
+                count += len(sizes)
             index.write(np.array([position], "<u8").tobytes())
         if count:
             yield {
