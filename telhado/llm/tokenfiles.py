@@ -28,6 +28,9 @@ from .files import mapped, write_stream
 END_ID = 0
 MEMO = 1_500_000
 MEMO_CHARS = 64
+TAILS = 100_000
+# Marks that may end a word; an apostrophe is none, as it may begin a piece with letters.
+_TAIL = ".,;:!?*$%&#|)\"-"
 NO_ID = -(1 << 63)
 # A space behind another character than white space begins a new piece, whatever stands before it.
 _CUT = re.compile(r"(?<=\S)(?= )")
@@ -39,7 +42,7 @@ class ByteEncoder:
 
     No piece of the pre-tokenizer reaches over a space that follows another character, so the ids of
     a text are those of its stretches between such spaces. The library encodes each different
-    stretch of a batch once; a bounded memo keeps stretches for later batches.
+    stretch of a batch once; a bounded memo keeps them for later batches.
     """
 
     def __init__(self, definition: str) -> None:
@@ -50,22 +53,42 @@ class ByteEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.apart = Apart(self.tokenizer)
         self.memo: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.end = np.array([END_ID], self.dtype).tobytes()
 
     def _encode(self, stretches: list[str]) -> list[bytes]:
         return self.apart.encode(stretches, self.dtype)
 
     def _behind_space(self, words: list[str]) -> list[bytes]:
-        """Packed ids of each word with a space before it."""
+        """Packed ids of each word with a space before it.
+
+        Between a letter or digit and a punctuation mark pieces always part, so a word with marks at
+        its end is its core and its marks.
+        """
         raw = list(map(self.memo.get, words))
         new = [i for i, r in enumerate(raw) if r is None]
-        if new:
-            if len(self.memo) + len(new) > MEMO:
-                self.memo.clear()
-            for i, r in zip(new, self._encode([" " + words[i] for i in new])):
-                raw[i] = r
+        if not new:
+            return raw
+        if len(self.memo) + 2 * len(new) > MEMO:
+            self.memo.clear()
+        split: list[tuple[str, str]] = []
+        for i in new:
+            core = words[i].rstrip(_TAIL)
+            split.append((core, words[i][len(core) :]) if core and core[-1].isalnum() else (words[i], ""))
+        for table, wanted, space in (
+            (self.memo, {core for core, _ in split if core not in self.memo}, " "),
+            (self.tails, {tail for _, tail in split if tail and tail not in self.tails}, ""),
+        ):
+            order = list(wanted)
+            table.update(zip(order, self._encode([space + x for x in order])))
+        for i, (core, tail) in zip(new, split):
+            raw[i] = self.memo[core]
+            if tail:
+                raw[i] += self.tails[tail]
                 if len(words[i]) <= MEMO_CHARS:
-                    self.memo[words[i]] = r
+                    self.memo[words[i]] = raw[i]
+        if len(self.tails) > TAILS:
+            self.tails.clear()
         return raw
 
     def encode(self, array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
