@@ -191,8 +191,10 @@ def _matches(docs: DataFrame, benchmark: DataFrame, key: Column) -> tuple[DataFr
         .select("key", "start", F.col("place.item").alias("item"), (F.col("p") - F.col("place.q")).alias("diagonal"))
         .distinct()
     )
+    # Stretches of many copies are small as files and large as rows: never broadcast.
+    around = stretches.select("key", "start", "words").dropDuplicates(["key", "start"])
     laid = lookup_join(
-        pairs.join(stretches.select("key", "start", "words").dropDuplicates(["key", "start"]), ["key", "start"]),
+        pairs.join(around.hint("merge"), ["key", "start"]),
         table.select("item", F.col("words").alias("item_words")),
         ["item"],
         ["key", "diagonal"],
