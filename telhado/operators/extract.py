@@ -69,12 +69,13 @@ def number_attempts(attempts: DataFrame, key: str, order: list[str], at_most: in
 def first_good_records(
     attempts: DataFrame, key: str, order: list[str], at_most: int = 3, rounds: int = 1
 ) -> DataFrame:
-    """Record of the first usable page of each key, among `at_most` attempts of each round.
+    """Record of the first usable page of each key in each round of at most `at_most` attempts.
 
-    A round is the next `at_most` attempts of a key, numbered from 1 in `round`. Every attempted
-    round is kept: `attempt` and all fields are NULL where no page was usable, and a usable page
-    wins even if it holds no field. Pages are parsed before the rows move, so only the ten
-    fields are shuffled, once.
+    A round ends at its first usable page, or after `at_most` attempts; the next one, numbered on
+    in `round`, begins right behind. Every attempted round is kept: `attempt` and all fields are
+    NULL where no page was usable, and a usable page wins even if it holds no field. Attempts
+    are those of one run: pass the day's own. Pages are parsed before the rows move, so only the
+    ten fields are shuffled, once, and a key has at most `at_most * rounds` of them.
     """
     usable = tx.usable_page(F.col("status"), F.col("html"))
     parsed = with_record(
@@ -83,15 +84,20 @@ def first_good_records(
         )
     )
     numbered = number_attempts(parsed, key, order, at_most * rounds)
-    numbered = numbered.withColumn("round", F.ceil(F.col("attempt") / at_most).cast("int"))
-    rank = F.struct(F.when(F.col("usable"), 0).otherwise(1).alias("unusable"), F.col("attempt"))
-    entry = F.struct(rank.alias("rank"), "usable", "attempt", *[col(c) for c in RECORD_COLUMNS])
-    best = numbered.groupBy(col(key), F.col("round")).agg(F.min(entry).alias("best"))
-    good = F.col("best.usable")
-    return best.select(
-        col(key),
-        "round",
-        *[F.when(good, F.col("best").getField(c)).alias(c) for c in ["attempt", *RECORD_COLUMNS]],
+    entry = F.struct("attempt", "usable", *[col(c) for c in RECORD_COLUMNS])
+    tried = numbered.groupBy(col(key)).agg(F.sort_array(F.collect_list(entry)).alias("tried"), F.lit(0).alias("ended"))
+    for n in range(1, rounds + 1):
+        tried = tried.withColumn(
+            "own", F.filter("tried", lambda t: (t["attempt"] > F.col("ended")) & (t["attempt"] <= F.col("ended") + at_most))
+        )
+        good = F.get(F.filter("own", lambda t: t["usable"]), F.lit(0))
+        done = F.struct(F.lit(n).alias("round"), good.alias("best"), (F.size("own") > 0).alias("tried"))
+        tried = tried.withColumn(f"round_{n}", done).withColumn(
+            "ended", F.coalesce(F.col(f"round_{n}.best.attempt"), F.col("ended") + at_most)
+        )
+    each = tried.select(col(key), F.explode(F.array(*[f"round_{n}" for n in range(1, rounds + 1)])).alias("r"))
+    return each.where("r.tried").select(
+        col(key), "r.round", *[F.col("r.best").getField(c).alias(c) for c in ["attempt", *RECORD_COLUMNS]]
     )
 
 

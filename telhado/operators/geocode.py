@@ -9,40 +9,33 @@ from ..session import materialise
 from .boundary import points_in_boundary
 from .joins import lookup_join
 
-# A group up to this many values is small enough for one task's exact median.
-SMALL_GROUP = 1_000_000
+# A range that holds up to this many distinct values is small enough for one running sum.
+RANGE_ROWS = 1_000_000
 BUCKETS = 4096
 
 
-def cep_medians(points: DataFrame, small_group: int = SMALL_GROUP) -> DataFrame:
-    """Exact median latitude and longitude of each postal code's points, NULLs left out."""
-    return exact_medians(points, "cep", ["latitude", "longitude"], small_group)
+def cep_medians(points: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Exact median latitude and longitude of each postal code's points; NULLs and non-finite numbers left out."""
+    return exact_medians(points, "cep", ["latitude", "longitude"], range_rows)
 
 
-def exact_medians(df: DataFrame, key: str, columns: list[str], small_group: int = SMALL_GROUP) -> DataFrame:
-    """Exact median of each column per key, whatever the size of a group.
+def exact_medians(df: DataFrame, key: str, columns: list[str], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Exact median of each column's finite values per key, by one way whatever the size of a group.
 
-    Spark's `median` holds all distinct values of a group in one task. It serves as long as
-    every group is small, which one count shows; larger groups go through `_median_by_narrowing`.
+    Equal values collapse first; after that the values themselves spread a large group.
     """
     keyed = df.select(F.struct(F.col(key)).alias("__k"), *columns)
-    sizes = keyed.groupBy("__k").agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.filter(F.col("n") > small_group).select("__k", F.lit(True).alias("large"))
-    if large.isEmpty():
-        return df.groupBy(key).agg(*[F.median(c).alias(c) for c in columns])
-    large = materialise(large, "large-groups")
-    out = sizes.select("__k")
+    out = keyed.select("__k").distinct()
     for c in columns:
-        # Equal values collapse first; after that the values themselves spread a large group.
-        counts = keyed.filter(F.col(c).isNotNull()).groupBy("__k", F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        tagged = materialise(lookup_join(counts, large, ["__k"], ["v"]), "value-counts")
-        small = tagged.filter(F.col("large").isNull()).groupBy("__k").agg(F.percentile("v", 0.5, F.col("n")).alias(c))
-        narrowed = _median_by_narrowing(tagged.filter("large").drop("large"), small_group)
-        out = out.join(small.unionByName(narrowed.withColumnRenamed("median", c)), "__k", "left")
+        finite = F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+        counts = materialise(
+            keyed.filter(finite).groupBy("__k", F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n")), "value-counts"
+        )
+        out = out.join(_median_by_narrowing(counts, range_rows).withColumnRenamed("median", c), "__k", "left")
     return out.select(F.col(f"__k.{key}").alias(key), *columns)
 
 
-def _median_by_narrowing(counts: DataFrame, small_group: int) -> DataFrame:
+def _median_by_narrowing(counts: DataFrame, range_rows: int) -> DataFrame:
     """(__k, median) of value counts (__k, v, n), by counting into ever narrower ranges.
 
     Each round splits the range that holds a wanted rank into equal buckets, counts them
@@ -66,10 +59,12 @@ def _median_by_narrowing(counts: DataFrame, small_group: int) -> DataFrame:
         inside = lookup_join(counts, ranges, ["__k"], ["v"]).select("__k", "v", "n", F.explode("ranges").alias("range"))
         inside = inside.select("__k", "v", "n", "range.*").filter(F.col("v").between(F.col("lo"), F.col("hi")))
         widest = inside.groupBy("__k", "rank").agg(F.count(F.lit(1)).alias("d")).agg(F.max("d")).head()[0]
-        if widest is None or widest <= small_group:
+        if widest is None or widest <= range_rows:
             break
         width = (F.col("hi") - F.col("lo")) / BUCKETS
-        bucket = F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("lo"), width)), F.lit(0))
+        # Where a range is too wide or too narrow to divide, its least value is split off, so every round shrinks it.
+        usable = (width > 0) & (width < float("inf"))
+        bucket = F.when(usable, F.floor((F.col("v") - F.col("lo")) / width)).otherwise((F.col("v") > F.col("lo")).cast("long"))
         per_bucket = (
             inside.withColumn("b", bucket)
             .groupBy("__k", "rank", "before", "b")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import geodesy, hexes
 from ..functions.hexes import SIZE, centre_x, centre_y
+from ..session import materialise
 from .joins import lookup_join, refuse_columns
 
 WORK_COLUMNS = {"mx", "my", "cell", "q", "r", "reach", "deep", "rx", "stretch", "corner", "near", "home", "home_whole"}
@@ -29,6 +32,15 @@ def neighbourhoods(grid: DataFrame, rings: int = 1) -> DataFrame:
     )
 
 
+def rings_for(reach: float | None, size: float = SIZE) -> int:
+    """Rings of neighbours that hold every hexagon a circle of this radius can touch.
+
+    Rows of hexagons lie one and a half sides apart and each is two sides high, so beyond n rings
+    every hexagon is at least 1.5 n - 0.5 sides away from any point of the middle one.
+    """
+    return max(1, math.floor(((reach or 0.0) / hexes.side(size) + 0.5) / 1.5) + 1)
+
+
 def with_cell(points: DataFrame, size: float = SIZE) -> DataFrame:
     """Add Mercator `mx`, `my` and the cell `q`, `r` of `longitude`, `latitude`.
 
@@ -73,18 +85,20 @@ def hex_join(
     radius: str = "dist_buffer",
     size: float = SIZE,
     zone: int = 24,
-    rings: int = 1,
+    rings: int | None = None,
 ) -> DataFrame:
     """One row per ad and touched hexagon, with `hex_id`; an ad that touches none keeps one row, NULL there.
 
     An ad looks up the list of grid cells around its own cell and tests its circle against
-    each: one join, no re-join and no pairs to discard. One ring of neighbours is enough while
-    a circle's radius on the Mercator plane is under a hexagon's side (2,886 m at the default
-    size, so for 1,000 m up to 69 degrees of latitude); ask for more `rings` beyond that.
+    each: one join, no re-join and no pairs to discard. How many rings of neighbours are looked
+    at follows from the largest circle on the Mercator plane, which one aggregate finds; a
+    caller that knows it may give `rings` and save that pass.
     """
     refuse_columns(ads, WORK_COLUMNS)
     reach = geodesy.mercator_reach(F.col(radius), F.col("longitude"), F.col("latitude"), zone)
     placed = with_cell(ads, size).withColumn("reach", F.when(F.col("mx").isNotNull(), reach))
+    if rings is None:
+        rings = rings_for(placed.agg(F.max(F.greatest("reach.x", "reach.y"))).head()[0], size)
     # Most circles lie inside their own cell; those need no look at the neighbours.
     own_x = F.col("mx") - centre_x(F.col("q"), F.col("r"), size)
     own_y = F.col("my") - centre_y(F.col("r"), size)
@@ -95,7 +109,10 @@ def hex_join(
             "stretch": F.try_divide("reach.x", "reach.y"),
         }
     ).withColumn("corner", F.col("stretch") * (hexes.side(size) / 2)).drop("reach")
-    joined = lookup_join(placed, neighbourhoods(grid, rings), ["q", "r"], spread_by)
+    near = materialise(neighbourhoods(grid, rings), "neighbourhoods")
+    # Nested outlines take many times the bytes of their file: count them.
+    held = F.aggregate("near", F.lit(96), lambda a, c: a + 64 + 40 * F.size(c["outline"]))
+    joined = lookup_join(placed, near, ["q", "r"], spread_by, held)
     x, y, rx, stretch, corner = (F.col(c) for c in ("mx", "my", "rx", "stretch", "corner"))
 
     def folded(c: Column) -> Column:

@@ -74,7 +74,11 @@ def indicators(ads: DataFrame, key: str, labels: list[str] | None = None) -> Dat
     if labels is None:
         # Read twice: for the labels, which become column names, and for the final aggregate.
         per_rooms = materialise(per_rooms, "rooms")
-        found = per_rooms.select("label").filter(F.col("label").isNotNull()).distinct().orderBy("label").collect()
+        most = int(ads.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        distinct = per_rooms.select("label").filter(F.col("label").isNotNull()).distinct()
+        found = distinct.orderBy("label").limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"more than {most} room labels; see spark.sql.pivotMaxValues, or use rooms_long")
         labels = [row["label"] for row in found]
     by_label = [
         F.try_divide(

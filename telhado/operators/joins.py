@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 SALT = "__salt"
 SALT_BYTES = 64 * 1024 * 1024
-MAX_SALTS = 512
 # Compressed files and exploded arrays hold several times the bytes the planner sees.
 SIZE_MARGIN = 8
 
@@ -33,11 +32,11 @@ def left_join_nullsafe(left: DataFrame, right: DataFrame, key: str) -> DataFrame
 def salt_count(right: DataFrame) -> int:
     """Ways to split each key: as many as shuffle partitions, while copying `right` that often stays cheap.
 
-    The copies may add SALT_BYTES to each shuffle partition, and there are never more than MAX_SALTS.
+    The copies may add SALT_BYTES to each shuffle partition.
     """
     partitions = int(right.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     affordable = partitions * SALT_BYTES // max(planned_bytes(right), 1)
-    return max(2, min(partitions, affordable, MAX_SALTS))
+    return max(2, min(partitions, affordable))
 
 
 def salted_left_join(
@@ -54,13 +53,20 @@ def salted_left_join(
     return salted.join(copies, [*keys, SALT], "left").drop(SALT)
 
 
-def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str | Column]) -> DataFrame:
+def lookup_join(
+    left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str | Column], row_bytes: Column | None = None
+) -> DataFrame:
     """Left join of many rows to a reference table unique on `keys`.
 
     Broadcasts `right` only when the planner's size for it, times SIZE_MARGIN, is under the
-    session's broadcast limit; otherwise joins by shuffle with the keys of `left` salted.
+    session's broadcast limit; otherwise joins by shuffle with the keys of `left` salted. For rows
+    whose size the planner cannot know, `row_bytes` says what each takes, and is summed up.
     """
-    if planned_bytes(right) * SIZE_MARGIN <= broadcast_limit(right):
+    if row_bytes is None:
+        size = planned_bytes(right) * SIZE_MARGIN
+    else:
+        size = right.agg(F.sum(row_bytes)).head()[0] or 0
+    if size <= broadcast_limit(right):
         return left.join(F.broadcast(right), keys, "left")
     return salted_left_join(left, right, keys, spread_by)
 

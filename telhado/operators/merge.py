@@ -14,13 +14,14 @@ PRIORITY = "__priority"
 
 
 def new_rows(current: DataFrame, previous: DataFrame, key: str = "url") -> DataFrame:
-    """Rows of `current` whose key `previous` does not hold."""
-    return current.join(distinct_keys(previous, key), key, "left_anti")
+    """Rows of `current` whose key `previous` does not hold; rows without a key stay and are not shuffled by it."""
+    keyed = current.filter(col(key).isNotNull()).join(distinct_keys(previous, key), key, "left_anti")
+    return keyed.unionByName(current.filter(col(key).isNull()))
 
 
 def rows_with_keys(current: DataFrame, keys: DataFrame, key: str = "url") -> DataFrame:
     """Rows of `current` whose key is in `keys`."""
-    return current.join(distinct_keys(keys, key), key, "left_semi")
+    return current.filter(col(key).isNotNull()).join(distinct_keys(keys, key), key, "left_semi")
 
 
 def merge_by_precedence(frames: list[DataFrame], key: str, order: list[str | Column]) -> DataFrame:

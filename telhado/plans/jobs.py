@@ -9,7 +9,7 @@ from ..operators import boundary, clean, extract, geocode, hexgrid, indicators a
 from ..operators.distinct import first_per_key
 from ..operators.hexjoin import hex_join
 from ..operators.joins import lookup_join
-from ..schemas import ADS, ADS_WITH_COORDS, PRICE, col, ensure_columns
+from ..schemas import ADS, ADS_WITH_COORDS, COORDS, PRICE, col, ensure_columns
 from ..session import materialise, scratch
 from ..sources import snapshots
 
@@ -103,7 +103,7 @@ def run_bronze_municipal(
     root = snapshots.snapshot_root(base, "bronze", "municipal")
     previous = snapshots.read_latest_or_empty(spark, root, ADS)
     records = extract.first_good_records(attempts, "url", attempt_order, rounds=2)
-    ready = bronze_municipal(ensure_columns(previous, ADS), listing, records, order)
+    ready = bronze_municipal(previous, listing, records, order)
     seen = Observation("changes")
     watched = ready.observe(seen, *merge.change_marks("price_before", PRICE))
     return snapshots.write_snapshot(
@@ -120,7 +120,7 @@ def run_bronze_hexagonal(
 ) -> str:
     raw = snapshots.read_latest(spark, snapshots.snapshot_root(base, "bronze", "municipal"))
     root = snapshots.snapshot_root(base, "bronze", "hexagonal")
-    previous = snapshots.read_latest_or_empty(spark, root, ADS_WITH_COORDS)
+    previous = snapshots.read_latest_or_empty(spark, root, ADS_WITH_COORDS, tuple(COORDS.fieldNames()))
     with scratch(spark):
         medians = geocode.cep_medians(cep_points)
         out = bronze_hexagonal(raw, previous, medians, answers=answers, vertices=vertices)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -32,12 +34,20 @@ def _test_dir(application: str) -> str:
     return tempfile.mkdtemp(prefix="telhado-")
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the session names in spark.checkpoint.dir.
 
-    Only an application that names none (a local test run) gets a temporary folder.
+    Only a local session that names none gets a temporary folder: on a cluster each executor would
+    write to a disk of its own, so there the setting must be given.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not is_local(spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return (root or _test_dir(spark.sparkContext.applicationId)).rstrip("/")
 
 
@@ -51,7 +61,14 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-_written: list[str] = []
+_scratch = threading.local()
+
+
+def _written() -> list[str]:
+    """Tables this thread has materialised: jobs in other threads keep their own."""
+    if not hasattr(_scratch, "paths"):
+        _scratch.paths = []
+    return _scratch.paths
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -63,17 +80,18 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    _written.append(path)
+    _written().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables materialised inside are deleted at the end, when the job's own output is written."""
-    before = len(_written)
+    written = _written()
+    before = len(written)
     try:
         yield
     finally:
-        for path in _written[before:]:
+        for path in written[before:]:
             remove(spark, path)
-        del _written[before:]
+        del written[before:]

@@ -11,6 +11,8 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from ..schemas import ensure_columns
 from ..session import remove
 
 LAYERS = ("bronze", "silver", "gold")
@@ -70,13 +72,18 @@ def read_latest(spark: SparkSession, root: str, schema: T.StructType | None = No
     return read_parquet(spark, path, schema)
 
 
-def read_latest_or_empty(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Newest snapshot, or an empty table when there is none or it lacks a column of `schema`."""
+def read_latest_or_empty(
+    spark: SparkSession, root: str, schema: T.StructType, needs: tuple[str, ...] = ("url",)
+) -> DataFrame:
+    """Newest snapshot with every column of `schema`, those it lacks as NULLs.
+
+    An empty table when there is none, or when it lacks a column of `needs`, without which its rows say nothing.
+    """
     path = latest_path(spark, root)
     if path is not None:
         found = read_parquet(spark, path)
-        if set(schema.fieldNames()) <= set(found.columns):
-            return found
+        if set(needs) <= set(found.columns):
+            return ensure_columns(found, schema)
     return spark.createDataFrame([], schema)
 
 

@@ -587,10 +587,17 @@ def _(d: Data):
 def _first_good(source: str, key: str, order: str, rounds: int = 1) -> str:
     """CTEs up to `records`: record of the first usable page of each round of three attempts, per key."""
     plain = ", ".join(SQL_FIELDS.values())
+    second = f"""
+second_round AS (SELECT t.{key}, CAST(min(t.attempt) FILTER (WHERE t.good) AS INTEGER) AS attempt
+  FROM tried t JOIN first_round f ON f.{key} IS NOT DISTINCT FROM t.{key}
+  WHERE t.attempt > coalesce(f.attempt, 3) AND t.attempt <= coalesce(f.attempt, 3) + 3 GROUP BY t.{key}),"""
+    also = f" UNION ALL SELECT {key}, 2, attempt FROM second_round"
     return f"""
 numbered AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS attempt FROM {source}),
-tried AS (SELECT {key}, attempt, CAST((attempt + 2) // 3 AS INTEGER) AS round, ({USABLE}) AS good, html FROM numbered WHERE attempt <= {3 * rounds}),
-best AS (SELECT {key}, round, CAST(min(attempt) FILTER (WHERE good) AS INTEGER) AS attempt FROM tried GROUP BY {key}, round),
+tried AS (SELECT {key}, attempt, ({USABLE}) AS good, html FROM numbered WHERE attempt <= {3 * rounds}),
+first_round AS (SELECT {key}, CAST(min(attempt) FILTER (WHERE good) AS INTEGER) AS attempt FROM tried WHERE attempt <= 3 GROUP BY {key}),
+{second if rounds > 1 else ""}
+best AS (SELECT {key}, 1 AS round, attempt FROM first_round{also if rounds > 1 else ""}),
 page AS (SELECT b.{key}, b.round, b.attempt, t.html FROM best b LEFT JOIN tried t ON t.{key} = b.{key} AND t.attempt = b.attempt),
 {_json('page', f'{key}, round, attempt')},
 records AS (SELECT {key}, round, attempt, {plain} FROM fields)

@@ -179,12 +179,23 @@ def test_hex_join(spark, grid):
     check_join(spark, grid)
 
 
+def test_wide_circles_look_at_more_rings(spark, grid):
+    assert [hexjoin.rings_for(r * SIDE) for r in (0, 0.99, 1.0, 2.4, 2.6)] == [1, 1, 2, 2, 3]
+    assert hexjoin.rings_for(None) == 1
+    ads = spots(spark).withColumn("dist_buffer", F.lit(6000.0))
+    found, least, many = (
+        sorted(map(str, hexjoin.hex_join(ads, grid, ["ad_id"], rings=n).select("ad_id", "hex_id").collect()))
+        for n in (None, 1, 5)
+    )
+    assert found == many and len(least) < len(many)
+
+
 def test_hex_join_without_broadcast(spark, grid, shuffled_joins):
     check_join(spark, grid)
 
 
 def test_more_rings_change_nothing(spark, grid):
-    one = hexjoin.hex_join(spots(spark), grid, ["ad_id"]).select("ad_id", "hex_id")
+    one = hexjoin.hex_join(spots(spark), grid, ["ad_id"], rings=1).select("ad_id", "hex_id")
     two = hexjoin.hex_join(spots(spark), grid, ["ad_id"], rings=2).select("ad_id", "hex_id")
     assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
 

@@ -79,10 +79,20 @@ def test_first_good_attempt(spark):
     assert got == {"a": (3, "3"), "b": (1, None), "c": (None, None)}
     both = extract.first_good_records(log, "url", ["n"], rounds=2).collect()
     assert {(r["url"], r["round"]): (r["attempt"], r[PRICE]) for r in both} == {
-        ("a", 1): (3, "3"), ("a", 2): (4, "4"), ("b", 1): (1, None), ("c", 1): (None, None), ("c", 2): (4, "4"),
+        ("a", 1): (3, "3"), ("a", 2): (4, "4"), ("b", 1): (1, None), ("b", 2): (2, "2"), ("c", 1): (None, None),
+        ("c", 2): (4, "4"),
     }
 
 
+def test_second_round_begins_behind_the_first_usable_page(spark, ads):
+    good = '"adDetail":{"price":"100"}'
+    log = spark.createDataFrame([("new", 1, 200, "no fields"), ("new", 2, 200, good)], "url string, n int, status int, html string")
+    records = extract.first_good_records(log, "url", ["n"], rounds=2)
+    listing = spark.createDataFrame([("new", "N")], "url string, titulos string")
+    out = jobs.bronze_municipal(ads([("old", "O", "1", None)]), listing, records, ["titulos"])
+    assert {r["url"]: r[PRICE] for r in out.collect()} == {"new": "100", "old": "1"}
+
+
 def test_new_ads_are_tried_twice_old_ones_once(spark, ads):
     good = '"adDetail":{"price":"%s"}'
     log = [(u, n, 503, None) for u in ("new", "old") for n in (1, 2, 3)] + [(u, 4, 200, good % 4) for u in ("new", "old")]
@@ -179,15 +189,15 @@ def test_lookup_paths_agree(spark, shuffled_joins):
 # Medians
 
 
-@pytest.mark.parametrize("small_group", [1, 3, 10_000])
-def test_exact_medians(spark, small_group):
+@pytest.mark.parametrize("range_rows", [1, 3, 10_000])
+def test_exact_medians(spark, range_rows):
     rows = [("hot", float(i * i % 997), float(i)) for i in range(1000)]
     rows += [("even", 1.0, 2.0), ("even", 2.0, None), ("even", 8.0, 4.0), ("even", 4.0, 4.5)]
     rows += [("one", 5.0, None), ("same", 3.0, 3.0), ("same", 3.0, 3.0), ("same", 3.0, 3.0), (None, 1.0, 1.0)]
     rows += [(None, float(i % 5), float(i)) for i in range(20)] + [("void", None, None)] * 12
     rows += [("near", 20.0 + i * 1e-9, -1e9 * (i % 7)) for i in range(50)]
     table = spark.createDataFrame(rows, "cep string, latitude double, longitude double")
-    got = {r["cep"]: (r["latitude"], r["longitude"]) for r in geocode.cep_medians(table, small_group).collect()}
+    got = {r["cep"]: (r["latitude"], r["longitude"]) for r in geocode.cep_medians(table, range_rows).collect()}
     for key in {r[0] for r in rows}:
         for axis in (1, 2):
             present = [r[axis] for r in rows if r[0] == key and r[axis] is not None]
@@ -196,6 +206,15 @@ def test_exact_medians(spark, small_group):
     assert len(got) == 7
 
 
+@pytest.mark.parametrize("range_rows", [1, 3, 10_000])
+def test_medians_leave_out_what_is_no_number(spark, range_rows):
+    odd = [float("inf"), float("-inf"), float("nan"), None]
+    rows = [("a", v, 1.0) for v in odd] + [("a", float(i), -1.7e308 if i % 2 else 1.7e308) for i in range(9)] + [("b", v, v) for v in odd]
+    table = spark.createDataFrame(rows, "cep string, latitude double, longitude double")
+    got = {r["cep"]: (r["latitude"], r["longitude"]) for r in geocode.cep_medians(table, range_rows).collect()}
+    assert got == {"a": (4.0, 1.0), "b": (None, None)}
+
+
 def test_geocoder_answers(spark):
     ok = '{"status":"OK","results":[{"geometry":{"location":{"lat":-20.5,"lng":-40}}},{"geometry":{"location":{"lat":1,"lng":2}}}]}'
     rows = [("a", ok), ("b", '{"status":"OK","results":[]}'), ("c", '{"status":"DENIED"}'), ("d", "oops"), ("e", None)]
@@ -248,8 +267,14 @@ def test_snapshots(spark, tmp_path):
     broken = snapshots.write_snapshot(spark.range(9), root, "20240111")
     os.remove(os.path.join(broken, "_SUCCESS"))
     assert snapshots.read_latest(spark, root).count() == 4
-    # Columns missing: as good as none.
+    # Without the columns that are needed: as good as none.
     assert snapshots.read_latest_or_empty(spark, root, ADS_WITH_COORDS).isEmpty()
+    # Without others: the rows stay, and the columns are NULL.
+    short = spark.createDataFrame([("u", "t")], "url string, titulos string")
+    snapshots.write_snapshot(short, root, "20240111")
+    kept = snapshots.read_latest_or_empty(spark, root, ADS)
+    assert [(r["url"], r["titulos"], r["UF"]) for r in kept.collect()] == [("u", "t", None)]
+    assert snapshots.read_latest_or_empty(spark, root, ADS_WITH_COORDS, ("url", "latitude")).isEmpty()
     # A run that is not wanted leaves nothing behind.
     assert snapshots.write_snapshot(spark.range(7), root, "20240112", keep=lambda: False) is None
     assert not os.path.exists(os.path.join(root, "snapshot_date=20240112", "run=001"))
