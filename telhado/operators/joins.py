@@ -50,7 +50,8 @@ def salted_left_join(
     cols = [F.col(f"`{c}`") if isinstance(c, str) else c for c in spread_by]
     salted = left.withColumn(SALT, F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int"))
     copies = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, SALT], "left").drop(SALT)
+    # The planner sees the size of one copy and would broadcast them all.
+    return salted.join(copies.hint("merge"), [*keys, SALT], "left").drop(SALT)
 
 
 def lookup_join(
