@@ -146,10 +146,9 @@ def _(d: Data):
     return merge.urls_without_coordinates(d["ads_prev"])
 
 
-@query("parquet_scan", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 100000")
+@query("parquet_scan", "SELECT o_orderkey, o_totalprice FROM orders")
 def _(d: Data):
-    scan = snapshots.read_parquet(d.spark, f"{d.sf_dir}/orders.parquet")
-    return scan.filter(F.col("o_totalprice") > 100000).select("o_orderkey", "o_totalprice")
+    return snapshots.read_parquet(d.spark, f"{d.sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
 
 
 # Silver and gold, municipal track
@@ -551,9 +550,10 @@ def _(d: Data):
     return extract.usable_pages(d["fetch_log"]).select("ad_id", "event_id", "html")
 
 
-@query("ad_detail", f"WITH {_json('fetch_log', 'event_id')} SELECT event_id, preco, area_m2, n_quartos FROM fields", ("fetch_log",))
+@query("ad_detail", f"WITH {_json('fetch_log', 'event_id')} SELECT event_id, preco, area_m2, n_quartos, n_banheiros, n_vagas_garagem FROM fields", ("fetch_log",))
 def _(d: Data):
-    return shown(extract.with_record(d["fetch_log"].select("event_id", "html"))).select("event_id", "preco", "area_m2", "n_quartos")
+    found = shown(extract.with_record(d["fetch_log"].select("event_id", "html")))
+    return found.select("event_id", "preco", "area_m2", "n_quartos", "n_banheiros", "n_vagas_garagem")
 
 
 @query(
@@ -606,12 +606,12 @@ records AS (SELECT {key}, round, attempt, {plain} FROM fields)
 
 @query(
     "first_good_attempt",
-    f"WITH {_first_good('fetch_log', 'ad_id', 'ts, event_id')} SELECT ad_id, attempt, preco, area_m2, n_quartos FROM records",
+    f"WITH {_first_good('fetch_log', 'ad_id', 'ts, event_id')} SELECT * EXCLUDE (round) FROM records",
     ("fetch_log",),
 )
 def _(d: Data):
     found = extract.first_good_records(d["fetch_log"], "ad_id", ["ts", "event_id"])
-    return shown(found).select("ad_id", "attempt", "preco", "area_m2", "n_quartos")
+    return shown(found).drop("round")
 
 
 @query(
@@ -663,6 +663,33 @@ def _(d: Data):
     return shown(bronze_munic(d).drop("is_new", "price_before"))
 
 
+@query(
+    "bronze_munic_short_snapshot",
+    "SELECT url, titulos, preco IS NULL AS unpriced FROM (SELECT url, min(titulos) AS titulos, NULL AS preco FROM ads_prev GROUP BY url)",
+    ("ads_prev",),
+)
+def _(d: Data):
+    """A stored snapshot with two columns only is kept whole; the columns it lacks are NULL."""
+    root = f"{fresh_path(d.spark, 'short')}/bronze/municipal"
+    short = d["ads_prev"].groupBy("url").agg(F.min("titulos").alias("titulos"))
+    snapshots.write_snapshot(short, root, "20240101")
+    kept = snapshots.read_latest_or_empty(d.spark, root, ADS)
+    return kept.select("url", "titulos", col(PRICE).isNull().alias("unpriced"))
+
+
+@query(
+    "required_snapshot",
+    "SELECT url, min(titulos) AS titulos FROM ads_curr GROUP BY url",
+    ("ads_curr",),
+)
+def _(d: Data):
+    """The newest complete snapshot of a root that has one; without one the reader stops."""
+    root = f"{fresh_path(d.spark, 'required')}/bronze/municipal"
+    for stamp, table in (("20240101", "ads_prev"), ("20240102", "ads_curr")):
+        snapshots.write_snapshot(d[table].groupBy("url").agg(F.min("titulos").alias("titulos")), root, stamp)
+    return snapshots.read_latest(d.spark, root)
+
+
 @query(
     "change_summary",
     f"{BRONZE_MUNIC} SELECT *, n_new > 0 OR n_unpriced_after < n_unpriced_before AS changed FROM (SELECT count(*) AS n_rows, "

@@ -382,3 +382,9 @@ def _(d: Data):
 @query("indicators_hex", f"{SILVER_HEX}, {gold('hex_id', 'hexed')}", ("boundary", "ads"))
 def _(d: Data):
     return rounded(jobs.gold(jobs.silver_hexagonal(d.bronze(), built_grid(d)), "hex_id", ROOMS))
+
+
+@query("indicators_hex_found_labels", f"{SILVER_HEX}, {gold('hex_id', 'hexed')}", ("boundary", "ads"))
+def _(d: Data):
+    """Room labels read from the data, as when the caller names none."""
+    return rounded(jobs.gold(jobs.silver_hexagonal(d.bronze(), built_grid(d)), "hex_id"))
