@@ -69,12 +69,17 @@ def change_counts(merged: DataFrame, before: str, after: str, is_new: str = "is_
     return counted.withColumn("changed", changed)
 
 
-def change_marks(before: str, after: str, is_new: str = "is_new") -> list[Column]:
-    """Counts to observe while a merge is written: new rows, and rows that got their price."""
-    return [
-        F.count_if(F.col(is_new)).alias("n_new"),
-        F.count_if(col(before).isNull() & col(after).isNotNull()).alias("n_repaired"),
-    ]
+def anything_changes(previous: DataFrame, listing: DataFrame, records: DataFrame, order: list[str | Column]) -> bool:
+    """Whether the listing has a URL that `previous` lacks, or an unpriced ad of `previous` now has a priced record.
+
+    Reads URLs and prices only, and stops at the first of either.
+    """
+    if not new_rows(valid_urls(listing).select("url"), previous.select("url")).isEmpty():
+        return True
+    # Order columns that only the listing has are NULL for stored rows.
+    absent = {o: F.lit(None).cast("string") for o in order if isinstance(o, str) and o not in previous.columns}
+    bare = unpriced(first_per_key(previous.withColumns(absent), "url", order)).select("url")
+    return not rows_with_keys(records.filter(col(PRICE).isNotNull()).select("url"), bare).isEmpty()
 
 
 def unpriced(ads: DataFrame) -> DataFrame:

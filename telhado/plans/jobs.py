@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import buffer_radius, standard_cep
 from ..operators import boundary, clean, extract, geocode, hexgrid, indicators as ind, merge
@@ -96,22 +96,18 @@ def run_bronze_municipal(
     spark: SparkSession, base: str, stamp: str, listing: DataFrame, attempts: DataFrame, order: list[str],
     attempt_order: list[str],
 ) -> str | None:
-    """Write the day's ads; keeps nothing and returns None when nothing is new or repaired.
+    """Write the day's ads; writes nothing and returns None when nothing is new or repaired.
 
-    New and repaired rows are counted while the rows are written, so the merge runs once.
+    That is decided from keys and prices alone, before any row is merged.
     """
     root = snapshots.snapshot_root(base, "bronze", "municipal")
     previous = snapshots.read_latest_or_empty(spark, root, ADS)
-    records = extract.first_good_records(attempts, "url", attempt_order, rounds=2)
-    ready = bronze_municipal(previous, listing, records, order)
-    seen = Observation("changes")
-    watched = ready.observe(seen, *merge.change_marks("price_before", PRICE))
-    return snapshots.write_snapshot(
-        watched.select(*[col(c) for c in ADS.fieldNames()]),
-        root,
-        stamp,
-        keep=lambda: seen.get["n_new"] > 0 or seen.get["n_repaired"] > 0,
-    )
+    with scratch(spark):
+        records = materialise(extract.first_good_records(attempts, "url", attempt_order, rounds=2), "records")
+        if not merge.anything_changes(previous, listing, records.filter("round = 1"), order):
+            return None
+        ready = bronze_municipal(previous, listing, records, order)
+        return snapshots.write_snapshot(ready.select(*[col(c) for c in ADS.fieldNames()]), root, stamp)
 
 
 def run_bronze_hexagonal(

@@ -313,6 +313,7 @@ def test_whole_run(spark, tmp_path):
         ("u1", "Casa", "R$ 350.000"), ("u2", "Apto", None), ("u3", "Lote", None),
     ]
     assert collect("20240102", attempts) is None
+    assert snapshots.snapshot_stamps(spark, snapshots.snapshot_root(base, "bronze", "municipal")) == ["20240101"]
     retry = spark.createDataFrame(log + [("u2", 2, 200, page("120000", "Vila Velha", "29200100"))], attempts.schema)
     assert collect("20240103", retry)
     bronze = snapshots.read_latest(spark, snapshots.snapshot_root(base, "bronze", "municipal"))
