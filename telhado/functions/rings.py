@@ -15,16 +15,36 @@ POLYGONS = "hex_id int, polygons array<array<array<struct<x: double, y: double>>
 
 
 def chain_rings(pieces: list[dict], tolerance: float = 1e-3) -> list[list[tuple[float, float]]]:
-    """Closed rings from directed pieces laid end to start (ends meet within `tolerance`)."""
-    left = [((p["ax"], p["ay"]), (p["bx"], p["by"])) for p in pieces]
+    """Closed rings from directed pieces laid end to start (ends meet within `tolerance`).
+
+    Starts are found by their place on a lattice of `tolerance`. Only where none lies next to an
+    end is the nearest of all taken.
+    """
+    left = {i: ((p["ax"], p["ay"]), (p["bx"], p["by"])) for i, p in enumerate(pieces)}
+
+    def spot(point: tuple[float, float]) -> tuple[int, int]:
+        return int(point[0] // tolerance), int(point[1] // tolerance)
+
+    starts: dict[tuple[int, int], list[int]] = {}
+    for i, (a, _) in left.items():
+        starts.setdefault(spot(a), []).append(i)
+
+    def gap(end: tuple[float, float], i: int) -> float:
+        a = left[i][0]
+        return max(abs(end[0] - a[0]), abs(end[1] - a[1]))
+
+    def take(i: int) -> tuple[tuple[float, float], tuple[float, float]]:
+        starts[spot(left[i][0])].remove(i)
+        return left.pop(i)
+
     rings = []
     while left:
-        start, end = left.pop()
+        start, end = take(next(reversed(left)))
         ring = [start]
         while left and max(abs(end[0] - start[0]), abs(end[1] - start[1])) > tolerance:
-            gap = [max(abs(end[0] - a[0]), abs(end[1] - a[1])) for a, _ in left]
-            best = gap.index(min(gap))
-            a, end = left.pop(best)
+            x, y = spot(end)
+            near = [i for u in (x - 1, x, x + 1) for v in (y - 1, y, y + 1) for i in starts.get((u, v), ())]
+            a, end = take(min(near or left, key=lambda i: gap(end, i)))
             ring.append(a)
         rings.append([*ring, start])
     return [r for r in rings if len(r) > 3]

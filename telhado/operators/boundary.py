@@ -46,14 +46,17 @@ class Slabs:
 
 
 def edge_slabs(edges: DataFrame) -> Slabs:
-    """Slabs of one height, as many as half the edges (64 to 65,536), so each holds a few edges.
+    """Slabs of one height: as many as half the edges (64 at least), but none lower than the mean edge.
 
-    The table is written: a boundary is small, and only its true size shows that to the planner.
+    So a slab holds a few edges however long the boundary, and the table about two rows an edge.
+    It is written: a boundary is small, and only its true size shows that to the planner.
     """
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     extent = edges.agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.least("y1", "y2")).alias("low"), F.max(F.greatest("y1", "y2")).alias("high")
+        F.count(F.lit(1)).alias("n"), F.min(low).alias("low"), F.max(high).alias("high"), F.avg(high - low).alias("mean")
     ).head()
-    height = ((extent["high"] or 0.0) - (extent["low"] or 0.0)) / min(65536, max(64, extent["n"] // 2)) or 1.0
+    span = (extent["high"] or 0.0) - (extent["low"] or 0.0)
+    height = max(span / max(64, extent["n"] // 2), extent["mean"] or 0.0) or 1.0
     lowest = F.floor(F.least("y1", "y2") / height).cast("bigint")
     highest = F.floor(F.greatest("y1", "y2") / height).cast("bigint")
     spread = edges.filter(F.col("y1") != F.col("y2")).select(

@@ -12,6 +12,21 @@ from ..operators.joins import lookup_join
 from ..schemas import ADS, ADS_WITH_COORDS, COORDS, PRICE, col, ensure_columns
 from ..session import materialise, scratch
 from ..sources import snapshots
+from . import collection
+
+
+def collected_listing(bands: DataFrame, answers: DataFrame, pages: DataFrame, base: str) -> DataFrame:
+    """Cards of all result pages of the price bands: (low, high, page, pos, url, titulos).
+
+    `answers` (request_url, status, result_text) are those to each band's first page, `pages`
+    (request_url, status, html) the landed result pages, both unique on `request_url`. Bands without
+    results, and pages that failed or were not asked for, drop out.
+    """
+    first = collection.with_request_url(bands, base).join(answers, "request_url")
+    wanted = collection.page_requests(collection.with_page_count(first)).select("low", "high", "page")
+    asked = collection.with_request_url(wanted, base, F.col("page"))
+    landed = asked.join(pages.select("request_url", "status", "html"), "request_url").drop("request_url")
+    return extract.listing(landed)
 
 
 def bronze_municipal(

@@ -631,11 +631,12 @@ def _filled_from(rec: str, base: str, when: str) -> str:
     return ", ".join(f"CASE WHEN {hit} THEN {rec}.{c} ELSE {base}.{c} END AS {c}" for c in SQL_FIELDS.values())
 
 
-BRONZE_MUNIC = f"""
+def _bronze(fresh: str) -> str:
+    """CTEs up to `done`, with `fresh` the listing's unseen ads (url, titulos)."""
+    return f"""
 WITH {_first_good('ad_fetches', 'url', 'try_no, tie_1, tie_2', 2)},
 old AS (SELECT {RAW_COLUMNS} FROM ads_prev QUALIFY row_number() OVER (PARTITION BY url ORDER BY titulos) = 1),
-fresh AS (SELECT url, min(titulos) AS titulos FROM ads_curr c WHERE url IS NOT NULL AND url <> ''
-          AND NOT EXISTS (SELECT 1 FROM ads_prev p WHERE p.url = c.url) GROUP BY url),
+{fresh},
 both_ AS (SELECT *, FALSE AS is_new FROM old
   UNION ALL SELECT url, titulos, {', '.join('NULL' for _ in RECORD_COLUMNS)}, TRUE FROM fresh),
 rec AS (SELECT * FROM records WHERE coalesce({', '.join(SQL_FIELDS.values())}) IS NOT NULL),
@@ -647,11 +648,38 @@ done AS (SELECT a.url, a.titulos, a.is_new, CASE WHEN a.is_new THEN a.preco ELSE
 """
 
 
+UNSEEN = "url IS NOT NULL AND url <> '' AND NOT EXISTS (SELECT 1 FROM ads_prev p WHERE p.url = c.url)"
+BRONZE_MUNIC = _bronze(f"fresh AS (SELECT url, min(titulos) AS titulos FROM ads_curr c WHERE {UNSEEN} GROUP BY url)")
+
+# From the cards before they become pages, so that no pattern is shared with the query.
+BRONZE_FROM_PAGES = _bronze(f"""
+fresh AS (SELECT url, titulos FROM page_cards c
+  WHERE (b + page) % 17 <> 4 AND b % 23 <> 5 AND b % 29 <> 7 AND {UNSEEN}
+    AND page <= (SELECT max(m.page) FROM page_cards m WHERE m.b = c.b) - CASE WHEN b % 7 = 3 THEN 1 ELSE 0 END
+  QUALIFY row_number() OVER (PARTITION BY url ORDER BY low, page, slot) = 1)""")
+
+
+def ad_records(d: Data) -> DataFrame:
+    return extract.first_good_records(d["ad_fetches"], "url", ["try_no", "tie_1", "tie_2"], rounds=2)
+
+
 def bronze_munic(d: Data) -> DataFrame:
-    records = extract.first_good_records(d["ad_fetches"], "url", ["try_no", "tie_1", "tie_2"], rounds=2)
-    return jobs.bronze_municipal(
-        municipal(d, "ads_prev"), d["ads_curr"].select("url", "titulos"), records, ["titulos"]
+    listing = d["ads_curr"].select("url", "titulos")
+    return jobs.bronze_municipal(municipal(d, "ads_prev"), listing, ad_records(d), ["titulos"])
+
+
+@query(
+    "bronze_from_pages",
+    f"{BRONZE_FROM_PAGES} SELECT url, titulos, {', '.join(SQL_FIELDS.values())} FROM done",
+    ("ads_prev", "page_cards", "ad_fetches"),
+)
+def _(d: Data):
+    """From price bands and landed result pages, by the usual patterns, to the merged table."""
+    listing = jobs.collected_listing(
+        collection.price_bands(d.spark), d["band_answers"], d["listing_pages"], SEARCH
     )
+    merged = jobs.bronze_municipal(municipal(d, "ads_prev"), listing, ad_records(d), ["low", "page", "pos", "titulos"])
+    return shown(merged).select("url", "titulos", *SQL_FIELDS.values())
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import geodesy, rings, text as tx
 from ..operators import boundary, clean, geocode, hexgrid, hexjoin
@@ -12,7 +12,7 @@ from ..session import materialise
 from ..sources import landed
 from .queries_ads import MUNIC_OUT, rounded, shown
 from .registry import query
-from .sql import ROOMS, cells_of, cep, edges, gold, grid, hex_join, mx, my, odd_crossings, silver
+from .sql import H, ROOMS, S, cells_of, cep, edges, gold, grid, hex_join, mx, my, odd_crossings, silver
 from .views import Data
 
 MEDIANS = "medians AS (SELECT cep, median(latitude) AS latitude, median(longitude) AS longitude FROM cep_points GROUP BY cep)"
@@ -186,6 +186,74 @@ def _(d: Data):
     return geodesy.with_buffer_wkt(ads).select("ad_id", "buffer_wkt")
 
 
+def outline_points(wkt) -> Column:
+    """Rings of outline text, each an array of (x, y) in degrees."""
+
+    def point(text):
+        pair = F.split(text, " ")
+        return F.struct(pair[0].cast("double").alias("x"), pair[1].cast("double").alias("y"))
+
+    texts = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
+    return F.transform(texts, lambda ring: F.transform(F.split(ring, ", "), point))
+
+
+def ring_area(ring: Column, x0: Column, y0: Column) -> Column:
+    """Signed area of a closed ring; offsets from (x0, y0) keep the sums small."""
+    n = F.size(ring) - 1
+    pairs = F.zip_with(
+        F.slice(ring, F.lit(1), n),
+        F.slice(ring, F.lit(2), n),
+        lambda a, b: (a["x"] - x0) * (b["y"] - y0) - (b["x"] - x0) * (a["y"] - y0),
+    )
+    return F.aggregate(pairs, F.lit(0.0), lambda t, v: t + v) / 2
+
+
+def closed(rings_: Column) -> Column:
+    return F.forall(rings_, lambda r: F.get(r, F.lit(0)) == F.element_at(r, -1))
+
+
+@query(
+    "buffer_outline",
+    "SELECT ad_id, 121 AS n_points, TRUE AS closed, 2 * radius AS width_m, 2 * radius AS height_m, "
+    "round(60 * sin(pi() / 60) * radius * radius / 1000) AS area_1000_m2, round(longitude, 3) AS longitude, round(latitude, 3) AS latitude "
+    "FROM (SELECT *, CASE WHEN cep LIKE '%000' THEN 1000.0::DOUBLE ELSE 100.0::DOUBLE END AS radius FROM ads) "
+    "WHERE longitude IS NOT NULL AND latitude IS NOT NULL",
+    ("ads",),
+)
+def _(d: Data):
+    """The circles' text read back: measures on the metric plane are those of a polygon of 120 corners."""
+    ads = placed(d).withColumn("dist_buffer", tx.buffer_radius(F.col("cep")))
+    text = geodesy.with_buffer_wkt(ads)
+    # Sides as rows: each is one step of plain columns, where nested functions of arrays would be interpreted.
+    ring = text.select("ad_id", "longitude", "latitude", F.explode(outline_points(F.col("buffer_wkt"))).alias("ring"))
+    ends = [F.slice("ring", F.lit(i), F.size("ring") - 1) for i in (1, 2)]
+    sides = ring.select(
+        "ad_id", "longitude", "latitude",
+        closed(F.array("ring")).alias("closed"),
+        F.explode(F.zip_with(*ends, lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("side"),
+    )
+    flat = sides.select(
+        "ad_id", "closed", "side",
+        geodesy.utm_xy(F.col("longitude"), F.col("latitude")).alias("o"),
+        geodesy.utm_xy(F.col("side.a.x"), F.col("side.a.y")).alias("a"),
+        geodesy.utm_xy(F.col("side.b.x"), F.col("side.b.y")).alias("b"),
+    )
+    easting, northing, lon, lat = (F.col(c) for c in ("a.easting", "a.northing", "side.a.x", "side.a.y"))
+    # Offsets from the centre keep the sums small.
+    doubled = (easting - F.col("o.easting")) * (F.col("b.northing") - F.col("o.northing")) - (
+        F.col("b.easting") - F.col("o.easting")
+    ) * (northing - F.col("o.northing"))
+    return flat.groupBy("ad_id").agg(
+        (F.count(F.lit(1)) + 1).alias("n_points"),
+        F.bool_and("closed").alias("closed"),
+        F.round(F.max(easting) - F.min(easting), 0).alias("width_m"),
+        F.round(F.max(northing) - F.min(northing), 0).alias("height_m"),
+        F.round(F.abs(F.sum(doubled)) / 2000, 0).alias("area_1000_m2"),
+        F.round((F.max(lon) + F.min(lon)) / 2, 3).alias("longitude"),
+        F.round((F.max(lat) + F.min(lat)) / 2, 3).alias("latitude"),
+    )
+
+
 # Hexagons
 
 
@@ -306,6 +374,58 @@ def _(d: Data):
     return counted.join(hexgrid.hex_wkt(cells), "hex_id", "left")
 
 
+# Area, and centre of the box around it, of each hexagon's part inside the boundary.
+OUTLINES = f"""
+inside_parts AS (
+  SELECT p.q, p.r, round(sum((ax - cx) * (b_y - cy) - (bx - cx) * (ay - cy)) / 2000000, 4) AS area_km2,
+    round((min(least(ax, bx)) + max(greatest(ax, bx))) / 2, 0) AS x, round((min(least(ay, b_y)) + max(greatest(ay, b_y))) / 2, 0) AS y
+  FROM pieces p JOIN border b ON b.q = p.q AND b.r = p.r GROUP BY p.q, p.r),
+outlines AS (
+  SELECT hex_id, TRUE AS closed, CASE WHEN is_border THEN area_km2 ELSE round({S} * {S} * {H} / 1000000, 4) END AS area_km2,
+    CASE WHEN is_border THEN x ELSE round(cx, 0) END AS x, CASE WHEN is_border THEN y ELSE round(cy, 0) END AS y
+  FROM grid g LEFT JOIN inside_parts i ON i.q = g.q AND i.r = g.r)
+"""
+DIGITS = 12
+
+
+def with_outline_measures(df: DataFrame) -> DataFrame:
+    """Replace the outline's text by what can be read back from it: closed, area_km2, x, y."""
+    flat = F.transform(
+        outline_points(F.col("geometry_wkt")),
+        lambda ring: F.transform(
+            ring,
+            lambda p: F.struct(geodesy.mercator_x(p["x"]).alias("x"), geodesy.mercator_y(p["y"]).alias("y")),
+        ),
+    )
+    first = F.col("flat")[0][0]
+    area = F.aggregate(
+        F.transform("flat", lambda ring: ring_area(ring, first["x"], first["y"])), F.lit(0.0), lambda t, v: t + v
+    )
+
+    def middle(axis):
+        values = F.transform(F.flatten("flat"), lambda p: p[axis])
+        return F.round((F.array_max(values) + F.array_min(values)) / 2, 0)
+
+    return df.withColumn("flat", flat).withColumns(
+        {
+            "closed": closed(F.col("flat")), "area_km2": F.round(area / 1e6, 4), "x": middle("x"), "y": middle("y"),
+        }
+    ).drop("flat", "geometry_wkt")
+
+
+@query(
+    "hex_outline",
+    f"WITH {grid()}, {SPOTS}, {hex_join('src', 's.ad_id')}, {OUTLINES} SELECT h.hex_id, count(*) AS n_ads, any_value(closed) AS closed, "
+    "any_value(area_km2) AS area_km2, any_value(x) AS x, any_value(y) AS y FROM hexed h LEFT JOIN outlines o ON o.hex_id = h.hex_id GROUP BY h.hex_id",
+    ("boundary", "ads"),
+)
+def _(d: Data):
+    """The outlines' text of hexagons that ads touch, read back; the number of ads that touch each."""
+    cells = built_grid(d)
+    counted = joined_ads(d, cells).groupBy("hex_id").agg(F.count(F.lit(1)).alias("n_ads"))
+    return with_outline_measures(counted.join(hexgrid.hex_wkt(cells, digits=DIGITS), "hex_id", "left"))
+
+
 # Layers
 
 
@@ -379,6 +499,18 @@ def _(d: Data):
     return shown(jobs.silver_hexagonal(d.bronze(), cells, materialise(hexgrid.hex_wkt(cells), "hex-wkt")))
 
 
+@query(
+    "silver_hex_outline",
+    f"{SILVER_HEX}, {OUTLINES} SELECT h.*, closed, area_km2, x, y FROM hexed h LEFT JOIN outlines o ON o.hex_id = h.hex_id",
+    ("boundary", "ads"),
+)
+def _(d: Data):
+    """Silver rows whose hexagon's outline is read back from its text."""
+    cells = built_grid(d)
+    wkt = materialise(hexgrid.hex_wkt(cells, digits=DIGITS), "hex-wkt")
+    return with_outline_measures(shown(jobs.silver_hexagonal(d.bronze(), cells, wkt)))
+
+
 @query("indicators_hex", f"{SILVER_HEX}, {gold('hex_id', 'hexed')}", ("boundary", "ads"))
 def _(d: Data):
     return rounded(jobs.gold(jobs.silver_hexagonal(d.bronze(), built_grid(d)), "hex_id", ROOMS))

@@ -139,6 +139,45 @@ SELECT p.url, l.l_linenumber AS try_no, l.l_partkey AS tie_1, l.l_suppkey AS tie
 FROM {lineitem} l JOIN {ad_pages} p ON p.ad_id = l.l_orderkey
 """
 
+# Cards of result pages, eight ads a page and one that shows up again in the next band. Pages are dealt to 120 bands.
+VIEWS["page_cards"] = """
+WITH own AS (
+  SELECT CAST(floor(ad_id / 8) AS BIGINT) AS g, CAST(ad_id % 8 AS INTEGER) AS slot, ad_id, url, titulos FROM {ads}
+  UNION ALL
+  SELECT CAST(floor(ad_id / 8) AS BIGINT) - 1, 8, ad_id, url, concat('Again ', titulos) FROM {ads} WHERE ad_id % 8 = 1),
+spread AS (SELECT *, g % 120 AS b, CAST(floor(g / 120) AS BIGINT) + 1 AS page FROM own WHERE g >= 0)
+SELECT CASE WHEN b < 40 THEN b * 50000 ELSE 2000000 + (b - 40) * 100000 END AS low,
+  CASE WHEN b < 40 THEN b * 50000 + 49999 ELSE 2000000 + (b - 40) * 100000 + 99999 END AS high,
+  b, page, slot, url, titulos
+FROM spread
+"""
+
+# Landed result pages: every seventeenth failed; a card may lack its link, and headings hold markup.
+VIEWS["listing_pages"] = """
+SELECT concat('https://ads.example/search?ps=', CAST(low AS VARCHAR(20)), '&pe=', CAST(high AS VARCHAR(20)),
+              '&o=', CAST(page AS VARCHAR(20))) AS request_url,
+  CASE WHEN (b + page) % 17 = 4 THEN 503 ELSE 200 END AS status,
+  concat('<main>', """ + ", ".join(
+    f"coalesce(max(CASE WHEN slot = {k} THEN card END), '')" for k in range(9)
+) + """, '</main>') AS html
+FROM (SELECT *, concat('<section class="adcard x"><h2 class="t"><b>', titulos, '</b></h2>',
+        CASE WHEN url IS NULL THEN '' ELSE concat('<a data-k="1" href="', url, '">see</a>') END, '</section>') AS card
+      FROM {page_cards}) AS c
+GROUP BY low, high, b, page
+"""
+
+# Answers to each band's first page; the last page of a band lies beyond what some answers tell.
+VIEWS["band_answers"] = """
+SELECT concat('https://ads.example/search?ps=', CAST(low AS VARCHAR(20)), '&pe=', CAST(high AS VARCHAR(20)), '&o=1') AS request_url,
+  CASE WHEN b % 23 = 5 THEN 503 ELSE 200 END AS status,
+  CASE WHEN b % 29 = 7 THEN 'nenhum anuncio'
+       WHEN n >= 1000 THEN concat('1 - 50 de ', CAST(CAST(floor(n / 1000) AS BIGINT) AS VARCHAR(20)), '.',
+                                  lpad(CAST(n % 1000 AS VARCHAR(20)), 3, '0'), ' resultados')
+       ELSE concat('1 - 50 de ', CAST(n AS VARCHAR(20)), ' resultados') END AS result_text
+FROM (SELECT low, high, b, max(page) * 50 - CASE WHEN b % 7 = 3 THEN 50 ELSE 13 END AS n
+      FROM {page_cards} GROUP BY low, high, b) AS p
+"""
+
 # Answers to first-page requests: the text that tells how many ads were found.
 VIEWS["result_texts"] = """
 SELECT request_id, status,
@@ -182,6 +221,9 @@ NEEDS = {
     "fetch_log": ["events"],
     "ad_pages": ["ads"],
     "ad_fetches": ["lineitem", "ad_pages"],
+    "page_cards": ["ads"],
+    "listing_pages": ["page_cards"],
+    "band_answers": ["page_cards"],
     "result_texts": ["orders"],
     "geocoder_log": ["ads"],
     "boundary": [],

@@ -223,3 +223,31 @@ def test_taken_column_names_are_refused(spark, grid):
         hexjoin.hex_join(spots(spark).withColumn("corner", F.lit(1)), grid, ["ad_id"])
     with pytest.raises(ValueError, match="inside"):
         boundary.points_in_boundary(spots(spark).withColumn("inside", F.lit(1)), vertices(spark), ["ad_id"])
+
+
+def test_long_outlines_chain_in_any_order():
+    """A ring of many pieces in shuffled order, next to a small one; ends a little apart still meet."""
+    def circle(n, radius, x0):
+        spots = [(x0 + radius * math.cos(2 * math.pi * i / n), radius * math.sin(2 * math.pi * i / n)) for i in range(n)]
+        return [
+            {"ax": a[0], "ay": a[1], "bx": b[0] + 2e-4, "by": b[1] - 2e-4}
+            for a, b in zip(spots, spots[1:] + spots[:1])
+        ]
+
+    pieces = circle(20_000, 1000.0, 0.0) + circle(5, 10.0, 5000.0)
+    random.Random(7).shuffle(pieces)
+    found = sorted(rings.chain_rings(pieces), key=len)
+    assert [len(r) for r in found] == [6, 20_001]
+    assert all(r[0] == r[-1] for r in found)
+    # Without a start nearby the nearest one is taken.
+    apart = [{"ax": a, "ay": b, "bx": c, "by": d} for a, b, c, d in ((0, 0, 4, 0), (5, 0, 5, 4), (5, 5, 0, 4), (0, 5, 0, 1))]
+    assert [len(r) for r in rings.chain_rings(apart)] == [5]
+
+
+def test_slabs_stay_near_two_rows_an_edge(spark):
+    """Edges as high as the whole boundary do not fill every slab."""
+    n = 400
+    zigzag = [(0, i, float(i), 100.0 * (i % 2)) for i in range(n)]
+    edges = boundary.boundary_edges(spark.createDataFrame(zigzag, "ring int, seq int, x double, y double"))
+    slabs = boundary.edge_slabs(edges)
+    assert slabs.table.selectExpr("sum(size(edges)) AS n").head()["n"] <= 3 * n
