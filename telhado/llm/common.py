@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from telhado.session import materialise
+
 BATCH_ROWS = "1000"
 
 
@@ -118,3 +120,13 @@ def labelled_sample(labels: DataFrame, label: str, per_class: int) -> DataFrame:
     )
     parts = [known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
     return parts[0].unionByName(parts[1])
+
+
+def training_rows(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """(label, text) of the documents of `sample` (doc_id, label), written as a table: one row per id.
+
+    However often an id is repeated, only its greatest text is learnt from (null only if it has no
+    other), so the table has as many rows as the sample at most. The documents are read once.
+    """
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    return materialise(found.groupBy("doc_id", "label").agg(F.max("text").alias("text")).select("label", "text"), "training")

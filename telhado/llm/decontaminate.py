@@ -180,24 +180,25 @@ def _matches(docs: DataFrame, benchmark: DataFrame, key: Column) -> tuple[DataFr
         _search(bits.tobytes(), masks, reach),
         "key long, start int, words array<long>, hits array<struct<seed: long, p: int>>",
     )
-    stretches = materialise(stretches, "stretches")
+    # Told apart by content, so that an id which repeats with another text, or is null, keeps all its stretches.
+    stretches = materialise(stretches.withColumn("content", F.xxhash64("key", "words")), "stretches")
     by_seed = materialise(
         seeds_table.groupBy("seed").agg(F.collect_set(F.struct("item", "q")).alias("places")), "seeds"
     )
-    hits = stretches.select("key", "start", F.explode("hits").alias("h")).select("key", "start", "h.seed", "h.p")
+    hits = stretches.select("content", "start", F.explode("hits").alias("h")).select("content", "start", "h.seed", "h.p")
     pairs = (
-        lookup_join(hits, by_seed, ["seed"], ["key", "p"])
-        .select("key", "start", "p", F.explode("places").alias("place"))
-        .select("key", "start", F.col("place.item").alias("item"), (F.col("p") - F.col("place.q")).alias("diagonal"))
+        lookup_join(hits, by_seed, ["seed"], ["content", "p"])
+        .select("content", "start", "p", F.explode("places").alias("place"))
+        .select("content", "start", F.col("place.item").alias("item"), (F.col("p") - F.col("place.q")).alias("diagonal"))
         .distinct()
     )
     # Stretches of many copies are small as files and large as rows: never broadcast.
-    around = stretches.select("key", "start", "words").dropDuplicates(["key", "start"])
+    around = stretches.select("content", "key", "start", "words").dropDuplicates(["content", "start"])
     laid = lookup_join(
-        pairs.join(around.hint("merge"), ["key", "start"]),
+        pairs.join(around.hint("merge"), ["content", "start"]),
         table.select("item", F.col("words").alias("item_words")),
         ["item"],
-        ["key", "diagonal"],
+        ["content", "diagonal"],
     )
     found = arrow_map(laid.select("key", "item", "start", "words", "item_words", "diagonal"), _verify, _FOUND)
     best = found.groupBy("key", "item").agg(
@@ -216,7 +217,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     A run is RUN consecutive words of the item (all of a shorter one), of which at least SHARE
     stand at the same places in the document. The alignment with most equal words is told: how many
     of the n_words laid side by side are equal, and the document's word at which they begin. Rows
-    that repeat an id give one row per item. Null and empty texts and items without words never match.
+    that repeat an id give one row per item, the best of all their texts; a null id is one of its own. Null and
+    empty texts and items without words never match.
     """
     found, items = _matches(docs, benchmark, F.col("doc_id"))
     return found.join(items.select("item", "item_id"), "item").select(

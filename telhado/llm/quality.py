@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from telhado.session import materialise
 
-from .common import arrow_map, held_out, labelled_sample, utf8
+from .common import arrow_map, held_out, labelled_sample, training_rows, utf8
 
 # Bounds of the fit: labelled rows of each class; documents of more lines are not used to fit.
 ROWS_PER_CLASS = 3000
@@ -197,11 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     number of lines, reach the driver. Without labels every score is 0.5.
     """
     sample = materialise(labelled_sample(labels.select("doc_id", "quality"), "quality", rows_per_class), "sample")
-    train_docs = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(sample), "doc_id")
-        .where(F.length("text") - F.length(F.replace("text", F.lit("\n"))) < FIT_LINES)
-    )
+    train_docs = training_rows(docs, sample).where(F.length("text") - F.length(F.replace("text", F.lit("\n"))) < FIT_LINES)
     rows = (
         arrow_map(train_docs.select("label", "text"), _lines, "label int, lines int, features binary")
         .orderBy(F.xxhash64("features"))

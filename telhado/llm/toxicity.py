@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from telhado.session import materialise
 
-from .common import arrow_map, held_out, labelled_sample, texts
+from .common import arrow_map, held_out, labelled_sample, texts, training_rows
 
 SIZES = (3, 4, 5, 6)
 BUCKET_BITS = 20
@@ -155,7 +155,7 @@ def fit(
     """
     sample = materialise(labelled_sample(labels.select("doc_id", "toxic"), "toxic", rows_per_class), "sample")
     # Two classes of at most rows_per_class ids.
-    train = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text")
+    train = training_rows(docs, sample)
     sizes = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return Model(np.empty(0, np.int64), np.empty(0), 40.0 if 1 in sizes else -40.0)

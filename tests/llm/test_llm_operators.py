@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from telhado.llm import bitslice, decontaminate, graph, pieces, quality, simhash, tokencounts, tokenfiles, toxicity, warc, wrappers
+from telhado.llm.common import training_rows
 from telhado.llm.queries import definition, model_bytes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -169,6 +170,28 @@ def test_leaks_stand_substitutions(spark):
     assert decontaminate.leaks(docs.limit(0), benchmark).isEmpty()
 
 
+def test_leaks_of_repeated_and_null_ids(spark):
+    """Rows that share an id, or have none, lose no leak, also where their stretches begin at the same word."""
+    rng = random.Random(5)
+    items = [[f"{c}{i}" for i in range(20)] for c in "ab"]
+    rows = [(1, " ".join(["x"] * 30 + item + [rng.choice("yz")] * 30), "en", "s", 0) for item in items]
+    rows += [(None, rows[0][1], "en", "s", 0), (2, "clean text", "en", "s", 0), rows[0]]
+    docs = spark.createDataFrame(rows, DOCS)
+    benchmark = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id long, text string")
+    found = sorted((str(r["doc_id"]), r["item_id"], r["equal_words"]) for r in decontaminate.leaks(docs, benchmark).collect())
+    assert found == [("1", 0, 20), ("1", 1, 20), ("None", 0, 20)]
+    assert [r["doc_id"] for r in decontaminate.keep_unseen(docs, benchmark).collect()] == [2]
+
+
+def test_training_rows_stay_bounded(spark):
+    """An id that repeats very often is learnt from once."""
+    docs = spark.range(5000).selectExpr("1L AS doc_id", "concat('t', id % 7) AS text").unionByName(
+        spark.createDataFrame([(2, None), (3, "c"), (None, "d")], "doc_id long, text string")
+    )
+    sample = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id long, label int")
+    assert sorted(map(str, map(tuple, training_rows(docs, sample).collect()))) == ["(0, 't6')", "(1, 'c')", "(1, None)"]
+
+
 def test_masks_miss_no_two_substitutions():
     from itertools import combinations
 
