@@ -14,6 +14,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -30,6 +31,7 @@ HOSTS_HELD = 5000
 MAX_PERIOD = 3
 DEEPEST = 60
 CONSTANT_PAGES = 5
+SIGNS_HELD = 100_000
 
 # Element names of HTML by what they do to the text.
 RAW = frozenset("script style xmp iframe noembed noframes noscript textarea title".split())
@@ -178,28 +180,67 @@ def _close(stack: list[Element], names: tuple[str, ...], scopes: frozenset[str])
 
 # A wrapper's element: [sign, optional, repeated, pages, characters, constant, children]. The sign of a
 # text slot is "#", of a group of several elements "()". `constant` is the checksum of a slot's text
-# while all pages agree on it.
+# while all pages agree on it, `pages` then the digests of different pages that do, the CONSTANT_PAGES
+# smallest: copies of a page and repeats within one count once.
 SIGN, OPTIONAL, REPEATED, PAGES, CHARS, CONSTANT, CHILDREN = range(7)
 
 
-def wrapper_of(element: Element) -> list:
+def _clean(text: list[str]) -> str:
+    return " ".join("".join(text).replace("\0", " ").split())
+
+
+def _checksum(text: str) -> int:
+    return zlib.crc32(text.encode())
+
+
+def _digest(root: Element) -> int:
+    """Digest of the page's texts outside of what is marked as boilerplate."""
+    out, stack = 0, [root]
+    while stack:
+        node = stack.pop()
+        if isinstance(node, str):
+            out = zlib.crc32("".join(node.split()).encode(), out)
+        elif not _boilerplate(node.sign):
+            stack.extend(reversed(node.children))
+    return out
+
+
+def wrapper_of(root: Element) -> list:
     """The wrapper of one page: its texts as slots, runs of like children as repeated groups."""
-    children, text = [], []
+    page = _digest(root)
 
-    def slot() -> None:
-        whole = " ".join("".join(text).replace("\0", " ").split())
-        text.clear()
-        if whole:
-            children.append(["#", 0, 0, 1, len(whole), zlib.crc32(whole.encode()), []])
+    def build(element: Element) -> list:
+        children, text = [], []
+        for child in [*element.children, None]:
+            if isinstance(child, str):
+                text.append(child)
+                continue
+            whole = _clean(text)
+            text.clear()
+            if whole:
+                children.append(["#", 0, 0, [page], len(whole), _checksum(whole), []])
+            if child is not None:
+                children.append(build(child))
+        return [element.sign, 0, 0, [], 0, None, fold(children)]
 
-    for child in element.children:
-        if isinstance(child, str):
-            text.append(child)
-        else:
-            slot()
-            children.append(wrapper_of(child))
-    slot()
-    return [element.sign, 0, 0, 1, 0, None, fold(children)]
+    return build(root)
+
+
+def packed(tree: list) -> str:
+    """A tree of lists, the children last in each, as text without nesting."""
+    out, stack = [], [tree]
+    while stack:
+        node = stack.pop()
+        out.append([*node[:-1], len(node[-1])])
+        stack.extend(reversed(node[-1]))
+    return json.dumps(out)
+
+
+def unpacked(text: str) -> list:
+    stack: list[list] = []
+    for row in reversed(json.loads(text)):
+        stack.append([*row[:-1], [stack.pop() for _ in range(row[-1])]])
+    return stack[0]
 
 
 def _alike(a: list, b: list) -> bool:
@@ -222,7 +263,7 @@ def fold(children: list[list]) -> list[list]:
             elif len(out) >= 2 * period and all(_alike(a, b) for a, b in zip(out[-2 * period : -period], out[-period:])):
                 group, again = out[-2 * period : -period], out[-period:]
                 del out[-2 * period :]
-                out.append(["()", 0, 1, 1, 0, None, [align(a, b) for a, b in zip(group, again)]])
+                out.append(["()", 0, 1, [], 0, None, [align(a, b) for a, b in zip(group, again)]])
             elif len(out) > period and out[-period - 1][SIGN] == "()":
                 group, again = out[-period - 1], out[-period:]
                 if len(group[CHILDREN]) == period and all(_alike(a, b) for a, b in zip(group[CHILDREN], again)):
@@ -246,7 +287,7 @@ def align(a: list, b: list) -> list:
         a[SIGN],
         a[OPTIONAL] | b[OPTIONAL],
         a[REPEATED] | b[REPEATED],
-        a[PAGES] + b[PAGES],
+        sorted({*a[PAGES], *b[PAGES]})[:CONSTANT_PAGES] if constant is not None else [],
         a[CHARS] + b[CHARS],
         constant,
         children,
@@ -276,20 +317,23 @@ def _aligned(mine: list[list], other: list[list]) -> list[list]:
 
 def expression(wrapper: list) -> str:
     """The wrapper as text: `#` a text slot, `?` optional, `+` repeated, `(...)` a group."""
-    inner = "".join(map(expression, wrapper[CHILDREN]))
+    inner = "".join([expression(c) for c in wrapper[CHILDREN]])
     sign = wrapper[SIGN]
     body = sign if sign == "#" else f"({inner})" if sign == "()" else f"<{sign}>{inner}</>" if sign else inner
     return body + "+" * wrapper[REPEATED] + "?" * wrapper[OPTIONAL]
 
 
+@lru_cache(SIGNS_HELD)
 def _words(sign: str) -> set[str]:
     return {w.lower() for part in re.split(r"[.#]", sign)[1:] for w in _WORD.findall(part)}
 
 
+@lru_cache(SIGNS_HELD)
 def _tag(sign: str) -> str:
     return re.split(r"[.#@!]", sign, maxsplit=1)[0]
 
 
+@lru_cache(SIGNS_HELD)
 def _boilerplate(sign: str) -> bool:
     """Whether name, role, class or id mark an element as boilerplate."""
     tag = _tag(sign)
@@ -304,125 +348,269 @@ def _boilerplate(sign: str) -> bool:
     )
 
 
-def rules(wrapper: list) -> dict[str, list[str]]:
-    """{"main": paths of the elements that hold the article, "drop": paths of boilerplate in or around them}."""
-    found: dict[str, dict[str, int]] = {"article": {}, "main": {}, "words": {}}
-    drop: dict[str, int] = {}
-    constant: list[str] = []
+# An element of a reading plan: [sign, repeated, verdict, children]. The verdict is READ, DROP, MAIN for an element that
+# holds the article, or the checksums of the texts of an element that is the same on all pages.
+# Children are told only where a verdict below differs from what the signs alone say.
+READ, DROP, MAIN = range(3)
+P_SIGN, P_REPEATED, P_VERDICT, P_CHILDREN = range(4)
 
-    def chars(node: list) -> int:
-        return node[CHARS] + sum(map(chars, node[CHILDREN]))
 
-    def holds_main(node: list) -> bool:
-        return any(
-            (_tag(c[SIGN]) in ("article", "main") and not _words(c[SIGN]) & BOILER_WORDS) or holds_main(c)
-            for c in node[CHILDREN]
-        )
+def _clear_of_boilerplate(sign: str) -> bool:
+    return _tag(sign) in ("article", "main") and not _words(sign) & BOILER_WORDS
 
-    def same_everywhere(node: list) -> bool:
-        own = [c for c in node[CHILDREN]]
-        return bool(own) and all(
-            (c[CONSTANT] is not None and c[PAGES] >= CONSTANT_PAGES) if c[SIGN] == "#" else same_everywhere(c) for c in own
-        )
 
-    def walk(node: list, path: str, inside: bool) -> None:
+def _kind(sign: str, inside: bool) -> str:
+    """By which of its marks an element may hold the article."""
+    tag = _tag(sign)
+    if tag == "article" and not inside:
+        return "article"
+    if (tag == "main" or "@main" in sign) and not inside:
+        return "main"
+    return "words" if _words(sign) & MAIN_WORDS and tag not in ("html", "body") else ""
+
+
+def _marked(sign: str, inside: bool) -> bool:
+    return _boilerplate(sign) or (not inside and (_tag(sign) == "header" or "header" in _words(sign)))
+
+
+def _constants(node: list) -> list[int]:
+    """Checksums of the texts of a wrapper's element if all are the same on CONSTANT_PAGES pages or more, else none."""
+    found, stack = [], list(node[CHILDREN])
+    while stack:
+        own = stack.pop()
+        if own[SIGN] != "#":
+            stack.extend(own[CHILDREN])
+        elif own[CONSTANT] is None or len(own[PAGES]) < CONSTANT_PAGES:
+            return []
+        else:
+            found.append(own[CONSTANT])
+    return found
+
+
+def plan(wrapper: list) -> list:
+    """How the pages of a wrapper are read: its elements with their verdicts, under a root that names the kind of MAIN."""
+    size: dict[int, int] = {}
+    main_below: dict[int, bool] = {}
+    order, stack = [], [wrapper]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(node[CHILDREN])
+    for node in reversed(order):
+        size[id(node)] = node[CHARS] + sum([size[id(c)] for c in node[CHILDREN]])
+        main_below[id(node)] = any([_clear_of_boilerplate(c[SIGN]) or main_below[id(c)] for c in node[CHILDREN]])
+
+    verdicts: dict[int, int | list[int]] = {}
+    found: dict[str, list[list]] = {"article": [], "main": [], "words": []}
+    outermost: list[list] = []
+    dropped = 0
+    stack = [(wrapper, False, False)]
+    while stack:
+        node, inside, named = stack.pop()
         for child in node[CHILDREN]:
             sign = child[SIGN]
             if sign == "#":
                 continue
             if sign == "()":
-                walk(child, path, inside)
+                stack.append((child, inside, named))
                 continue
-            own, tag = f"{path}/{sign}", _tag(sign)
-            marked = _boilerplate(sign) or (not inside and (tag == "header" or "header" in _words(sign)))
-            if marked and not holds_main(child):
-                drop[own] = 1
+            if _marked(sign, inside) and not main_below[id(child)]:
+                verdicts[id(child)] = DROP
+                dropped += size[id(child)]
                 continue
-            if tag == "article" and not inside:
-                found["article"][own] = found["article"].get(own, 0) + chars(child)
-            elif (tag == "main" or "@main" in sign) and not inside:
-                found["main"][own] = found["main"].get(own, 0) + chars(child)
-            elif _words(sign) & MAIN_WORDS and tag not in ("html", "body"):
-                found["words"][own] = found["words"].get(own, 0) + chars(child)
-            if same_everywhere(child):
-                constant.append(own)
-            walk(child, own, inside or tag == "article")
-
-    walk(wrapper, "", False)
-    for kind in ("article", "main", "words"):
-        filled = [p for p, n in found[kind].items() if n]
-        if kind == "words" and filled:
-            # The outermost of those that are named so, and only if they hold most of the text.
-            filled = [p for p in filled if not any(p.startswith(f"{q}/") for q in filled)]
-            rest = sum(n for p, n in found[kind].items() if p in filled)
-            kept = chars(wrapper) - sum(chars_at(wrapper, p) for p in drop)
-            filled = filled if 2 * rest >= kept else []
-        if filled:
-            return {"main": sorted(filled), "drop": sorted(drop)}
-    # Without an element for the article, what is the same on all pages of the host is no article.
-    return {"main": [], "drop": sorted({*drop, *constant})}
-
-
-def chars_at(wrapper: list, path: str) -> int:
-    """Characters in all elements of the wrapper at a path."""
-
-    def total(node: list) -> int:
-        return node[CHARS] + sum(map(total, node[CHILDREN]))
-
-    def walk(node: list, rest: list[str]) -> int:
-        out = 0
-        for child in node[CHILDREN]:
-            if child[SIGN] == "()":
-                out += walk(child, rest)
-            elif child[SIGN] == rest[0]:
-                out += total(child) if len(rest) == 1 else walk(child, rest[1:])
-        return out
+            kind = _kind(sign, inside)
+            if kind and size[id(child)]:
+                found[kind].append(child)
+                if kind == "words" and not named:
+                    outermost.append(child)
+            stack.append((child, inside or _tag(sign) == "article", named or kind == "words"))
+    # Elements only named like an article must hold most of the text; the outermost count.
+    if 2 * sum([size[id(n)] for n in outermost]) < size[id(wrapper)] - dropped:
+        outermost = []
+    found["words"] = outermost
+    chosen = next((kind for kind, nodes in found.items() if nodes), "")
+    if chosen:
+        for node in found[chosen]:
+            verdicts[id(node)] = MAIN
+    else:
+        # Without an element for the article, what is the same on all pages of the host is no article.
+        for node in order:
+            if node is not wrapper and node[SIGN] not in ("#", "()") and id(node) not in verdicts:
+                same = _constants(node) if _tag(node[SIGN]) not in ("html", "body") else []
+                if same:
+                    verdicts[id(node)] = same
+    out: dict[int, list] = {}
+    telling: set[int] = set()
+    for node in reversed(order):
+        verdict = verdicts.get(id(node), READ)
+        keep = verdict in (READ, MAIN) and any([id(c) in telling for c in node[CHILDREN]])
+        children = [out[id(c)] for c in node[CHILDREN]] if keep or node[SIGN] == "()" else []
+        out[id(node)] = [node[SIGN], node[REPEATED], verdict, children]
+        if keep or verdict != READ:
+            telling.add(id(node))
+    return [chosen, 0, READ, out[id(wrapper)][P_CHILDREN]]
+
+
+def _runs(node: Element) -> list[tuple[str, list[Element]]]:
+    """The texts and elements of an element in order; neighbours of the same sign together."""
+    runs: list[tuple[str, list[Element]]] = []
+    for child in node.children:
+        if isinstance(child, str):
+            if child.replace("\0", " ").strip() and (not runs or runs[-1][0] != "#"):
+                runs.append(("#", []))
+        elif runs and runs[-1][0] == child.sign:
+            runs[-1][1].append(child)
+        else:
+            runs.append((child.sign, [child]))
+    return runs
 
-    return walk(wrapper, path.split("/")[1:])
 
+def matched(node: Element, items: list[list]) -> dict[int, list]:
+    """{id of a child of a page's element: the element of the plan it stands for}.
 
-def main_text(page: str, rule: dict[str, list[str]]) -> str:
-    """The text of the page's article by the rules of its host's wrapper, a line for each block."""
-    main, drop = set(rule["main"]), set(rule["drop"])
+    As many texts and children as possible are matched in order; repeated elements and groups take any number.
+    """
+    runs = _runs(node)
+    if [s for s, _ in runs] == [i[P_SIGN] for i in items]:
+        return {id(c): item for (_, own), item in zip(runs, items) for c in own}
+    flat: list[list] = []
+    again: list[list[int]] = []  # where a group that ends or is left at this item begins
+    stack: list[tuple[list, list[int]]] = [(i, []) for i in reversed(items)]
+    while stack:
+        item, starts = stack.pop()
+        if item[P_SIGN] == "()":
+            own = [*starts, len(flat)]
+            stack.extend([(i, own) for i in reversed(item[P_CHILDREN])])
+        else:
+            flat.append(item)
+            again.append(starts)
+    m, n = len(runs), len(flat)
+    best = [[0] * (n + 1) for _ in range(m + 1)]
+    step: list[list[int]] = [[0] * n for _ in range(m)]
+    for i in range(m - 1, -1, -1):
+        below, row, steps, sign = best[i + 1], best[i], step[i], runs[i][0]
+        row[n] = below[n]
+        for j in range(n - 1, -1, -1):
+            # Step -1 leaves out the run, -2 the item; others are the next item once both are matched.
+            row[j], steps[j] = max((below[j], -1), (row[j + 1], -2))
+            if flat[j][P_SIGN] == sign:
+                ways = [j + 1, *([j] if flat[j][P_REPEATED] else []), *again[j]]
+                to = max(ways, key=below.__getitem__)
+                if below[to] + 1 >= row[j]:
+                    row[j], steps[j] = below[to] + 1, to
+    out: dict[int, list] = {}
+    i = j = 0
+    while i < m and j < n:
+        to = step[i][j]
+        if to == -2:
+            j += 1
+            continue
+        if to >= 0:
+            for child in runs[i][1]:
+                out[id(child)] = flat[j]
+            j = to
+        i += 1
+    return out
+
+
+def _all_in(node: Element, checksums: list[int]) -> bool:
+    """Whether each text of a page's element has one of the checksums."""
+    known, stack = set(checksums), [node]
+    while stack:
+        text = []
+        for child in [*stack.pop().children, None]:
+            if isinstance(child, str):
+                text.append(child)
+                continue
+            whole = _clean(text)
+            text.clear()
+            if whole and _checksum(whole) not in known:
+                return False
+            if child is not None:
+                stack.append(child)
+    return True
+
+
+def _holds_main(node: Element) -> bool:
+    stack = [node]
+    while stack:
+        for child in stack.pop().children:
+            if not isinstance(child, str):
+                if _clear_of_boilerplate(child.sign):
+                    return True
+                stack.append(child)
+    return False
+
+
+def main_text(page: str, how: list) -> str:
+    """The text of the page's article by the plan of its host's wrapper, a line for each block.
+
+    The page is matched with the wrapper, element by element; where it has what the wrapper has not, or nothing is told,
+    signs decide. A page without the wrapper's main element is read as a whole. What is the same
+    on all pages is left out only at its own place, and only if other text remains.
+    """
     root = parse(page)
-    if main and not _reaches(root, "", main, drop):
-        main = set()
+    for kind, constants in ((how[P_SIGN], True), ("", True), ("", False)):
+        blocks, met_main, left_out = _read(root, how, kind, constants)
+        if (kind and met_main) or (not kind and (blocks or not left_out)):
+            break
+    return "\n".join(blocks)
+
+
+def _read(root: Element, how: list, kind: str, constants: bool) -> tuple[list[str], bool, bool]:
+    """(blocks, whether an element of this kind was met, whether constant elements were left out)."""
     blocks: list[str] = []
     text: list[str] = []
+    met_main = left_out = False
 
     def flush() -> None:
-        for part in re.split(r"\0\s*\0", "".join(text)):
-            whole = " ".join(part.replace("\0", " ").split())
-            if whole:
-                blocks.append(whole)
-        text.clear()
-
-    def walk(node: Element, path: str, inside: bool) -> None:
+        if text:
+            for part in re.split(r"\0\s*\0", "".join(text)):
+                whole = _clean([part])
+                if whole:
+                    blocks.append(whole)
+            text.clear()
+
+    # (element or text, plan, whether its text counts, whether it is in an article element); None ends a block.
+    stack: list[tuple] = [(root, how, not kind, False)]
+    while stack:
+        node, item, inside, article = stack.pop()
+        if isinstance(node, str):
+            if inside:
+                text.append(node)
+            continue
+        if node is None:
+            flush()
+            continue
+        places = matched(node, item[P_CHILDREN]) if item and item[P_CHILDREN] else {}
+        below: list[tuple] = []
         for child in node.children:
             if isinstance(child, str):
-                if inside:
-                    text.append(child)
+                below.append((child, None, inside, article))
+                continue
+            block = child.tag not in INLINE
+            if block:
+                below.append((None, None, False, False))
+            own = places.get(id(child))
+            if own:
+                verdict = own[P_VERDICT]
+            elif _marked(child.sign, article) and not _holds_main(child):
+                verdict = DROP
+            else:
+                verdict = MAIN if kind and _kind(child.sign, article) == kind else READ
+            if verdict == DROP:
                 continue
-            own = f"{path}/{child.sign}"
-            if child.tag not in INLINE:
-                flush()
-            if own not in drop:
-                walk(child, own, inside or own in main)
-                if child.tag not in INLINE:
-                    flush()
-
-    walk(root, "", not main)
+            if isinstance(verdict, list) and constants and _all_in(child, verdict):
+                left_out = True
+                continue
+            main = bool(kind) and verdict == MAIN
+            met_main |= main
+            below.append((child, own, inside or main, article or child.tag == "article"))
+            if block:
+                below.append((None, None, False, False))
+        stack.extend(reversed(below))
     flush()
-    return "\n".join(blocks)
-
-
-def _reaches(node: Element, path: str, main: set[str], drop: set[str]) -> bool:
-    for child in node.children:
-        if not isinstance(child, str):
-            own = f"{path}/{child.sign}"
-            if own not in drop and (own in main or _reaches(child, own, main, drop)):
-                return True
-    return False
+    return blocks, met_main, left_out
 
 
 def host(url: Column) -> Column:
@@ -434,7 +622,7 @@ def _page_wrappers(columns: Iterator[dict[str, pa.Array]]) -> Iterator[dict[str,
     held: dict[str, list] = {}
 
     def out() -> dict[str, pa.Array]:
-        return {"host": pa.array(list(held), pa.string()), "wrapper": pa.array([json.dumps(w) for w in held.values()], pa.string())}
+        return {"host": pa.array(list(held), pa.string()), "wrapper": pa.array([packed(w) for w in held.values()], pa.string())}
 
     for batch in columns:
         for name, page in zip(batch["host"].to_pylist(), texts(batch["html"])):
@@ -448,10 +636,10 @@ def _page_wrappers(columns: Iterator[dict[str, pa.Array]]) -> Iterator[dict[str,
 
 def _merge(group: pd.DataFrame) -> pd.DataFrame:
     found = sorted(group["wrapper"])
-    whole = json.loads(found[0])
+    whole = unpacked(found[0])
     for other in found[1:]:
-        whole = align(whole, json.loads(other))
-    return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [json.dumps(whole)]})
+        whole = align(whole, unpacked(other))
+    return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [packed(whole)]})
 
 
 def infer(pages: DataFrame) -> DataFrame:
@@ -479,18 +667,18 @@ def infer(pages: DataFrame) -> DataFrame:
 
 def _host_rules(columns: Iterator[dict[str, pa.Array]]) -> Iterator[dict[str, pa.Array]]:
     for batch in columns:
-        found = [json.dumps(rules(json.loads(w))) for w in batch["wrapper"].to_pylist()]
+        found = [packed(plan(unpacked(w))) for w in batch["wrapper"].to_pylist()]
         yield {"host": batch["host"], "rule": pa.array(found, pa.string())}
 
 
 def _read_pages(columns: Iterator[dict[str, pa.Array]]) -> Iterator[dict[str, pa.Array]]:
-    known: dict[str, dict] = {}
+    known: dict[str, list] = {}
     for batch in columns:
         out = []
         for page, rule in zip(texts(batch["html"]), batch["rule"].to_pylist()):
             if rule not in known:
                 known.clear() if len(known) > HOSTS_HELD else None
-                known[rule] = json.loads(rule) if rule else {"main": [], "drop": []}
+                known[rule] = unpacked(rule) if rule else ["", 0, READ, []]
             out.append(main_text(page, known[rule]))
         yield {
             "page_id": batch["page_id"],
@@ -510,7 +698,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     rule_table = materialise(arrow_map(infer(pages), _host_rules, "host string, rule string"), "rules")
     rows = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
-    ruled = lookup_join(rows, rule_table, ["host"], ["page_id", "url"])
+    ruled = lookup_join(rows, rule_table, ["host"], ["page_id", "url"], F.length("host") + F.length("rule"))
     return arrow_map(
         ruled.select("page_id", "url", "html", "rule"), _read_pages, "page_id long, url string, text string, n_chars long"
     )

@@ -278,6 +278,30 @@ def test_wrappers_have_slots_options_and_repeats():
     assert wrappers.expression(wrappers.align(a, b)) == "<ul><li>#</>+</><h2>#</>?<p>#</>"
 
 
+def read_host(pages):
+    whole = None
+    for page in pages:
+        own = wrappers.wrapper_of(wrappers.parse(page))
+        whole = wrappers.align(whole, own) if whole else own
+    how = wrappers.unpacked(wrappers.packed(wrappers.plan(wrappers.unpacked(wrappers.packed(whole)))))
+    return [wrappers.main_text(page, how) for page in pages]
+
+
+def test_constant_elements_go_by_their_place():
+    site = "<body><div>Site name</div><h1>Title {0}</h1><div>own article {0}</div></body>"
+    assert read_host([site.format(c) for c in "abcdefg"]) == [f"Title {c}\nown article {c}" for c in "abcdefg"]
+    # Copies of one page, with other markup around the same texts, are no evidence.
+    assert read_host([f'<h1 data-n="{i}">T</h1><p>text</p>' for i in range(9)]) == ["T\ntext"] * 9
+    # Nor are repeats within one page; what would leave a page empty stays.
+    assert read_host(["<ul>" + "<li>same</li>" * 9 + "</ul>"] * 2)[0].count("same") == 9
+    rest = [f"<div>Site name</div><h2>{c}</h2>" for c in "abcde"]
+    assert read_host([*rest, "<div>Site name</div>"]) == [*"abcde", "Site name"]
+    # Optional and repeated elements around it do not move the place.
+    odd = [f"<div>Site name</div>{'<h2>s</h2><p>x' + c + '</p>' if c in 'ace' else ''}<h1>T{c}</h1>" + f"<p>{c}</p><pre>{c}</pre>" * (ord(c) % 3 + 1) for c in "abcdefg"]
+    for c, text in zip("abcdefg", read_host(odd)):
+        assert text == "\n".join(([f"s\nx{c}"] if c in "ace" else []) + [f"T{c}"] + [c] * 2 * (ord(c) % 3 + 1))
+
+
 def test_archives(spark):
     big, small = "<p>é" * 400, "tiny"
     rows = [(1, "http://a/x?q=1", big), (2, "http://a/ü", big), (3, None, small), (4, "http://b/", small), (5, "http://c/", None)]
