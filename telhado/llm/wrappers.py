@@ -12,7 +12,9 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+import sys
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,9 +31,10 @@ from .common import arrow_map, texts
 FAN = 64
 HOSTS_HELD = 5000
 MAX_PERIOD = 3
-DEEPEST = 60
 CONSTANT_PAGES = 5
 SIGNS_HELD = 100_000
+# Nested calls allowed; more than a text of 2 GB can nest elements.
+CALLS = 2**31 - 1
 
 # Element names of HTML by what they do to the text.
 RAW = frozenset("script style xmp iframe noembed noframes noscript textarea title".split())
@@ -140,6 +143,7 @@ def parse(page: str) -> Element:
     """The page as a tree; forgiving about missing and crossed end tags. Plain inline elements are part of the text."""
     root = Element("", "")
     stack = [root]
+    open_: Counter[str] = Counter()
     for kind, name, text in tokens(page):
         top = stack[-1]
         if kind == "text":
@@ -152,27 +156,36 @@ def parse(page: str) -> Element:
             if name in INLINE and not _boilerplate(sign):
                 continue
             if name in ENDS_PARAGRAPH:
-                _close(stack, ("p",), SCOPES)
+                _close(stack, open_, ("p",), SCOPES)
             if name in SIBLINGS:
-                _close(stack, SIBLINGS[name], SCOPES)
+                _close(stack, open_, SIBLINGS[name], SCOPES)
             node = Element(name, sign)
             stack[-1].children.append(node)
-            if name not in VOID and name not in RAW and not text.endswith("/") and len(stack) < DEEPEST:
+            if name not in VOID and name not in RAW and not text.endswith("/"):
                 stack.append(node)
-        elif name not in VOID:
+                open_[name] += 1
+        elif name not in VOID and open_[name]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == name:
-                    del stack[i:]
+                    _cut(stack, open_, i)
                     break
                 if name in INLINE and stack[i].tag not in INLINE:
                     break
     return root
 
 
-def _close(stack: list[Element], names: tuple[str, ...], scopes: frozenset[str]) -> None:
+def _cut(stack: list[Element], open_: Counter[str], at: int) -> None:
+    for node in stack[at:]:
+        open_[node.tag] -= 1
+    del stack[at:]
+
+
+def _close(stack: list[Element], open_: Counter[str], names: tuple[str, ...], scopes: frozenset[str]) -> None:
+    if not any([open_[n] for n in names]):
+        return
     for i in range(len(stack) - 1, 0, -1):
         if stack[i].tag in names:
-            del stack[i:]
+            _cut(stack, open_, i)
             return
         if stack[i].tag in scopes:
             return
@@ -205,8 +218,14 @@ def _digest(root: Element) -> int:
     return out
 
 
+def any_depth() -> None:
+    """Lets Python functions call themselves as deep as pages nest: such calls take heap, not the C stack."""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), CALLS))
+
+
 def wrapper_of(root: Element) -> list:
     """The wrapper of one page: its texts as slots, runs of like children as repeated groups."""
+    any_depth()
     page = _digest(root)
 
     def build(element: Element) -> list:
@@ -275,6 +294,7 @@ def fold(children: list[list]) -> list[list]:
 
 def align(a: list, b: list) -> list:
     """The wrapper that both elements match."""
+    any_depth()
     mine, other = a[CHILDREN], b[CHILDREN]
     if [c[SIGN] for c in mine] == [c[SIGN] for c in other] and all(map(_alike, mine, other)):
         children = [align(x, y) for x, y in zip(mine, other)]
@@ -373,17 +393,14 @@ def _marked(sign: str, inside: bool) -> bool:
     return _boilerplate(sign) or (not inside and (_tag(sign) == "header" or "header" in _words(sign)))
 
 
-def _constants(node: list) -> list[int]:
-    """Checksums of the texts of a wrapper's element if all are the same on CONSTANT_PAGES pages or more, else none."""
-    found, stack = [], list(node[CHILDREN])
+def _checksums(node: list) -> list[int]:
+    """Checksums of all texts of a wrapper's element."""
+    found, stack = [], [node]
     while stack:
         own = stack.pop()
-        if own[SIGN] != "#":
-            stack.extend(own[CHILDREN])
-        elif own[CONSTANT] is None or len(own[PAGES]) < CONSTANT_PAGES:
-            return []
-        else:
+        if own[SIGN] == "#":
             found.append(own[CONSTANT])
+        stack.extend(own[CHILDREN])
     return found
 
 
@@ -391,6 +408,7 @@ def plan(wrapper: list) -> list:
     """How the pages of a wrapper are read: its elements with their verdicts, under a root that names the kind of MAIN."""
     size: dict[int, int] = {}
     main_below: dict[int, bool] = {}
+    same: dict[int, bool] = {}  # all texts alike on CONSTANT_PAGES pages or more
     order, stack = [], [wrapper]
     while stack:
         node = stack.pop()
@@ -398,6 +416,11 @@ def plan(wrapper: list) -> list:
         stack.extend(node[CHILDREN])
     for node in reversed(order):
         size[id(node)] = node[CHARS] + sum([size[id(c)] for c in node[CHILDREN]])
+        same[id(node)] = (
+            node[CONSTANT] is not None and len(node[PAGES]) >= CONSTANT_PAGES
+            if node[SIGN] == "#"
+            else all([same[id(c)] for c in node[CHILDREN]])
+        )
         main_below[id(node)] = any([_clear_of_boilerplate(c[SIGN]) or main_below[id(c)] for c in node[CHILDREN]])
 
     verdicts: dict[int, int | list[int]] = {}
@@ -434,11 +457,15 @@ def plan(wrapper: list) -> list:
             verdicts[id(node)] = MAIN
     else:
         # Without an element for the article, what is the same on all pages of the host is no article.
-        for node in order:
-            if node is not wrapper and node[SIGN] not in ("#", "()") and id(node) not in verdicts:
-                same = _constants(node) if _tag(node[SIGN]) not in ("html", "body") else []
-                if same:
-                    verdicts[id(node)] = same
+        stack = [wrapper]
+        while stack:
+            for child in stack.pop()[CHILDREN]:
+                if child[SIGN] == "#" or id(child) in verdicts:
+                    continue
+                if same[id(child)] and size[id(child)] and child[SIGN] != "()" and _tag(child[SIGN]) not in ("html", "body"):
+                    verdicts[id(child)] = _checksums(child)
+                else:
+                    stack.append(child)
     out: dict[int, list] = {}
     telling: set[int] = set()
     for node in reversed(order):

@@ -302,6 +302,16 @@ def test_constant_elements_go_by_their_place():
         assert text == "\n".join(([f"s\nx{c}"] if c in "ace" else []) + [f"T{c}"] + [c] * 2 * (ord(c) % 3 + 1))
 
 
+@pytest.mark.parametrize("depth", [200, 3000])
+def test_pages_of_any_depth(depth):
+    page = "<body><div><article><h1>T {0}</h1>{1}deep {0}<nav>menu</nav><form>f</form>{2}<p>rest {0}</p></article></div><p>out</p>"
+    for tag in ("div", "blockquote"):
+        pages = [page.format(c, f"<{tag}>" * depth, f"</{tag}>" * depth) for c in "abc"]
+        assert read_host(pages) == [f"T {c}\ndeep {c}\nrest {c}" for c in "abc"]
+    # Never closed, and without an element for the article.
+    assert read_host(["<div>" * depth + f"own {c}<aside>x</aside></p></section>" for c in "abcdef"]) == [f"own {c}" for c in "abcdef"]
+
+
 def test_archives(spark):
     big, small = "<p>é" * 400, "tiny"
     rows = [(1, "http://a/x?q=1", big), (2, "http://a/ü", big), (3, None, small), (4, "http://b/", small), (5, "http://c/", None)]
