@@ -75,6 +75,21 @@ BOILER_WORDS = frozenset(
     "comments commentlist disqus reply replies respond responses discussion share sharing social breadcrumb breadcrumbs "
     "pagination pager related recommended recommendations toolbar search copyright legal disclaimer skip hidden".split()
 )
+# Words that name subjects as well; in an article they count only with evidence from the wrapper.
+AMBIGUOUS_WORDS = frozenset(
+    "navigation menu banner aside promotion promoted notice notices alert overlay consent cookie cookies gdpr login "
+    "subscription reply replies respond responses discussion social related recommended recommendations search copyright "
+    "legal disclaimer skip hidden advertising sponsor sponsors widget widgets".split()
+)
+# Words that may stand beside those above in a name without changing what it names.
+PLAIN_WORDS = frozenset(
+    "container wrapper wrap box block area inner outer slot unit section content list item items link links button buttons icon "
+    "icons group row column module panel top bottom left right inline body text title heading header google dfp js site page "
+    "post posts article entry the".split()
+)
+# Signs write digits as 0.
+HEADINGS = frozenset("h0 h1 h2 h3 h4 h5 h6".split())
+PROSE = frozenset("p pre blockquote table".split())
 MAIN_WORDS = frozenset("article content main post entry story".split())
 
 _TOKEN = re.compile(
@@ -368,6 +383,45 @@ def _boilerplate(sign: str) -> bool:
     )
 
 
+@lru_cache(SIGNS_HELD)
+def _named(sign: str, words: frozenset[str]) -> bool:
+    """Whether a class, or the id of what is no heading, is made of boilerplate words and plain ones only, some of `words` among them."""
+    return any(
+        own & words and own <= BOILER_WORDS | PLAIN_WORDS
+        for mark, name in re.findall(r"([.#])([^.#]*)", sign)
+        if mark == "." or _tag(sign) not in HEADINGS
+        for own in [{w.lower() for w in _WORD.findall(name)}]
+    )
+
+
+@lru_cache(SIGNS_HELD)
+def _surely(sign: str) -> bool:
+    """Whether an element is boilerplate even in an article: by name of element, role, or a name that tells nothing else."""
+    return _boilerplate(re.sub(r"[.#].*", "", sign)) or (_boilerplate(sign) and _named(sign, BOILER_WORDS - AMBIGUOUS_WORDS))
+
+
+def _only_list(node: list) -> bool:
+    """Whether a wrapper's element holds nothing but a repeated group without prose, and headings."""
+    seen, stack = False, list(node[CHILDREN])
+    while stack:
+        own = stack.pop()
+        if own[SIGN] == "#":
+            return False
+        if own[REPEATED]:
+            inner = [own]
+            while inner:
+                part = inner.pop()
+                if _tag(part[SIGN]) in PROSE:
+                    return False
+                inner.extend(part[CHILDREN])
+            seen = True
+        elif _tag(own[SIGN]) in PROSE:
+            return False
+        elif _tag(own[SIGN]) not in HEADINGS:
+            stack.extend(own[CHILDREN])
+    return seen
+
+
 # An element of a reading plan: [sign, repeated, verdict, children]. The verdict is READ, DROP, MAIN for an element that
 # holds the article, or the checksums of the texts of an element that is the same on all pages.
 # Children are told only where a verdict below differs from what the signs alone say.
@@ -389,8 +443,16 @@ def _kind(sign: str, inside: bool) -> str:
     return "words" if _words(sign) & MAIN_WORDS and tag not in ("html", "body") else ""
 
 
-def _marked(sign: str, inside: bool) -> bool:
-    return _boilerplate(sign) or (not inside and (_tag(sign) == "header" or "header" in _words(sign)))
+def _marked(sign: str, inside: bool, within: bool) -> bool:
+    """Whether an element is boilerplate by its sign, `inside` an article element, `within` what may hold the article.
+
+    There, and for ids that are mere anchors of headings and sections, words that may name a subject do not count.
+    """
+    tag = _tag(sign)
+    if not inside and (tag == "header" or "header" in _words(sign)):
+        return True
+    anchor = (tag == "section" or tag in HEADINGS) and not _words(re.sub(r"#.*", "", sign)) & BOILER_WORDS
+    return _surely(sign) if within or anchor else _boilerplate(sign)
 
 
 def _checksums(node: list) -> list[int]:
@@ -427,26 +489,35 @@ def plan(wrapper: list) -> list:
     found: dict[str, list[list]] = {"article": [], "main": [], "words": []}
     outermost: list[list] = []
     dropped = 0
-    stack = [(wrapper, False, False)]
+    stack = [(wrapper, False, False, False)]
     while stack:
-        node, inside, named = stack.pop()
+        node, inside, within, named = stack.pop()
         for child in node[CHILDREN]:
             sign = child[SIGN]
             if sign == "#":
                 continue
             if sign == "()":
-                stack.append((child, inside, named))
-                continue
-            if _marked(sign, inside) and not main_below[id(child)]:
-                verdicts[id(child)] = DROP
-                dropped += size[id(child)]
+                stack.append((child, inside, within, named))
                 continue
+            sure = _marked(sign, inside, within)
+            if not main_below[id(child)] and (sure or _boilerplate(sign)):
+                # A word that may name a subject needs the wrapper's evidence: a repeated group, or the same text everywhere.
+                group = _named(sign, BOILER_WORDS) and _tag(sign) not in HEADINGS | PROSE
+                if _tag(sign) == "section" and not _words(re.sub(r"#.*", "", sign)) & BOILER_WORDS:
+                    group = False
+                if sure or (group and (child[REPEATED] or node[SIGN] == "()" or _only_list(child))):
+                    verdicts[id(child)] = DROP
+                elif same[id(child)] and size[id(child)] and _tag(sign) not in HEADINGS:
+                    verdicts[id(child)] = _checksums(child)
+                if id(child) in verdicts:
+                    dropped += size[id(child)]
+                    continue
             kind = _kind(sign, inside)
             if kind and size[id(child)]:
                 found[kind].append(child)
                 if kind == "words" and not named:
                     outermost.append(child)
-            stack.append((child, inside or _tag(sign) == "article", named or kind == "words"))
+            stack.append((child, inside or _tag(sign) == "article", within or bool(kind), named or kind == "words"))
     # Elements only named like an article must hold most of the text; the outermost count.
     if 2 * sum([size[id(n)] for n in outermost]) < size[id(wrapper)] - dropped:
         outermost = []
@@ -621,7 +692,7 @@ def _read(root: Element, how: list, kind: str, constants: bool) -> tuple[list[st
             own = places.get(id(child))
             if own:
                 verdict = own[P_VERDICT]
-            elif _marked(child.sign, article) and not _holds_main(child):
+            elif _marked(child.sign, article, bool(kind) and inside) and not _holds_main(child):
                 verdict = DROP
             else:
                 verdict = MAIN if kind and _kind(child.sign, article) == kind else READ

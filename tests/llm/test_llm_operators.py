@@ -312,6 +312,18 @@ def test_pages_of_any_depth(depth):
     assert read_host(["<div>" * depth + f"own {c}<aside>x</aside></p></section>" for c in "abcdef"]) == [f"own {c}" for c in "abcdef"]
 
 
+def test_ambiguous_words_in_an_article_need_the_wrapper():
+    page = """<main><article><h1>T {0}</h1><section id="discussion"><p>dis {0}</p></section><h2 id="related-work">Work</h2><p>w {0}</p>
+<section id="search-strategy"><p>s {0}</p></section><div class="legal-basis">law {0}</div><div id="ad-hoc-networks">hoc {0}</div>
+<div class="social">Follow us</div><div class="related"><h3>See</h3><ul><li>r {0}</li><li>q {0}</li></ul></div><div class="ad-box">buy {0}</div>
+<div class="reply">one {0}</div><div class="reply">two {0}</div><p>end {0}</p></article></main>"""
+    for c, text in zip("abcdef", read_host([page.format(c) for c in "abcdef"])):
+        assert text == f"T {c}\ndis {c}\nWork\nw {c}\ns {c}\nlaw {c}\nhoc {c}\nend {c}"
+    # No evidence on a host of one page; without an article element anchors do not count either.
+    assert read_host(['<article><p>a</p><div class="social">b</div></article>']) == ["a\nb"]
+    assert read_host(['<h2 id="legal">a</h2><section id="responses"><p>b</p></section><div class="search">c</div>']) == ["a\nb"]
+
+
 def test_archives(spark):
     big, small = "<p>é" * 400, "tiny"
     rows = [(1, "http://a/x?q=1", big), (2, "http://a/ü", big), (3, None, small), (4, "http://b/", small), (5, "http://c/", None)]
