@@ -37,7 +37,9 @@ def _decode_numbered(text: Column) -> Column:
         letter = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
         return F.concat(letter, F.regexp_replace(part, head, ""))
 
-    decimal, hexadecimal = r"^([0-9]{1,6});", r"^[xX]([0-9a-fA-F]{1,5});"
+    # Up to 10FFFF, with any number of leading zeros.
+    decimal = r"^0*(11141(?:0[0-9]|1[01])|11140[0-9]{2}|111[0-3][0-9]{3}|110[0-9]{4}|10[0-9]{5}|[0-9]{1,6});"
+    hexadecimal = r"^[xX]0*((?:10|[0-9a-fA-F])?[0-9a-fA-F]{1,4});"
 
     def resolve(part: Column) -> Column:
         return (

@@ -239,3 +239,13 @@ def test_parse_number_on_random_text(spark):
     got = values(spark, [(t,) for t in texts], "t string", "t", num.parse_number(F.col("t")))
     wrong = [(t, v, read_number(t)) for t, v in got if v != read_number(t)]
     assert not wrong, wrong[:10]
+
+
+def test_numbered_references_of_the_whole_range(spark):
+    cases = {
+        "&#1048577; &#x10FFFD; &#1114111;": "\U00100001 \U0010fffd \U0010ffff",
+        "&#00000038; &#x0000026; &#XFFFFF;": "& & \U000fffff",
+        "&#1114112; &#x110000; &#9999999; &#x;": "&#1114112; &#x110000; &#9999999; &#x;",
+    }
+    got = values(spark, [(t,) for t in cases], "t string", "t", tx.plain_text(F.col("t")))
+    assert dict(got) == cases
