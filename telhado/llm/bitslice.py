@@ -44,9 +44,9 @@ def _pack(bits: np.ndarray) -> np.ndarray:
 class SlicedBlock:
     """The index of one block of candidates."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray) -> None:
         order = np.argsort(ids, kind="stable")
-        self.ids, vectors = ids[order], vectors[order]
+        self.ids, vectors, self.copies = ids[order], vectors[order], copies[order]
         self.low = int(vectors.min()) if vectors.size else 0
         high = int(vectors.max()) if vectors.size else 0
         self.bits = max(1, (high - self.low).bit_length())
@@ -90,8 +90,8 @@ class SlicedBlock:
             level += 1
         return out, constant
 
-    def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best rows other than the query's own, ties to smaller ids."""
+    def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, scores, copies) of the k best rows other than the query's own, ties to smaller ids."""
         sums, constant = self.scores(query)
         left, right = np.searchsorted(self.ids, [query_id, query_id + 1])
         own = np.zeros(self.rows, np.uint8)
@@ -117,7 +117,7 @@ class SlicedBlock:
         score = np.full(len(rows), constant, np.int64)
         for place, bitmap in enumerate(sums):
             score += ((bitmap[word] >> bit) & np.uint64(1)).astype(np.int64) << place
-        return self.ids[rows], score
+        return self.ids[rows], score, self.copies[rows]
 
     def _rows(self, bitmap: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
@@ -135,12 +135,14 @@ def _search(k: int):
         parts = []
         if len(candidates) and len(queries):
             width = max(candidates["v"].map(len).max(), queries["v"].map(len).max())
-            block = SlicedBlock(candidates["vec_id"].to_numpy(np.int64), _matrix(candidates["v"], width))
+            block = SlicedBlock(
+                candidates["vec_id"].to_numpy(np.int64), _matrix(candidates["v"], width), candidates["copies"].to_numpy(np.int64)
+            )
             for query_id, query in zip(queries["vec_id"].to_numpy(np.int64), _matrix(queries["v"], width)):
-                ids, score = block.top(int(query_id), query, k)
-                parts.append((np.full(len(ids), query_id), ids, score))
-        columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.empty(0, np.int64)] * 3
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns)))
+                ids, score, copies = block.top(int(query_id), query, k)
+                parts.append((np.full(len(ids), query_id), ids, score, copies))
+        columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.empty(0, np.int64)] * 4
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score", "copies"), columns)))
 
     return run
 
@@ -154,40 +156,40 @@ def top_k(
     while they fit in 64 bits; a shorter vector counts as filled up with zeros. Rows whose vec_id is null, or whose
     vector is null or holds a null or non-finite component, take no part; a repeated id stands for
     all its rows, none of which is its own candidate. Blocks of candidates meet blocks of queries, both of bounded
-    size, and each pair of blocks gives at most k rows for a query.
+    size whatever ids repeat, and each pair of blocks gives at most k rows for a query. Equal rows are one candidate that
+    counts its copies, told again after the choice.
     """
     usable = materialise(
-        vectors.where(F.col("vec_id").isNotNull() & _usable(F.col("embedding"))).select(
-            "vec_id", quantised(F.col("embedding")).alias("v")
-        ),
+        vectors.where(F.col("vec_id").isNotNull() & _usable(F.col("embedding")))
+        .select("vec_id", quantised(F.col("embedding")).alias("v"))
+        .groupBy("vec_id", "v")
+        .agg(F.count("*").alias("copies")),
         "quantised",
     )
     is_query = F.col("vec_id") % query_every == 0
     rows, asked = usable.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     blocks, groups = max(1, -(-rows // block_rows)), max(1, -(-asked // query_rows))
-    spread = F.xxhash64("vec_id")
+    spread = F.xxhash64("vec_id", "v")
     candidates = usable.select(
         F.pmod(spread, F.lit(blocks)).cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
         "vec_id",
         "v",
+        "copies",
     )
-    queries = (
-        usable.where(is_query)
-        .select(
-            F.pmod(spread, F.lit(groups)).cast("int").alias("group"),
-            F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-            "vec_id",
-            "v",
-        )
-        .dropDuplicates(["group", "block", "vec_id", "v"])
+    queries = usable.where(is_query).select(
+        F.pmod(spread, F.lit(groups)).cast("int").alias("group"),
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+        "vec_id",
+        "v",
     )
     best = (
         candidates.groupBy("block", "group")
         .cogroup(queries.groupBy("block", "group"))
-        .applyInPandas(_search(k), "query_id long, vec_id long, score long")
+        .applyInPandas(_search(k), "query_id long, vec_id long, score long, copies long")
     )
-    # A query has at most k rows from each block.
+    # A query has at most k rows from each block, each at most k times.
+    best = best.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)))))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -388,3 +388,13 @@ def test_special_token_keeps_stretches_apart():
     assert [np.frombuffer(p, "<u2").tolist() for p in packed] == [library.encode(s, add_special_tokens=False).ids for s in stretches]
     codes, offsets, words = split_words(pa.array(["a b", None, "", "b"]))
     assert [[words[c] for c in codes[a:z]] for a, z in zip(offsets, offsets[1:])] == [["a", "b"], [""], [""], ["b"]]
+
+
+def test_top_k_of_one_id_with_many_rows(spark):
+    # One id of many rows, some equal: more than one block has it, and equal rows are told as often as they are.
+    hot = [(7, [0.01 * i, 1.0]) for i in range(60)] + [(7, [9.0, 9.0])] * 14 + [(100, [1.0, 1.0]), (5, [10.0, 10.0])]
+    hot = spark.createDataFrame(hot, "vec_id long, embedding array<double>")
+    plan = bitslice.top_k(hot, block_rows=16)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"xxhash64\(vec_id#\d+L, v#\d+", plan)
+    got = [tuple(r) for r in bitslice.top_k(hot, k=12, block_rows=16).orderBy("rank").collect()]
+    assert got == [(100, 1, 5, 20 * 1024**2)] + [(100, i, 7, 18 * 1024**2) for i in range(2, 13)]
