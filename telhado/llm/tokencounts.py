@@ -5,7 +5,7 @@ are spliced where a space or line break follows another character, because nothi
 tokens on one side of such a place lies on the other (normalisation, special strings and
 pre-tokens end there), and only if both encodings give the same tokens from the first to
 the last such place of the overlap. Where there is none, or they differ, the overlap is widened,
-up to whole chunks and then to longer ones.
+up to whole chunks and then to chunks twice as long each time.
 """
 
 from __future__ import annotations
@@ -60,8 +60,8 @@ def spliced_count(text: str, encode: Encode, chunk: int = CHUNK_CHARS, overlap:
                 if _between(left, first, last) == _between(right, first, last):
                     break
             if width == end - start:
-                # Nothing in the whole chunk can be relied on: take a longer one.
-                end = min(len(text), end + chunk)
+                # Nothing in the whole chunk can be relied on: take one twice as long.
+                end = min(len(text), start + 2 * (end - start))
                 left = encoded(start, end)
                 if end == len(text):
                     return total + len(_between(left, done, len(text) + 1))

@@ -398,3 +398,14 @@ def test_top_k_of_one_id_with_many_rows(spark):
     assert re.search(r"xxhash64\(vec_id#\d+L, v#\d+", plan)
     got = [tuple(r) for r in bitslice.top_k(hot, k=12, block_rows=16).orderBy("rank").collect()]
     assert got == [(100, 1, 5, 20 * 1024**2)] + [(100, i, 7, 18 * 1024**2) for i in range(2, 13)]
+
+
+def test_text_without_splices_is_encoded_a_bounded_number_of_times():
+    seen = []
+
+    def encode(text):
+        seen.append(len(text))
+        return [(0, i, i + 1) for i in range(len(text))]
+
+    assert tokencounts.spliced_count("x" * 100_000, encode, chunk=1000) == 100_000
+    assert sum(seen) <= 4 * 100_000
