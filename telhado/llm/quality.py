@@ -7,6 +7,7 @@ length of the lines, is the document's quality.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +20,7 @@ from telhado.session import materialise
 
 from .common import arrow_map, held_out, labelled_sample, training_rows, utf8
 
-# Bounds of the fit: labelled rows of each class; documents of more lines are not used to fit.
+# Bounds of the fit: labelled rows of each class, and consecutive lines of each document.
 ROWS_PER_CLASS = 3000
 FIT_LINES = 400
 THRESHOLD = 0.3
@@ -180,9 +181,15 @@ def train(features: np.ndarray, owner: np.ndarray, labels: np.ndarray, l2: float
     return Model(weights, switch)
 
 
+def _stretch(features: np.ndarray, text: bytes) -> np.ndarray:
+    """FIT_LINES consecutive lines, from a place that a checksum of the text chooses; all lines of a shorter text."""
+    first = zlib.crc32(text) % max(1, len(features) - FIT_LINES + 1)
+    return features[first : first + FIT_LINES]
+
+
 def _lines(columns: Iterator[dict[str, pa.Array]]) -> Iterator[dict[str, pa.Array]]:
     for batch in columns:
-        found = [line_features(t)[0] for t in utf8(batch["text"])]
+        found = [_stretch(line_features(t)[0], t) for t in utf8(batch["text"])]
         yield {
             "label": batch["label"],
             "lines": pa.array([len(f) for f in found], pa.int32()),
@@ -191,13 +198,14 @@ def _lines(columns: Iterator[dict[str, pa.Array]]) -> Iterator[dict[str, pa.Arra
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS, l2: float = 1e-4) -> Model:
-    """Fit on at most `rows_per_class` labelled documents of each class outside the held-out fold, of up to FIT_LINES lines.
+    """Fit on at most `rows_per_class` labelled documents of each class outside the held-out fold.
 
-    Every line of a sampled document bears the document's label. Only line features, of a bounded
+    Every line of a sampled document bears the document's label; of a longer one FIT_LINES lines in a row are learnt
+    from, whose features are those they have in the whole text. A null text counts as empty, as in scoring. Only line features, of a bounded
     number of lines, reach the driver. Without labels every score is 0.5.
     """
     sample = materialise(labelled_sample(labels.select("doc_id", "quality"), "quality", rows_per_class), "sample")
-    train_docs = training_rows(docs, sample).where(F.length("text") - F.length(F.replace("text", F.lit("\n"))) < FIT_LINES)
+    train_docs = training_rows(docs, sample)
     rows = (
         arrow_map(train_docs.select("label", "text"), _lines, "label int, lines int, features binary")
         .orderBy(F.xxhash64("features"))

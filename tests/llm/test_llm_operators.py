@@ -409,3 +409,15 @@ def test_text_without_splices_is_encoded_a_bounded_number_of_times():
 
     assert tokencounts.spliced_count("x" * 100_000, encode, chunk=1000) == 100_000
     assert sum(seen) <= 4 * 100_000
+
+
+def test_quality_learns_from_long_and_null_texts(spark):
+    good = "\n".join(f"The river ran past the old mill {i} and on to the sea." for i in range(900))
+    poor = "\n".join(f"BUY NOW!!! $$$ {i} *** CLICK ### HERE" for i in range(900))
+    rows = [(i, good + f"\n{i}" if i % 2 else poor + f"\n{i}", "en", "s", 0) for i in range(1, 25)]
+    docs, labels = spark.createDataFrame(rows, DOCS), spark.createDataFrame([(i, i % 2) for i in range(1, 25)], "doc_id long, quality int")
+    scores = by_id(quality.classify(docs, labels))
+    assert all(scores[i]["predicted"] == i % 2 and abs(scores[i]["score"] - 0.5) > 0.3 for i in range(1, 25))
+    lines = np.arange(1000).reshape(-1, 1)
+    assert len(quality._stretch(lines, b"x")) == quality.FIT_LINES and len(quality._stretch(lines[:7], b"x")) == 7
+    assert quality.fit(docs.withColumn("text", F.lit(None).cast("string")), labels).weights.any()
