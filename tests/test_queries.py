@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from check import rows
 from telhado.suite.views import TABLES
 
-from conftest import SMALL
+from given_tables import SMALL
 
 
 @pytest.fixture(scope="module")
