@@ -66,14 +66,14 @@ def number_attempts(attempts: DataFrame, key: str, order: list[str], at_most: in
     return attempts.withColumn("attempt", F.row_number().over(order_by)).filter(F.col("attempt") <= at_most)
 
 
-def first_good_records(
-    attempts: DataFrame, key: str, order: list[str], at_most: int = 3, rounds: int = 1
-) -> DataFrame:
-    """Record of the first usable page of each key in each round of at most `at_most` attempts.
+def good_rounds(attempts: DataFrame, key: str, order: list[str], at_most: int = 3, rounds: int = 1) -> DataFrame:
+    """Per key the record of the first usable page of each round: (key, round_1, ..., round_n).
+
+    A round is struct(round, best, tried); `best` is struct(attempt, usable, fields), NULL where no
+    page of at most `at_most` attempts was usable.
 
     A round ends at its first usable page, or after `at_most` attempts; the next one, numbered on
-    in `round`, begins right behind. Every attempted round is kept: `attempt` and all fields are
-    NULL where no page was usable, and a usable page wins even if it holds no field. Attempts
+    in `round`, begins right behind. A usable page wins even if it holds no field. Attempts
     are those of one run: pass the day's own. Pages are parsed before the rows move, so only the
     ten fields are shuffled, once, and a key has at most `at_most * rounds` of them.
     """
@@ -95,6 +95,17 @@ def first_good_records(
         tried = tried.withColumn(f"round_{n}", done).withColumn(
             "ended", F.coalesce(F.col(f"round_{n}.best.attempt"), F.col("ended") + at_most)
         )
+    return tried.select(col(key), *[f"round_{n}" for n in range(1, rounds + 1)])
+
+
+def first_good_records(
+    attempts: DataFrame, key: str, order: list[str], at_most: int = 3, rounds: int = 1
+) -> DataFrame:
+    """`good_rounds` as a row per key and attempted round: key, round, attempt and the ten fields.
+
+    `attempt` and all fields are NULL where no page was usable.
+    """
+    tried = good_rounds(attempts, key, order, at_most, rounds)
     each = tried.select(col(key), F.explode(F.array(*[f"round_{n}" for n in range(1, rounds + 1)])).alias("r"))
     return each.where("r.tried").select(
         col(key), "r.round", *[F.col("r.best").getField(c).alias(c) for c in ["attempt", *RECORD_COLUMNS]]

@@ -8,7 +8,7 @@ from ..functions.text import all_null
 from ..schemas import COORDS, PRICE, RECORD_COLUMNS, col
 from .clean import missing_coordinates, valid_urls
 from .distinct import distinct_keys, first_per_key
-from .joins import union_all
+from .joins import refuse_columns, union_all
 
 PRIORITY = "__priority"
 
@@ -48,13 +48,38 @@ def backfill(ads: DataFrame, records: DataFrame, wanted: Column, fields: list[st
     per-column coalesce: a found record replaces the whole set of fields.
     """
     fields = fields or RECORD_COLUMNS
-    fresh = records.select(
-        "url", F.lit(True).alias("__found"), *[col(c).alias(f"__new_{c}") for c in fields]
-    ).filter(~all_null(*[col(f"__new_{c}") for c in fields]))
-    hit = wanted & F.col("__found").isNotNull()
-    joined = ads.join(fresh, "url", "left")
-    chosen = {c: F.when(hit, col(f"__new_{c}")).otherwise(col(c)) for c in fields}
-    return joined.select(*[chosen.get(c, col(c)).alias(c) for c in ads.columns])
+    record = F.struct(*[col(c) for c in fields]).alias("best")
+    rounds = records.select("url", F.struct(record).alias("round_1"))
+    return take_round(attach_rounds(ads, rounds, fields), 1, wanted).select(*[col(c) for c in ads.columns])
+
+
+def attach_rounds(ads: DataFrame, records: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """Add `__round_1`, ...: the record of each round of the ad's URL, NULL where it has no field. One join for all rounds.
+
+    `records` has a row per `url` with `round_1`, ... as from `extract.good_rounds`, or a row per `url` and
+    `round` as from `extract.first_good_records`; those are gathered by URL first.
+    """
+    fields = fields or RECORD_COLUMNS
+    if "round" in records.columns:
+        record = F.struct(F.struct(*[col(c) for c in fields]).alias("best"))
+        each = [F.max(F.when(F.col("round") == n, record)).alias(f"round_{n}") for n in (1, 2)]
+        records = records.groupBy("url").agg(*each)
+    names = [c for c in records.columns if c.startswith("round_")]
+    refuse_columns(ads, {f"__{c}" for c in names})
+
+    def record(name: str) -> Column:
+        own = [F.col(f"{name}.best").getField(c) for c in fields]
+        return F.when(~all_null(*own), F.struct(*[v.alias(c) for v, c in zip(own, fields)])).alias(f"__{name}")
+
+    return ads.join(records.select("url", *[record(c) for c in names]), "url", "left")
+
+
+def take_round(joined: DataFrame, n: int, wanted: Column) -> DataFrame:
+    """Where `wanted` holds, all fields of the n-th round's record; drops the round."""
+    fresh = F.col(f"__round_{n}")
+    fields = joined.schema[f"__round_{n}"].dataType.fieldNames()
+    hit = wanted & fresh.isNotNull()
+    return joined.withColumns({c: F.when(hit, fresh.getField(c)).otherwise(col(c)) for c in fields}).drop(f"__round_{n}")
 
 
 def change_counts(merged: DataFrame, before: str, after: str, is_new: str = "is_new") -> DataFrame:

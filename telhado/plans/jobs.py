@@ -34,17 +34,16 @@ def bronze_municipal(
 ) -> DataFrame:
     """Previous ads, plus new ones of the listing, with missing records filled in.
 
-    `records` holds the records of up to two rounds of attempts per URL. A new ad takes its first
+    `records` holds two rounds of attempts per URL, as from `extract.good_rounds`. A new ad takes its first
     record, and so does an old ad still without a price; a new ad that has no price even then
     takes its second. Adds `is_new` and `price_before`: the price before unpriced ads were
     tried again.
     """
     price = col(PRICE)
     merged = merge.merge_listing(previous, ensure_columns(listing, ADS), order).withColumn("price_before", price)
-    first, second = (records.filter(F.col("round") == n) for n in (1, 2))
-    filled = merge.backfill(merged, first, price.isNull())
+    filled = merge.take_round(merge.attach_rounds(merged, records), 1, price.isNull())
     filled = filled.withColumn("price_before", F.when(F.col("is_new"), price).otherwise(F.col("price_before")))
-    return merge.backfill(filled, second, F.col("is_new") & price.isNull())
+    return merge.take_round(filled, 2, F.col("is_new") & price.isNull())
 
 
 def changes(bronze: DataFrame) -> DataFrame:
@@ -118,8 +117,9 @@ def run_bronze_municipal(
     root = snapshots.snapshot_root(base, "bronze", "municipal")
     previous = snapshots.read_latest_or_empty(spark, root, ADS)
     with scratch(spark):
-        records = materialise(extract.first_good_records(attempts, "url", attempt_order, rounds=2), "records")
-        if not merge.anything_changes(previous, listing, records.filter("round = 1"), order):
+        records = materialise(extract.good_rounds(attempts, "url", attempt_order, rounds=2), "records")
+        first = records.select("url", F.col("round_1.best").getField(PRICE).alias(PRICE))
+        if not merge.anything_changes(previous, listing, first, order):
             return None
         ready = bronze_municipal(previous, listing, records, order)
         return snapshots.write_snapshot(ready.select(*[col(c) for c in ADS.fieldNames()]), root, stamp)

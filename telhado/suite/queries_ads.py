@@ -588,19 +588,19 @@ def _first_good(source: str, key: str, order: str, rounds: int = 1) -> str:
     """CTEs up to `records`: record of the first usable page of each round of three attempts, per key."""
     plain = ", ".join(SQL_FIELDS.values())
     second = f"""
-second_round AS (SELECT t.{key}, CAST(min(t.attempt) FILTER (WHERE t.good) AS INTEGER) AS attempt
+second_round AS MATERIALIZED (SELECT t.{key}, CAST(min(t.attempt) FILTER (WHERE t.good) AS INTEGER) AS attempt
   FROM tried t JOIN first_round f ON f.{key} IS NOT DISTINCT FROM t.{key}
   WHERE t.attempt > coalesce(f.attempt, 3) AND t.attempt <= coalesce(f.attempt, 3) + 3 GROUP BY t.{key}),"""
     also = f" UNION ALL SELECT {key}, 2, attempt FROM second_round"
     return f"""
-numbered AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS attempt FROM {source}),
-tried AS (SELECT {key}, attempt, ({USABLE}) AS good, html FROM numbered WHERE attempt <= {3 * rounds}),
-first_round AS (SELECT {key}, CAST(min(attempt) FILTER (WHERE good) AS INTEGER) AS attempt FROM tried WHERE attempt <= 3 GROUP BY {key}),
+numbered AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS attempt FROM {source}),
+tried AS MATERIALIZED (SELECT {key}, attempt, ({USABLE}) AS good, html FROM numbered WHERE attempt <= {3 * rounds}),
+first_round AS MATERIALIZED (SELECT {key}, CAST(min(attempt) FILTER (WHERE good) AS INTEGER) AS attempt FROM tried WHERE attempt <= 3 GROUP BY {key}),
 {second if rounds > 1 else ""}
-best AS (SELECT {key}, 1 AS round, attempt FROM first_round{also if rounds > 1 else ""}),
-page AS (SELECT b.{key}, b.round, b.attempt, t.html FROM best b LEFT JOIN tried t ON t.{key} = b.{key} AND t.attempt = b.attempt),
+best AS MATERIALIZED (SELECT {key}, 1 AS round, attempt FROM first_round{also if rounds > 1 else ""}),
+page AS MATERIALIZED (SELECT b.{key}, b.round, b.attempt, t.html FROM best b LEFT JOIN tried t ON t.{key} = b.{key} AND t.attempt = b.attempt),
 {_json('page', f'{key}, round, attempt')},
-records AS (SELECT {key}, round, attempt, {plain} FROM fields)
+records AS MATERIALIZED (SELECT {key}, round, attempt, {plain} FROM fields)
 """
 
 
@@ -635,32 +635,32 @@ def _bronze(fresh: str) -> str:
     """CTEs up to `done`, with `fresh` the listing's unseen ads (url, titulos)."""
     return f"""
 WITH {_first_good('ad_fetches', 'url', 'try_no, tie_1, tie_2', 2)},
-old AS (SELECT {RAW_COLUMNS} FROM ads_prev QUALIFY row_number() OVER (PARTITION BY url ORDER BY titulos) = 1),
+old AS MATERIALIZED (SELECT {RAW_COLUMNS} FROM ads_prev QUALIFY row_number() OVER (PARTITION BY url ORDER BY titulos) = 1),
 {fresh},
-both_ AS (SELECT *, FALSE AS is_new FROM old
+both_ AS MATERIALIZED (SELECT *, FALSE AS is_new FROM old
   UNION ALL SELECT url, titulos, {', '.join('NULL' for _ in RECORD_COLUMNS)}, TRUE FROM fresh),
-rec AS (SELECT * FROM records WHERE coalesce({', '.join(SQL_FIELDS.values())}) IS NOT NULL),
-once AS (SELECT a.url, a.titulos, a.is_new, a.preco AS was, {_filled_from('r', 'a', 'a.preco IS NULL')}
+rec AS MATERIALIZED (SELECT * FROM records WHERE coalesce({', '.join(SQL_FIELDS.values())}) IS NOT NULL),
+once AS MATERIALIZED (SELECT a.url, a.titulos, a.is_new, a.preco AS was, {_filled_from('r', 'a', 'a.preco IS NULL')}
   FROM both_ a LEFT JOIN rec r ON r.url = a.url AND r.round = 1),
-done AS (SELECT a.url, a.titulos, a.is_new, CASE WHEN a.is_new THEN a.preco ELSE a.was END AS was,
+done AS MATERIALIZED (SELECT a.url, a.titulos, a.is_new, CASE WHEN a.is_new THEN a.preco ELSE a.was END AS was,
     {_filled_from('r', 'a', 'a.is_new AND a.preco IS NULL')}
   FROM once a LEFT JOIN rec r ON r.url = a.url AND r.round = 2)
 """
 
 
 UNSEEN = "url IS NOT NULL AND url <> '' AND NOT EXISTS (SELECT 1 FROM ads_prev p WHERE p.url = c.url)"
-BRONZE_MUNIC = _bronze(f"fresh AS (SELECT url, min(titulos) AS titulos FROM ads_curr c WHERE {UNSEEN} GROUP BY url)")
+BRONZE_MUNIC = _bronze(f"fresh AS MATERIALIZED (SELECT url, min(titulos) AS titulos FROM ads_curr c WHERE {UNSEEN} GROUP BY url)")
 
 # From the cards before they become pages, so that no pattern is shared with the query.
 BRONZE_FROM_PAGES = _bronze(f"""
-fresh AS (SELECT url, titulos FROM page_cards c
+fresh AS MATERIALIZED (SELECT url, titulos FROM page_cards c
   WHERE (b + page) % 17 <> 4 AND b % 23 <> 5 AND b % 29 <> 7 AND {UNSEEN}
     AND page <= (SELECT max(m.page) FROM page_cards m WHERE m.b = c.b) - CASE WHEN b % 7 = 3 THEN 1 ELSE 0 END
   QUALIFY row_number() OVER (PARTITION BY url ORDER BY low, page, slot) = 1)""")
 
 
 def ad_records(d: Data) -> DataFrame:
-    return extract.first_good_records(d["ad_fetches"], "url", ["try_no", "tie_1", "tie_2"], rounds=2)
+    return extract.good_rounds(d["ad_fetches"], "url", ["try_no", "tie_1", "tie_2"], rounds=2)
 
 
 def bronze_munic(d: Data) -> DataFrame:
@@ -672,6 +672,7 @@ def bronze_munic(d: Data) -> DataFrame:
     "bronze_from_pages",
     f"{BRONZE_FROM_PAGES} SELECT url, titulos, {', '.join(SQL_FIELDS.values())} FROM done",
     ("ads_prev", "page_cards", "ad_fetches"),
+    once=True,
 )
 def _(d: Data):
     """From price bands and landed result pages, by the usual patterns, to the merged table."""
@@ -686,6 +687,7 @@ def _(d: Data):
     "bronze_munic",
     f"{BRONZE_MUNIC} SELECT url, titulos, {', '.join(SQL_FIELDS.values())} FROM done",
     ("ads_prev", "ads_curr", "ad_fetches"),
+    once=True,
 )
 def _(d: Data):
     return shown(bronze_munic(d).drop("is_new", "price_before"))
@@ -724,6 +726,7 @@ def _(d: Data):
     "count(*) FILTER (WHERE is_new) AS n_new, count(*) FILTER (WHERE was IS NULL) AS n_unpriced_before, "
     "count(*) FILTER (WHERE preco IS NULL) AS n_unpriced_after FROM done)",
     ("ads_prev", "ads_curr", "ad_fetches"),
+    once=True,
 )
 def _(d: Data):
     return jobs.changes(bronze_munic(d))

@@ -258,8 +258,11 @@ class Data:
         return self["boundary"].filter(F.col("year") == 2020)
 
 
-def sql_text(body: str, *views: str) -> str:
-    """`body` with the named views, and those they rest on, in front as common table expressions."""
+def sql_text(body: str, *views: str, once: bool = False) -> str:
+    """`body` with the named views, and those they rest on, in front as common table expressions.
+
+    With `once`, each view is worked out once however often `body` names it.
+    """
     needed: list[str] = []
 
     def add(name: str) -> None:
@@ -272,7 +275,7 @@ def sql_text(body: str, *views: str) -> str:
     for view in views:
         add(view)
     names = {n: n for n in [*TABLES, *VIEWS]}
-    ctes = [f"{n} AS ({VIEWS[n].strip().format(**names)})" for n in needed]
+    ctes = [f"{n} AS {'MATERIALIZED ' if once else ''}({VIEWS[n].strip().format(**names)})" for n in needed]
     body = body.strip()
     if not ctes:
         return body
