@@ -1,6 +1,7 @@
 """Boundary rings and the points inside them.
 
-Boundary parts are one even-odd multi-polygon, so parts and holes need no dissolving.
+Rings are one even-odd multi-polygon, so holes and islands need no dissolving; parts that may
+overlap are told apart by a column `part` and dissolved first (`overlay.py`).
 """
 
 from __future__ import annotations
@@ -9,32 +10,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import geodesy
 from ..session import materialise
+from .edges import boundary_edges  # noqa: F401
 from .joins import lookup_join, refuse_columns
-
-
-def boundary_edges(vertices: DataFrame, project: bool = False) -> DataFrame:
-    """Directed edges (ring, seq, x1, y1, x2, y2) of closed rings.
-
-    `seq` counts a ring's vertices from 0 without gaps. Each vertex finds its successor by
-    an equi-join on (ring, seq), so a long ring spreads over tasks. With `project`, degrees
-    become Mercator metres; edges are straight between projected vertices.
-    """
-    x, y = F.col("x").cast("double"), F.col("y").cast("double")
-    if project:
-        x, y = geodesy.mercator_x(x), geodesy.mercator_y(y)
-    points = vertices.select("ring", F.col("seq").cast("int").alias("seq"), x.alias("x"), y.alias("y"))
-    sizes = vertices.groupBy("ring").agg(F.count(F.lit(1)).cast("int").alias("n"))
-    following = points.select(
-        "ring", F.col("seq").alias("next"), F.col("x").alias("x2"), F.col("y").alias("y2")
-    )
-    return (
-        lookup_join(points, sizes, ["ring"], ["seq"])
-        .withColumn("next", F.pmod(F.col("seq") + 1, F.col("n")))
-        .join(following, ["ring", "next"])
-        .select("ring", "seq", F.col("x").alias("x1"), F.col("y").alias("y1"), "x2", "y2")
-    )
+from .overlay import outline_edges
 
 
 @dataclass(frozen=True)
@@ -89,8 +68,8 @@ def flag_inside(
 
 
 def points_in_boundary(points: DataFrame, vertices: DataFrame, spread_by: list[str]) -> DataFrame:
-    """Add `inside` to points with `longitude` and `latitude`, against rings in degrees."""
-    slabs = edge_slabs(boundary_edges(vertices))
+    """Add `inside` to points with `longitude` and `latitude`, against rings in degrees, or the union of their parts."""
+    slabs = edge_slabs(outline_edges(vertices))
     return flag_inside(points, slabs, "longitude", "latitude", spread_by)
 
 

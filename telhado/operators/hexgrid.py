@@ -8,8 +8,9 @@ from ..functions import geodesy, hexes
 from ..functions.hexes import ROOT3, SIZE, centre_x, centre_y, side
 from ..functions.rings import POLYGONS, outline_rings
 from ..session import materialise
-from .boundary import boundary_edges, edge_slabs, flag_inside
+from .boundary import edge_slabs, flag_inside
 from .joins import union_all
+from .overlay import outline_edges
 
 PIECE = "struct<ax: double, ay: double, bx: double, by: double>"
 # A piece of the outline within this distance of a cell side counts as ending on it (metres).
@@ -152,7 +153,7 @@ def hex_cells(vertices: DataFrame, size: float = SIZE) -> DataFrame:
     the outline of (cell and boundary), interior on the left: boundary edges cut to the cell,
     and parts of the cell's sides that run inside the boundary.
     """
-    edges = materialise(boundary_edges(vertices, project=True), "hex-edges")
+    edges = materialise(outline_edges(vertices, project=True), "hex-edges")
     slabs = edge_slabs(edges)
     pieces = materialise(boundary_pieces(edges, size), "hex-pieces")
 

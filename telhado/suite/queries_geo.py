@@ -103,6 +103,27 @@ def _(d: Data):
     return boundary.points_outside_boundary(ads, d.boundary_2020, ["ad_id"]).select("ad_id")
 
 
+PART_EDGES = """
+vs AS (SELECT part, ring, seq, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, count(*) OVER (PARTITION BY part, ring) AS n FROM boundary_parts),
+eb AS (SELECT a.part, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
+       FROM vs a JOIN vs b ON b.part = a.part AND b.ring = a.ring AND b.seq = (a.seq + 1) % a.n)
+"""
+
+
+@query(
+    "points_in_union",
+    f"WITH {PART_EDGES}, hit AS (SELECT ad_id, part FROM ads a JOIN eb e ON (e.y1 > a.latitude) <> (e.y2 > a.latitude) "
+    "AND a.longitude < (e.x2 - e.x1) * (a.latitude - e.y1) / (e.y2 - e.y1) + e.x1 GROUP BY ad_id, part HAVING count(*) % 2 = 1) "
+    "SELECT ad_id, CASE WHEN longitude IS NOT NULL AND latitude IS NOT NULL THEN ad_id IN (SELECT ad_id FROM hit) END AS inside FROM ads",
+    ("boundary_parts", "ads"),
+    once=True,
+)
+def _(d: Data):
+    """Ads inside any of many overlapping parts with holes and islands, by the outline of their union."""
+    ads = d["ads"].select("ad_id", "longitude", "latitude")
+    return boundary.points_in_boundary(ads, d["boundary_parts"], ["ad_id"]).select("ad_id", "inside")
+
+
 @query(
     "coords_fallback",
     f"WITH {edges('eb', 2020, False)}, {MEDIANS}, "

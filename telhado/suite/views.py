@@ -212,6 +212,19 @@ SELECT * FROM (VALUES
   (2999,0,0,0.0,0.0),(2999,0,1,1.0,0.0),(2999,0,2,0.0,1.0)) AS t(year, ring, seq, x, y)
 """
 
+# A part for each nation, with a corner for each of its customers; neighbours overlap, every third has a hole, every sixth an island in it.
+VIEWS["boundary_parts"] = """
+SELECT k + add_ AS part, ring, seq,
+  round(-41.5 + 0.4 * (k % 5) + 0.28 * f * size * cos(6.283185307179586 * seq / n), 9) AS x,
+  round(-21.0 + 0.65 * floor(k / 5) + 0.45 * f * size * sin(6.283185307179586 * seq / n), 9) AS y
+FROM (SELECT CAST(c_nationkey AS INTEGER) AS k, 1 + (c_custkey * 7919 % 100) / 400.0 AS f,
+        CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS INTEGER) AS seq,
+        count(*) OVER (PARTITION BY c_nationkey) AS n
+      FROM {customer}) AS c
+  JOIN (SELECT * FROM (VALUES (0, 0, 1.0, 1), (0, 1, 0.3, 3), (100, 0, 0.1, 6)) AS v(add_, ring, size, every)) AS rings
+  ON k % every = 0 AND n > 2
+"""
+
 NEEDS = {
     "ads": ["orders", "customer", "nation"],
     "ads_prev": ["ads"],
@@ -227,6 +240,7 @@ NEEDS = {
     "result_texts": ["orders"],
     "geocoder_log": ["ads"],
     "boundary": [],
+    "boundary_parts": ["customer"],
 }
 
 
