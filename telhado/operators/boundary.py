@@ -56,7 +56,7 @@ def flag_inside(
     refuse_columns(points, {"slab", "edges", name})
     px, py = F.col(x), F.col(y)
     placed = points.withColumn("slab", F.floor(py / slabs.height).cast("bigint"))
-    joined = lookup_join(placed, slabs.table, ["slab"], spread_by)
+    joined = lookup_join(placed, slabs.table, ["slab"], spread_by, hot_only=True)
 
     def crosses(e):
         spans = (e["y1"] > py) != (e["y2"] > py)

@@ -93,7 +93,7 @@ def geocode_by_cep(ads: DataFrame, medians: DataFrame, key: str = "url") -> Data
     """
     bare = ads.drop("latitude", "longitude").withColumn("__cep", standard_cep(F.col("cep")))
     table = medians.select(F.col("cep").alias("__cep"), "latitude", "longitude").filter(F.col("__cep").isNotNull())
-    return lookup_join(bare, table, ["__cep"], [key]).drop("__cep")
+    return lookup_join(bare, table, ["__cep"], [key], hot_only=True).drop("__cep")
 
 
 def coordinates_with_fallback(ads: DataFrame, medians: DataFrame, vertices: DataFrame, key: str = "url") -> DataFrame:

@@ -112,7 +112,7 @@ def hex_join(
     near = materialise(neighbourhoods(grid, rings), "neighbourhoods")
     # Nested outlines take many times the bytes of their file: count them.
     held = F.aggregate("near", F.lit(96), lambda a, c: a + 64 + 40 * F.size(c["outline"]))
-    joined = lookup_join(placed, near, ["q", "r"], spread_by, held)
+    joined = lookup_join(placed, near, ["q", "r"], spread_by, held, hot_only=True)
     x, y, rx, stretch, corner = (F.col(c) for c in ("mx", "my", "rx", "stretch", "corner"))
 
     def folded(c: Column) -> Column:

@@ -72,7 +72,7 @@ def bronze_hexagonal(
     table = medians.filter(F.col("cep").isNotNull()).select(
         F.col("cep").alias("__cep"), F.col("latitude").alias("__lat"), F.col("longitude").alias("__lon")
     )
-    found = lookup_join(flagged, table, ["__cep"], ["url"])
+    found = lookup_join(flagged, table, ["__cep"], ["url"], hot_only=True)
     fresh = {"latitude": F.col("__lat"), "longitude": F.col("__lon")}
     if answers is not None:
         answered = first_per_key(answers.select("url", "latitude", "longitude"), "url", [])
@@ -95,7 +95,7 @@ def silver_hexagonal(ads: DataFrame, grid: DataFrame, wkt: DataFrame | None = No
     """Cleaned ads, one row per touched hexagon; with `wkt`, each row carries its hexagon's outline."""
     cleaned = clean.clean_ads(ads, need_coordinates=True).withColumn("dist_buffer", buffer_radius(F.col("cep")))
     joined = hex_join(cleaned, grid, ["titulos", "latitude", "longitude"]).drop("latitude", "longitude")
-    return joined if wkt is None else lookup_join(joined, wkt, ["hex_id"], ["titulos", "url"])
+    return joined if wkt is None else lookup_join(joined, wkt, ["hex_id"], ["titulos", "url"], hot_only=True)
 
 
 def gold(silver: DataFrame, key: str, labels: list[str] | None = None) -> DataFrame:

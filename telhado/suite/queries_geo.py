@@ -384,7 +384,7 @@ def _(d: Data):
     """Each assigned ad takes its hexagon's centre by number."""
     cells = built_grid(d)
     table = cells.select("hex_id", F.round("cx", 3).alias("cx"), F.round("cy", 3).alias("cy"))
-    return lookup_join(joined_ads(d, cells).select("ad_id", "hex_id"), table, ["hex_id"], ["ad_id"])
+    return lookup_join(joined_ads(d, cells).select("ad_id", "hex_id"), table, ["hex_id"], ["ad_id"], hot_only=True)
 
 
 @query("hex_wkt")
