@@ -12,6 +12,7 @@ SALT_BYTES = 64 * 1024 * 1024
 SIZE_MARGIN = 8
 # Keys told to be hot at most: more cannot each hold a large part of a partition in a thousand.
 MOST_HOT = 2000
+WAYS = 16
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -86,7 +87,8 @@ def hot_salted(
     Only the right rows of hot keys are copied, so the right side hardly grows. Rows with a NULL key
     match nothing and are split as well.
     """
-    salts = salts or salt_count(right)
+    # More ways than partitions, so that the parts fall evenly.
+    salts = salts or WAYS * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(f"`{c}`") if isinstance(c, str) else c for c in spread_by]
     is_hot = key_hash(keys).isin(hot) if hot else F.lit(False)
     spread = left.withColumn(SALT, F.when(is_hot | _no_key(keys), F.pmod(F.xxhash64(*cols), F.lit(salts))).otherwise(0).cast("int"))
