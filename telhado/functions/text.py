@@ -117,7 +117,10 @@ def standard_cep(cep: Column) -> Column:
     return F.when(F.length(digits).between(1, 8), shaped)
 
 
-def buffer_radius(cep: Column, wide: float = 1000.0, narrow: float = 100.0) -> Column:
+WIDE, NARROW = 1000.0, 100.0
+
+
+def buffer_radius(cep: Column, wide: float = WIDE, narrow: float = NARROW) -> Column:
     """Metres around an ad: wide for postal codes that name a whole town (suffix 000)."""
     return F.when(cep.rlike("000$"), F.lit(wide)).otherwise(F.lit(narrow))
 

@@ -14,6 +14,9 @@ from .joins import lookup_join, refuse_columns
 WORK_COLUMNS = {"mx", "my", "cell", "q", "r", "reach", "deep", "rx", "stretch", "corner", "near", "home", "home_whole"}
 
 
+MARGIN = 10
+
+
 def neighbourhoods(grid: DataFrame, rings: int = 1) -> DataFrame:
     """Per cell of the plane: the grid cells among itself and the rings around it (q, r, near).
 
@@ -41,6 +44,18 @@ def rings_for(reach: float | None, size: float = SIZE) -> int:
     return max(1, math.floor(((reach or 0.0) / hexes.side(size) + 0.5) / 1.5) + 1)
 
 
+def rings_around(grid: DataFrame, largest: float, size: float = SIZE) -> int | None:
+    """Rings for circles of at most `largest` metres near this grid; None for circles as wide as many cells.
+
+    The map stretches by the secant of the latitude. Points MARGIN cells beyond the grid are too
+    far off to touch it, so its own extent bounds the stretch.
+    """
+    edge = (grid.agg(F.max(F.abs("cy"))).head()[0] or 0.0) + MARGIN * size
+    # The metric plane's scale is 0.9996 at its middle and larger elsewhere; an ellipsoid adds under a hundredth.
+    reach = largest * math.cosh(edge / geodesy.SPHERE_RADIUS) / 0.9996 * 1.01
+    return rings_for(reach, size) if reach < (MARGIN - 1) * size else None
+
+
 def with_cell(points: DataFrame, size: float = SIZE) -> DataFrame:
     """Add Mercator `mx`, `my` and the cell `q`, `r` of `longitude`, `latitude`.
 
@@ -86,17 +101,20 @@ def hex_join(
     size: float = SIZE,
     zone: int = 24,
     rings: int | None = None,
+    largest: float | None = None,
 ) -> DataFrame:
     """One row per ad and touched hexagon, with `hex_id`; an ad that touches none keeps one row, NULL there.
 
     An ad looks up the list of grid cells around its own cell and tests its circle against
     each: one join, no re-join and no pairs to discard. How many rings of neighbours are looked
     at follows from the largest circle on the Mercator plane, which one aggregate finds; a
-    caller that knows it may give `rings` and save that pass.
+    caller that knows it may give `rings`, or the `largest` radius in metres, and save that pass.
     """
     refuse_columns(ads, WORK_COLUMNS)
     reach = geodesy.mercator_reach(F.col(radius), F.col("longitude"), F.col("latitude"), zone)
     placed = with_cell(ads, size).withColumn("reach", F.when(F.col("mx").isNotNull(), reach))
+    if rings is None and largest is not None:
+        rings = rings_around(grid, largest, size)
     if rings is None:
         rings = rings_for(placed.agg(F.max(F.greatest("reach.x", "reach.y"))).head()[0], size)
     # Most circles lie inside their own cell; those need no look at the neighbours.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.text import buffer_radius, standard_cep
+from ..functions.text import WIDE, buffer_radius, standard_cep
 from ..operators import boundary, clean, extract, geocode, hexgrid, indicators as ind, merge
 from ..operators.distinct import first_per_key
 from ..operators.hexjoin import hex_join
@@ -94,7 +94,7 @@ def silver_municipal(ads: DataFrame) -> DataFrame:
 def silver_hexagonal(ads: DataFrame, grid: DataFrame, wkt: DataFrame | None = None) -> DataFrame:
     """Cleaned ads, one row per touched hexagon; with `wkt`, each row carries its hexagon's outline."""
     cleaned = clean.clean_ads(ads, need_coordinates=True).withColumn("dist_buffer", buffer_radius(F.col("cep")))
-    joined = hex_join(cleaned, grid, ["titulos", "latitude", "longitude"]).drop("latitude", "longitude")
+    joined = hex_join(cleaned, grid, ["titulos", "latitude", "longitude"], largest=WIDE).drop("latitude", "longitude")
     return joined if wkt is None else lookup_join(joined, wkt, ["hex_id"], ["titulos", "url"], hot_only=True)
 
 

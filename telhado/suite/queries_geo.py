@@ -362,7 +362,7 @@ src AS (SELECT ad_id AS id, ad_id, longitude, latitude, CASE WHEN cep LIKE '%000
 
 def joined_ads(d: Data, cells: DataFrame) -> DataFrame:
     ads = placed(d).withColumn("dist_buffer", tx.buffer_radius(F.col("cep"))).drop("cep")
-    return hexjoin.hex_join(ads, cells, ["ad_id"])
+    return hexjoin.hex_join(ads, cells, ["ad_id"], largest=tx.WIDE)
 
 
 @query(
