@@ -52,7 +52,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, with the file system that Spark takes it on.
+
+    Tasks that write files themselves must not take a path without a scheme for a disk of their own.
+    """
+    root = shared_dir(spark)
+    if ":" not in root.split("/")[0]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        full = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+        root = root if full.startswith("file:") else full
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -41,3 +41,16 @@ def test_scratch_tables_belong_to_their_job(spark):
     assert other[0].count() == 3
     with pytest.raises(Exception, match="(?i)exist"):
         spark.read.parquet(mine.inputFiles()[0]).count()
+
+
+def test_paths_name_the_file_system(spark, tmp_path, monkeypatch):
+    """A shared folder without a scheme lies where Spark's default file system is."""
+    conf = spark._jsc.hadoopConfiguration()
+    monkeypatch.setattr(session, "shared_dir", lambda spark: "/shared/x")
+    assert session.fresh_path(spark, "x").startswith("/shared/x/x-")
+    conf.set("fs.viewfs.mounttable.store.link./shared", tmp_path.as_uri())
+    conf.set("fs.defaultFS", "viewfs://store/")
+    try:
+        assert session.fresh_path(spark, "x").startswith("viewfs://store/shared/x/x-")
+    finally:
+        conf.unset("fs.defaultFS")
