@@ -18,6 +18,7 @@ from telhado.session import materialise
 
 SCALE = 1024
 TOP = 10
+LARGEST = (1 << 62) - 1
 QUERY_EVERY = 100
 # Rows of a block of candidates and of a block of queries, on average.
 BLOCK_ROWS = 8192
@@ -58,10 +59,13 @@ class SlicedBlock:
             [_pack(((shifted >> np.uint64(b)) & np.uint64(1)).astype(np.uint8)) for b in range(self.bits)], axis=1
         )
         self.negated = ~self.slices & self.valid
+        self.reach = max(abs(self.low), abs(high))
 
     def scores(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """(bitmaps of the score's bits, least first; constant to add) for a quantised query."""
         size = np.abs(query)
+        if sum(size.tolist()) * 2 * self.reach > LARGEST:
+            raise OverflowError("inner products of these vectors leave 64 bits")
         top = (1 << self.bits) - 1
         constant = self.low * int(query.sum()) - top * int(size[query < 0].sum())
         levels: dict[int, list[np.ndarray]] = {}
@@ -152,12 +156,12 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each vector whose vec_id is divisible by `query_every` its k best others.
 
-    `vectors` has vec_id and embedding. Scores are inner products of the quantised components, exact
-    while they fit in 64 bits; a shorter vector counts as filled up with zeros. Rows whose vec_id is null, or whose
+    `vectors` has vec_id and embedding. Scores are inner products of the quantised components, exact;
+    vectors so large that one may leave 64 bits are an error. A shorter vector counts as filled up with zeros. Rows whose vec_id is null, or whose
     vector is null or holds a null or non-finite component, take no part; a repeated id stands for
     all its rows, none of which is its own candidate. Blocks of candidates meet blocks of queries, both of bounded
     size whatever ids repeat, and each pair of blocks gives at most k rows for a query. Equal rows are one candidate that
-    counts its copies, told again after the choice.
+    counts its copies, told again after the choice. An empty table gives no rows.
     """
     usable = materialise(
         vectors.where(F.col("vec_id").isNotNull() & _usable(F.col("embedding")))

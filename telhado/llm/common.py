@@ -100,6 +100,18 @@ class Apart:
         return out
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as it takes to be none of the columns of `df`."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows kept away from training: crc32 of the id's text, modulo 5, is 0. A null id is held out."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from telhado.operators.joins import lookup_join
 from telhado.session import materialise
 
-from .common import arrow_map, texts
+from .common import arrow_map, free_names, texts
 
 # A leak is a run of this many words (or a whole shorter item) of which this share agrees.
 RUN = 13
@@ -229,9 +229,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def keep_unseen(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` without any run of a benchmark item, with all their columns.
 
-    Rows are told apart by text, so an id that repeats with another text is judged by its own.
+    Rows are told apart by text, so an id that repeats with another text is judged by its own. Rows
+    without a text stay, and so do all rows where the benchmark is empty. Columns may have any names.
     """
     key = F.xxhash64("text")
+    (mark,) = free_names(docs, "__dirty")
     found, _ = _matches(docs, benchmark, key)
-    dirty = found.select(F.col("key").alias("__dirty")).distinct()
-    return docs.join(materialise(dirty, "dirty"), key == F.col("__dirty"), "left_anti")
+    dirty = found.select(F.col("key").alias(mark)).distinct()
+    return docs.join(materialise(dirty, "dirty"), key == F.col(mark), "left_anti")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from telhado.session import materialise
 
-from .common import arrow_map, utf8
+from .common import arrow_map, free_names, utf8
 from .graph import components
 
 SEED = 42
@@ -200,9 +200,9 @@ def keep_one(docs: DataFrame, long_posting: int = LONG_POSTING) -> DataFrame:
     """The rows of `docs` without near copies: of each component the row with the smallest doc_id stays.
 
     All columns of `docs` are kept whatever their names. Of rows that agree in id and fingerprint
-    one stays. Ids that are null come last.
+    one stays. Ids that are null come last; an empty table stays empty.
     """
-    own = "__fp"
+    own, keep, keep_print = free_names(docs, "__fp", "__keep", "__keep_fp")
     prints_udf = F.pandas_udf(_series_prints, "long")
     marked = materialise(docs.withColumn(own, prints_udf(F.col("text").cast("binary"))), "marked")
     prints = marked.select("doc_id", F.col(own).alias("fp"))
@@ -210,10 +210,10 @@ def keep_one(docs: DataFrame, long_posting: int = LONG_POSTING) -> DataFrame:
         prints.join(classes(prints, long_posting), "fp")
         .groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("first"))
-        .select(F.col("first.doc_id").alias("__keep"), F.col("first.fp").alias("__keep_fp"))
+        .select(F.col("first.doc_id").alias(keep), F.col("first.fp").alias(keep_print))
     )
     kept = marked.join(
-        chosen, F.col("doc_id").eqNullSafe(F.col("__keep")) & (F.col(own) == F.col("__keep_fp")), "left_semi"
+        chosen, F.col("doc_id").eqNullSafe(F.col(keep)) & (F.col(own) == F.col(keep_print)), "left_semi"
     )
     return kept.dropDuplicates(["doc_id", own]).select(*(F.col(f"`{c}`") for c in docs.columns))
 
