@@ -8,14 +8,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise
-from .edges import boundary_edges  # noqa: F401
+from .edges import Extent, Tiles, boundary_edges, extent_of  # noqa: F401
 from .joins import lookup_join, refuse_columns
 from .overlay import outline_edges
 
 
+# Where in a tile its spot lies, as a part of its width and height.
+SPOT = 0.4771
+
+
 @dataclass(frozen=True)
 class Slabs:
     """Edges grouped by horizontal slab: (slab, edges). An edge lies in every slab it spans."""
@@ -24,18 +28,14 @@ class Slabs:
     height: float
 
 
-def edge_slabs(edges: DataFrame) -> Slabs:
+def edge_slabs(edges: DataFrame, extent: Extent | None = None) -> Slabs:
     """Slabs of one height: as many as half the edges (64 at least), but none lower than the mean edge.
 
     So a slab holds a few edges however long the boundary, and the table about two rows an edge.
     It is written: a boundary is small, and only its true size shows that to the planner.
     """
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    extent = edges.agg(
-        F.count(F.lit(1)).alias("n"), F.min(low).alias("low"), F.max(high).alias("high"), F.avg(high - low).alias("mean")
-    ).head()
-    span = (extent["high"] or 0.0) - (extent["low"] or 0.0)
-    height = max(span / max(64, extent["n"] // 2), extent["mean"] or 0.0) or 1.0
+    extent = extent or extent_of(edges)
+    height = max((extent.high_y - extent.low_y) / max(64, extent.n // 2), extent.mean_y) or 1.0
     lowest = F.floor(F.least("y1", "y2") / height).cast("bigint")
     highest = F.floor(F.greatest("y1", "y2") / height).cast("bigint")
     spread = edges.filter(F.col("y1") != F.col("y2")).select(
@@ -67,10 +67,72 @@ def flag_inside(
     return joined.withColumn(name, F.when(px.isNotNull() & py.isNotNull(), odd)).drop("slab", "edges")
 
 
+@dataclass(frozen=True)
+class Cover:
+    """Tiles that hold a part of the inside: (tx, ty, inside, edges), `inside` told of the tile's own spot."""
+
+    table: DataFrame
+    tiles: Tiles
+
+    def spot(self, axis: str) -> Column:
+        """A place in the tile (tx, ty), off its middle so that no edge is likely to run through it."""
+        number, size = (F.col("tx"), self.tiles.wide) if axis == "x" else (F.col("ty"), self.tiles.high)
+        return (number + SPOT) * size
+
+
+def boundary_cover(edges: DataFrame) -> Cover:
+    """Cover of the inside by tiles: whole ones without edges, and those that edges pass with just these edges.
+
+    There are about as many tiles in the boundary's box as edges, so a tile has a few. Tiles
+    outside are left out. The table is written once and read by every lookup.
+    """
+    extent = extent_of(edges)
+    cover = Cover(edges, Tiles.for_edges(extent))
+    slabs = edge_slabs(edges, extent)
+    passed = cover.tiles.of_edges(edges).groupBy("tx", "ty").agg(F.sort_array(F.collect_list(F.struct("x1", "y1", "x2", "y2"))).alias("edges"))
+    low, high = ({k: F.lit(v) for k, v in (("x", x), ("y", y))} for x, y in ((extent.low_x, extent.low_y), (extent.high_x, extent.high_y)))
+    first, last = cover.tiles.of_point(**low), cover.tiles.of_point(**high)
+    spark = edges.sparkSession
+    box = spark.range(1).select(F.explode(F.sequence(first["ty"], last["ty"])).alias("ty")).repartition("ty")
+    # A tile more on each side: an edge on the border of tiles is listed on both.
+    box = box.select(F.explode(F.sequence(first["tx"] - 1, last["tx"] + 1)).alias("tx"), "ty") if extent.n else box.limit(0).select(F.col("ty").alias("tx"), "ty")
+    seen = flag_inside(box.withColumns({"sx": cover.spot("x"), "sy": cover.spot("y")}), slabs, "sx", "sy", ["tx", "ty"])
+    table = seen.join(passed.withColumnRenamed("edges", "own"), ["tx", "ty"], "left").where(F.col("inside") | F.col("own").isNotNull())
+    return Cover(materialise(table.select("tx", "ty", "inside", F.col("own").alias("edges")), "boundary-cover"), cover.tiles)
+
+
+def flag_covered(points: DataFrame, cover: Cover, x: str, y: str, spread_by: list[str], name: str = "inside") -> DataFrame:
+    """Add `name`: does the point lie inside the boundary? NULL for a point without coordinates.
+
+    A tile without edges decides by itself, by an equi-join. In a tile that edges pass, the point
+    is on the side of the tile's spot unless the way there, level and then upright, crosses an odd number
+    of the tile's edges.
+    """
+    refuse_columns(points, {"tx", "ty", "edges", "__spot", name})
+    px, py = F.col(x), F.col(y)
+    placed = points.withColumns(cover.tiles.of_point(px, py))
+    table = cover.table.withColumnRenamed("inside", "__spot")
+    held = F.lit(32) + F.coalesce(F.size("edges"), F.lit(0)) * 40
+    joined = lookup_join(placed, table, ["tx", "ty"], spread_by, held, hot_only=True)
+    sx, sy = cover.spot("x"), cover.spot("y")
+
+    def crosses(e: Column) -> Column:
+        level = (e["y1"] > py) != (e["y2"] > py)
+        at_x = (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+        upright = (e["x1"] > sx) != (e["x2"] > sx)
+        at_y = (e["y2"] - e["y1"]) * (sx - e["x1"]) / (e["x2"] - e["x1"]) + e["y1"]
+        return (level & ((px < at_x) != (sx < at_x))) != (upright & ((py < at_y) != (sy < at_y)))
+
+    # An edge that crosses both parts of the way changes nothing, so it counts as crossing neither.
+    odd = F.coalesce(F.size(F.filter("edges", crosses)), F.lit(0)) % 2 == 1
+    inside = F.coalesce(F.col("__spot"), F.lit(False)) != F.when(F.col("edges").isNull(), False).otherwise(odd)
+    return joined.withColumn(name, F.when(px.isNotNull() & py.isNotNull(), inside)).drop("tx", "ty", "edges", "__spot")
+
+
 def points_in_boundary(points: DataFrame, vertices: DataFrame, spread_by: list[str]) -> DataFrame:
     """Add `inside` to points with `longitude` and `latitude`, against rings in degrees, or the union of their parts."""
-    slabs = edge_slabs(outline_edges(vertices))
-    return flag_inside(points, slabs, "longitude", "latitude", spread_by)
+    edges = materialise(outline_edges(vertices), "outline")
+    return flag_covered(points, boundary_cover(edges), "longitude", "latitude", spread_by)
 
 
 def points_outside_boundary(points: DataFrame, vertices: DataFrame, spread_by: list[str]) -> DataFrame:

@@ -1,8 +1,10 @@
-"""Edges of closed rings."""
+"""Edges of closed rings, and tiles of the plane that they pass."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import geodesy
 from .joins import lookup_join
@@ -29,3 +31,64 @@ def boundary_edges(vertices: DataFrame, project: bool = False) -> DataFrame:
         .join(following, ["ring", "next"])
         .select("ring", "seq", F.col("x").alias("x1"), F.col("y").alias("y1"), "x2", "y2")
     )
+
+
+@dataclass(frozen=True)
+class Extent:
+    """How many edges there are, the box around them, and their mean width and height."""
+
+    n: int
+    low_x: float
+    high_x: float
+    low_y: float
+    high_y: float
+    mean_x: float
+    mean_y: float
+
+
+def extent_of(edges: DataFrame) -> Extent:
+    found = edges.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[f(g(f"{a}1", f"{a}2")).alias(f"{n}_{a}") for a in "xy" for n, f, g in (("low", F.min, F.least), ("high", F.max, F.greatest))],
+        *[F.avg(F.abs(F.col(f"{a}2") - F.col(f"{a}1"))).alias(f"mean_{a}") for a in "xy"],
+    ).head()
+    return Extent(**{k: v or 0 for k, v in found.asDict().items()})
+
+
+@dataclass(frozen=True)
+class Tiles:
+    """Tiles of one size: about as many in the box as there are edges, none narrower or lower than a mean edge."""
+
+    wide: float
+    high: float
+
+    @classmethod
+    def for_edges(cls, extent: Extent) -> Tiles:
+        across = max(1.0, extent.n**0.5)
+        return cls(
+            max((extent.high_x - extent.low_x) / across, extent.mean_x) or 1.0,
+            max((extent.high_y - extent.low_y) / across, extent.mean_y) or 1.0,
+        )
+
+    def of_point(self, x: Column, y: Column) -> dict[str, Column]:
+        return {"tx": F.floor(x / self.wide).cast("bigint"), "ty": F.floor(y / self.high).cast("bigint")}
+
+    def of_edges(self, edges: DataFrame) -> DataFrame:
+        """Each edge with the tiles (tx, ty) it passes: its rows of tiles, and in each the columns between its ends there."""
+
+        def numbers(a: Column, b: Column, size: float) -> Column:
+            return F.sequence(F.floor(F.least(a, b) / size).cast("bigint"), F.floor(F.greatest(a, b) / size).cast("bigint"))
+
+        rows = edges.withColumn("ty", F.explode(numbers(F.col("y1"), F.col("y2"), self.high)))
+        rise = F.col("y2") - F.col("y1")
+
+        def x_at(border: Column) -> Column:
+            t = F.when(rise == 0, 0.0).otherwise((border - F.col("y1")) / rise)
+            return F.col("x1") + (F.col("x2") - F.col("x1")) * F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
+
+        ends = [x_at(F.col("ty") * self.high), x_at((F.col("ty") + 1) * self.high)]
+        # An edge that runs along a border of tiles belongs to both sides of it.
+        margin = self.wide * 1e-9
+        from_x = F.when(rise == 0, F.least("x1", "x2")).otherwise(F.least(*ends)) - margin
+        to_x = F.when(rise == 0, F.greatest("x1", "x2")).otherwise(F.greatest(*ends)) + margin
+        return rows.withColumn("tx", F.explode(numbers(from_x, to_x, self.wide)))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise
-from .edges import boundary_edges
+from .edges import Tiles, boundary_edges, extent_of
 
 SEGMENT = ["ax", "ay", "bx", "by"]
 
@@ -24,46 +24,12 @@ def part_edges(vertices: DataFrame, project: bool = False) -> DataFrame:
     )
 
 
-def tiled(edges: DataFrame) -> DataFrame:
-    """Each edge with the tiles (tx, ty) it passes; tiles are as wide and high as a mean edge at least, and about as many as edges."""
-    extent = edges.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[f(g(f"{a}1", f"{a}2")).alias(f"{n}{a}") for a in "xy" for n, f, g in (("low", F.min, F.least), ("high", F.max, F.greatest))],
-        *[F.avg(F.abs(F.col(f"{a}2") - F.col(f"{a}1"))).alias(f"mean{a}") for a in "xy"],
-    ).head()
-    across = max(1.0, (extent["n"] or 0) ** 0.5)
-
-    def step(a: str) -> float:
-        span = (extent[f"high{a}"] or 0.0) - (extent[f"low{a}"] or 0.0)
-        return max(span / across, extent[f"mean{a}"] or 0.0) or 1.0
-
-    wide, high = step("x"), step("y")
-
-    def numbers(a: Column, b: Column, size: float) -> Column:
-        return F.sequence(F.floor(F.least(a, b) / size).cast("bigint"), F.floor(F.greatest(a, b) / size).cast("bigint"))
-
-    rows = edges.withColumn("ty", F.explode(numbers(F.col("y1"), F.col("y2"), high)))
-    # Where the edge runs within its row of tiles.
-    rise = F.col("y2") - F.col("y1")
-
-    def x_at(border: Column) -> Column:
-        t = F.when(rise == 0, 0.0).otherwise((border - F.col("y1")) / rise)
-        return F.col("x1") + (F.col("x2") - F.col("x1")) * F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
-
-    ends = [x_at(F.col("ty") * high), x_at((F.col("ty") + 1) * high)]
-    flat = rise == 0
-    margin = wide * 1e-9
-    from_x = F.when(flat, F.least("x1", "x2")).otherwise(F.least(*ends)) - margin
-    to_x = F.when(flat, F.greatest("x1", "x2")).otherwise(F.greatest(*ends)) + margin
-    return rows.withColumn("tx", F.explode(numbers(from_x, to_x, wide)))
-
-
 def meeting_points(edges: DataFrame) -> DataFrame:
     """(part, ring, seq, x, y): where edges meet those of other parts, ends and overlaps included.
 
     Only edges that pass the same tile and whose boxes overlap are compared.
     """
-    cut = tiled(edges)
+    cut = Tiles.for_edges(extent_of(edges)).of_edges(edges)
     names = ["part", "ring", "seq", "x1", "y1", "x2", "y2"]
     left = cut.select("tx", "ty", F.struct(*names).alias("l"))
     right = cut.select("tx", "ty", F.struct(*names).alias("r"))
