@@ -69,36 +69,49 @@ def flag_inside(
 
 @dataclass(frozen=True)
 class Cover:
-    """Tiles that hold a part of the inside: (tx, ty, inside, edges), `inside` told of the tile's own spot."""
+    """Tiles that hold a part of the inside: (tx, ty, inside, edges), `inside` told of the tile's own spot.
+
+    `size` bounds the bytes of the table in memory.
+    """
 
     table: DataFrame
     tiles: Tiles
+    size: int
 
     def spot(self, axis: str) -> Column:
-        """A place in the tile (tx, ty), off its middle so that no edge is likely to run through it."""
-        number, size = (F.col("tx"), self.tiles.wide) if axis == "x" else (F.col("ty"), self.tiles.high)
-        return (number + SPOT) * size
+        return _spot(self.tiles, axis)
+
+
+def _spot(tiles: Tiles, axis: str) -> Column:
+    """A place in the tile (tx, ty), off its middle so that no edge is likely to run through it."""
+    return ((F.col("tx") + SPOT) * tiles.wide) if axis == "x" else ((F.col("ty") + SPOT) * tiles.high)
 
 
 def boundary_cover(edges: DataFrame) -> Cover:
     """Cover of the inside by tiles: whole ones without edges, and those that edges pass with just these edges.
 
     There are about as many tiles in the boundary's box as edges, so a tile has a few. Tiles
-    outside are left out. The table is written once and read by every lookup.
+    outside are left out. Where the spots lie follows, row by row, from the edges that cross the level of
+    the row's spots. The table is written once and read by every lookup.
     """
     extent = extent_of(edges)
-    cover = Cover(edges, Tiles.for_edges(extent))
-    slabs = edge_slabs(edges, extent)
-    passed = cover.tiles.of_edges(edges).groupBy("tx", "ty").agg(F.sort_array(F.collect_list(F.struct("x1", "y1", "x2", "y2"))).alias("edges"))
-    low, high = ({k: F.lit(v) for k, v in (("x", x), ("y", y))} for x, y in ((extent.low_x, extent.low_y), (extent.high_x, extent.high_y)))
-    first, last = cover.tiles.of_point(**low), cover.tiles.of_point(**high)
-    spark = edges.sparkSession
-    box = spark.range(1).select(F.explode(F.sequence(first["ty"], last["ty"])).alias("ty")).repartition("ty")
+    tiles = Tiles.for_edges(extent)
+    passed = tiles.of_edges(edges).groupBy("tx", "ty").agg(F.sort_array(F.collect_list(F.struct("x1", "y1", "x2", "y2"))).alias("own"))
+    # Tiles are as high as a mean edge at least, so an edge has a few rows on average.
+    level = _spot(tiles, "y")
+    rows = edges.withColumn("ty", F.explode(F.sequence(*[F.floor(f("y1", "y2") / tiles.high).cast("bigint") for f in (F.least, F.greatest)])))
+    crossing = (F.col("x2") - F.col("x1")) * (level - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
+    rows = rows.where((F.col("y1") > level) != (F.col("y2") > level)).groupBy("ty").agg(F.collect_list(crossing).alias("at"))
+    first, last = (int(v // tiles.wide) for v in (extent.low_x, extent.high_x))
     # A tile more on each side: an edge on the border of tiles is listed on both.
-    box = box.select(F.explode(F.sequence(first["tx"] - 1, last["tx"] + 1)).alias("tx"), "ty") if extent.n else box.limit(0).select(F.col("ty").alias("tx"), "ty")
-    seen = flag_inside(box.withColumns({"sx": cover.spot("x"), "sy": cover.spot("y")}), slabs, "sx", "sy", ["tx", "ty"])
-    table = seen.join(passed.withColumnRenamed("edges", "own"), ["tx", "ty"], "left").where(F.col("inside") | F.col("own").isNotNull())
-    return Cover(materialise(table.select("tx", "ty", "inside", F.col("own").alias("edges")), "boundary-cover"), cover.tiles)
+    box = rows.withColumn("tx", F.explode(F.sequence(F.lit(first - 1).cast("bigint"), F.lit(last + 1).cast("bigint"))))
+    odd = F.size(F.filter("at", lambda x: x > _spot(tiles, "x"))) % 2 == 1
+    whole = box.select("tx", "ty", odd.alias("inside"))
+    table = whole.join(passed, ["tx", "ty"], "full").select("tx", "ty", F.coalesce("inside", F.lit(False)).alias("inside"), F.col("own").alias("edges"))
+    kept = table.where(F.col("inside") | F.col("edges").isNotNull())
+    # An edge passes three tiles on average at most, four along borders; tiles are as many as edges and the rim.
+    size = 64 * (int(extent.n**0.5) + 4) ** 2 + 4 * 48 * extent.n
+    return Cover(materialise(kept, "boundary-cover"), tiles, size)
 
 
 def flag_covered(points: DataFrame, cover: Cover, x: str, y: str, spread_by: list[str], name: str = "inside") -> DataFrame:
@@ -112,8 +125,7 @@ def flag_covered(points: DataFrame, cover: Cover, x: str, y: str, spread_by: lis
     px, py = F.col(x), F.col(y)
     placed = points.withColumns(cover.tiles.of_point(px, py))
     table = cover.table.withColumnRenamed("inside", "__spot")
-    held = F.lit(32) + F.coalesce(F.size("edges"), F.lit(0)) * 40
-    joined = lookup_join(placed, table, ["tx", "ty"], spread_by, held, hot_only=True)
+    joined = lookup_join(placed, table, ["tx", "ty"], spread_by, cover.size, hot_only=True)
     sx, sy = cover.spot("x"), cover.spot("y")
 
     def crosses(e: Column) -> Column:

@@ -97,19 +97,22 @@ def hot_salted(
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str | Column], row_bytes: Column | None = None,
+    left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str | Column], row_bytes: Column | int | None = None,
     hot_only: bool = False,
 ) -> DataFrame:
     """Left join of many rows to a reference table unique on `keys`.
 
     Broadcasts `right` only when the planner's size for it, times SIZE_MARGIN, is under the
     session's broadcast limit; otherwise joins by shuffle with the keys of `left` salted. For rows
-    whose size the planner cannot know, `row_bytes` says what each takes, and is summed up. With
+    whose size the planner cannot know, `row_bytes` says what each takes, and is summed up; a number
+    is a bound on them all. With
     `hot_only` one more pass over the keys of `left` finds the frequent ones, and only those are salted:
     for a `left` that is cheap to read and a `right` too large to copy.
     """
     if row_bytes is None:
         size = planned_bytes(right) * SIZE_MARGIN
+    elif isinstance(row_bytes, int):
+        size = row_bytes
     else:
         size = right.agg(F.sum(row_bytes)).head()[0] or 0
     if size <= broadcast_limit(right):
