@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import numbers as num, text as tx
-from ..operators import clean, distinct, extract, indicators as ind, joins, merge
+from ..operators import clean, distinct, extract, indicators as ind, intervals, joins, merge
 from ..plans import collection, jobs
 from ..schemas import ADS, ADS_WITH_COORDS, PRICE, RECORD_COLUMNS, RECORD_FIELDS, col, ensure_columns
 from ..session import fresh_path
@@ -476,6 +476,17 @@ def _(d: Data):
     return collection.count_by_band(priced(d), "preco")
 
 
+@query(
+    "ads_per_given_band",
+    f"WITH {BANDS} SELECT band_id, g.low, g.high, count(p.ad_id) AS n_ads FROM given_bands g "
+    "LEFT JOIN priced p ON p.preco BETWEEN g.low AND g.high GROUP BY band_id, g.low, g.high",
+    ("ads", "given_bands"),
+)
+def _(d: Data):
+    """Ads in each of the bands that a table gives."""
+    return intervals.count_by_interval(priced(d), d["given_bands"], "preco").withColumnRenamed("n_rows", "n_ads")
+
+
 @query(
     "band_urls",
     f"WITH {BANDS} SELECT low, high, concat('{SEARCH}?ps=', low, '&pe=', high, '&o=1') AS request_url, n_ads FROM banded WHERE n_ads > 0",

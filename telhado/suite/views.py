@@ -225,6 +225,12 @@ FROM (SELECT CAST(c_nationkey AS INTEGER) AS k, 1 + (c_custkey * 7919 % 100) / 4
   ON k % every = 0 AND n > 2
 """
 
+# Price bands as rows: irregular, some overlapping, some apart, a few very wide.
+VIEWS["given_bands"] = """
+SELECT c_custkey AS band_id, lo AS low, lo + CASE WHEN c_custkey % 97 = 5 THEN 40000000 WHEN c_custkey % 11 = 3 THEN 0 ELSE c_custkey * 31 % 9000 END AS high
+FROM (SELECT c_custkey, CAST(c_custkey * 7919 % 1000003 AS BIGINT) AS lo FROM {customer}) AS c
+"""
+
 NEEDS = {
     "ads": ["orders", "customer", "nation"],
     "ads_prev": ["ads"],
@@ -241,6 +247,7 @@ NEEDS = {
     "geocoder_log": ["ads"],
     "boundary": [],
     "boundary_parts": ["customer"],
+    "given_bands": ["customer"],
 }
 
 
