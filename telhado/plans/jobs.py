@@ -106,6 +106,15 @@ def gold(silver: DataFrame, key: str, labels: list[str] | None = None) -> DataFr
 # Runs: read the newest snapshots, write the day's own.
 
 
+def silver_counts() -> dict[str, Column]:
+    return {
+        "n_rows": F.count(F.lit(1)),
+        "n_without_area": F.count_if(F.col("area_m2").isNull()),
+        "n_without_rooms": F.count_if(F.col("n_quartos").isNull()),
+    }
+
+
+
 def run_bronze_municipal(
     spark: SparkSession, base: str, stamp: str, listing: DataFrame, attempts: DataFrame, order: list[str],
     attempt_order: list[str],
@@ -138,22 +147,31 @@ def run_bronze_hexagonal(
         return snapshots.write_snapshot(out.select(*[col(c) for c in ADS_WITH_COORDS.fieldNames()]), root, stamp)
 
 
-def run_silver_municipal(spark: SparkSession, base: str, stamp: str) -> str:
+def run_silver_municipal(spark: SparkSession, base: str, stamp: str, report: dict[str, dict] | None = None) -> str:
+    """`report`, if given, takes the counts of the rows written."""
     ads = snapshots.read_latest(spark, snapshots.snapshot_root(base, "bronze", "municipal"))
-    return snapshots.write_snapshot(
-        silver_municipal(ads), snapshots.snapshot_root(base, "silver", "municipal"), stamp
-    )
+    root = snapshots.snapshot_root(base, "silver", "municipal")
+    path, counts = snapshots.write_counted(silver_municipal(ads), root, stamp, **silver_counts())
+    if report is not None:
+        report["silver/municipal"] = counts
+    return path
 
 
-def run_silver_hexagonal(spark: SparkSession, base: str, stamp: str, vertices: DataFrame) -> str:
-    """`vertices` is one edition of the boundary, in degrees."""
+def run_silver_hexagonal(
+    spark: SparkSession, base: str, stamp: str, vertices: DataFrame, report: dict[str, dict] | None = None
+) -> str:
+    """`vertices` is one edition of the boundary, in degrees; `report` as in `run_silver_municipal`."""
     ads = snapshots.read_latest(spark, snapshots.snapshot_root(base, "bronze", "hexagonal"))
     with scratch(spark):
         grid = materialise(hexgrid.hex_grid(vertices), "hex-grid")
         wkt = materialise(hexgrid.hex_wkt(grid), "hex-wkt")
-        return snapshots.write_snapshot(
-            silver_hexagonal(ads, grid, wkt), snapshots.snapshot_root(base, "silver", "hexagonal"), stamp
-        )
+        path, counts = snapshots.write_counted(
+            silver_hexagonal(ads, grid, wkt), snapshots.snapshot_root(base, "silver", "hexagonal"), stamp,
+            **silver_counts(), n_off_grid=F.count_if(F.col("hex_id").isNull()),
+        )
+        if report is not None:
+            report["silver/hexagonal"] = counts
+        return path
 
 
 def run_gold(spark: SparkSession, base: str, stamp: str, track: str) -> str:
@@ -165,14 +183,21 @@ def run_gold(spark: SparkSession, base: str, stamp: str, track: str) -> str:
 
 def run_day(
     spark: SparkSession, base: str, stamp: str, listing: DataFrame, attempts: DataFrame, cep_points: DataFrame,
-    vertices: DataFrame, order: list[str], attempt_order: list[str],
+    vertices: DataFrame, order: list[str], attempt_order: list[str], answers: DataFrame | None = None,
+    report: dict[str, dict] | None = None,
 ) -> dict[str, str | None]:
-    """All six jobs in order; returns the folder each wrote. A failing job stops the day."""
+    """All six jobs in order; returns the folder each wrote. A failing job stops the day.
+
+    With the `answers` of a geocoder (one point per URL) pending ads take those that lie inside the boundary.
+    `report`, if given, takes the counts of the silver rows, observed while they are written.
+    """
     done: dict[str, str | None] = {}
     done["bronze/municipal"] = run_bronze_municipal(spark, base, stamp, listing, attempts, order, attempt_order)
-    done["bronze/hexagonal"] = run_bronze_hexagonal(spark, base, stamp, cep_points)
-    done["silver/municipal"] = run_silver_municipal(spark, base, stamp)
-    done["silver/hexagonal"] = run_silver_hexagonal(spark, base, stamp, vertices)
+    done["bronze/hexagonal"] = run_bronze_hexagonal(
+        spark, base, stamp, cep_points, answers, vertices if answers is not None else None
+    )
+    done["silver/municipal"] = run_silver_municipal(spark, base, stamp, report)
+    done["silver/hexagonal"] = run_silver_hexagonal(spark, base, stamp, vertices, report)
     for track in snapshots.TRACKS:
         done[f"gold/{track}"] = run_gold(spark, base, stamp, track)
     return done

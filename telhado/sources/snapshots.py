@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..schemas import ensure_columns
 from ..session import remove
@@ -109,6 +109,17 @@ def write_snapshot(
     return path
 
 
+def write_counted(df: DataFrame, root: str, stamp: str, **counts: Column) -> tuple[str, dict[str, int]]:
+    """`write_snapshot`, and the given aggregates of the rows as they were written.
+
+    The counts are observed by the tasks that write, so the rows are neither read nor worked out again. A
+    task that is run again counts once, since nothing is shuffled behind the place they are taken.
+    """
+    seen = Observation()
+    path = write_snapshot(df.observe(seen, *[c.alias(n) for n, c in counts.items()]), root, stamp)
+    return path, dict(seen.get)
+
+
 def newest_rows(df: DataFrame, stamp: Column) -> DataFrame:
     """Rows of the newest stamp, for a table that holds many snapshots.
 

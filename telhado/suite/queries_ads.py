@@ -243,6 +243,19 @@ def _(d: Data):
     return joins.union_all([read, valid]).agg(*[F.max(c).alias(c) for c in ("n_read", "n_unpriced", "n_valid")])
 
 
+@query(
+    "written_counts",
+    f"WITH {silver()} SELECT count(*) AS n_rows, count(*) FILTER (WHERE area_m2 IS NULL) AS n_without_area, "
+    "count(*) FILTER (WHERE n_quartos IS NULL) AS n_without_rooms FROM silver",
+    ("ads",),
+)
+def _(d: Data):
+    """Counts of the silver rows, observed while their snapshot is written."""
+    root = f"{fresh_path(d.spark, 'counted')}/silver/municipal"
+    _, counts = snapshots.write_counted(jobs.silver_municipal(municipal(d)), root, "20240101", **jobs.silver_counts())
+    return d.spark.createDataFrame([counts], "n_rows long, n_without_area long, n_without_rooms long")
+
+
 # Distinct rows and merges
 
 

@@ -368,6 +368,31 @@ def test_run_day(spark, tmp_path):
         assert first == second and first
 
 
+def test_run_day_with_a_geocoder_and_a_report(spark, tmp_path):
+    """Answers inside the boundary are taken, others give way to the postal code; counts come from the writing itself."""
+    urls = ["a", "b", "c"]
+    listing = spark.createDataFrame([(u, u.upper(), i) for i, u in enumerate(urls)], "url string, titulos string, pos int")
+    pages = [(u, 1, 200, page("R$ 90.000", "Serra", "29100000")) for u in urls]
+    attempts = spark.createDataFrame(pages, "url string, n int, status int, html string")
+    points = spark.createDataFrame([("29100-000", -20.5, -40.5)], "cep string, latitude double, longitude double")
+    answers = spark.createDataFrame([("a", -20.25, -40.25), ("b", 10.0, 10.0)], "url string, latitude double, longitude double")
+    square = [(0, -41.0, -21.0), (1, -40.0, -21.0), (2, -40.0, -20.0), (3, -41.0, -20.0)]
+    vertices = spark.createDataFrame([(0, *v) for v in square], "ring int, seq int, x double, y double")
+    report = {}
+    wrote = jobs.run_day(
+        spark, str(tmp_path), "20240101", listing, attempts, points, vertices, ["pos"], ["n"], answers=answers, report=report
+    )
+    coords = {r["url"]: (r["latitude"], r["longitude"]) for r in spark.read.parquet(wrote["bronze/hexagonal"]).collect()}
+    assert coords == {"a": (-20.25, -40.25), "b": (-20.5, -40.5), "c": (-20.5, -40.5)}
+    for name, counts in report.items():
+        rows = spark.read.parquet(wrote[name])
+        assert counts["n_rows"] == rows.count() >= 3
+        assert counts["n_without_area"] == rows.where("area_m2 IS NULL").count()
+    assert report["silver/hexagonal"]["n_off_grid"] == 0 and set(report) == {"silver/municipal", "silver/hexagonal"}
+    none = snapshots.write_counted(spark.read.parquet(wrote["silver/municipal"]).limit(0), f"{tmp_path}/none", "20240101", n=F.count(F.lit(1)))
+    assert none[1] == {"n": 0}
+
+
 def test_bronze_twice_adds_nothing(spark):
     listing = spark.createDataFrame([("a", "A"), ("b", "B")], "url string, titulos string")
     log = spark.createDataFrame([("a", 1, 200, page("5", "X", "29000000"))], "url string, n int, status int, html string")
