@@ -160,24 +160,29 @@ def coordinate_text(lon: Column, lat: Column, digits: int = 6) -> Column:
     return F.concat_ws(" ", lon.cast("string"), lat.cast("string"))
 
 
-def with_buffer_wkt(
-    points: DataFrame, radius: str = "dist_buffer", zone: int = 24, south: bool = True, quarter: int = 30
-) -> DataFrame:
-    """Add `buffer_wkt`: a circle of `radius` UTM metres as a closed ring of 4 x `quarter` points in degrees.
+def circle_ring(centre: Column, radius: Column, zone: int = 24, south: bool = True, quarter: int = 30) -> Column:
+    """Closed clockwise ring of 4 x `quarter` corners in degrees: a circle drawn around a `utm_xy` struct.
 
     Each step of the way back to degrees is its own pass over the ring, so nothing is computed twice.
     """
     turns = [-2 * math.pi * i / (4 * quarter) for i in [*range(4 * quarter), 0]]
     circle = F.array(*[F.struct(F.lit(math.cos(t)).alias("c"), F.lit(math.sin(t)).alias("s")) for t in turns])
-    centred = points.withColumn("__centre", utm_xy(F.col("longitude"), F.col("latitude"), zone, south))
     ring = F.transform(
         circle,
         lambda t: _utm_series_angles(
-            F.col("__centre.easting") + F.col(radius) * t["c"], F.col("__centre.northing") + F.col(radius) * t["s"], south
+            centre["easting"] + radius * t["c"], centre["northing"] + radius * t["s"], south
         ),
     )
     ring = F.transform(F.transform(ring, _utm_undistorted), _sphere_angles)
-    ring = F.transform(ring, lambda p: _geographic(p, zone))
+    return F.transform(ring, lambda p: _geographic(p, zone))
+
+
+def with_buffer_wkt(
+    points: DataFrame, radius: str = "dist_buffer", zone: int = 24, south: bool = True, quarter: int = 30
+) -> DataFrame:
+    """Add `buffer_wkt`: a circle of `radius` UTM metres as a closed ring of 4 x `quarter` points in degrees."""
+    centred = points.withColumn("__centre", utm_xy(F.col("longitude"), F.col("latitude"), zone, south))
+    ring = circle_ring(F.col("__centre"), F.col(radius), zone, south, quarter)
     text = F.transform(ring, lambda p: coordinate_text(p["longitude"], p["latitude"]))
     return centred.withColumn(
         "buffer_wkt", F.concat(F.lit("POLYGON (("), F.array_join(text, ", "), F.lit("))"))

@@ -112,3 +112,57 @@ def clip_to_hexagon(ax: Column, ay: Column, bx: Column, by: Column, size: float
         lows.append(F.when(parallel, F.when(inside, 0.0).otherwise(2.0)).otherwise(F.least(t_minus, t_plus)))
         highs.append(F.when(parallel, F.when(inside, 1.0).otherwise(-1.0)).otherwise(F.greatest(t_minus, t_plus)))
     return F.struct(F.greatest(*lows).alias("t0"), F.least(*highs).alias("t1"))
+
+
+# A convex polygon as its sides: array of (ax, ay, bx, by), clockwise, so that the outside lies on the left.
+
+
+def _left_of(side: Column, x: Column, y: Column) -> Column:
+    """Positive where a point lies outside of a polygon's side."""
+    return (side["bx"] - side["ax"]) * (y - side["ay"]) - (side["by"] - side["ay"]) * (x - side["ax"])
+
+
+def polygon_sides(ring: Column) -> Column:
+    """Sides of a closed ring of (x, y)."""
+    firsts, seconds = (F.slice(ring, F.lit(i), F.size(ring) - 1) for i in (1, 2))
+    return F.zip_with(
+        firsts, seconds,
+        lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")),
+    )
+
+
+def polygon_meets_hexagon(sides: Column, cx: Column, cy: Column, size: float = SIZE) -> Column:
+    """Do a convex polygon and the hexagon around a centre share a point? False if a side of either parts them.
+
+    Of the six hexagon corners only the farthest along a polygon side's inner normal counts, which
+    by symmetry has a closed form.
+    """
+    h, e = size / 2, side(size)
+
+    def parts(s: Column) -> Column:
+        wx, wy = s["bx"] - s["ax"], s["by"] - s["ay"]
+        farthest = F.greatest(F.abs(wy) * h + F.abs(wx) * (e / 2), F.abs(wx) * e)
+        return _left_of(s, cx, cy) > farthest
+
+    def all_beyond(nx: float, ny: float) -> Column:
+        return F.forall(sides, lambda s: (s["ax"] - cx) * nx + (s["ay"] - cy) * ny > h)
+
+    apart = F.exists(sides, parts)
+    for nx, ny in ((1.0, 0.0), (0.5, ROOT3 / 2), (-0.5, ROOT3 / 2)):
+        apart = apart | all_beyond(nx, ny) | all_beyond(-nx, -ny)
+    return ~apart
+
+
+def polygon_meets_segment(sides: Column, p: Column) -> Column:
+    """Do a convex polygon and a segment (ax, ay, bx, by) share a point? The segment is cut at each side's line."""
+
+    def crossing(s: Column, entering: bool) -> Column:
+        start, end = _left_of(s, p["ax"], p["ay"]), _left_of(s, p["bx"], p["by"])
+        at = F.try_divide(start, start - end)
+        if entering:
+            return F.when(start <= 0, 0.0).when(end <= 0, at).otherwise(2.0)
+        return F.when((start <= 0) & (end > 0), at).otherwise(1.0)
+
+    enters = F.array_max(F.transform(sides, lambda s: crossing(s, True)))
+    leaves = F.array_min(F.transform(sides, lambda s: crossing(s, False)))
+    return enters <= leaves

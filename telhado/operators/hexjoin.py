@@ -12,9 +12,12 @@ from ..session import materialise
 from .joins import lookup_join, refuse_columns
 
 WORK_COLUMNS = {"mx", "my", "cell", "q", "r", "reach", "deep", "rx", "stretch", "corner", "near", "home", "home_whole"}
-
+POLYGON_COLUMNS = {"outer", "inner", "looked", "ring", "sides"}
 
 MARGIN = 10
+# A circle of the UTM plane and its ellipse on the map part by less than this share of the reach,
+# per sphere radius of reach: neither projection's scale changes faster.
+SCALE_DRIFT = 4.0
 
 
 def neighbourhoods(grid: DataFrame, rings: int = 1) -> DataFrame:
@@ -93,6 +96,23 @@ def _near_outline(outline: Column, x: Column, y: Column, reach: Column, stretch:
     )
 
 
+def _outer(reach: Column) -> Column:
+    """Reach that a circle drawn on the UTM plane stays within for certain."""
+    return reach * (reach * (SCALE_DRIFT / geodesy.SPHERE_RADIUS) + 1.0)
+
+
+def _polygon_meets(sides: Column, cell: Column, size: float) -> Column:
+    """Does a convex polygon share a point with a cell, or with what the boundary leaves of it?
+
+    A polygon that crosses no piece of an outline lies inside of it or outside as a whole, as any
+    of its corners does.
+    """
+    outline, spot = cell["outline"], sides[0]
+    return F.when(F.size(outline) == 0, hexes.polygon_meets_hexagon(sides, cell["cx"], cell["cy"], size)).otherwise(
+        F.exists(outline, lambda p: hexes.polygon_meets_segment(sides, p)) | _in_outline(outline, spot["ax"], spot["ay"])
+    )
+
+
 def hex_join(
     ads: DataFrame,
     grid: DataFrame,
@@ -102,6 +122,7 @@ def hex_join(
     zone: int = 24,
     rings: int | None = None,
     largest: float | None = None,
+    quarter: int | None = None,
 ) -> DataFrame:
     """One row per ad and touched hexagon, with `hex_id`; an ad that touches none keeps one row, NULL there.
 
@@ -109,20 +130,25 @@ def hex_join(
     each: one join, no re-join and no pairs to discard. How many rings of neighbours are looked
     at follows from the largest circle on the Mercator plane, which one aggregate finds; a
     caller that knows it may give `rings`, or the `largest` radius in metres, and save that pass.
+
+    Circles are ellipses on the map. With `quarter` they are the polygons of 4 x `quarter` corners
+    that `geodesy.circle_ring` draws, and the polygon itself is laid against the clipped cell. Its
+    corners are worked out only for ads with a cell so near the circle's rim that the ellipse
+    cannot tell.
     """
-    refuse_columns(ads, WORK_COLUMNS)
+    refuse_columns(ads, WORK_COLUMNS if quarter is None else WORK_COLUMNS | POLYGON_COLUMNS)
     reach = geodesy.mercator_reach(F.col(radius), F.col("longitude"), F.col("latitude"), zone)
     placed = with_cell(ads, size).withColumn("reach", F.when(F.col("mx").isNotNull(), reach))
     if rings is None and largest is not None:
         rings = rings_around(grid, largest, size)
     if rings is None:
-        rings = rings_for(placed.agg(F.max(F.greatest("reach.x", "reach.y"))).head()[0], size)
+        rings = rings_for(placed.agg(F.max(_outer(F.greatest("reach.x", "reach.y")))).head()[0], size)
     # Most circles lie inside their own cell; those need no look at the neighbours.
     own_x = F.col("mx") - centre_x(F.col("q"), F.col("r"), size)
     own_y = F.col("my") - centre_y(F.col("r"), size)
     placed = placed.withColumns(
         {
-            "deep": hexes.inside_hexagon(own_x, own_y, F.greatest("reach.x", "reach.y"), size),
+            "deep": hexes.inside_hexagon(own_x, own_y, _outer(F.greatest("reach.x", "reach.y")), size),
             "rx": F.col("reach.x"),
             "stretch": F.try_divide("reach.x", "reach.y"),
         }
@@ -134,19 +160,44 @@ def hex_join(
     x, y, rx, stretch, corner = (F.col(c) for c in ("mx", "my", "rx", "stretch", "corner"))
 
     def folded(c: Column) -> Column:
+        cx, cy = centre_x(c["cq"], c["cr"], size), centre_y(c["cr"], size)
         return F.struct(
             c["hex_id"].alias("hex_id"),
             c["outline"].alias("outline"),
-            F.abs(x - centre_x(c["cq"], c["cr"], size)).alias("u"),
-            (F.abs(y - centre_y(c["cr"], size)) * stretch).alias("v"),
+            F.abs(x - cx).alias("u"),
+            (F.abs(y - cy) * stretch).alias("v"),
+            *([] if quarter is None else [cx.alias("cx"), cy.alias("cy")]),
         )
 
-    def touched(c: Column) -> Column:
-        in_box = (c["u"] <= rx + size / 2) & (c["v"] <= rx + corner * 2)
-        near = in_box & hexes.touches_hexagon(c["u"], c["v"], rx, corner, size)
+    def touched(c: Column, reach: Column) -> Column:
+        in_box = (c["u"] <= reach + size / 2) & (c["v"] <= reach + corner * 2)
+        near = in_box & hexes.touches_hexagon(c["u"], c["v"], reach, corner, size)
         whole = F.size(c["outline"]) == 0
-        return near & (whole | _near_outline(c["outline"], x, y, rx, stretch) | _in_outline(c["outline"], x, y))
-
-    looked = F.transform(F.filter(F.transform("near", folded), touched), lambda c: c["hex_id"])
-    hits = F.when(F.col("deep") & (F.col("home_whole") | F.col("home").isNull()), F.array("home")).otherwise(looked)
+        return near & (whole | _near_outline(c["outline"], x, y, reach, stretch) | _in_outline(c["outline"], x, y))
+
+    cells = F.transform("near", folded)
+    if quarter is None:
+        looked = F.filter(cells, lambda c: touched(c, rx))
+    else:
+        sagitta = 1 - math.cos(math.pi / (4 * quarter))
+        inner = F.greatest(rx * (1 - sagitta) - (_outer(rx) - rx), F.lit(0.0))
+        joined = joined.withColumns({"outer": _outer(rx), "inner": inner})
+        joined = joined.withColumn("looked", F.filter(cells, lambda c: touched(c, F.col("outer"))))
+        joined = joined.withColumn(
+            "looked", F.transform("looked", lambda c: c.withField("sure", touched(c, F.col("inner"))))
+        )
+        # Each step is a column of its own: one read several times would be worked out as often.
+        centre = geodesy.utm_xy(F.col("longitude"), F.col("latitude"), zone)
+        joined = joined.withColumn("ring", F.when(F.exists("looked", lambda c: ~c["sure"]), centre))
+        ring = F.transform(
+            geodesy.circle_ring(F.col("ring"), F.col(radius), zone, quarter=quarter),
+            lambda p: F.struct(
+                geodesy.mercator_x(p["longitude"]).alias("x"), geodesy.mercator_y(p["latitude"]).alias("y")
+            ),
+        )
+        joined = joined.withColumn("ring", F.when(F.col("ring").isNotNull(), ring))
+        joined = joined.withColumn("sides", hexes.polygon_sides(F.col("ring")))
+        looked = F.filter("looked", lambda c: c["sure"] | _polygon_meets(F.col("sides"), c, size))
+    found = F.transform(looked, lambda c: c["hex_id"])
+    hits = F.when(F.col("deep") & (F.col("home_whole") | F.col("home").isNull()), F.array("home")).otherwise(found)
     return joined.select(*[F.col(f"`{c}`") for c in ads.columns], F.explode_outer(hits).alias("hex_id"))

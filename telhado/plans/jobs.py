@@ -91,10 +91,16 @@ def silver_municipal(ads: DataFrame) -> DataFrame:
     return clean.clean_ads(ads)
 
 
-def silver_hexagonal(ads: DataFrame, grid: DataFrame, wkt: DataFrame | None = None) -> DataFrame:
-    """Cleaned ads, one row per touched hexagon; with `wkt`, each row carries its hexagon's outline."""
+def silver_hexagonal(
+    ads: DataFrame, grid: DataFrame, wkt: DataFrame | None = None, quarter: int | None = None
+) -> DataFrame:
+    """Cleaned ads, one row per touched hexagon; with `wkt`, each row carries its hexagon's outline.
+
+    With `quarter` the circles are polygons of 4 x `quarter` corners instead of ellipses.
+    """
     cleaned = clean.clean_ads(ads, need_coordinates=True).withColumn("dist_buffer", buffer_radius(F.col("cep")))
-    joined = hex_join(cleaned, grid, ["titulos", "latitude", "longitude"], largest=WIDE).drop("latitude", "longitude")
+    joined = hex_join(cleaned, grid, ["titulos", "latitude", "longitude"], largest=WIDE, quarter=quarter)
+    joined = joined.drop("latitude", "longitude")
     return joined if wkt is None else lookup_join(joined, wkt, ["hex_id"], ["titulos", "url"], hot_only=True)
 
 

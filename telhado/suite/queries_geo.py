@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import geodesy, rings, text as tx
+from ..functions import geodesy, hexes, rings, text as tx
 from ..operators import boundary, clean, geocode, hexgrid, hexjoin
 from ..operators.joins import lookup_join
 from ..plans import jobs
@@ -12,7 +14,7 @@ from ..session import materialise
 from ..sources import landed
 from .queries_ads import MUNIC_OUT, rounded, shown
 from .registry import query
-from .sql import H, ROOMS, S, cells_of, cep, edges, gold, grid, hex_join, mx, my, odd_crossings, silver
+from .sql import E, H, R, ROOMS, S, cells_of, cep, edges, gold, grid, hex_join, mx, my, odd_crossings, polygon_join, reach, silver
 from .views import Data
 
 MEDIANS = "medians AS (SELECT cep, median(latitude) AS latitude, median(longitude) AS longitude FROM cep_points GROUP BY cep)"
@@ -387,6 +389,46 @@ def _(d: Data):
     return lookup_join(joined_ads(d, cells).select("ad_id", "hex_id"), table, ["hex_id"], ["ad_id"], hot_only=True)
 
 
+# Each ad's circle laid from outside against a side of the ad's own hexagon: by less than a metre it
+# reaches over the side or falls short, beside the side's ends too.
+AGAINST_SIDES = f"""
+{cells_of('src', 'own')},
+laid AS (SELECT *, {reach()[0]} AS rx, {reach()[1]} AS ry, (ad_id % 6) * pi() / 3 AS turn,
+    ((ad_id * 37) % 1000 / 1000.0 - 0.5) * CAST({1.2 * E} AS DOUBLE) AS along, (ad_id * 61) % 2000 / 1000.0 - 0.9995 AS gap FROM own),
+pushed AS (SELECT *, {S / 2} + gap + sqrt(pow(rx * cos(turn), 2) + pow(ry * sin(turn), 2)) AS away FROM laid),
+against AS (SELECT id, ad_id, dist_buffer,
+    degrees((CAST({S} AS DOUBLE) * (q + r / 2.0) + away * cos(turn) - along * sin(turn)) / {R}) AS longitude,
+    degrees(2 * atan(exp((CAST({1.5 * E} AS DOUBLE) * r + away * sin(turn) + along * cos(turn)) / {R})) - pi() / 2) AS latitude FROM pushed)
+"""
+
+
+@query(
+    "hex_join_polygon",
+    f"WITH {grid()}, {SPOTS}, {AGAINST_SIDES}, {polygon_join('against')} "
+    "SELECT a.ad_id, t.hex_id FROM against a LEFT JOIN touch t ON t.id = a.id",
+    ("boundary", "ads"),
+)
+def _(d: Data):
+    """Circles within a metre of hexagon sides: their polygons of 120 corners decide."""
+    ads = hexjoin.with_cell(placed(d)).withColumn("dist_buffer", tx.buffer_radius(F.col("cep")))
+    axes = geodesy.mercator_reach(F.col("dist_buffer"), F.col("longitude"), F.col("latitude"))
+    laid = ads.select(
+        "ad_id", "dist_buffer", "q", "r", axes.alias("axes"),
+        ((F.col("ad_id") % 6) * (math.pi / 3)).alias("turn"),
+        (((F.col("ad_id") * 37) % 1000 / 1000 - 0.5) * (1.2 * E)).alias("along"),
+        ((F.col("ad_id") * 61) % 2000 / 1000 - 0.9995).alias("gap"),
+    )
+    cos, sin, along = F.cos("turn"), F.sin("turn"), F.col("along")
+    away = F.hypot(F.col("axes.x") * cos, F.col("axes.y") * sin) + F.col("gap") + S / 2
+    against = laid.select(
+        "ad_id", "dist_buffer",
+        geodesy.mercator_lon(hexes.centre_x(F.col("q"), F.col("r")) + away * cos - along * sin).alias("longitude"),
+        geodesy.mercator_lat(hexes.centre_y(F.col("r")) + away * sin + along * cos).alias("latitude"),
+    )
+    joined = hexjoin.hex_join(against, built_grid(d), ["ad_id"], largest=tx.WIDE, quarter=30)
+    return joined.select("ad_id", "hex_id")
+
+
 @query("hex_wkt")
 def _(d: Data):
     """Outlines of the hexagons that ads touch, with the number of ads that do."""

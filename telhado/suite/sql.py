@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+from ..functions import geodesy
+
 NUMBER = r"^[^0-9.-]*(-?,*(?:[0-9][0-9,]*(?:\.[0-9,]*)?|\.,*[0-9][0-9,]*)(?:[eE][+-]?[0-9]+)?)"
 
 
@@ -186,11 +188,8 @@ def _segment2(px: str, py: str, ax: str, ay: str, bx: str, by: str) -> str:
     )
 
 
-def hex_join(source: str, columns: str) -> str:
-    """CTEs after `grid`: `touch` (id, hex_id) for rows of `source`, and `hexed`: `columns` and hex_id.
-
-    `source` needs id, longitude, latitude and dist_buffer.
-    """
+def reach() -> tuple[str, str]:
+    """Half axes on the map of a circle of `dist_buffer` UTM metres around `longitude`, `latitude`."""
     ep2 = E2 / (1 - E2)
     cos = "cos(radians(latitude))"
     a2 = f"pow(radians(longitude + 39.0) * {cos}, 2)"
@@ -198,9 +197,18 @@ def hex_join(source: str, columns: str) -> str:
     t = "pow(tan(radians(latitude)), 2)"
     k = f"(0.9996 * (1 + (1 + {c}) * {a2} / 2 + (5 - 4 * {t} + 42 * {c} + 13 * {c} * {c} - 28 * {ep2!r}) * {a2} * {a2} / 24))"
     w = f"(1 - {E2!r} * pow(sin(radians(latitude)), 2))"
+    return f"dist_buffer / {k} / {cos} * sqrt({w})", f"dist_buffer / {k} / {cos} * pow({w}, 1.5) / (1 - {E2!r})"
+
+
+def hex_join(source: str, columns: str) -> str:
+    """CTEs after `grid`: `touch` (id, hex_id) for rows of `source`, and `hexed`: `columns` and hex_id.
+
+    `source` needs id, longitude, latitude and dist_buffer.
+    """
+    rx, ry = reach()
     return f"""
 {cells_of(source, 'spot')},
-reach AS (SELECT *, dist_buffer / {k} / {cos} * sqrt({w}) AS rx, dist_buffer / {k} / {cos} * pow({w}, 1.5) / (1 - {E2!r}) AS ry FROM spot),
+reach AS (SELECT *, {rx} AS rx, {ry} AS ry FROM spot),
 around AS (SELECT a.*, g.hex_id, g.q AS gq, g.r AS gr, g.is_border, abs(a.mx - g.cx) AS u, abs(a.my - g.cy) AS v
   FROM reach a JOIN (VALUES (0,0),(1,0),(-1,0),(0,1),(0,-1),(1,-1),(-1,1)) AS o(a, b) ON TRUE
   JOIN grid g ON g.q = a.q + o.a AND g.r = a.r + o.b),
@@ -219,3 +227,57 @@ touch AS (SELECT id, hex_id FROM near WHERE NOT is_border
   UNION ALL SELECT id, hex_id FROM border_touch WHERE d2 <= rx * rx OR crossings % 2 = 1),
 hexed AS (SELECT {columns}, t.hex_id FROM {source} s LEFT JOIN touch t ON t.id = s.id)
 """
+
+
+def _turned(terms: tuple[float, ...], sign: str, xi: str, eta: str, outer: str, inner: str) -> str:
+    return xi + "".join(f" {sign} {c!r} * {outer}({2 * j} * {xi}) * {inner}({2 * j} * {eta})" for j, c in enumerate(terms, 1))
+
+
+def polygon_join(source: str, corners: int = 120) -> str:
+    """CTEs after `grid`: `touch` (id, hex_id), circles of `source` drawn as polygons on the UTM plane.
+
+    `source` needs id, longitude, latitude and dist_buffer. Every corner of every circle is worked
+    out, every side of it cut at the hexagon, or crossed with every piece of a clipped hexagon.
+    """
+    k = math.sqrt(E2)
+    metres = geodesy.UTM_SCALE * geodesy.RECTIFYING_RADIUS
+    e2, e4, e6, e8 = E2, E2**2, E2**3, E2**4
+    turn = f"(CAST({-2 * math.pi / corners!r} AS DOUBLE) * i)"
+    return f"""
+{cells_of(source, 'spot')},
+conformal AS (SELECT *, sinh(atanh(sin(radians(latitude))) - {k!r} * atanh({k!r} * sin(radians(latitude)))) AS t,
+    radians(longitude + 39.0) AS l FROM spot),
+sphere AS (SELECT *, atan2(t, cos(l)) AS xi0, atanh(sin(l) / sqrt(1 + t * t)) AS eta0 FROM conformal),
+utm AS (SELECT *, {_turned(geodesy.ALPHA, '+', 'xi0', 'eta0', 'sin', 'cosh')} AS north,
+    {_turned(geodesy.ALPHA, '+', 'eta0', 'xi0', 'sinh', 'cos')} AS east FROM sphere),
+turns AS (SELECT unnest(range({corners})) AS i),
+ring AS (SELECT id, i, north + dist_buffer * sin({turn}) / {metres!r} AS xi, east + dist_buffer * cos({turn}) / {metres!r} AS eta FROM utm, turns),
+ring_back AS (SELECT id, i, {_turned(geodesy.BETA, '-', 'xi', 'eta', 'sin', 'cosh')} AS xi,
+    {_turned(geodesy.BETA, '-', 'eta', 'xi', 'sinh', 'cos')} AS eta FROM ring),
+ring_sphere AS (SELECT id, i, asin(sin(xi) / cosh(eta)) AS chi, atan2(sinh(eta), cos(xi)) AS l FROM ring_back),
+ring_map AS (SELECT id, i, {R} * (l - radians(39.0)) AS x, chi + {e2 / 2 + 5 * e4 / 24 + e6 / 12 + 13 * e8 / 360!r} * sin(2 * chi)
+    + {7 * e4 / 48 + 29 * e6 / 240 + 811 * e8 / 11520!r} * sin(4 * chi) + {7 * e6 / 120 + 81 * e8 / 1120!r} * sin(6 * chi)
+    + {4279 * e8 / 161280!r} * sin(8 * chi) AS phi FROM ring_sphere),
+ring_flat AS MATERIALIZED (SELECT id, i, x, {R} * ln(tan({math.pi / 4} + phi / 2)) AS y FROM ring_map),
+ring_sides AS MATERIALIZED (SELECT a.id, a.i, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
+  FROM ring_flat a JOIN ring_flat b ON b.id = a.id AND b.i = (a.i + 1) % {corners}),
+candidates AS MATERIALIZED (SELECT s.id, g.hex_id, g.q, g.r, g.cx, g.cy, g.is_border
+  FROM spot s JOIN (VALUES (0,0),(1,0),(-1,0),(0,1),(0,-1),(1,-1),(-1,1)) AS o(a, b) ON TRUE
+  JOIN grid g ON g.q = s.q + o.a AND g.r = s.r + o.b
+  WHERE sqrt(pow(s.mx - g.cx, 2) + pow(s.my - g.cy, 2)) <= {E} + 2 * s.dist_buffer),
+whole_cuts AS (SELECT id, hex_id, cx, cy, x1, y1, x2, y2, {_clip()}
+  FROM candidates JOIN ring_sides USING (id) WHERE NOT is_border),
+whole_touch AS (SELECT id, hex_id FROM whole_cuts GROUP BY id, hex_id
+  HAVING bool_or(t0 <= t1) OR count(*) FILTER (WHERE (y1 > cy) <> (y2 > cy) AND cx < (x2 - x1) * (cy - y1) / (y2 - y1) + x1) % 2 = 1),
+piece_sides AS (SELECT c.id, c.hex_id, p.ax, p.ay, p.bx, p.b_y, s.i, s.x1, s.y1, s.x2, s.y2,
+    (x2 - x1) * (ay - y1) - (y2 - y1) * (ax - x1) AS o1, (x2 - x1) * (b_y - y1) - (y2 - y1) * (bx - x1) AS o2,
+    (bx - ax) * (y1 - ay) - (b_y - ay) * (x1 - ax) AS o3, (bx - ax) * (y2 - ay) - (b_y - ay) * (x2 - ax) AS o4
+  FROM candidates c JOIN pieces p ON p.q = c.q AND p.r = c.r JOIN ring_sides s ON s.id = c.id WHERE c.is_border),
+piece_hits AS (SELECT id, hex_id, bool_or((o1 > 0) <> (o2 > 0) AND (o3 > 0) <> (o4 > 0)) AS crossed,
+    count(*) FILTER (WHERE (y1 > ay) <> (y2 > ay) AND ax < (x2 - x1) * (ay - y1) / (y2 - y1) + x1) % 2 = 1 AS held,
+    bool_or(i = 0 AND (ay > y1) <> (b_y > y1) AND x1 < (bx - ax) * (y1 - ay) / (b_y - ay) + ax) AS over
+  FROM piece_sides GROUP BY id, hex_id, ax, ay, bx, b_y),
+touch AS (SELECT id, hex_id FROM whole_touch
+  UNION ALL SELECT id, hex_id FROM piece_hits GROUP BY id, hex_id
+  HAVING bool_or(crossed OR held) OR count(*) FILTER (WHERE over) % 2 = 1)
+"""
