@@ -159,6 +159,7 @@ def parse(page: str) -> Element:
     root = Element("", "")
     stack = [root]
     open_: Counter[str] = Counter()
+    coded = False
     for kind, name, text in tokens(page):
         top = stack[-1]
         if kind == "text":
@@ -168,8 +169,11 @@ def parse(page: str) -> Element:
                 top.children.append("\0")
                 continue
             sign = _sign(name, text)
-            if name in INLINE and not _boilerplate(sign):
+            # In code a class names a kind of token; only what an element is, or that it is hidden, counts there.
+            if name in INLINE and not _boilerplate(_bare(sign) if coded or open_["pre"] else sign):
+                coded |= name == "code"
                 continue
+            coded &= name not in ENDS_PARAGRAPH
             if name in ENDS_PARAGRAPH:
                 _close(stack, open_, ("p",), SCOPES)
             if name in SIBLINGS:
@@ -186,6 +190,7 @@ def parse(page: str) -> Element:
                     break
                 if name in INLINE and stack[i].tag not in INLINE:
                     break
+        coded &= (kind, name) != ("close", "code")
     return root
 
 
@@ -394,10 +399,15 @@ def _named(sign: str, words: frozenset[str]) -> bool:
     )
 
 
+def _bare(sign: str) -> str:
+    """A sign without classes and id."""
+    return re.sub(r"[.#].*", "", sign)
+
+
 @lru_cache(SIGNS_HELD)
 def _surely(sign: str) -> bool:
     """Whether an element is boilerplate even in an article: by name of element, role, or a name that tells nothing else."""
-    return _boilerplate(re.sub(r"[.#].*", "", sign)) or (_boilerplate(sign) and _named(sign, BOILER_WORDS - AMBIGUOUS_WORDS))
+    return _boilerplate(_bare(sign)) or (_boilerplate(sign) and _named(sign, BOILER_WORDS - AMBIGUOUS_WORDS))
 
 
 def _only_list(node: list) -> bool:
@@ -443,13 +453,18 @@ def _kind(sign: str, inside: bool) -> str:
     return "words" if _words(sign) & MAIN_WORDS and tag not in ("html", "body") else ""
 
 
-def _marked(sign: str, inside: bool, within: bool) -> bool:
+def _header(sign: str) -> bool:
+    return _tag(sign) == "header" or "header" in _words(sign)
+
+
+def _marked(sign: str, inside: bool, within: bool, titled: bool) -> bool:
     """Whether an element is boilerplate by its sign, `inside` an article element, `within` what may hold the article.
 
     There, and for ids that are mere anchors of headings and sections, words that may name a subject do not count.
+    A header there is the article's own if it is `titled`: if it holds a heading.
     """
     tag = _tag(sign)
-    if not inside and (tag == "header" or "header" in _words(sign)):
+    if not inside and _header(sign) and not (within and titled):
         return True
     anchor = (tag == "section" or tag in HEADINGS) and not _words(re.sub(r"#.*", "", sign)) & BOILER_WORDS
     return _surely(sign) if within or anchor else _boilerplate(sign)
@@ -470,6 +485,7 @@ def plan(wrapper: list) -> list:
     """How the pages of a wrapper are read: its elements with their verdicts, under a root that names the kind of MAIN."""
     size: dict[int, int] = {}
     main_below: dict[int, bool] = {}
+    titled: dict[int, bool] = {}
     same: dict[int, bool] = {}  # all texts alike on CONSTANT_PAGES pages or more
     order, stack = [], [wrapper]
     while stack:
@@ -483,6 +499,7 @@ def plan(wrapper: list) -> list:
             if node[SIGN] == "#"
             else all([same[id(c)] for c in node[CHILDREN]])
         )
+        titled[id(node)] = any([_tag(c[SIGN]) in HEADINGS or titled[id(c)] for c in node[CHILDREN]])
         main_below[id(node)] = any([_clear_of_boilerplate(c[SIGN]) or main_below[id(c)] for c in node[CHILDREN]])
 
     verdicts: dict[int, int | list[int]] = {}
@@ -499,8 +516,8 @@ def plan(wrapper: list) -> list:
             if sign == "()":
                 stack.append((child, inside, within, named))
                 continue
-            sure = _marked(sign, inside, within)
-            if not main_below[id(child)] and (sure or _boilerplate(sign)):
+            sure = _marked(sign, inside, within, titled[id(child)])
+            if not main_below[id(child)] and (sure or _boilerplate(sign) or (_header(sign) and not inside)):
                 # A word that may name a subject needs the wrapper's evidence: a repeated group, or the same text everywhere.
                 group = _named(sign, BOILER_WORDS) and _tag(sign) not in HEADINGS | PROSE
                 if _tag(sign) == "section" and not _words(re.sub(r"#.*", "", sign)) & BOILER_WORDS:
@@ -640,6 +657,19 @@ def _holds_main(node: Element) -> bool:
     return False
 
 
+def _titled(node: Element) -> bool:
+    """Whether a header holds a heading; other elements are not asked."""
+    stack = [node] if _header(node.sign) else []
+    while stack:
+        for child in stack.pop().children:
+            if not isinstance(child, str):
+                # Names of elements here, not signs: digits as they are.
+                if re.fullmatch(r"h[1-6]", child.tag):
+                    return True
+                stack.append(child)
+    return False
+
+
 def main_text(page: str, how: list) -> str:
     """The text of the page's article by the plan of its host's wrapper, a line for each block.
 
@@ -692,7 +722,7 @@ def _read(root: Element, how: list, kind: str, constants: bool) -> tuple[list[st
             own = places.get(id(child))
             if own:
                 verdict = own[P_VERDICT]
-            elif _marked(child.sign, article, bool(kind) and inside) and not _holds_main(child):
+            elif _marked(child.sign, article, bool(kind) and inside, _titled(child)) and not _holds_main(child):
                 verdict = DROP
             else:
                 verdict = MAIN if kind and _kind(child.sign, article) == kind else READ

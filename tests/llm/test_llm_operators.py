@@ -324,6 +324,21 @@ def test_ambiguous_words_in_an_article_need_the_wrapper():
     assert read_host(['<h2 id="legal">a</h2><section id="responses"><p>b</p></section><div class="search">c</div>']) == ["a\nb"]
 
 
+def test_headers_of_articles_and_comments_in_code():
+    """A header with a heading is the article's, one that is the same on all pages the host's; classes in code name tokens."""
+    for page in (
+        '<div class="post"><div class="post-header"><h1>T {0}</h1></div><p>text {0}</p></div><div class="header">Site</div>',
+        "<header>Site</header><main><header><h2>T {0}</h2></header><p>text {0}</p></main>",
+    ):
+        assert read_host([page.format(c) for c in "abcdef"]) == [f"T {c}\ntext {c}" for c in "abcdef"]
+        assert read_host([page.format("a")]) == ["T a\ntext a"]
+    host = '<div id="main"><div class="header"><h1>Site</h1></div><header>menu {0}</header><p>text {0}</p></div>'
+    assert read_host([host.format(c) for c in "abcdef"]) == [f"text {c}" for c in "abcdef"]
+    code = """<article><p>a</p><code>x = 1 <span class="comment"># set</span></code><span class="ad">buy</span>
+<pre>y <i class="cm comment">/* y */</i><span hidden>1</span> z</pre><p><code>open <b class="comment">b</b></p><p>c <span class="ad">buy</span></article>"""
+    assert read_host([code]) == ["a\nx = 1 # set\ny /* y */ z\nopen b\nc"]
+
+
 def test_archives(spark):
     big, small = "<p>é" * 400, "tiny"
     rows = [(1, "http://a/x?q=1", big), (2, "http://a/ü", big), (3, None, small), (4, "http://b/", small), (5, "http://c/", None)]
