@@ -1,10 +1,14 @@
-"""Price indicators per group: extremes, mean, price per area, mean price by room count."""
+"""Price indicators per group: extremes, mean, price per area, mean price by room count.
+
+Sums do not depend on the order of rows (`functions/sums.py`).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import room_label
+from ..functions.sums import add_up, digits, exact_mean, exact_sum, total
 from ..schemas import PRICE, col
 from ..session import materialise
 from .joins import left_join_nullsafe
@@ -20,20 +24,20 @@ def price_stats(ads: DataFrame, key: str) -> DataFrame:
     return ads.groupBy(key).agg(
         F.max(col(PRICE)).alias("preco_max"),
         F.min(col(PRICE)).alias("preco_min"),
-        F.avg(col(PRICE)).alias("preco_med"),
+        exact_mean(col(PRICE)).alias("preco_med"),
     )
 
 
 def price_per_area(ads: DataFrame, key: str) -> DataFrame:
     """Sum of prices over sum of areas, half-to-even at one decimal, over rows with a usable area."""
-    sums = ads.filter(_has_area()).groupBy(key).agg(F.sum(col(PRICE)).alias("p"), F.sum("area_m2").alias("a"))
+    sums = ads.filter(_has_area()).groupBy(key).agg(exact_sum(col(PRICE)).alias("p"), exact_sum(F.col("area_m2")).alias("a"))
     return sums.select(key, F.bround(F.try_divide("p", "a"), 1).alias("preco_medio_area"))
 
 
 def rooms_long(ads: DataFrame, key: str) -> DataFrame:
     """Mean price by room label and key; ads without a room count drop out."""
     labelled = ads.filter(F.col("n_quartos").isNotNull()).withColumn("n_quartos", room_label(F.col("n_quartos")))
-    return labelled.groupBy("n_quartos", key).agg(F.avg(col(PRICE)).alias("media_quarto"))
+    return labelled.groupBy("n_quartos", key).agg(exact_mean(col(PRICE)).alias("media_quarto"))
 
 
 def room_labels(ads: DataFrame) -> DataFrame:
@@ -66,10 +70,10 @@ def indicators(ads: DataFrame, key: str, labels: list[str] | None = None) -> Dat
     per_rooms = ads.groupBy(key, "n_quartos").agg(
         F.max(col(PRICE)).alias("hi"),
         F.min(col(PRICE)).alias("lo"),
-        F.sum(col(PRICE)).alias("total"),
+        add_up(digits(col(PRICE))).alias("total"),
         F.count(col(PRICE)).alias("n"),
-        F.sum(F.when(with_area, col(PRICE))).alias("area_total"),
-        F.sum(F.when(with_area, F.col("area_m2"))).alias("area"),
+        add_up(digits(F.when(with_area, col(PRICE)))).alias("area_total"),
+        add_up(digits(F.when(with_area, F.col("area_m2")))).alias("area"),
     ).withColumn("label", room_label(F.col("n_quartos")))
     if labels is None:
         # Read twice: for the labels, which become column names, and for the final aggregate.
@@ -82,14 +86,14 @@ def indicators(ads: DataFrame, key: str, labels: list[str] | None = None) -> Dat
         labels = [row["label"] for row in found]
     by_label = [
         F.try_divide(
-            F.sum(F.when(F.col("label") == name, F.col("total"))), F.sum(F.when(F.col("label") == name, F.col("n")))
+            total(add_up(F.when(F.col("label") == name, F.col("total")))), F.sum(F.when(F.col("label") == name, F.col("n")))
         ).alias(name)
         for name in labels
     ]
     return per_rooms.groupBy(key).agg(
         F.max("hi").alias("preco_max"),
         F.min("lo").alias("preco_min"),
-        F.try_divide(F.sum("total"), F.sum("n")).alias("preco_med"),
-        F.bround(F.try_divide(F.sum("area_total"), F.sum("area")), 1).alias("preco_medio_area"),
+        F.try_divide(total(add_up(F.col("total"))), F.sum("n")).alias("preco_med"),
+        F.bround(F.try_divide(total(add_up(F.col("area_total"))), total(add_up(F.col("area")))), 1).alias("preco_medio_area"),
         *by_label,
     )
