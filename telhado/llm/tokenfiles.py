@@ -4,7 +4,7 @@ Each partition of the documents, in order of doc_id, becomes three files: `.bin`
 after the other as little-endian unsigned integers (16 bits where the vocabulary allows, else 32);
 `.idx` holds, as unsigned 64-bit integers, where each document begins in it, and its end; `.ids`
 holds the documents' ids as signed 64-bit integers. The manifest tells how many ids each partition
-has; their prefix sums are the partitions' bases.
+has, and how many documents at its start have no id; prefix sums of the former are the partitions' bases.
 """
 
 from __future__ import annotations
@@ -31,7 +31,6 @@ MEMO_CHARS = 64
 TAILS = 100_000
 # Marks that may end a word; an apostrophe is none, as it may begin a piece with letters.
 _TAIL = ".,;:!?*$%&#|)\"-"
-NO_ID = -(1 << 63)
 # A space behind another character than white space begins a new piece, whatever stands before it.
 _CUT = re.compile(r"(?<=\S)(?= )")
 ROWS_OUT = 4000
@@ -133,8 +132,10 @@ def write(docs: DataFrame, definition: str, folder: str | None = None) -> DataFr
     """Write the token files of all `docs` (doc_id, text) to `folder`; returns the manifest.
 
     The manifest has a row per partition: part, name (path without ending), width (bytes of an id),
-    documents, tokens, base (ids in all earlier partitions). Documents are in ascending order of doc_id,
-    null ids first, equal ids by text; a null text is an empty document. A task that is run again
+    documents, nulls (those without an id), tokens, base (ids in all earlier partitions). Documents are in
+    ascending order of doc_id, null ids first, equal ids by a hash of their text, so that an id of many
+    texts is cut into several partitions; rows alike in both stay together. A null text is an empty
+    document; without documents there is no file and the manifest is empty. A task that is run again
     writes under another name, and the manifest names the files of the run that counted.
     """
     spark = docs.sparkSession
@@ -145,7 +146,7 @@ def write(docs: DataFrame, definition: str, folder: str | None = None) -> DataFr
         part = TaskContext.get().partitionId()
         name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}"
         encoder = _held_encoder(held)
-        width, position, count = encoder.dtype.itemsize, 0, 0
+        width, position, count, nulls = encoder.dtype.itemsize, 0, 0, 0
         with write_stream(f"{name}.bin") as ids, write_stream(f"{name}.idx") as index, write_stream(f"{name}.ids") as own:
             for batch in columns:
                 if not len(batch["text"]):
@@ -153,7 +154,8 @@ def write(docs: DataFrame, definition: str, folder: str | None = None) -> DataFr
                 found, sizes = encoder.encode(batch["text"])
                 ids.write(found.tobytes())
                 index.write((position + np.cumsum(sizes) - sizes).astype("<u8").tobytes())
-                own.write(batch["doc_id"].fill_null(NO_ID).to_numpy().astype("<i8").tobytes())
+                own.write(batch["doc_id"].fill_null(0).to_numpy().astype("<i8").tobytes())
+                nulls += batch["doc_id"].null_count
                 position += len(found)
                 count += len(sizes)
             index.write(np.array([position], "<u8").tobytes())
@@ -163,12 +165,14 @@ def write(docs: DataFrame, definition: str, folder: str | None = None) -> DataFr
                 "name": pa.array([name]),
                 "width": pa.array([width], pa.int32()),
                 "documents": pa.array([count], pa.int64()),
+                "nulls": pa.array([nulls], pa.int64()),
                 "tokens": pa.array([position], pa.int64()),
             }
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).repartitionByRange("doc_id", "key")
+    ordered = keyed.sortWithinPartitions("doc_id", "key", "text").select("doc_id", "text")
     parts = materialise(
-        arrow_map(ordered, run, "part int, name string, width int, documents long, tokens long"), "manifest"
+        arrow_map(ordered, run, "part int, name string, width int, documents long, nulls long, tokens long"), "manifest"
     )
     # One row per partition of the files: small enough for one window.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -184,7 +188,7 @@ def read(manifest: DataFrame, keep_ids: bool = False) -> DataFrame:
 
     def run(columns: Iterator[dict[str, pa.Array]]) -> Iterator[dict[str, pa.Array]]:
         for batch in columns:
-            for name, width, base in zip(*(batch[c].to_pylist() for c in ("name", "width", "base"))):
+            for name, width, nulls, base in zip(*(batch[c].to_pylist() for c in ("name", "width", "nulls", "base"))):
                 ids = np.frombuffer(mapped(f"{name}.bin"), f"<u{width}")
                 at = np.frombuffer(mapped(f"{name}.idx"), "<u8").astype(np.int64)
                 own = np.frombuffer(mapped(f"{name}.ids"), "<i8")
@@ -192,7 +196,7 @@ def read(manifest: DataFrame, keep_ids: bool = False) -> DataFrame:
                     hi = min(lo + ROWS_OUT, len(own))
                     spans = list(zip(at[lo:hi].tolist(), at[lo + 1 : hi + 1].tolist()))
                     out = {
-                        "doc_id": pa.array(own[lo:hi], pa.int64(), mask=own[lo:hi] == NO_ID),
+                        "doc_id": pa.array(own[lo:hi], pa.int64(), mask=np.arange(lo, hi) < nulls),
                         "start": pa.array(at[lo:hi] + base, pa.int64()),
                         "n_tokens": pa.array(at[lo + 1 : hi + 1] - at[lo:hi], pa.int64()),
                         "ids_crc32": pa.array([zlib.crc32(ids[a:b].astype("<u4")) for a, b in spans], pa.int64()),
@@ -203,4 +207,4 @@ def read(manifest: DataFrame, keep_ids: bool = False) -> DataFrame:
 
     tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if keep_ids else "")
-    return arrow_map(manifest.select("name", "width", "base").repartition(tasks), run, schema)
+    return arrow_map(manifest.select("name", "width", "nulls", "base").repartition(tasks), run, schema)

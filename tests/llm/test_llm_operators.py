@@ -126,6 +126,21 @@ def test_token_files(spark, tmp_path):
     repeated = docs.where("doc_id in (3, 4)").unionByName(docs.where("doc_id = 3")).unionByName(docs.where("doc_id = 4").withColumn("doc_id", F.lit(None).cast("long")))
     rows = tokenfiles.read(tokenfiles.write(repeated, definition(BYTES))).orderBy("start").collect()
     assert [r["doc_id"] for r in rows] == [None, 3, 3, 4]
+    # The least id is no null; an id of many texts is cut into several files.
+    ids = [-(1 << 63), None, None, 1, *[7] * 400, 9]
+    hot = spark.createDataFrame([(d, f"text {i}") for i, d in enumerate(ids)], "doc_id long, text string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = tokenfiles.write(hot, definition(BYTES))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(r["documents"] for r in manifest.collect()) < 200
+    rows = tokenfiles.read(manifest, keep_ids=True).orderBy("start").collect()
+    assert [r["doc_id"] for r in rows] == sorted(ids, key=lambda d: (d is not None, d))
+    want = sorted(library.encode(f"text {i}", add_special_tokens=False).ids + [0] for i in range(len(ids)))
+    assert sorted(r["ids"] for r in rows) == want
+    ends = [r["start"] + r["n_tokens"] for r in rows]
+    assert [0, *ends[:-1]] == [r["start"] for r in rows]
 
 
 @pytest.mark.parametrize("chunk", [40, 16_384])
