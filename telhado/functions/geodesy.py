@@ -10,6 +10,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from . import circles
+
 # Spherical Mercator radius; GRS80 ellipsoid; UTM scale and offsets.
 SPHERE_RADIUS = 6378137.0
 SEMI_MAJOR = 6378137.0
@@ -21,6 +23,13 @@ FALSE_NORTHING_SOUTH = 10000000.0
 E2 = FLATTENING * (2.0 - FLATTENING)
 _N = FLATTENING / (2.0 - FLATTENING)
 RECTIFYING_RADIUS = SEMI_MAJOR / (1.0 + _N) * (1.0 + _N**2 / 4.0 + _N**4 / 64.0)
+# Conformal to geographic latitude, series of order four in e^2.
+LATITUDE = (
+    E2 / 2 + 5 * E2**2 / 24 + E2**3 / 12 + 13 * E2**4 / 360,
+    7 * E2**2 / 48 + 29 * E2**3 / 240 + 811 * E2**4 / 11520,
+    7 * E2**3 / 120 + 81 * E2**4 / 1120,
+    4279 * E2**4 / 161280,
+)
 # Krueger coefficients of the forward (alpha) and inverse (beta) series.
 ALPHA = (
     _N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16 + 41 * _N**4 / 180,
@@ -80,6 +89,15 @@ def utm_xy(lon: Column, lat: Column, zone: int = 24, south: bool = True) -> Colu
     )
 
 
+def ring_measures(ring: Column, centre: Column, zone: int = 24, south: bool = True) -> Column:
+    """Struct of `circles.MEASURES`: what the text of a ring around a `utm_xy` struct measures on the metric plane."""
+    read = circles.ring_measures(
+        2 * math.sqrt(_N) / (1 + _N), UTM_SCALE * RECTIFYING_RADIUS, FALSE_EASTING,
+        FALSE_NORTHING_SOUTH if south else 0.0, ALPHA, central_meridian(zone),
+    )
+    return F.arrow_udf(read, circles.MEASURES)(ring, centre["easting"], centre["northing"])
+
+
 def _utm_series_angles(easting: Column, northing: Column, south: bool) -> Column:
     scale = UTM_SCALE * RECTIFYING_RADIUS
     return F.struct(
@@ -105,17 +123,8 @@ def _sphere_angles(p: Column) -> Column:
 
 
 def _geographic(p: Column, zone: int) -> Column:
-    # Conformal to geographic latitude, series of order four in e^2.
     chi = p["chi"]
-    e2, e4, e6, e8 = E2, E2**2, E2**3, E2**4
-    lat = chi + _sum(
-        [
-            F.sin(chi * 2) * (e2 / 2 + 5 * e4 / 24 + e6 / 12 + 13 * e8 / 360),
-            F.sin(chi * 4) * (7 * e4 / 48 + 29 * e6 / 240 + 811 * e8 / 11520),
-            F.sin(chi * 6) * (7 * e6 / 120 + 81 * e8 / 1120),
-            F.sin(chi * 8) * (4279 * e8 / 161280),
-        ]
-    )
+    lat = chi + _sum([F.sin(chi * (2 * j)) * a for j, a in enumerate(LATITUDE, 1)])
     return F.struct(
         (F.degrees(p["lon"]) + central_meridian(zone)).alias("longitude"), F.degrees(lat).alias("latitude")
     )
@@ -177,13 +186,30 @@ def circle_ring(centre: Column, radius: Column, zone: int = 24, south: bool = Tr
     return F.transform(ring, lambda p: _geographic(p, zone))
 
 
+def spread_rows(rows: DataFrame) -> DataFrame:
+    """The rows dealt evenly to all tasks: for small rows with much work each, which a scan leaves to a few tasks."""
+    spark = rows.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return rows.repartition(tasks)
+
+
 def with_buffer_wkt(
     points: DataFrame, radius: str = "dist_buffer", zone: int = 24, south: bool = True, quarter: int = 30
 ) -> DataFrame:
-    """Add `buffer_wkt`: a circle of `radius` UTM metres as a closed ring of 4 x `quarter` points in degrees."""
-    centred = points.withColumn("__centre", utm_xy(F.col("longitude"), F.col("latitude"), zone, south))
+    """Add `buffer_wkt`: a circle of `radius` UTM metres as a closed ring of 4 x `quarter` points in degrees.
+
+    Corners are worked out and written by the array; where that leaves a digit in doubt, one by one.
+    """
+    centred = spread_rows(points).withColumn("__centre", utm_xy(F.col("longitude"), F.col("latitude"), zone, south))
+    by_array = F.arrow_udf(
+        circles.circle_text(
+            quarter, UTM_SCALE * RECTIFYING_RADIUS, FALSE_EASTING, FALSE_NORTHING_SOUTH if south else 0.0,
+            BETA, LATITUDE, central_meridian(zone), digits=6,
+        ),
+        "string",
+    )
+    quick = centred.withColumn("__text", by_array("__centre.easting", "__centre.northing", F.col(radius).cast("double")))
     ring = circle_ring(F.col("__centre"), F.col(radius), zone, south, quarter)
-    text = F.transform(ring, lambda p: coordinate_text(p["longitude"], p["latitude"]))
-    return centred.withColumn(
-        "buffer_wkt", F.concat(F.lit("POLYGON (("), F.array_join(text, ", "), F.lit("))"))
-    ).drop("__centre")
+    slow = F.array_join(F.transform(ring, lambda p: coordinate_text(p["longitude"], p["latitude"])), ", ")
+    text = F.coalesce("__text", slow)
+    return quick.withColumn("buffer_wkt", F.concat(F.lit("POLYGON (("), text, F.lit("))"))).drop("__centre", "__text")
