@@ -209,6 +209,11 @@ def _(d: Data):
     return geodesy.with_buffer_wkt(ads).select("ad_id", "buffer_wkt")
 
 
+def ring_texts(wkt) -> Column:
+    """Rings of outline text, each the text of its points."""
+    return F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
+
+
 def outline_points(wkt) -> Column:
     """Rings of outline text, each an array of (x, y) in degrees."""
 
@@ -216,8 +221,7 @@ def outline_points(wkt) -> Column:
         pair = F.split(text, " ")
         return F.struct(pair[0].cast("double").alias("x"), pair[1].cast("double").alias("y"))
 
-    texts = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
-    return F.transform(texts, lambda ring: F.transform(F.split(ring, ", "), point))
+    return F.transform(ring_texts(wkt), lambda ring: F.transform(F.split(ring, ", "), point))
 
 
 def ring_area(ring: Column, x0: Column, y0: Column) -> Column:
@@ -247,33 +251,22 @@ def _(d: Data):
     """The circles' text read back: measures on the metric plane are those of a polygon of 120 corners."""
     ads = placed(d).withColumn("dist_buffer", tx.buffer_radius(F.col("cep")))
     text = geodesy.with_buffer_wkt(ads)
-    # Sides as rows: each is one step of plain columns, where nested functions of arrays would be interpreted.
-    ring = text.select("ad_id", "longitude", "latitude", F.explode(outline_points(F.col("buffer_wkt"))).alias("ring"))
-    ends = [F.slice("ring", F.lit(i), F.size("ring") - 1) for i in (1, 2)]
-    sides = ring.select(
-        "ad_id", "longitude", "latitude",
-        closed(F.array("ring")).alias("closed"),
-        F.explode(F.zip_with(*ends, lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("side"),
-    )
-    flat = sides.select(
-        "ad_id", "closed", "side",
-        geodesy.utm_xy(F.col("longitude"), F.col("latitude")).alias("o"),
-        geodesy.utm_xy(F.col("side.a.x"), F.col("side.a.y")).alias("a"),
-        geodesy.utm_xy(F.col("side.b.x"), F.col("side.b.y")).alias("b"),
-    )
-    easting, northing, lon, lat = (F.col(c) for c in ("a.easting", "a.northing", "side.a.x", "side.a.y"))
-    # Offsets from the centre keep the sums small.
-    doubled = (easting - F.col("o.easting")) * (F.col("b.northing") - F.col("o.northing")) - (
-        F.col("b.easting") - F.col("o.easting")
-    ) * (northing - F.col("o.northing"))
-    return flat.groupBy("ad_id").agg(
-        (F.count(F.lit(1)) + 1).alias("n_points"),
+    centred = text.withColumn("o", geodesy.utm_xy(F.col("longitude"), F.col("latitude")))
+    ring = centred.select("ad_id", "o", F.explode(ring_texts(F.col("buffer_wkt"))).alias("ring"))
+    # A ring is one small row before the grouping: an ad listed twice has its rings measured together.
+    measured = ring.select("ad_id", geodesy.ring_measures(F.col("ring"), F.col("o")).alias("m")).select("ad_id", "m.*")
+
+    def middle(name: str) -> Column:
+        return F.round((F.max(f"high_{name}") + F.min(f"low_{name}")) / 2, 3).alias(name)
+
+    return measured.where("sides > 0").groupBy("ad_id").agg(
+        (F.sum("sides") + 1).alias("n_points"),
         F.bool_and("closed").alias("closed"),
-        F.round(F.max(easting) - F.min(easting), 0).alias("width_m"),
-        F.round(F.max(northing) - F.min(northing), 0).alias("height_m"),
-        F.round(F.abs(F.sum(doubled)) / 2000, 0).alias("area_1000_m2"),
-        F.round((F.max(lon) + F.min(lon)) / 2, 3).alias("longitude"),
-        F.round((F.max(lat) + F.min(lat)) / 2, 3).alias("latitude"),
+        F.round(F.max("high_easting") - F.min("low_easting"), 0).alias("width_m"),
+        F.round(F.max("high_northing") - F.min("low_northing"), 0).alias("height_m"),
+        F.round(F.abs(F.sum("doubled")) / 2000, 0).alias("area_1000_m2"),
+        middle("longitude"),
+        middle("latitude"),
     )
 
 
