@@ -9,11 +9,13 @@ has, and how many documents at its start have no id; prefix sums of the former a
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,18 @@ _CUT = re.compile(r"(?<=\S)(?= )")
 ROWS_OUT = 4000
 
 
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """The garbage collector held off: lists of new words hold no cycles, and it would walk through them again and again."""
+    was_on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was_on:
+            gc.enable()
+
+
 class ByteEncoder:
     """Whole-text ids of a byte-level BPE tokenizer whose pieces begin at such spaces.
 
@@ -151,7 +165,8 @@ def write(docs: DataFrame, definition: str, folder: str | None = None) -> DataFr
             for batch in columns:
                 if not len(batch["text"]):
                     continue
-                found, sizes = encoder.encode(batch["text"])
+                with no_collection():
+                    found, sizes = encoder.encode(batch["text"])
                 ids.write(found.tobytes())
                 index.write((position + np.cumsum(sizes) - sizes).astype("<u8").tobytes())
                 own.write(batch["doc_id"].fill_null(0).to_numpy().astype("<i8").tobytes())
