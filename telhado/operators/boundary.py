@@ -16,10 +16,6 @@ from .joins import lookup_join, refuse_columns
 from .overlay import outline_edges
 
 
-# Where in a tile its spot lies, as a part of its width and height.
-SPOT = 0.4771
-
-
 @dataclass(frozen=True)
 class Slabs:
     """Edges grouped by horizontal slab: (slab, edges). An edge lies in every slab it spans."""
@@ -79,12 +75,7 @@ class Cover:
     size: int
 
     def spot(self, axis: str) -> Column:
-        return _spot(self.tiles, axis)
-
-
-def _spot(tiles: Tiles, axis: str) -> Column:
-    """A place in the tile (tx, ty), off its middle so that no edge is likely to run through it."""
-    return ((F.col("tx") + SPOT) * tiles.wide) if axis == "x" else ((F.col("ty") + SPOT) * tiles.high)
+        return self.tiles.spot(axis)
 
 
 def boundary_cover(edges: DataFrame) -> Cover:
@@ -97,16 +88,7 @@ def boundary_cover(edges: DataFrame) -> Cover:
     extent = extent_of(edges)
     tiles = Tiles.for_edges(extent)
     passed = tiles.of_edges(edges).groupBy("tx", "ty").agg(F.sort_array(F.collect_list(F.struct("x1", "y1", "x2", "y2"))).alias("own"))
-    # Tiles are as high as a mean edge at least, so an edge has a few rows on average.
-    level = _spot(tiles, "y")
-    rows = edges.withColumn("ty", F.explode(F.sequence(*[F.floor(f("y1", "y2") / tiles.high).cast("bigint") for f in (F.least, F.greatest)])))
-    crossing = (F.col("x2") - F.col("x1")) * (level - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
-    rows = rows.where((F.col("y1") > level) != (F.col("y2") > level)).groupBy("ty").agg(F.collect_list(crossing).alias("at"))
-    first, last = (int(v // tiles.wide) for v in (extent.low_x, extent.high_x))
-    # A tile more on each side: an edge on the border of tiles is listed on both.
-    box = rows.withColumn("tx", F.explode(F.sequence(F.lit(first - 1).cast("bigint"), F.lit(last + 1).cast("bigint"))))
-    odd = F.size(F.filter("at", lambda x: x > _spot(tiles, "x"))) % 2 == 1
-    whole = box.select("tx", "ty", odd.alias("inside"))
+    whole = tiles.spots_inside(edges, extent).withColumn("inside", F.lit(True))
     table = whole.join(passed, ["tx", "ty"], "full").select("tx", "ty", F.coalesce("inside", F.lit(False)).alias("inside"), F.col("own").alias("edges"))
     kept = table.where(F.col("inside") | F.col("edges").isNotNull())
     # An edge passes three tiles on average at most, four along borders; tiles are as many as edges and the rim.

@@ -55,6 +55,10 @@ def extent_of(edges: DataFrame) -> Extent:
     return Extent(**{k: v or 0 for k, v in found.asDict().items()})
 
 
+# Where in a tile its spot lies, as a part of its width and height.
+SPOT = 0.4771
+
+
 @dataclass(frozen=True)
 class Tiles:
     """Tiles of one size: about as many in the box as there are edges, none narrower or lower than a mean edge."""
@@ -92,3 +96,34 @@ class Tiles:
         from_x = F.when(rise == 0, F.least("x1", "x2")).otherwise(F.least(*ends)) - margin
         to_x = F.when(rise == 0, F.greatest("x1", "x2")).otherwise(F.greatest(*ends)) + margin
         return rows.withColumn("tx", F.explode(numbers(from_x, to_x, self.wide)))
+
+    def spot(self, axis: str, number: Column | None = None) -> Column:
+        """A place in the tile (tx, ty), off its middle so that no edge is likely to run through it."""
+        number = F.col(f"t{axis}") if number is None else number
+        return (number + SPOT) * (self.wide if axis == "x" else self.high)
+
+    def spots_inside(self, edges: DataFrame, extent: Extent, by: tuple[str, ...] = ()) -> DataFrame:
+        """(*by, tx, ty) of the tiles whose spot lies inside the rings, even-odd, of each `by`.
+
+        Row by row, an edge that crosses the level of the spots turns all spots on its left; what is inside lies between
+        every second of these places and the next.
+        """
+        # Tiles are as high as a mean edge at least, so an edge has a few rows on average.
+        rows = edges.withColumn(
+            "ty", F.explode(F.sequence(*[F.floor(f("y1", "y2") / self.high).cast("bigint") for f in (F.least, F.greatest)]))
+        )
+        level = self.spot("y")
+        at = (F.col("x2") - F.col("x1")) * (level - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
+        crossed = rows.where((F.col("y1") > level) != (F.col("y2") > level)).select(*by, "ty", at.alias("at"))
+        guess = F.floor(F.col("at") / self.wide - SPOT).cast("bigint")
+        last = F.when(self.spot("x", guess) >= F.col("at"), guess - 1).when(self.spot("x", guess + 1) < F.col("at"), guess + 1).otherwise(guess)
+        turned = crossed.groupBy(*by, "ty", last.alias("last")).agg((F.count(F.lit(1)) % 2).alias("odd")).where("odd = 1")
+        ends = turned.groupBy(*by, "ty").agg(F.sort_array(F.collect_list("last")).alias("ends"))
+        # Rings that do not close leave the start of a row inside; a tile more than the box is told of.
+        start = F.array(F.lit(int(extent.low_x // self.wide) - 2).cast("bigint"))
+        ends = ends.withColumn("ends", F.when(F.size("ends") % 2 == 1, F.concat(start, "ends")).otherwise(F.col("ends")))
+        spans = F.transform(
+            F.sequence(F.lit(1), (F.size("ends") / 2).cast("int")),
+            lambda i: F.sequence(F.element_at("ends", 2 * i - 1) + 1, F.element_at("ends", 2 * i)),
+        )
+        return ends.select(*by, "ty", F.explode(spans).alias("span")).select(*by, F.explode("span").alias("tx"), "ty")

@@ -1,18 +1,24 @@
 """Union of boundary parts that may overlap: the outline of everything inside any part.
 
-Each part is an even-odd polygon of its own rings. Edges of different parts are split where they
-meet, pieces that several parts share become one segment, and a segment belongs to the outline of
-the union if exactly one of its sides lies inside any part. With that outline the plain even-odd
-test is right again, for points and for clipping alike.
+Each part is an even-odd polygon of its own rings. Edges are split where they meet, pieces that several
+parts share become one segment, and a segment belongs to the outline of the union if exactly one of
+its sides lies inside any part. With that outline the plain even-odd test is right again, for points
+and for clipping alike.
+
+Which parts lie beside an edge is looked up once, at its longest piece; from piece to piece it changes only where
+another edge passes to the other side. So the work grows with the edges and their meeting points, of
+which there may be as many as pairs of edges.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.meetings import meetings
 from ..session import materialise
-from .edges import Tiles, boundary_edges, extent_of
+from .edges import Extent, Tiles, boundary_edges, extent_of
 
+ENDS = ["x1", "y1", "x2", "y2"]
 SEGMENT = ["ax", "ay", "bx", "by"]
 
 
@@ -24,114 +30,148 @@ def part_edges(vertices: DataFrame, project: bool = False) -> DataFrame:
     )
 
 
-def meeting_points(edges: DataFrame) -> DataFrame:
-    """(part, ring, seq, x, y): where edges meet those of other parts, ends and overlaps included.
+def lesser_end_first(edges: DataFrame) -> DataFrame:
+    """(edge, part, x1, y1, x2, y2): edges with a number, the end of lesser x, then y, first.
 
-    Only edges that pass the same tile and whose boxes overlap are compared.
+    Those without length, or without a part or a coordinate, are left out.
     """
-    cut = Tiles.for_edges(extent_of(edges)).of_edges(edges)
-    names = ["part", "ring", "seq", "x1", "y1", "x2", "y2"]
-    left = cut.select("tx", "ty", F.struct(*names).alias("l"))
-    right = cut.select("tx", "ty", F.struct(*names).alias("r"))
-
-    def overlap(a: str) -> Column:
-        ends = [F.col(f"{s}.{a}{i}") for s in "lr" for i in (1, 2)]
-        return (F.least(*ends[:2]) <= F.greatest(*ends[2:])) & (F.least(*ends[2:]) <= F.greatest(*ends[:2]))
-
-    pairs = left.join(right, ["tx", "ty"]).where((F.col("l.part") < F.col("r.part")) & overlap("x") & overlap("y"))
-    a, b, c, d = ([F.col(f"{s}.x{i}"), F.col(f"{s}.y{i}")] for s in "lr" for i in (1, 2))
-    rx, ry, sx, sy, qx, qy = b[0] - a[0], b[1] - a[1], d[0] - c[0], d[1] - c[1], c[0] - a[0], c[1] - a[1]
-    turn = rx * sy - ry * sx
-    measured = pairs.withColumns({"turn": turn, "aside": qx * ry - qy * rx}).withColumns(
-        {"t": F.try_divide(qx * sy - qy * sx, F.col("turn")), "u": F.try_divide(F.col("aside"), F.col("turn"))}
-    )
-    t, u = F.col("t"), F.col("u")
+    ends = [F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y")) for i in (1, 2)]
+    known = edges.dropna(subset=["part", *ENDS]).withColumns({"a": F.least(*ends), "b": F.greatest(*ends)}).where(F.col("a") != F.col("b"))
+    return known.select(
+        F.monotonically_increasing_id().alias("edge"), "part",
+        F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"),
+    )
+
+
+def _turn(ax: Column, ay: Column, bx: Column, by: Column, px: Column, py: Column) -> Column:
+    """Above zero where p lies on the left of the line from a to b, zero on it."""
+    return (bx - ax) * (py - ay) - (by - ay) * (px - ax)
 
-    def spot(x: Column, y: Column) -> Column:
-        return F.struct(x.alias("x"), y.alias("y"))
 
-    # An end keeps its own coordinates, so that pieces of both edges have the very same ends.
-    crossing = (
-        F.when(u == 0, spot(*c)).when(u == 1, spot(*d)).when(t == 0, spot(*a)).when(t == 1, spot(*b))
-        .otherwise(spot(a[0] + t * rx, a[1] + t * ry))
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """`rows` over as many tasks as a shuffle has: few rows, of which each makes many."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def meeting_points(passed: DataFrame) -> DataFrame:
+    """(edge, part, along, x, y, other, turns, shared): where edges meet others, ends and overlaps included.
+
+    `passed` are numbered edges, lesser end first, with the tiles they pass; only edges that pass the same tile and whose boxes
+    overlap are compared. `along` orders the places of an edge. `turns` tells that the other edge passes from one side
+    to the other, an end on the line taken as lying on its right: then what lies just left of the edge changes for the
+    part `other`. `shared` tells that both edges lie on one line.
+    """
+    names = ["edge", "part", *ENDS]
+    boxed = passed.withColumns({"low": F.least("y1", "y2"), "high": F.greatest("y1", "y2")})
+    left, right = (boxed.select("tx", "ty", *[F.col(n).alias(f"{e}_{n}") for n in (*names, "low", "high")]) for e in "lr")
+    # Lesser ends first: the boxes' sides are known.
+    near = (
+        (F.col("l_edge") < F.col("r_edge")) & (F.col("l_x1") <= F.col("r_x2")) & (F.col("r_x1") <= F.col("l_x2"))
+        & (F.col("l_low") <= F.col("r_high")) & (F.col("r_low") <= F.col("l_high"))
     )
-    meet = (F.col("turn") != 0) & t.between(0.0, 1.0) & u.between(0.0, 1.0)
-    along = (F.col("turn") == 0) & (F.col("aside") == 0)
-    found = F.when(meet, F.array(crossing)).when(along, F.array(spot(*a), spot(*b), spot(*c), spot(*d)))
-    both = measured.select(F.array("l", "r").alias("edges"), found.alias("found"))
-    both = both.select(F.explode("edges").alias("e"), "found").select("e", F.explode("found").alias("p"))
-    px, py = F.col("p.x"), F.col("p.y")
-    inside = px.between(F.least("e.x1", "e.x2"), F.greatest("e.x1", "e.x2")) & py.between(
-        F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
-    )
-    return both.where(inside).select("e.part", "e.ring", "e.seq", px.alias("x"), py.alias("y")).distinct()
+    pairs = dealt(left, "tx", "ty").join(right, ["tx", "ty"]).where(near)
+    part = passed.schema["part"].dataType.simpleString()
+    rows = f"edge long, part {part}, along double, x double, y double, other_edge long, other {part}, turns boolean, shared boolean"
+    found = pairs.drop("tx", "ty", "l_low", "l_high", "r_low", "r_high").mapInArrow(meetings, rows)
+    # A pair may pass several tiles together.
+    return found.repartition("edge").distinct().drop("other_edge")
+
+
+def places(edges: DataFrame, passed: DataFrame) -> DataFrame:
+    """Rows of `meeting_points`, and both ends of each edge."""
+    length = (F.col("x2") - F.col("x1")) * (F.col("x2") - F.col("x1")) + (F.col("y2") - F.col("y1")) * (F.col("y2") - F.col("y1"))
+    none = [F.lit(None).cast(edges.schema["part"].dataType).alias("other"), F.lit(False).alias("turns"), F.lit(False).alias("shared")]
+    first = edges.select("edge", "part", F.lit(0.0).alias("along"), F.col("x1").alias("x"), F.col("y1").alias("y"), *none)
+    last = edges.select("edge", "part", length.alias("along"), F.col("x2").alias("x"), F.col("y2").alias("y"), *none)
+    return meeting_points(passed).unionByName(first).unionByName(last)
+
 
+def pieces(found: DataFrame) -> DataFrame:
+    """`places` with the next place of the same edge (`to`: along, x, y)."""
+    way = Window.partitionBy("edge").orderBy("along", "x", "y")
+    return found.withColumn("to", F.lead(F.struct("along", "x", "y")).over(way))
 
-def segments(edges: DataFrame) -> DataFrame:
-    """(part, ax, ay, bx, by): the edges cut at all meeting points, the lesser end first.
 
-    A piece that a part's own rings draw twice cancels out.
+def parts_beside(found: DataFrame, edges: DataFrame, passed: DataFrame, tiles: Tiles, extent: Extent) -> DataFrame:
+    """(edge, at, beside): the parts just left of the middle of an edge's longest piece, which starts `at`.
+
+    That side is the one of the tile's spot unless the way there, level and then upright, crosses an odd number of a part's
+    edges in that tile.
     """
-    keys = ["part", "ring", "seq"]
-    cuts = meeting_points(edges).groupBy(*keys).agg(F.collect_list(F.struct("x", "y")).alias("cuts"))
-    x, y = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-
-    def placed(p: Column) -> Column:
-        along = (p["x"] - F.col("x1")) * x + (p["y"] - F.col("y1")) * y
-        return F.struct(along.alias("t"), p["x"].alias("x"), p["y"].alias("y"))
-
-    ends = F.array(*[F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y")) for i in (1, 2)])
-    spots = F.array_sort(F.array_distinct(F.transform(F.concat(ends, F.coalesce("cuts", F.array().cast("array<struct<x:double,y:double>>"))), placed)))
-    steps = F.zip_with(
-        F.slice("spots", F.lit(1), F.size("spots") - 1), F.slice("spots", F.lit(2), F.size("spots") - 1),
-        lambda a, b: F.struct(F.struct(a["x"].alias("x"), a["y"].alias("y")).alias("a"), F.struct(b["x"].alias("x"), b["y"].alias("y")).alias("b")),
+    length = F.col("to.along") - F.col("along")
+    longest = pieces(found).where("to IS NOT NULL").groupBy("edge").agg(F.max_by(F.struct("along", "x", "y", "to"), length).alias("piece"))
+    px, py = ((F.col(f"piece.{c}") + F.col(f"piece.to.{c}")) / 2 for c in "xy")
+    middle = longest.select("edge", F.col("piece.along").alias("at"), px.alias("px"), py.alias("py"))
+    named = edges.select("edge", *[F.col(o).alias(n) for o, n in zip(ENDS, SEGMENT)])
+    seeds = middle.join(named, "edge").withColumns(tiles.of_point(F.col("px"), F.col("py")))
+    px, py, ax, ay, bx, by, x1, y1, x2, y2 = (F.col(c) for c in ("px", "py", *SEGMENT, *ENDS))
+    sx, sy = tiles.spot("x"), tiles.spot("y")
+    # Edges on the seed's own line: left of a rising one they are ahead, left of a falling one behind.
+    own_line = (_turn(ax, ay, bx, by, x1, y1) == 0) & (_turn(ax, ay, bx, by, x2, y2) == 0)
+    ahead = F.when(own_line, by > ay).otherwise(px < (x2 - x1) * (py - y1) / (y2 - y1) + x1)
+    level = ((y1 > py) != (y2 > py)) & (ahead != (sx < (x2 - x1) * (py - y1) / (y2 - y1) + x1))
+    at_y = (y2 - y1) * (sx - x1) / (x2 - x1) + y1
+    upright = ((x1 > sx) != (x2 > sx)) & ((py < at_y) != (sy < at_y))
+    near = passed.select("tx", "ty", F.col("part").alias("other"), *ENDS)
+    crossed = dealt(seeds, "tx", "ty").join(near, ["tx", "ty"]).where(level != upright).select("edge", "other")
+    spots = tiles.spots_inside(edges, extent, ("part",)).withColumnRenamed("part", "other")
+    told = seeds.select("edge", "tx", "ty").join(spots, ["tx", "ty"]).select("edge", "other")
+    beside = (
+        crossed.unionByName(told).groupBy("edge", "other").agg((F.count(F.lit(1)) % 2).alias("odd")).where("odd = 1")
+        .groupBy("edge").agg(F.collect_list("other").alias("beside"))
     )
-    pieces = edges.join(cuts, keys, "left").withColumn("spots", spots).select("part", F.explode(steps).alias("s"))
-    pieces = pieces.where(F.col("s.a") != F.col("s.b")).select(
-        "part", F.least("s.a", "s.b").alias("a"), F.greatest("s.a", "s.b").alias("b")
-    )
-    flat = pieces.select("part", *[F.col(f"{e}.{c}").alias(f"{e}{c}") for e in "ab" for c in "xy"])
-    return flat.groupBy("part", *SEGMENT).agg((F.count(F.lit(1)) % 2).alias("odd")).where("odd = 1").drop("odd")
+    none = F.array().cast(f"array<{edges.schema['part'].dataType.simpleString()}>")
+    return middle.select("edge", "at").join(beside, "edge", "left").withColumn("beside", F.coalesce("beside", none))
+
+
+def segments(found: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(part, ax, ay, bx, by, n, own, shared): pieces of edges, with how many parts lie just left of them and whether their own does."""
+    keyed = found.join(seeds, "edge")
+    edge, turn = Window.partitionBy("edge"), Window.partitionBy("edge", "other")
+    before = F.col("along") <= F.col("at")
+    turns = F.col("turns").cast("int")
+    # A part's turns along an edge alternate between in and out; the seed tells with which they begin.
+    after_seed = F.sum(turns).over(turn.orderBy("along", "x", "y").rowsBetween(Window.unboundedPreceding, 0)) - F.sum(
+        F.when(before, turns).otherwise(0)
+    ).over(turn)
+    inside = F.array_contains("beside", F.col("other")) != (F.abs(after_seed) % 2 == 1)
+    keyed = keyed.withColumn("step", F.when(F.col("turns"), F.when(inside, 1).otherwise(-1)).otherwise(0))
+
+    def count(step: Column, at_seed: Column) -> Column:
+        return at_seed + F.sum(step).over(edge.orderBy("along", "x", "y")) - F.sum(F.when(before, step).otherwise(0)).over(edge)
+
+    own_step = F.when(F.col("other") == F.col("part"), F.col("step")).otherwise(0)
+    counted = pieces(keyed).select(
+        "part", *[F.col(c).alias(f"{e}{c[-1]}") for e, p in (("a", ""), ("b", "to.")) for c in (f"{p}x", f"{p}y")],
+        count(F.col("step"), F.size("beside")).alias("n"),
+        count(own_step, F.array_contains("beside", F.col("part")).cast("int")).alias("own"),
+        F.max("shared").over(edge).alias("shared"),
+    )
+    return counted.where(F.col("bx").isNotNull() & ((F.col("ax") != F.col("bx")) | (F.col("ay") != F.col("by"))))
 
 
 def dissolve(edges: DataFrame) -> DataFrame:
     """Outline (ring, seq, x1, y1, x2, y2) of the union of all parts, interior on the left; ring and seq are 0.
 
-    `edges` are as from `part_edges`. A segment is looked at from its middle: a ray to the right counts, part by
-    part, the other segments it crosses, which come by an equi-join on the horizontal slab. That tells in
-    which parts the side towards the ray lies (for a level segment: the side above); the other side
-    differs by the parts that own the segment.
+    `edges` are as from `part_edges`.
     """
-    parts = materialise(segments(materialise(edges, "part-edges")), "segments")
-    extent = parts.agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.least("ay", "by")).alias("low"), F.max(F.greatest("ay", "by")).alias("high"),
-        F.avg(F.abs(F.col("by") - F.col("ay"))).alias("mean"),
-    ).head()
-    span = (extent["high"] or 0.0) - (extent["low"] or 0.0)
-    height = max(span / max(64, (extent["n"] or 0) // 2), extent["mean"] or 0.0) or 1.0
-    own = parts.groupBy(*SEGMENT).agg(F.collect_set("part").alias("parts"))
-    probes = own.select(*SEGMENT, ((F.col("ax") + F.col("bx")) / 2).alias("px"), ((F.col("ay") + F.col("by")) / 2).alias("py"))
-    probes = probes.withColumn("slab", F.floor(F.col("py") / height).cast("bigint"))
-    slabs = F.sequence(*[F.floor(f("ay", "by") / height).cast("bigint") for f in (F.least, F.greatest)])
-    others = parts.where("ay <> by").select(
-        F.explode(slabs).alias("slab"), "part", *[F.col(c).alias(f"o{c}") for c in SEGMENT]
-    )
-    px, py, ax, ay, bx, by = (F.col(c) for c in ("px", "py", "oax", "oay", "obx", "oby"))
-    itself = (F.col("ax") == ax) & (F.col("ay") == ay) & (F.col("bx") == bx) & (F.col("by") == by)
-    crossed = ~itself & ((ay > py) != (by > py)) & (px < (bx - ax) * (py - ay) / (by - ay) + ax)
-    within = (
-        probes.join(others, "slab").where(crossed).groupBy(*SEGMENT, "part").agg((F.count(F.lit(1)) % 2).alias("odd"))
-        .where("odd = 1").groupBy(*SEGMENT).agg(F.collect_set("part").alias("within"))
+    edges = materialise(lesser_end_first(edges), "part-edges")
+    extent = extent_of(edges)
+    tiles = Tiles.for_edges(extent)
+    passed = tiles.of_edges(edges)
+    found = materialise(places(edges, passed), "places")
+    laid = materialise(segments(found, parts_beside(found, edges, passed, tiles, extent)), "segments")
+    # A piece that a part's own rings draw twice cancels out; of several parts, each counts once.
+    several = (
+        laid.where("shared").groupBy("part", *SEGMENT).agg(F.max("n").alias("n"), F.max("own").alias("own"), (F.count(F.lit(1)) % 2).alias("odd"))
+        .where("odd = 1").groupBy(*SEGMENT).agg(F.max("n").alias("n"), F.sum("own").alias("own"), F.count(F.lit(1)).alias("owners"))
     )
-    sides = own.join(within, SEGMENT, "left").withColumn("within", F.coalesce("within", F.slice("parts", 1, 0)))
-    here = F.size("within") > 0
-    there = (F.size(F.array_except("within", "parts")) > 0) | (F.size(F.array_except("parts", "within")) > 0)
-    # Upwards the ray's side is on the right; level or downwards it is on the left.
-    turned = F.when(F.col("by") > F.col("ay"), here).otherwise(~here)
-    outline = sides.where(here != there).withColumn("turned", turned)
+    single = laid.where("NOT shared").select(*SEGMENT, "n", F.col("own").cast("bigint").alias("own"), F.lit(1).cast("bigint").alias("owners"))
+    # Parts that lie on the left and do not own the segment lie on both sides; all others lie on one side.
+    outline = single.unionByName(several).where("n = own AND own IN (0, owners)")
 
     def end(first: str, second: str) -> Column:
-        return F.when(F.col("turned"), F.col(second)).otherwise(F.col(first))
+        return F.when(F.col("own") > 0, F.col(first)).otherwise(F.col(second))
 
     return outline.select(
         F.lit(0).alias("ring"), F.lit(0).alias("seq"),

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import pytest
 
@@ -89,3 +90,48 @@ def test_grid_over_parts_equals_grid_over_their_union(spark):
     two = cells(spark.createDataFrame(rows(halves), VERTICES))
     assert set(one) == set(two)
     assert all(abs(one[c] - two[c]) < 1.0 for c in one)
+
+
+def comb(part, teeth, upright):
+    """A comb of thin teeth on a back, the teeth 10 long and a unit of 10 / teeth apart."""
+    step = 10 / teeth
+    corners = [(-1.0, 0.0)]
+    for i in range(teeth):
+        corners += [(0.0, i * step), (10.0 + i * step / 100, i * step + step / 8), (10.0, i * step + step / 4), (0.0, i * step + step / 2)]
+    corners.append((-1.0, 10.0))
+    return {(part, 0): [(y, x) if upright else (x, y) for x, y in corners]}
+
+
+def test_crossing_combs(spark):
+    """All teeth cross all others: many more meeting points than edges, each looked at once.
+
+    A look along a slab at all pieces of that height does not end in the time given.
+    """
+    rings = comb(1, 150, False) | comb(2, 150, True)
+    started = time.monotonic()
+    outline = overlay.dissolve(overlay.part_edges(spark.createDataFrame(rows(rings), VERTICES))).toPandas()
+    assert time.monotonic() - started < 240
+    assert len(outline) > 4 * 150 * 150
+    ends = [sorted(zip(outline[f"x{i}"], outline[f"y{i}"])) for i in (1, 2)]
+    assert ends[0] == ends[1]
+    rng = random.Random(4)
+    points = [(i, rng.uniform(-2, 11), rng.uniform(-2, 11)) for i in range(500)]
+    table = spark.createDataFrame(points, "id int, longitude double, latitude double")
+    edges = spark.createDataFrame(outline)
+    got = {r["id"]: r["inside"] for r in boundary.flag_covered(table, boundary.boundary_cover(edges), "longitude", "latitude", ["id"]).collect()}
+    assert got == {i: inside_any(rings, x, y) for i, x, y in points}
+
+
+def test_part_that_crosses_itself(spark):
+    """A bow tie half under a square, a ring drawn twice and a part drawn by two others' sides."""
+    rings = {
+        (1, 0): [(0, 0), (4, 4), (4, 0), (0, 4)],
+        (2, 0): [(1, 1), (3, 1), (3, 3), (1, 3)],
+        (3, 0): [(6, 0), (8, 0), (8, 2), (6, 2)],
+        (3, 1): [(6, 0), (8, 0), (8, 2), (6, 2)],
+        (4, 0): [(7, 0), (9, 0), (9, 2), (7, 2)],
+    }
+    points = [(i, -0.53 + 0.21 * (i % 50), -0.47 + 0.19 * (i // 50)) for i in range(1500)]
+    table = spark.createDataFrame(points, "id int, longitude double, latitude double")
+    found = boundary.points_in_boundary(table, spark.createDataFrame(rows(rings), VERTICES), ["id"])
+    assert {r["id"]: r["inside"] for r in found.collect()} == {i: inside_any(rings, x, y) for i, x, y in points}
