@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
-import pyarrow as pa
 from pyspark import cloudpickle
 
 # Sent along with the task, so workers need not have this package installed.
@@ -37,34 +36,41 @@ def _crossing(a: Points, b: Points, c: Points, d: Points, sides: list[np.ndarray
     return out[0], out[1]
 
 
-def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From pairs of edges l and r, lesser ends first: for either the places where the other meets it."""
-    for batch in batches:
-        a, b, c, d = (
-            tuple(batch.column(f"{s}_{z}{i}").to_numpy(zero_copy_only=False) for z in "xy") for s in "lr" for i in (1, 2)
-        )
-        cross = (b[0] - a[0]) * (d[1] - c[1]) - (b[1] - a[1]) * (d[0] - c[0])
-        sides = [turn(c, d, a), turn(c, d, b), turn(a, b, c), turn(a, b, d)]
-        meet = (cross != 0) & ~_apart(*sides[:2]) & ~_apart(*sides[2:])
-        one, line = np.flatnonzero(meet), np.flatnonzero((cross == 0) & (sides[2] == 0))
-        spot = _crossing(*[(p[0][one], p[1][one]) for p in (a, b, c, d)], [s[one] for s in sides], cross[one])
-        pair = np.concatenate([one, *[line] * 4])
-        x, y = (np.concatenate([spot[i], *[p[i][line] for p in (a, b, c, d)]]) for i in (0, 1))
-        shared = np.arange(len(pair)) >= len(one)
-        for e, o, first, last, other in (("l", "r", a, b, sides[2:]), ("r", "l", c, d, sides[:2])):
-            x1, y1, x2, y2 = (v[pair] for v in (*first, *last))
-            inside = (x1 <= x) & (x <= x2) & (np.minimum(y1, y2) <= y) & (y <= np.maximum(y1, y2))
-            at_end = ((x == x1) & (y == y1)) | ((x == x2) & (y == y2))
-            turns = ~shared & ~at_end & ((other[0][pair] > 0) != (other[1][pair] > 0))
-            along = (x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)
-            keep = inside & (shared | ~at_end)
-            rows = pa.array(pair[keep])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(f"{e}_edge").take(rows), batch.column(f"{e}_part").take(rows),
-                    *[pa.array(v[keep]) for v in (along, x, y)],
-                    batch.column(f"{o}_edge").take(rows), batch.column(f"{o}_part").take(rows),
-                    *[pa.array(v[keep]) for v in (turns, shared)],
-                ],
-                names=["edge", "part", "along", "x", "y", "other_edge", "other", "turns", "shared"],
-            )
+class Meetings(NamedTuple):
+    """Places where edges meet others, ends and overlaps included; `row` and `other` are numbers of edges.
+
+    `along` orders the places of an edge. `turns` tells that the other edge passes from one side to the other, an end on the
+    line taken as lying on its right: then what lies just left of the edge changes for the other's part. `shared` tells
+    that both edges lie on one line.
+    """
+
+    row: np.ndarray
+    other: np.ndarray
+    along: np.ndarray
+    x: np.ndarray
+    y: np.ndarray
+    turns: np.ndarray
+    shared: np.ndarray
+
+
+def meetings(first: Points, last: Points, i: np.ndarray, j: np.ndarray) -> Meetings:
+    """For pairs i < j of edges, lesser ends first: for either the places where the other meets it."""
+    a, b, c, d = ((p[0][k], p[1][k]) for k in (i, j) for p in (first, last))
+    cross = (b[0] - a[0]) * (d[1] - c[1]) - (b[1] - a[1]) * (d[0] - c[0])
+    sides = [turn(c, d, a), turn(c, d, b), turn(a, b, c), turn(a, b, d)]
+    meet = (cross != 0) & ~_apart(*sides[:2]) & ~_apart(*sides[2:])
+    one, line = np.flatnonzero(meet), np.flatnonzero((cross == 0) & (sides[2] == 0))
+    spot = _crossing(*[(p[0][one], p[1][one]) for p in (a, b, c, d)], [s[one] for s in sides], cross[one])
+    pair = np.concatenate([one, *[line] * 4])
+    x, y = (np.concatenate([spot[k], *[p[k][line] for p in (a, b, c, d)]]) for k in (0, 1))
+    shared = np.arange(len(pair)) >= len(one)
+    out = []
+    for e, o, start, end, other in ((i, j, a, b, sides[2:]), (j, i, c, d, sides[:2])):
+        x1, y1, x2, y2 = (v[pair] for v in (*start, *end))
+        inside = (x1 <= x) & (x <= x2) & (np.minimum(y1, y2) <= y) & (y <= np.maximum(y1, y2))
+        at_end = ((x == x1) & (y == y1)) | ((x == x2) & (y == y2))
+        turns = ~shared & ~at_end & ((other[0][pair] > 0) != (other[1][pair] > 0))
+        along = (x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)
+        keep = inside & (shared | ~at_end)
+        out.append([v[keep] for v in (e[pair], o[pair], along, x, y, turns, shared)])
+    return Meetings(*[np.concatenate(v) for v in zip(*out)])

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import materialise
 from .edges import Extent, Tiles, boundary_edges, extent_of  # noqa: F401
 from .joins import lookup_join, refuse_columns
-from .overlay import outline_edges
+from .overlay import flag_in_union, outline_edges, part_edges
 
 
 @dataclass(frozen=True)
@@ -125,6 +125,8 @@ def flag_covered(points: DataFrame, cover: Cover, x: str, y: str, spread_by: lis
 
 def points_in_boundary(points: DataFrame, vertices: DataFrame, spread_by: list[str]) -> DataFrame:
     """Add `inside` to points with `longitude` and `latitude`, against rings in degrees, or the union of their parts."""
+    if "part" in vertices.columns:
+        return flag_in_union(points, part_edges(vertices), "longitude", "latitude", spread_by)
     edges = materialise(outline_edges(vertices), "outline")
     return flag_covered(points, boundary_cover(edges), "longitude", "latitude", spread_by)
 

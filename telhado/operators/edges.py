@@ -61,14 +61,14 @@ SPOT = 0.4771
 
 @dataclass(frozen=True)
 class Tiles:
-    """Tiles of one size: about as many in the box as there are edges, none narrower or lower than a mean edge."""
+    """Tiles of one size: about as many in the box as there are edges, or one for `each` of them, none narrower or lower than a mean edge."""
 
     wide: float
     high: float
 
     @classmethod
-    def for_edges(cls, extent: Extent) -> Tiles:
-        across = max(1.0, extent.n**0.5)
+    def for_edges(cls, extent: Extent, each: int = 1) -> Tiles:
+        across = max(1.0, (extent.n / each) ** 0.5)
         return cls(
             max((extent.high_x - extent.low_x) / across, extent.mean_x) or 1.0,
             max((extent.high_y - extent.low_y) / across, extent.mean_y) or 1.0,
@@ -80,10 +80,12 @@ class Tiles:
     def of_edges(self, edges: DataFrame) -> DataFrame:
         """Each edge with the tiles (tx, ty) it passes: its rows of tiles, and in each the columns between its ends there."""
 
-        def numbers(a: Column, b: Column, size: float) -> Column:
-            return F.sequence(F.floor(F.least(a, b) / size).cast("bigint"), F.floor(F.greatest(a, b) / size).cast("bigint"))
+        def numbers(low: Column, high: Column, size: float) -> Column:
+            # An edge that runs along a border of tiles, or ends at one, belongs to both sides of it.
+            margin = size * 1e-9
+            return F.sequence(F.floor((low - margin) / size).cast("bigint"), F.floor((high + margin) / size).cast("bigint"))
 
-        rows = edges.withColumn("ty", F.explode(numbers(F.col("y1"), F.col("y2"), self.high)))
+        rows = edges.withColumn("ty", F.explode(numbers(F.least("y1", "y2"), F.greatest("y1", "y2"), self.high)))
         rise = F.col("y2") - F.col("y1")
 
         def x_at(border: Column) -> Column:
@@ -91,10 +93,8 @@ class Tiles:
             return F.col("x1") + (F.col("x2") - F.col("x1")) * F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
 
         ends = [x_at(F.col("ty") * self.high), x_at((F.col("ty") + 1) * self.high)]
-        # An edge that runs along a border of tiles belongs to both sides of it.
-        margin = self.wide * 1e-9
-        from_x = F.when(rise == 0, F.least("x1", "x2")).otherwise(F.least(*ends)) - margin
-        to_x = F.when(rise == 0, F.greatest("x1", "x2")).otherwise(F.greatest(*ends)) + margin
+        from_x = F.when(rise == 0, F.least("x1", "x2")).otherwise(F.least(*ends))
+        to_x = F.when(rise == 0, F.greatest("x1", "x2")).otherwise(F.greatest(*ends))
         return rows.withColumn("tx", F.explode(numbers(from_x, to_x, self.wide)))
 
     def spot(self, axis: str, number: Column | None = None) -> Column:

@@ -5,22 +5,24 @@ parts share become one segment, and a segment belongs to the outline of the unio
 its sides lies inside any part. With that outline the plain even-odd test is right again, for points
 and for clipping alike.
 
-Which parts lie beside an edge is looked up once, at its longest piece; from piece to piece it changes only where
-another edge passes to the other side. So the work grows with the edges and their meeting points, of
-which there may be as many as pairs of edges.
+There may be as many meeting points as pairs of edges, and as many pieces. So only edges are dealt out, to the tiles they
+pass; where they meet, and what is outline, is worked out within each tile (`functions/outlines.py`) and leaves it as
+pieces of the outline, or, where the points come to the same tile, only as what is asked of them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from ..functions.meetings import meetings
+from ..functions import outlines
 from ..session import materialise
-from .edges import Extent, Tiles, boundary_edges, extent_of
+from .edges import SPOT, Tiles, boundary_edges, extent_of
+from .joins import SALT, heavy_hitters, hot_salted, lookup_join, refuse_columns
 
 ENDS = ["x1", "y1", "x2", "y2"]
-SEGMENT = ["ax", "ay", "bx", "by"]
-
+# A tile has so many edges on average, over the whole box, unless that makes it smaller than an edge.
+EDGES_PER_TILE = 256
 
 def part_edges(vertices: DataFrame, project: bool = False) -> DataFrame:
     """Directed edges (part, ring, seq, x1, y1, x2, y2); a ring's number counts within its part."""
@@ -43,135 +45,48 @@ def lesser_end_first(edges: DataFrame) -> DataFrame:
     )
 
 
-def _turn(ax: Column, ay: Column, bx: Column, by: Column, px: Column, py: Column) -> Column:
-    """Above zero where p lies on the left of the line from a to b, zero on it."""
-    return (bx - ax) * (py - ay) - (by - ay) * (px - ax)
-
-
 def dealt(rows: DataFrame, *keys: str) -> DataFrame:
-    """`rows` over as many tasks as a shuffle has: few rows, of which each makes many."""
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-
-
-def meeting_points(passed: DataFrame) -> DataFrame:
-    """(edge, part, along, x, y, other, turns, shared): where edges meet others, ends and overlaps included.
-
-    `passed` are numbered edges, lesser end first, with the tiles they pass; only edges that pass the same tile and whose boxes
-    overlap are compared. `along` orders the places of an edge. `turns` tells that the other edge passes from one side
-    to the other, an end on the line taken as lying on its right: then what lies just left of the edge changes for the
-    part `other`. `shared` tells that both edges lie on one line.
-    """
-    names = ["edge", "part", *ENDS]
-    boxed = passed.withColumns({"low": F.least("y1", "y2"), "high": F.greatest("y1", "y2")})
-    left, right = (boxed.select("tx", "ty", *[F.col(n).alias(f"{e}_{n}") for n in (*names, "low", "high")]) for e in "lr")
-    # Lesser ends first: the boxes' sides are known.
-    near = (
-        (F.col("l_edge") < F.col("r_edge")) & (F.col("l_x1") <= F.col("r_x2")) & (F.col("r_x1") <= F.col("l_x2"))
-        & (F.col("l_low") <= F.col("r_high")) & (F.col("r_low") <= F.col("l_high"))
-    )
-    pairs = dealt(left, "tx", "ty").join(right, ["tx", "ty"]).where(near)
-    part = passed.schema["part"].dataType.simpleString()
-    rows = f"edge long, part {part}, along double, x double, y double, other_edge long, other {part}, turns boolean, shared boolean"
-    found = pairs.drop("tx", "ty", "l_low", "l_high", "r_low", "r_high").mapInArrow(meetings, rows)
-    # A pair may pass several tiles together.
-    return found.repartition("edge").distinct().drop("other_edge")
-
-
-def places(edges: DataFrame, passed: DataFrame) -> DataFrame:
-    """Rows of `meeting_points`, and both ends of each edge."""
-    length = (F.col("x2") - F.col("x1")) * (F.col("x2") - F.col("x1")) + (F.col("y2") - F.col("y1")) * (F.col("y2") - F.col("y1"))
-    none = [F.lit(None).cast(edges.schema["part"].dataType).alias("other"), F.lit(False).alias("turns"), F.lit(False).alias("shared")]
-    first = edges.select("edge", "part", F.lit(0.0).alias("along"), F.col("x1").alias("x"), F.col("y1").alias("y"), *none)
-    last = edges.select("edge", "part", length.alias("along"), F.col("x2").alias("x"), F.col("y2").alias("y"), *none)
-    return meeting_points(passed).unionByName(first).unionByName(last)
-
-
-def pieces(found: DataFrame) -> DataFrame:
-    """`places` with the next place of the same edge (`to`: along, x, y)."""
-    way = Window.partitionBy("edge").orderBy("along", "x", "y")
-    return found.withColumn("to", F.lead(F.struct("along", "x", "y")).over(way))
+    """`rows` over as many tasks as a shuffle has, those of a tile together and in order."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys, "kind", "edge")
 
 
-def parts_beside(found: DataFrame, edges: DataFrame, passed: DataFrame, tiles: Tiles, extent: Extent) -> DataFrame:
-    """(edge, at, beside): the parts just left of the middle of an edge's longest piece, which starts `at`.
+def tile_rows(edges: DataFrame) -> tuple[DataFrame, Tiles]:
+    """(tx, ty, kind, edge, number, x1, y1, x2, y2): numbered edges in all tiles they pass, and the parts in which a tile's spot lies.
 
-    That side is the one of the tile's spot unless the way there, level and then upright, crosses an odd number of a part's
-    edges in that tile.
+    `edges` are as from `part_edges`; a part's number is that of its first edge.
     """
-    length = F.col("to.along") - F.col("along")
-    longest = pieces(found).where("to IS NOT NULL").groupBy("edge").agg(F.max_by(F.struct("along", "x", "y", "to"), length).alias("piece"))
-    px, py = ((F.col(f"piece.{c}") + F.col(f"piece.to.{c}")) / 2 for c in "xy")
-    middle = longest.select("edge", F.col("piece.along").alias("at"), px.alias("px"), py.alias("py"))
-    named = edges.select("edge", *[F.col(o).alias(n) for o, n in zip(ENDS, SEGMENT)])
-    seeds = middle.join(named, "edge").withColumns(tiles.of_point(F.col("px"), F.col("py")))
-    px, py, ax, ay, bx, by, x1, y1, x2, y2 = (F.col(c) for c in ("px", "py", *SEGMENT, *ENDS))
-    sx, sy = tiles.spot("x"), tiles.spot("y")
-    # Edges on the seed's own line: left of a rising one they are ahead, left of a falling one behind.
-    own_line = (_turn(ax, ay, bx, by, x1, y1) == 0) & (_turn(ax, ay, bx, by, x2, y2) == 0)
-    ahead = F.when(own_line, by > ay).otherwise(px < (x2 - x1) * (py - y1) / (y2 - y1) + x1)
-    level = ((y1 > py) != (y2 > py)) & (ahead != (sx < (x2 - x1) * (py - y1) / (y2 - y1) + x1))
-    at_y = (y2 - y1) * (sx - x1) / (x2 - x1) + y1
-    upright = ((x1 > sx) != (x2 > sx)) & ((py < at_y) != (sy < at_y))
-    near = passed.select("tx", "ty", F.col("part").alias("other"), *ENDS)
-    crossed = dealt(seeds, "tx", "ty").join(near, ["tx", "ty"]).where(level != upright).select("edge", "other")
-    spots = tiles.spots_inside(edges, extent, ("part",)).withColumnRenamed("part", "other")
-    told = seeds.select("edge", "tx", "ty").join(spots, ["tx", "ty"]).select("edge", "other")
-    beside = (
-        crossed.unionByName(told).groupBy("edge", "other").agg((F.count(F.lit(1)) % 2).alias("odd")).where("odd = 1")
-        .groupBy("edge").agg(F.collect_list("other").alias("beside"))
-    )
-    none = F.array().cast(f"array<{edges.schema['part'].dataType.simpleString()}>")
-    return middle.select("edge", "at").join(beside, "edge", "left").withColumn("beside", F.coalesce("beside", none))
-
-
-def segments(found: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(part, ax, ay, bx, by, n, own, shared): pieces of edges, with how many parts lie just left of them and whether their own does."""
-    keyed = found.join(seeds, "edge")
-    edge, turn = Window.partitionBy("edge"), Window.partitionBy("edge", "other")
-    before = F.col("along") <= F.col("at")
-    turns = F.col("turns").cast("int")
-    # A part's turns along an edge alternate between in and out; the seed tells with which they begin.
-    after_seed = F.sum(turns).over(turn.orderBy("along", "x", "y").rowsBetween(Window.unboundedPreceding, 0)) - F.sum(
-        F.when(before, turns).otherwise(0)
-    ).over(turn)
-    inside = F.array_contains("beside", F.col("other")) != (F.abs(after_seed) % 2 == 1)
-    keyed = keyed.withColumn("step", F.when(F.col("turns"), F.when(inside, 1).otherwise(-1)).otherwise(0))
-
-    def count(step: Column, at_seed: Column) -> Column:
-        return at_seed + F.sum(step).over(edge.orderBy("along", "x", "y")) - F.sum(F.when(before, step).otherwise(0)).over(edge)
-
-    own_step = F.when(F.col("other") == F.col("part"), F.col("step")).otherwise(0)
-    counted = pieces(keyed).select(
-        "part", *[F.col(c).alias(f"{e}{c[-1]}") for e, p in (("a", ""), ("b", "to.")) for c in (f"{p}x", f"{p}y")],
-        count(F.col("step"), F.size("beside")).alias("n"),
-        count(own_step, F.array_contains("beside", F.col("part")).cast("int")).alias("own"),
-        F.max("shared").over(edge).alias("shared"),
-    )
-    return counted.where(F.col("bx").isNotNull() & ((F.col("ax") != F.col("bx")) | (F.col("ay") != F.col("by"))))
+    edges = materialise(lesser_end_first(edges), "part-edges")
+    extent = extent_of(edges)
+    tiles = Tiles.for_edges(extent, EDGES_PER_TILE)
+    numbers = materialise(edges.groupBy("part").agg(F.min("edge").alias("number")), "part-numbers")
+    numbered = lookup_join(edges, numbers, ["part"], ["edge"])
+    spots = tiles.spots_inside(numbered, extent, ("number",)).select("tx", "ty", F.lit(outlines.SPOT).alias("kind"), "number")
+    passed = tiles.of_edges(numbered).select("tx", "ty", F.lit(outlines.EDGE).alias("kind"), "edge", "number", *ENDS)
+    return passed.unionByName(spots, allowMissingColumns=True), tiles
 
 
 def dissolve(edges: DataFrame) -> DataFrame:
     """Outline (ring, seq, x1, y1, x2, y2) of the union of all parts, interior on the left; ring and seq are 0.
 
-    `edges` are as from `part_edges`.
+    `edges` are as from `part_edges`. Pieces are written once; those that a border of tiles cuts are put together again.
     """
-    edges = materialise(lesser_end_first(edges), "part-edges")
-    extent = extent_of(edges)
-    tiles = Tiles.for_edges(extent)
-    passed = tiles.of_edges(edges)
-    found = materialise(places(edges, passed), "places")
-    laid = materialise(segments(found, parts_beside(found, edges, passed, tiles, extent)), "segments")
-    # A piece that a part's own rings draw twice cancels out; of several parts, each counts once.
-    several = (
-        laid.where("shared").groupBy("part", *SEGMENT).agg(F.max("n").alias("n"), F.max("own").alias("own"), (F.count(F.lit(1)) % 2).alias("odd"))
-        .where("odd = 1").groupBy(*SEGMENT).agg(F.max("n").alias("n"), F.sum("own").alias("own"), F.count(F.lit(1)).alias("owners"))
+    rows, tiles = tile_rows(edges)
+    of_tiles = outlines.outlines(tiles.wide, tiles.high, SPOT, ["tx", "ty"])
+    columns = "edge long, along double, ax double, ay double, bx double, by double, cut_a boolean, cut_b boolean, forward boolean"
+    pieces = materialise(dealt(rows, "tx", "ty").mapInArrow(of_tiles, columns), "outline-pieces")
+    way = Window.partitionBy("edge").orderBy("along")
+    ends = {c: F.struct(f"{c}x", f"{c}y") for c in "ab"}
+    goes_on = F.col("cut_a") & (F.lag(F.struct(ends["b"].alias("at"), "forward")).over(way) == F.struct(ends["a"].alias("at"), "forward"))
+    cut = pieces.where("cut_a OR cut_b").withColumn("begins", ~F.coalesce(goes_on, F.lit(False)))
+    joined = (
+        cut.withColumn("run", F.sum(F.col("begins").cast("int")).over(way)).groupBy("edge", "run", "forward")
+        .agg(F.min_by(ends["a"], "along").alias("a"), F.max_by(ends["b"], "along").alias("b"))
+        .select("forward", "a.*", "b.*")
     )
-    single = laid.where("NOT shared").select(*SEGMENT, "n", F.col("own").cast("bigint").alias("own"), F.lit(1).cast("bigint").alias("owners"))
-    # Parts that lie on the left and do not own the segment lie on both sides; all others lie on one side.
-    outline = single.unionByName(several).where("n = own AND own IN (0, owners)")
+    outline = pieces.where("NOT (cut_a OR cut_b)").select("forward", "ax", "ay", "bx", "by").unionByName(joined)
 
     def end(first: str, second: str) -> Column:
-        return F.when(F.col("own") > 0, F.col(first)).otherwise(F.col(second))
+        return F.when(F.col("forward"), F.col(first)).otherwise(F.col(second))
 
     return outline.select(
         F.lit(0).alias("ring"), F.lit(0).alias("seq"),
@@ -179,8 +94,34 @@ def dissolve(edges: DataFrame) -> DataFrame:
     )
 
 
+def flag_in_union(points: DataFrame, edges: DataFrame, x: str, y: str, spread_by: list[str], name: str = "inside") -> DataFrame:
+    """Add `name`: does the point lie inside the union of all parts? NULL for a point without coordinates.
+
+    Points go to the tile they lie in. There the outline is worked out whole, with a cover of its inside by cells, and the points pass
+    by it batch by batch; nothing that grows with the meeting points leaves a task. A tile with very many of the points
+    is given to several tasks, each with all its edges.
+    """
+    refuse_columns(points, {name})
+    rows, tiles = tile_rows(edges)
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    placed = points.select(
+        F.struct(*[F.col(f"`{c}`") for c in points.columns]).alias("row"), px.alias("x1"), py.alias("y1"),
+        *[c.alias(k) for k, c in tiles.of_point(px, py).items()],
+    )
+    # Points without one of their coordinates belong to no tile.
+    nowhere = F.col("tx").isNull() | F.col("ty").isNull()
+    placed = placed.withColumns({t: F.when(~nowhere, F.col(t)) for t in ("tx", "ty")}).withColumn("kind", F.lit(outlines.POINT))
+    ways = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = heavy_hitters(placed, ["tx", "ty"])
+    spread, copies = hot_salted(placed, rows, ["tx", "ty"], [F.col("row")[c] for c in spread_by], hot, ways)
+    keys = ["tx", "ty", SALT]
+    flags = outlines.points_inside(tiles.wide, tiles.high, SPOT, keys, name)
+    together = dealt(copies.unionByName(spread, allowMissingColumns=True), *keys)
+    return together.mapInArrow(flags, StructType([*points.schema.fields, StructField(name, BooleanType())]))
+
+
 def outline_edges(vertices: DataFrame, project: bool = False) -> DataFrame:
     """Edges for the even-odd test: of all rings as they are, or of the union where `vertices` tell their `part`."""
     if "part" not in vertices.columns:
         return boundary_edges(vertices, project)
-    return materialise(dissolve(part_edges(vertices, project)), "union-outline")
+    return dissolve(part_edges(vertices, project))
