@@ -18,11 +18,13 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 from ..functions import outlines
 from ..session import materialise
 from .edges import SPOT, Tiles, boundary_edges, extent_of
-from .joins import SALT, heavy_hitters, hot_salted, lookup_join, refuse_columns
+from .joins import SALT, lookup_join, refuse_columns
 
 ENDS = ["x1", "y1", "x2", "y2"]
 # A tile has so many edges on average, over the whole box, unless that makes it smaller than an edge.
 EDGES_PER_TILE = 256
+# A tile with no more points than this goes to one task.
+POINTS_PER_TASK = 50_000
 
 def part_edges(vertices: DataFrame, project: bool = False) -> DataFrame:
     """Directed edges (part, ring, seq, x1, y1, x2, y2); a ring's number counts within its part."""
@@ -98,8 +100,8 @@ def flag_in_union(points: DataFrame, edges: DataFrame, x: str, y: str, spread_by
     """Add `name`: does the point lie inside the union of all parts? NULL for a point without coordinates.
 
     Points go to the tile they lie in. There the outline is worked out whole, with a cover of its inside by cells, and the points pass
-    by it batch by batch; nothing that grows with the meeting points leaves a task. A tile with very many of the points
-    is given to several tasks, each with all its edges.
+    by it batch by batch; nothing that grows with the meeting points leaves a task. A tile with more points than a task has on
+    average is given to so many tasks as make up for it, each with all its edges.
     """
     refuse_columns(points, {name})
     rows, tiles = tile_rows(edges)
@@ -111,9 +113,15 @@ def flag_in_union(points: DataFrame, edges: DataFrame, x: str, y: str, spread_by
     # Points without one of their coordinates belong to no tile.
     nowhere = F.col("tx").isNull() | F.col("ty").isNull()
     placed = placed.withColumns({t: F.when(~nowhere, F.col(t)) for t in ("tx", "ty")}).withColumn("kind", F.lit(outlines.POINT))
-    ways = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = heavy_hitters(placed, ["tx", "ty"])
-    spread, copies = hot_salted(placed, rows, ["tx", "ty"], [F.col("row")[c] for c in spread_by], hot, ways)
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = materialise(placed.where("tx IS NOT NULL").groupBy("tx", "ty").agg(F.count(F.lit(1)).alias("n")), "tile-points")
+    share = max((counts.agg(F.sum("n")).head()[0] or 0) / tasks, POINTS_PER_TASK)
+    # Fewer rows than there are tasks.
+    split = F.broadcast(counts.select("tx", "ty", F.ceil(F.col("n") / share).cast("int").alias("ways")).where("ways > 1"))
+    ways = F.when(F.col("tx").isNull(), tasks).otherwise(F.coalesce("ways", F.lit(1)))
+    salt = F.pmod(F.xxhash64(*[F.col("row")[c] for c in spread_by]), ways).cast("int")
+    spread = placed.join(split, ["tx", "ty"], "left").withColumn(SALT, salt).drop("ways")
+    copies = rows.join(split, ["tx", "ty"], "left").withColumn(SALT, F.explode(F.sequence(F.lit(0), ways - 1))).drop("ways")
     keys = ["tx", "ty", SALT]
     flags = outlines.points_inside(tiles.wide, tiles.high, SPOT, keys, name)
     together = dealt(copies.unionByName(spread, allowMissingColumns=True), *keys)
