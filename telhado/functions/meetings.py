@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from fractions import Fraction
 from typing import NamedTuple
 
 import numpy as np
@@ -14,9 +15,24 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 Points = tuple[np.ndarray, np.ndarray]
 
 
+def _cross(a: Points, b: Points, c: Points, d: Points) -> np.ndarray:
+    """Cross product of the ways from a to b and from c to d; where rounding could tell the sign, it is worked out exactly."""
+    left, right = (b[0] - a[0]) * (d[1] - c[1]), (b[1] - a[1]) * (d[0] - c[0])
+    out = left - right
+    same = ((a[0] == c[0]) & (a[1] == c[1]) & (b[0] == d[0]) & (b[1] == d[1])) | ((a[0] == d[0]) & (a[1] == d[1]) & (b[0] == c[0]) & (b[1] == c[1]))
+    unsure = ((left != 0) | (right != 0)) & (np.abs(out) <= (np.abs(left) + np.abs(right)) * 2.0**-50) & ~same
+    out[same] = 0.0
+    for k in np.flatnonzero(unsure):
+        ax, ay, bx, by, cx, cy, dx, dy = (Fraction(float(v[k])) for p in (a, b, c, d) for v in p)
+        out[k] = float((bx - ax) * (dy - cy) - (by - ay) * (dx - cx))
+    return out
+
+
 def turn(a: Points, b: Points, p: Points) -> np.ndarray:
     """Above zero where p lies on the left of the line from a to b, zero on it."""
-    return (b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])
+    out = _cross(a, b, a, p)
+    out[((p[0] == a[0]) & (p[1] == a[1])) | ((p[0] == b[0]) & (p[1] == b[1]))] = 0.0
+    return out
 
 
 def _apart(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -56,7 +72,7 @@ class Meetings(NamedTuple):
 def meetings(first: Points, last: Points, i: np.ndarray, j: np.ndarray) -> Meetings:
     """For pairs i < j of edges, lesser ends first: for either the places where the other meets it."""
     a, b, c, d = ((p[0][k], p[1][k]) for k in (i, j) for p in (first, last))
-    cross = (b[0] - a[0]) * (d[1] - c[1]) - (b[1] - a[1]) * (d[0] - c[0])
+    cross = _cross(a, b, c, d)
     sides = [turn(c, d, a), turn(c, d, b), turn(a, b, c), turn(a, b, d)]
     meet = (cross != 0) & ~_apart(*sides[:2]) & ~_apart(*sides[2:])
     one, line = np.flatnonzero(meet), np.flatnonzero((cross == 0) & (sides[2] == 0))

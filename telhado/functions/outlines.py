@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
+from fractions import Fraction
 from typing import NamedTuple
 
 import numpy as np
@@ -93,9 +94,9 @@ def _each(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + low[row]
 
 
-def near_pairs(e: Edges, tile: Tile) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def near_pairs(e: Edges, tile: Tile) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs i < j of edges that may meet, block by block: neither lies wholly on one side of the other's line, by more than
-    rounding can tell, and their boxes overlap."""
+    rounding can tell, and their boxes overlap. With each whether one lies along the other's line."""
     n = len(e.edge)
     x0, y0 = tile.tx * tile.wide, tile.ty * tile.high
     x1, y1, x2, y2 = e.x1 - x0, e.y1 - y0, e.x2 - x0, e.y2 - y0
@@ -117,7 +118,13 @@ def near_pairs(e: Edges, tile: Tile) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         later = i < j
         i, j = i[later] + begin, j[later] + begin
         boxes = (e.x1[i] <= e.x2[j]) & (e.x1[j] <= e.x2[i]) & (low[i] <= high[j]) & (low[j] <= high[i])
-        yield i[boxes], j[boxes]
+        i, j = i[boxes], j[boxes]
+        # Whether both ends of one lie so near the other's line that only exact numbers tell the side.
+        close = np.zeros(len(i), bool)
+        for k, m in ((i, j), (j, i)):
+            sides = [dx[k] * (v[m] - y1[k]) - dy[k] * (u[m] - x1[k]) for u, v in ((x1, y1), (x2, y2))]
+            close |= (np.abs(sides[0]) <= slack[k]) & (np.abs(sides[1]) <= slack[k])
+        yield i, j, close
 
 
 def _border_cuts(e: Edges, tile: Tile, pairs: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
@@ -143,13 +150,24 @@ def _border_cuts(e: Edges, tile: Tile, pairs: tuple[np.ndarray, np.ndarray]) ->
     return [np.concatenate(v) for v in zip(*out)]
 
 
+def _ahead_exactly(e: Edges, i: int, px: float, py: float, j: int) -> bool:
+    """Whether, level from the place on edge i that is nearest to (px, py), edge j lies ahead; on one line, as seen from just left of i."""
+    ax, ay, bx, by = (Fraction(float(v[i])) for v in e[2:])
+    cx, cy, dx, dy = (Fraction(float(v[j])) for v in e[2:])
+    px, py = Fraction(float(px)), Fraction(float(py))
+    part = ((px - ax) * (bx - ax) + (py - ay) * (by - ay)) / ((bx - ax) ** 2 + (by - ay) ** 2)
+    px, py = ax + part * (bx - ax), ay + part * (by - ay)
+    side = (dx - cx) * (py - cy) - (dy - cy) * (px - cx)
+    return by > ay if side == 0 else (side > 0) == (dy > cy)
+
+
 def _parts_beside(
     e: Edges, seeds: np.ndarray, px: np.ndarray, py: np.ndarray, tile: Tile, pairs: tuple[np.ndarray, np.ndarray], numbers: np.ndarray, at_spot: np.ndarray
 ) -> np.ndarray:
     """For seeds, places (px, py) on the edges `seeds`: which of the parts `numbers` lie just left of the edge there.
 
     That side is the one of the tile's spot, told by `at_spot`, unless the way there, level and then upright, crosses an odd
-    number of a part's edges.
+    number of a part's edges. `pairs` are edges of which one lies along the other's line.
     """
     sx, sy = tile.spot_at()
     by = np.argsort(e.part, kind="stable")
@@ -158,15 +176,19 @@ def _parts_beside(
     column = np.empty(len(by), "i8")
     column[by] = np.arange(len(by))
     dx, dy = x2 - x1, y2 - y1
-    rising = e.y2 > e.y1
-    # Edges on the seed's own line: left of a rising one they are ahead, left of a falling one behind.
+    # Edges along the seed's own line: left of a rising one they are ahead, left of a falling one behind.
     row_of = np.full(len(by), -1)
     row_of[seeds] = np.arange(len(seeds))
     one, two = (np.concatenate([p, q]) for p, q in (pairs, pairs[::-1]))
     known = row_of[one] >= 0
-    own_row, own_column = np.concatenate([np.arange(len(seeds)), row_of[one[known]]]), column[np.concatenate([seeds, two[known]])]
+    one, two = one[known], two[known]
+    told = (e.y2 > e.y1)[one]
+    for k in np.flatnonzero((e.x1[one] != e.x1[two]) | (e.y1[one] != e.y1[two]) | (e.x2[one] != e.x2[two]) | (e.y2[one] != e.y2[two])):
+        told[k] = _ahead_exactly(e, one[k], px[row_of[one[k]]], py[row_of[one[k]]], two[k])
+    own_row, own_column = np.concatenate([np.arange(len(seeds)), row_of[one]]), column[np.concatenate([seeds, two])]
+    own_ahead = np.concatenate([(e.y2 > e.y1)[seeds], told])
     order = np.argsort(own_row, kind="stable")
-    own_row, own_column = own_row[order], own_column[order]
+    own_row, own_column, own_ahead = own_row[order], own_column[order], own_ahead[order]
     out = np.empty((len(seeds), len(numbers)), bool)
     upright = np.flatnonzero((x1 > sx) != (x2 > sx))
     step = max(1, BLOCK // len(by))
@@ -181,7 +203,7 @@ def _parts_beside(
             at += x1
             ahead = qx < at
             mine = slice(*np.searchsorted(own_row, [begin, begin + step]))
-            ahead[own_row[mine] - begin, own_column[mine]] = rising[seeds[own_row[mine]]]
+            ahead[own_row[mine] - begin, own_column[mine]] = own_ahead[mine]
             crossed = ((y1 > qy) != (y2 > qy)) & (ahead != (sx < at))
             crossed[:, upright] ^= (qy < above) != (sy < above)
             out[some] = np.logical_xor.reduceat(crossed, starts, axis=1)
@@ -239,7 +261,11 @@ def outline_in(tile: Tile, e: Edges, inside_at_spot: np.ndarray) -> Outline:
     if not len(numbers) or not np.isin(inside_at_spot, numbers).all():
         return NO_OUTLINE
     count = len(e.edge)
-    found = [meetings((e.x1, e.y1), (e.x2, e.y2), i, j) for i, j in near_pairs(e, tile)]
+    found, along_line = [], [(np.empty(0, "i8"),) * 2]
+    for i, j, close in near_pairs(e, tile):
+        found.append(meetings((e.x1, e.y1), (e.x2, e.y2), i, j))
+        along_line.append((i[close], j[close]))
+    along_line = [np.concatenate(v) for v in zip(*along_line)]
     met = Meetings(*[np.concatenate(v) for v in zip(*found)])
     del found
     lines = met.shared & (met.row < met.other)
@@ -274,7 +300,7 @@ def outline_in(tile: Tile, e: Edges, inside_at_spot: np.ndarray) -> Outline:
     longest = np.lexsort((a, p_along[a] - p_along[a + 1], p_row[a]))
     longest = longest[_starts(p_row[a][longest])]
     seeds, seed_at = p_row[a[longest]], a[longest]
-    beside = _parts_beside(e, seeds, mid_x[longest], mid_y[longest], tile, pairs, numbers, np.isin(numbers, inside_at_spot))
+    beside = _parts_beside(e, seeds, mid_x[longest], mid_y[longest], tile, along_line, numbers, np.isin(numbers, inside_at_spot))
     seed_of = np.full(count, -1)
     seed_of[seeds] = np.arange(len(seeds))
     known = np.flatnonzero(turns & (seed_of[row] >= 0))

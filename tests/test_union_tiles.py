@@ -86,6 +86,20 @@ def test_borders_of_tiles(spark, monkeypatch, rings):
     assert found[0] == found[1]
 
 
+def test_slanting_sides_in_common(spark):
+    """Parts on both sides of a slanting line, one with corners between that rounding puts beside it."""
+    rng, rings = random.Random(1), {}
+    for k in range(6):
+        ax, ay, bx, by = (rng.uniform(0, 10) for _ in range(4))
+        nx, ny = (by - ay) / 4, (ax - bx) / 4
+        side = [(ax + (bx - ax) * c, ay + (by - ay) * c) for c in [0, *sorted(rng.random() for _ in range(3)), 1]]
+        rings[2 * k, 0] = [(ax, ay), (bx, by), (bx + nx, by + ny), (ax + nx, ay + ny)]
+        rings[2 * k + 1, 0] = [*side, (bx - nx, by - ny), (ax - nx, ay - ny)]
+    points = scattered(rings, 2000, 3)
+    found = boundary.points_in_boundary(spark.createDataFrame(points, POINTS), spark.createDataFrame(rows(rings), VERTICES), ["id"])
+    assert {r["id"]: r["inside"] for r in found.collect()} == {i: inside_any(rings, x, y) for i, x, y in points}
+
+
 def test_nothing_as_large_as_the_meeting_points_is_kept(spark):
     """Two combs meet far more often than they have edges: tables written, and rows that change tasks, grow with the edges."""
     teeth = 60
